@@ -19,7 +19,7 @@ def parse_yyyymmdd(c, strict: bool = False) -> Column:
     fails the job on a bad value (ANSI ``to_date``).
     """
     s = _c(c).cast("string")
-    return F.to_date(s, "yyyyMMdd") if strict else F.try_to_date(s, F.lit("yyyyMMdd"))
+    return F.to_date(s, "yyyyMMdd") if strict else F.try_to_date(s, "yyyyMMdd")
 
 
 def date_to_yyyymmdd(c) -> Column:

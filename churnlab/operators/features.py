@@ -262,3 +262,18 @@ def member_features(members: DataFrame, ref_date: dt.date) -> DataFrame:
         F.coalesce(bd_valid, F.lit(False)).cast("int").alias("bd_valid"),
         F.datediff(F.lit(ref_date), parse_yyyymmdd("registration_init_time")).alias("tenure_days"),
     )
+
+
+# ---------------------------------------------------------------- S2 profile
+def date_coercion_profile(tx: DataFrame, shift_days: int = 30) -> DataFrame:
+    """S2 check: coerce-parse yyyymmdd values, including shifted integers that
+    are not calendar dates (e.g. day 31 + 30), and count valid / NULL results."""
+    raw = (F.col("membership_expire_date") + shift_days)
+    d = parse_yyyymmdd(raw)
+    return tx.select(d.alias("d")).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count("d").alias("n_valid"),
+        F.count_if(F.col("d").isNull()).alias("n_coerced_null"),
+        F.min("d").alias("min_date"),
+        F.max("d").alias("max_date"),
+    )

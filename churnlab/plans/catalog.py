@@ -44,3 +44,84 @@ def q_churn_contrast(spark, d):
     prof = features.tx_user_profile(_tx(spark, d), as_of=P.tx_as_of, tie_cols=B.TX_TIE_COLS)
     j = eda.label_join(prof, B.labels_for(spark, d, P.period))
     return eda.churn_contrast(j, CONTRAST_COLS)
+
+
+# ---------------------------------------------------------------- S2 / S3
+@register("date_coercion")
+def q_date_coercion(spark, d):
+    from churnlab.operators.features import date_coercion_profile
+    return date_coercion_profile(_tx(spark, d))
+
+
+@register("tx_union_count")
+def q_tx_union_count(spark, d):
+    from pyspark.sql import functions as F
+    from churnlab.sources.readers import union_sources
+    tx = _tx(spark, d)
+    # Two "files": the base history and a later extract, appended as a bag.
+    base = tx.where(F.col("transaction_date") < 19990101)
+    later = tx.where(F.col("transaction_date") >= 19990101)
+    u = union_sources(base, later)
+    return u.groupBy((F.col("transaction_date") / 10000).cast("int").alias("year")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("msno").alias("n_users"))
+
+
+# ---------------------------------------------------------------- logs / members / expiry / recency
+def _log_agg(spark, d):
+    return features.log_user_agg(B.user_logs(spark, d), P.log_max_date, P.log_recent, P.log_windows)
+
+
+@register("log_user_agg")
+def q_log_user_agg(spark, d):
+    return _log_agg(spark, d)
+
+
+@register("log_features")
+def q_log_features(spark, d):
+    return features.log_features(_log_agg(spark, d), P.log_ref_date)
+
+
+@register("multiwindow_features")
+def q_multiwindow_features(spark, d):
+    return features.multiwindow_features(_log_agg(spark, d))
+
+
+@register("member_features")
+def q_member_features(spark, d):
+    return features.member_features(B.members(spark, d), P.prediction_date)
+
+
+@register("expiry_features")
+def q_expiry_features(spark, d):
+    return features.expiry_features(_tx(spark, d), P.prediction_date, as_of=P.tx_as_of, tie_cols=B.TX_TIE_COLS)
+
+
+@register("tx_recency")
+def q_tx_recency(spark, d):
+    return features.tx_recency(_tx(spark, d), P.tx_ref, as_of=P.tx_as_of)
+
+
+# ---------------------------------------------------------------- W1-W3 labeller
+@register("last_expire")
+def q_last_expire(spark, d):
+    return labels.last_expire(_tx(spark, d), LW.hist_start, LW.hist_end)
+
+
+def _candidates(spark, d):
+    from pyspark.sql import functions as F
+    from churnlab.plans.periods import ymd
+    return labels.last_expire(_tx(spark, d), LW.hist_start, LW.hist_end).where(
+        F.col("last_expire").between(ymd(LW.target_start), ymd(LW.target_end)))
+
+
+@register("renewal_gap")
+def q_renewal_gap(spark, d):
+    from pyspark.sql import functions as F
+    from churnlab.plans.periods import ymd
+    tx = _tx(spark, d)
+    return labels.renewal_gap(_candidates(spark, d), tx.where(F.col("transaction_date") > ymd(LW.hist_end)))
+
+
+@register("churn_labels")
+def q_churn_labels(spark, d):
+    return labels.churn_labels(_tx(spark, d), LW)

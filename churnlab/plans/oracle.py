@@ -127,3 +127,151 @@ sql("churn_contrast", f"""
 SELECT feature, round(r, 6) AS renewal_mean, round(ch, 6) AS churn_mean,
        CASE WHEN r <> 0 THEN round((ch - r) / abs(r) * 100, 1) END AS diff_pct
 FROM ({_contrast_rows}) t""", PROFILE_CTE + ", j AS (SELECT p.*, l.is_churn FROM profile p JOIN cur_labels l USING (msno))")
+
+# ---------------------------------------------------------------- S2 / S3
+sql("date_coercion", f"""
+SELECT count(*) AS n_rows, count(d) AS n_valid, count(*) FILTER (WHERE d IS NULL) AS n_coerced_null,
+       min(d) AS min_date, max(d) AS max_date
+FROM (SELECT {_ymd_to_date('membership_expire_date + 30')} AS d FROM transactions) t""")
+
+sql("tx_union_count", """
+SELECT CAST(transaction_date / 10000 AS INTEGER) AS year, count(*) AS n_rows, count(DISTINCT msno) AS n_users
+FROM (SELECT * FROM transactions WHERE transaction_date < 19990101
+      UNION ALL SELECT * FROM transactions WHERE transaction_date >= 19990101) u
+GROUP BY 1""".replace("CAST(transaction_date / 10000 AS INTEGER)", "CAST(floor(transaction_date / 10000) AS INTEGER)"))
+
+# ---------------------------------------------------------------- logs
+_W = P.log_windows
+LOG_AGG_CTE = f"""
+lg AS (
+  SELECT msno, date, num_100, num_unq,
+         CASE WHEN total_secs IS NOT NULL THEN least(greatest(total_secs, 0), 86400) END AS secs,
+         coalesce(num_25, 0) + coalesce(num_50, 0) + coalesce(num_75, 0) + coalesce(num_985, 0)
+           + coalesce(num_100, 0) AS songs
+  FROM user_logs WHERE date <= {ymd(P.log_max_date)}
+),
+log_agg AS (
+  SELECT msno, count(*) AS n_days, sum(secs) AS total_secs_sum,
+         CAST(sum(num_100) AS BIGINT) AS num_100_sum, CAST(sum(num_unq) AS BIGINT) AS num_unq_sum,
+         CAST(sum(songs) AS BIGINT) AS total_songs_sum, max(date) AS max_date,
+         count(*) FILTER (WHERE date >= {ymd(P.log_recent)}) AS recent_n_days,
+         sum(CASE WHEN date >= {ymd(P.log_recent)} THEN secs ELSE 0 END) AS recent_total_secs_sum,
+         """ + ",\n         ".join(
+    f"count(*) FILTER (WHERE date >= {ymd(s)}) AS {n}_n_days, "
+    f"sum(CASE WHEN date >= {ymd(s)} THEN secs ELSE 0 END) AS {n}_secs_sum" for n, s in _W.items()) + """
+  FROM lg GROUP BY msno
+)"""
+sql("log_user_agg", "SELECT * FROM log_agg", LOG_AGG_CTE)
+
+LOG_FEAT_CTE = LOG_AGG_CTE + f""",
+log_feat AS (
+  SELECT msno, n_days,
+         CAST(total_secs_sum AS DOUBLE) / n_days AS avg_daily_secs,
+         CAST(num_100_sum AS DOUBLE) / n_days AS avg_daily_completed,
+         CAST(num_unq_sum AS DOUBLE) / n_days AS avg_daily_unq,
+         CASE WHEN total_songs_sum > 0 THEN CAST(num_100_sum AS DOUBLE) / total_songs_sum END AS completion_ratio,
+         CAST(date_diff('day', {_ymd_to_date('max_date')}, {_d(P.log_ref_date)}) AS INTEGER) AS days_since_last,
+         CAST(recent_total_secs_sum AS DOUBLE) / greatest(recent_n_days, 1)
+           - CAST(total_secs_sum AS DOUBLE) / greatest(n_days, 1) AS listening_trend
+  FROM log_agg
+),
+mw_feat AS (
+  SELECT msno, coalesce(r7d_n_days, 0) AS n_days_7d,
+         CAST(coalesce(r7d_secs_sum, 0) AS DOUBLE) / (coalesce(r7d_n_days, 0) + 1) AS secs_per_day_7d,
+         coalesce(r90d_n_days, 0) AS n_days_90d,
+         CAST(coalesce(r90d_secs_sum, 0) AS DOUBLE) / (coalesce(r90d_n_days, 0) + 1) AS secs_per_day_90d,
+         CAST(coalesce(r7d_secs_sum, 0) AS DOUBLE) / (coalesce(r7d_n_days, 0) + 1)
+           - CAST(total_secs_sum AS DOUBLE) / (n_days + 1) AS trend_7d,
+         CAST(coalesce(r7d_secs_sum, 0) AS DOUBLE) / (coalesce(r7d_n_days, 0) + 1)
+           - CAST(recent_total_secs_sum AS DOUBLE) / (recent_n_days + 1) AS trend_7d_vs_30d
+  FROM log_agg
+)"""
+sql("log_features", "SELECT * FROM log_feat", LOG_FEAT_CTE)
+sql("multiwindow_features", "SELECT * FROM mw_feat", LOG_FEAT_CTE)
+
+MEMBER_CTE = f"""
+mem_feat AS (
+  SELECT msno, city, registered_via,
+         CASE coalesce(gender, 'unknown') WHEN 'male' THEN 0 WHEN 'female' THEN 1 WHEN 'unknown' THEN 2 END
+           AS gender_enc,
+         CASE WHEN bd BETWEEN 1 AND 99 THEN CAST(bd AS DOUBLE) END AS age,
+         CAST(coalesce(bd BETWEEN 1 AND 99, false) AS INTEGER) AS bd_valid,
+         CAST(date_diff('day', {_ymd_to_date('registration_init_time')}, {_d(P.prediction_date)}) AS INTEGER)
+           AS tenure_days
+  FROM members
+)"""
+sql("member_features", "SELECT * FROM mem_feat", MEMBER_CTE)
+
+EXPIRY_CTE = f"""
+exp_rows AS (
+  SELECT *, {_ymd_to_date('membership_expire_date')} AS exp_d FROM transactions WHERE transaction_date <= {AS_OF}
+),
+exp_top AS (
+  SELECT msno, exp_d, is_auto_renew, is_cancel,
+         row_number() OVER (PARTITION BY msno ORDER BY membership_expire_date DESC, {_TX_ORDER}) AS rn
+  FROM exp_rows WHERE exp_d IS NOT NULL
+),
+exp_feat AS (
+  SELECT t.msno, CAST(date_diff('day', {_d(P.prediction_date)}, t.exp_d) AS INTEGER) AS days_until_expire,
+         CAST(date_diff('day', {_d(P.prediction_date)}, t.exp_d) < 0 AS INTEGER) AS is_expired,
+         t.is_auto_renew AS auto_renew_at_expire, t.is_cancel AS cancel_at_expire, r.n_renewals
+  FROM exp_top t JOIN (SELECT msno, count(*) FILTER (WHERE is_cancel = 0) AS n_renewals
+                       FROM exp_rows GROUP BY msno) r USING (msno)
+  WHERE t.rn = 1
+)"""
+sql("expiry_features", "SELECT * FROM exp_feat", EXPIRY_CTE)
+
+_REF = P.tx_ref
+RECENCY_CTE = f"""
+rec_feat AS (
+  SELECT msno,
+         CAST(greatest(date_diff('day', max(d), {_d(_REF)}), 0) AS INTEGER) AS days_since_last_tx,
+         CAST(count(*) FILTER (WHERE d >= {_d(_REF - dt.timedelta(days=7))}) > 0 AS INTEGER) AS had_tx_last_7d,
+         CAST(count(*) FILTER (WHERE d >= {_d(_REF - dt.timedelta(days=30))}) > 0 AS INTEGER) AS had_tx_last_30d,
+         count(*) FILTER (WHERE d >= {_d(_REF - dt.timedelta(days=30))}) AS n_tx_last_30d
+  FROM (SELECT msno, {_ymd_to_date('transaction_date')} AS d FROM transactions
+        WHERE transaction_date <= {AS_OF}) t
+  GROUP BY msno HAVING max(d) IS NOT NULL
+)"""
+sql("tx_recency", "SELECT * FROM rec_feat", RECENCY_CTE)
+
+# ---------------------------------------------------------------- W1-W3 (window formulation)
+_SIG = ("CAST(plan_list_price AS VARCHAR) || CAST(payment_plan_days AS VARCHAR) "
+        "|| CAST(payment_method_id AS VARCHAR)")
+LABEL_CTE = f"""
+hist AS (SELECT *, {_SIG} AS sig FROM transactions
+         WHERE transaction_date BETWEEN {ymd(LW.hist_start)} AND {ymd(LW.hist_end)}),
+hist_last AS (
+  SELECT msno, membership_expire_date AS last_expire,
+         row_number() OVER (PARTITION BY msno ORDER BY transaction_date DESC, sig ASC, is_cancel DESC,
+           CASE WHEN is_cancel = 1 THEN membership_expire_date ELSE -membership_expire_date END ASC) AS rn
+  FROM hist
+),
+last_exp AS (SELECT msno, last_expire FROM hist_last WHERE rn = 1),
+cands AS (SELECT * FROM last_exp WHERE last_expire BETWEEN {ymd(LW.target_start)} AND {ymd(LW.target_end)}),
+fut AS (
+  SELECT f.msno, f.transaction_date, f.membership_expire_date, f.is_cancel,
+         row_number() OVER (PARTITION BY f.msno ORDER BY f.transaction_date ASC, {_SIG} DESC, f.is_cancel ASC,
+           CASE WHEN f.is_cancel = 1 THEN -f.membership_expire_date ELSE f.membership_expire_date END ASC) AS rn
+  FROM transactions f WHERE f.transaction_date > {ymd(LW.hist_end)} AND f.msno IN (SELECT msno FROM cands)
+),
+first_ren AS (SELECT msno, min(rn) AS rn0 FROM fut WHERE is_cancel = 0 GROUP BY msno),
+walk AS (
+  SELECT f.msno, r.rn0,
+         max(CASE WHEN f.rn = r.rn0 THEN f.transaction_date END) AS ren_date,
+         min(CASE WHEN f.is_cancel = 1 AND (r.rn0 IS NULL OR f.rn < r.rn0) THEN f.membership_expire_date END)
+           AS cancel_min
+  FROM fut f LEFT JOIN first_ren r USING (msno) GROUP BY f.msno, r.rn0
+),
+gaps AS (
+  SELECT c.msno, c.last_expire,
+         CASE WHEN w.rn0 IS NULL THEN 9999 ELSE CAST(date_diff('day',
+              {_ymd_to_date('least(c.last_expire, coalesce(w.cancel_min, c.last_expire))')},
+              {_ymd_to_date('w.ren_date')}) AS INTEGER) END AS gap
+  FROM cands c JOIN walk w USING (msno)
+)"""
+sql("last_expire", "SELECT * FROM last_exp", LABEL_CTE)
+sql("renewal_gap", "SELECT * FROM gaps", LABEL_CTE)
+sql("churn_labels", """
+SELECT c.msno, CAST(g.gap IS NULL OR g.gap >= 30 AS INTEGER) AS is_churn
+FROM cands c LEFT JOIN gaps g USING (msno)""", LABEL_CTE)

@@ -210,12 +210,10 @@ LOG_FEATURE_COLS = ["n_days", "avg_daily_secs", "avg_daily_completed", "avg_dail
                     "days_since_last", "listening_trend"]
 
 
-def log_features(agg: DataFrame, ref: dt.date) -> DataFrame:
-    """Per-day averages, completion ratio, recency and trend."""
+def log_feature_exprs(ref: dt.date) -> list[Column]:
     overall = _dbl("total_secs_sum") / F.greatest(F.col("n_days"), F.lit(1))
     recent = _dbl("recent_total_secs_sum") / F.greatest(F.col("recent_n_days"), F.lit(1))
-    return agg.select(
-        "msno",
+    return [
         F.col("n_days"),
         (_dbl("total_secs_sum") / F.col("n_days")).alias("avg_daily_secs"),
         (_dbl("num_100_sum") / F.col("n_days")).alias("avg_daily_completed"),
@@ -223,12 +221,16 @@ def log_features(agg: DataFrame, ref: dt.date) -> DataFrame:
         safe_ratio(_dbl("num_100_sum"), F.col("total_songs_sum")).alias("completion_ratio"),
         F.datediff(F.lit(ref), parse_yyyymmdd("max_date")).alias("days_since_last"),
         (recent - overall).alias("listening_trend"),
-    )
+    ]
+
+
+def log_features(agg: DataFrame, ref: dt.date) -> DataFrame:
+    """Per-day averages, completion ratio, recency and trend."""
+    return agg.select("msno", *log_feature_exprs(ref))
 
 
 # ---------------------------------------------------------------- A7
-def multiwindow_features(agg: DataFrame, short: str = "r7d", long: str = "r90d") -> DataFrame:
-    """7d / 90d rates and trends with ``n + 1`` denominators; missing windows -> 0."""
+def multiwindow_exprs(short: str = "r7d", long: str = "r90d") -> list[Column]:
     n7 = F.coalesce(F.col(f"{short}_n_days"), F.lit(0))
     n90 = F.coalesce(F.col(f"{long}_n_days"), F.lit(0))
     s7 = F.coalesce(F.col(f"{short}_secs_sum"), F.lit(0)).cast("double")
@@ -236,15 +238,19 @@ def multiwindow_features(agg: DataFrame, short: str = "r7d", long: str = "r90d")
     spd7 = s7 / (n7 + 1)
     overall = _dbl("total_secs_sum") / (F.col("n_days") + 1)
     recent = _dbl("recent_total_secs_sum") / (F.col("recent_n_days") + 1)
-    return agg.select(
-        "msno",
+    return [
         n7.alias("n_days_7d"),
         spd7.alias("secs_per_day_7d"),
         n90.alias("n_days_90d"),
         (s90 / (n90 + 1)).alias("secs_per_day_90d"),
         (spd7 - overall).alias("trend_7d"),
         (spd7 - recent).alias("trend_7d_vs_30d"),
-    )
+    ]
+
+
+def multiwindow_features(agg: DataFrame, short: str = "r7d", long: str = "r90d") -> DataFrame:
+    """7d / 90d rates and trends with ``n + 1`` denominators; missing windows -> 0."""
+    return agg.select("msno", *multiwindow_exprs(short, long))
 
 
 # ---------------------------------------------------------------- P7

@@ -125,3 +125,76 @@ def q_renewal_gap(spark, d):
 @register("churn_labels")
 def q_churn_labels(spark, d):
     return labels.churn_labels(_tx(spark, d), LW)
+
+
+# ---------------------------------------------------------------- J1/J2, I1-I3, V1-V4, J8
+def _raw_matrix(spark, d):
+    from churnlab.operators.assemble import assemble_raw
+    users = B.labels_for(spark, d, P.period)
+    prev = B.labels_for(spark, d, P.prev_period)
+    return assemble_raw(users, _tx(spark, d), B.user_logs(spark, d), B.members(spark, d), prev, P, B.TX_TIE_COLS)
+
+
+def feature_matrix(spark, d, feature_set="v5"):
+    from churnlab.operators.assemble import impute_matrix
+    return impute_matrix(_raw_matrix(spark, d), feature_set)
+
+
+for _fs in ("v1", "v4", "v5"):
+    register(f"feature_matrix_{_fs}")(lambda spark, d, _fs=_fs: feature_matrix(spark, d, _fs))
+
+
+@register("churn_lag")
+def q_churn_lag(spark, d):
+    from churnlab.operators.assemble import prev_label_join
+    users = B.labels_for(spark, d, P.period)
+    return prev_label_join(users, B.labels_for(spark, d, P.prev_period))
+
+
+@register("imputed_features")
+def q_imputed_features(spark, d):
+    """Exact medians used to fill each column, with the number of filled rows."""
+    from pyspark.sql import functions as F
+    from churnlab.operators.impute import null_report
+    from churnlab.operators.quantiles import exact_quantiles
+    from churnlab.schemas import FEATURE_COLS_V1
+    raw = _raw_matrix(spark, d)
+    cols = [c for c in FEATURE_COLS_V1 if c not in ("has_member_record", "has_log_record", "n_days")]
+    cols += ["days_until_expire", "days_since_last_tx"]
+    med = exact_quantiles(raw, cols).select(F.col("k").alias("feature"), F.col("q").alias("median"))
+    nulls = null_report(raw, cols).select(F.col("column").alias("feature"), F.col("n_null").alias("n_filled"))
+    return med.join(nulls, "feature", "right")
+
+
+@register("null_report")
+def q_null_report(spark, d):
+    from churnlab.operators.impute import null_report
+    from churnlab.schemas import FEATURE_COLS_V5
+    raw = _raw_matrix(spark, d)
+    return null_report(raw, [c for c in FEATURE_COLS_V5 if c in raw.columns])
+
+
+@register("validation_counts")
+def q_validation_counts(spark, d):
+    from churnlab.operators.validate import validation_counts
+    return validation_counts(feature_matrix(spark, d, "v5"))
+
+
+@register("contract_violations")
+def q_contract_violations(spark, d):
+    from churnlab.operators.validate import contract_check
+    from churnlab.schemas import FEATURE_COLS_V5
+    raw = _raw_matrix(spark, d)
+    return contract_check(raw.select("msno", *[c for c in FEATURE_COLS_V5 if c in raw.columns]))[2]
+
+
+@register("constraint_violations")
+def q_constraint_violations(spark, d):
+    from pyspark.sql import functions as F
+    from churnlab.operators.validate import constraint_violations
+    preds = B.predictions(spark, d)
+    return constraint_violations(preds, unique=("msno", "period", "model_version", "source"), checks={
+        "churn_prob in [0,1]": F.col("churn_prob").between(0, 1),
+        "churn_label in {0,1}": F.col("churn_label").isin(0, 1),
+        "source in {api,batch}": F.col("source").isin("api", "batch"),
+    })

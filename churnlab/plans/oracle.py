@@ -275,3 +275,130 @@ sql("renewal_gap", "SELECT * FROM gaps", LABEL_CTE)
 sql("churn_labels", """
 SELECT c.msno, CAST(g.gap IS NULL OR g.gap >= 30 AS INTEGER) AS is_churn
 FROM cands c LEFT JOIN gaps g USING (msno)""", LABEL_CTE)
+
+# ---------------------------------------------------------------- J1/J2 feature matrix
+from churnlab.schemas import FEATURE_COLS_V1, FEATURE_SETS  # noqa: E402
+
+RAW_MATRIX_CTE = (PROFILE_CTE + "," + LOG_FEAT_CTE + "," + MEMBER_CTE + "," + EXPIRY_CTE + "," + RECENCY_CTE + f""",
+prev_labels AS (SELECT msno, is_churn AS prev_churn FROM period_labels WHERE period = '{P.prev_period}'),
+raw AS (
+  SELECT u.msno, u.is_churn, p.* EXCLUDE (msno), e.* EXCLUDE (msno), r.* EXCLUDE (msno), m.* EXCLUDE (msno),
+         lf.* EXCLUDE (msno), mw.* EXCLUDE (msno), pl.prev_churn,
+         CAST(m.city IS NOT NULL AS INTEGER) AS has_member_record,
+         CAST(lf.n_days IS NOT NULL AS INTEGER) AS has_log_record
+  FROM cur_labels u
+  LEFT JOIN profile p USING (msno) LEFT JOIN exp_feat e USING (msno) LEFT JOIN rec_feat r USING (msno)
+  LEFT JOIN mem_feat m USING (msno) LEFT JOIN log_feat lf USING (msno) LEFT JOIN mw_feat mw USING (msno)
+  LEFT JOIN prev_labels pl USING (msno)
+)""")
+
+_MEDIAN_BASE = [c for c in FEATURE_COLS_V1 if c not in ("has_member_record", "has_log_record", "n_days")]
+_V5_CONST = {"is_expired": 1, "auto_renew_at_expire": 0, "cancel_at_expire": 0, "n_renewals": 0, "prev_churn": 0,
+             "had_tx_last_7d": 0, "had_tx_last_30d": 0, "n_tx_last_30d": 0, "n_days_7d": 0, "secs_per_day_7d": 0,
+             "n_days_90d": 0, "secs_per_day_90d": 0, "trend_7d": 0, "trend_7d_vs_30d": 0}
+
+
+def _matrix_sql(fs: str) -> str:
+    cols = FEATURE_SETS[fs]
+    med = list(_MEDIAN_BASE) + ([c for c in ("days_until_expire", "days_since_last_tx") if c in cols])
+    meds = ", ".join(f"median(CAST({c} AS DOUBLE)) AS m_{c}" for c in med)
+    sel = []
+    for c in cols:
+        if c == "cancel_before_expire":
+            sel.append("CAST(CAST(last_is_cancel = 1 AND coalesce(CAST(days_until_expire AS DOUBLE), m_days_until_expire)"
+                       " > 0 AS INTEGER) AS DOUBLE) AS cancel_before_expire")
+        elif c == "n_days":
+            sel.append("coalesce(CAST(n_days AS DOUBLE), 0.0) AS n_days")
+        elif c in med:
+            sel.append(f"coalesce(CAST({c} AS DOUBLE), m_{c}) AS {c}")
+        elif c in _V5_CONST:
+            sel.append(f"coalesce(CAST({c} AS DOUBLE), {float(_V5_CONST[c])}) AS {c}")
+        else:
+            sel.append(f"CAST({c} AS DOUBLE) AS {c}")
+    return f"SELECT msno, is_churn, {', '.join(sel)} FROM raw CROSS JOIN (SELECT {meds} FROM raw) med"
+
+
+for _fs in ("v1", "v4", "v5"):
+    sql(f"feature_matrix_{_fs}", _matrix_sql(_fs), RAW_MATRIX_CTE)
+
+sql("churn_lag", """
+SELECT u.msno, u.is_churn, pl.prev_churn FROM cur_labels u LEFT JOIN prev_labels pl USING (msno)""", RAW_MATRIX_CTE)
+
+_IMP = _MEDIAN_BASE + ["days_until_expire", "days_since_last_tx"]
+sql("imputed_features", " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, median(CAST({c} AS DOUBLE)) AS median, count(*) FILTER (WHERE {c} IS NULL) AS n_filled"
+    f" FROM raw" for c in _IMP), RAW_MATRIX_CTE)
+
+_V5 = FEATURE_SETS["v5"]
+_RAW5 = [c for c in _V5 if c != "cancel_before_expire"]
+sql("null_report", " UNION ALL ".join(
+    f"SELECT '{c}' AS column, count(*) FILTER (WHERE {c} IS NULL) AS n_null, "
+    f"CASE WHEN count(*) > 0 THEN round(count(*) FILTER (WHERE {c} IS NULL) / count(*) * 100, 4) END AS pct_null"
+    f" FROM raw" for c in _RAW5), RAW_MATRIX_CTE)
+
+_BIN = ["ever_canceled", "last_is_cancel", "last_is_auto_renew", "bd_valid", "has_member_record", "has_log_record",
+        "is_expired", "auto_renew_at_expire", "cancel_at_expire", "prev_churn", "cancel_before_expire",
+        "had_tx_last_7d", "had_tx_last_30d"]
+_RANGES = {"age": (0, 120), "completion_ratio": (0, 1), "avg_discount_pct": (0, 1)}
+_rule_exprs = {"no_nulls": " AND ".join(f"{c} IS NOT NULL" for c in _V5)}
+_rule_exprs.update({f"range:{c}": f"{c} BETWEEN {lo} AND {hi}" for c, (lo, hi) in _RANGES.items()})
+_rule_exprs.update({f"binary:{c}": f"{c} IN (0, 1)" for c in _BIN})
+_ok_all = " AND ".join(f"coalesce({e}, false)" for e in _rule_exprs.values())
+sql("validation_counts", "SELECT rule, n FROM (SELECT 'rows' AS rule, count(*) AS n FROM fm" + "".join(
+    f" UNION ALL SELECT '{n}', count(*) FILTER (WHERE NOT coalesce({e}, false)) FROM fm" for n, e in _rule_exprs.items())
+    + f" UNION ALL SELECT 'valid', count(*) FILTER (WHERE {_ok_all}) FROM fm"
+    + f" UNION ALL SELECT 'invalid', count(*) FILTER (WHERE NOT ({_ok_all})) FROM fm) t",
+    RAW_MATRIX_CTE + ", fm AS (" + _matrix_sql("v5") + ")")
+
+_NONNEG = ["n_transactions", "n_cancels", "avg_plan_days", "avg_price", "n_unique_plans", "n_payment_methods",
+           "last_plan_days", "last_price", "last_list_price", "last_payment_method", "city", "registered_via",
+           "tenure_days", "n_days", "avg_daily_secs", "avg_daily_completed", "avg_daily_unq", "days_since_last",
+           "n_renewals", "days_since_last_tx", "n_tx_last_30d", "n_days_7d", "secs_per_day_7d", "n_days_90d",
+           "secs_per_day_90d"]
+_BOUNDS = {**{c: (0.0, None) for c in _NONNEG}, "avg_discount_pct": (0.0, 1.0), "completion_ratio": (0.0, 1.0),
+           **{c: (0.0, 1.0) for c in _BIN}, "gender_enc": (0.0, 2.0), "age": (0.0, 120.0)}
+_INTS = _BIN + ["last_payment_method", "city", "registered_via", "gender_enc"]
+
+
+def _contract_row(c: str) -> str:
+    lo, hi = _BOUNDS.get(c, (None, None))
+    conds = []
+    if lo is not None:
+        conds.append(f"CAST({c} AS DOUBLE) < {lo}")
+    if hi is not None:
+        conds.append(f"CAST({c} AS DOUBLE) > {hi}")
+    oob = " OR ".join(conds) if conds else "false"
+    nint = f"CAST({c} AS DOUBLE) <> floor(CAST({c} AS DOUBLE))" if c in _INTS else "false"
+    return (f"SELECT '{c}' AS column, count(*) FILTER (WHERE {c} IS NULL) AS n_null, "
+            f"count(*) FILTER (WHERE coalesce({oob}, false)) AS n_out_of_range, "
+            f"count(*) FILTER (WHERE coalesce({nint}, false)) AS n_not_integer FROM raw")
+
+
+sql("contract_violations", " UNION ALL ".join(_contract_row(c) for c in _RAW5), RAW_MATRIX_CTE)
+
+PRED_CTE = """
+predictions AS (
+  SELECT o.o_custkey AS msno, CAST(l.l_extendedprice / 200000 AS FLOAT) AS churn_prob,
+         CAST(CAST(l.l_extendedprice / 200000 AS FLOAT) >= 0.5 AS SMALLINT) AS churn_label,
+         'v' || CAST(l.l_linenumber % 3 + 1 AS VARCHAR) AS model_version,
+         strftime(o.o_orderdate, '%Y-%m') AS period,
+         CASE WHEN l.l_linenumber % 4 = 0 THEN 'api' ELSE 'batch' END AS source,
+         o.o_orderdate + to_hours(l.l_linenumber) + to_minutes(CAST(l.l_orderkey % 60 AS INTEGER)) AS predicted_at,
+         l.l_orderkey, l.l_linenumber
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+),
+ground_truth AS (
+  SELECT o.o_custkey AS msno, strftime(o.o_orderdate, '%Y-%m') AS period,
+         max(CAST(l.l_returnflag = 'R' AS SMALLINT)) AS actual_churn
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 1, 2
+)"""
+sql("constraint_violations", """
+SELECT 'unique(msno,period,model_version,source)' AS constraint,
+       CAST(coalesce(sum(c), 0) AS BIGINT) AS n_violations
+FROM (SELECT count(*) AS c FROM predictions GROUP BY msno, period, model_version, source HAVING count(*) > 1) d
+UNION ALL SELECT 'churn_prob in [0,1]', count(*) FILTER (WHERE NOT coalesce(churn_prob BETWEEN 0 AND 1, false))
+  FROM predictions
+UNION ALL SELECT 'churn_label in {0,1}', count(*) FILTER (WHERE NOT coalesce(churn_label IN (0, 1), false))
+  FROM predictions
+UNION ALL SELECT 'source in {api,batch}', count(*) FILTER (WHERE NOT coalesce(source IN ('api', 'batch'), false))
+  FROM predictions""", PRED_CTE)

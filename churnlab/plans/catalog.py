@@ -198,3 +198,94 @@ def q_constraint_violations(spark, d):
         "churn_label in {0,1}": F.col("churn_label").isin(0, 1),
         "source in {api,batch}": F.col("source").isin("api", "batch"),
     })
+
+
+# ---------------------------------------------------------------- EDA
+from pyspark.sql import functions as _F  # noqa: E402
+
+from churnlab.functions.columns import clip as _clip  # noqa: E402
+
+AGE_EDGES, AGE_LABELS = [0, 18, 25, 35, 45, 55, 100], ["<18", "18-25", "25-35", "35-45", "45-55", "55+"]
+TENURE_EDGES, TENURE_LABELS = [0, 90, 365, 730, 1095, 1825, 99999], ["<3m", "3-12m", "1-2y", "2-3y", "3-5y", "5y+"]
+RECENCY_EDGES, RECENCY_LABELS = [0, 7, 30, 60, 90, 180, 365], ["<1w", "1w-1m", "1-2m", "2-3m", "3-6m", "6m+"]
+MIN_GROUP = 20
+CORR_COLS = ["n_transactions", "avg_price", "last_is_cancel", "days_until_expire", "is_expired", "n_renewals",
+             "days_since_last_tx", "prev_churn"]
+SUMMARY_COLS = ["n_transactions", "avg_price", "tenure_days", "days_until_expire", "days_since_last_tx", "n_days"]
+OUTCOME_COLS = ["n_transactions", "avg_price", "days_until_expire", "n_renewals"]
+
+
+def _members_labelled(spark, d):
+    m = features.member_features(B.members(spark, d), P.prediction_date)
+    return eda.label_join(m, B.labels_for(spark, d, P.period))
+
+
+def _scored_matrix(spark, d):
+    """v5 matrix with a transparent recency score standing in for a model output."""
+    fm = feature_matrix(spark, d, "v5")
+    return fm.withColumn("prob", 1 - 1 / (1 + _F.col("days_since_last_tx") / 30.0))
+
+
+register("dataset_profile")(lambda spark, d: eda.dataset_profile(_tx(spark, d), "msno", "transaction_date",
+                                                                 "transactions"))
+register("price_describe")(lambda spark, d: eda.describe(_tx(spark, d), ["actual_amount_paid", "plan_list_price"]))
+register("plan_day_counts")(lambda spark, d: eda.value_counts(_tx(spark, d), "payment_plan_days", n=10))
+register("gender_counts")(lambda spark, d: eda.value_counts(B.members(spark, d), "gender", dropna=False))
+register("tx_overview")(lambda spark, d: eda.tx_overview(_tx(spark, d)))
+register("rate_by_city")(lambda spark, d: eda.rate_by(_members_labelled(spark, d), "city", MIN_GROUP))
+register("rate_by_registration")(lambda spark, d: eda.rate_by(_members_labelled(spark, d), "registered_via"))
+register("rate_by_gender")(lambda spark, d: eda.rate_by(_members_labelled(spark, d), "gender_enc"))
+register("rate_by_age")(lambda spark, d: eda.rate_by(
+    _members_labelled(spark, d).withColumn("age_group", eda_cut("age", AGE_EDGES, AGE_LABELS)), "age_group"))
+register("rate_by_tenure")(lambda spark, d: eda.rate_by(
+    _members_labelled(spark, d).withColumn("tenure_bucket", eda_cut("tenure_days", TENURE_EDGES, TENURE_LABELS)),
+    "tenure_bucket"))
+register("rate_by_recency")(lambda spark, d: eda.rate_by(
+    _raw_matrix(spark, d).withColumn("recency_bucket", eda_cut(
+        _clip("days_since_last", None, 365), RECENCY_EDGES, RECENCY_LABELS)), "recency_bucket"))
+register("rate_by_plan")(lambda spark, d: eda.rate_by(_raw_matrix(spark, d), "last_plan_days", MIN_GROUP))
+register("rate_by_payment")(lambda spark, d: eda.rate_by(_raw_matrix(spark, d), "last_payment_method"))
+register("top_cities")(lambda spark, d: eda.top_n(eda.rate_by(_members_labelled(spark, d), "city", MIN_GROUP),
+                                                  "churn_rate", 15, key="city"))
+register("crosstab_cancel")(lambda spark, d: eda.crosstab_pct(_raw_matrix(spark, d), "last_is_cancel"))
+register("price_histogram")(lambda spark, d: eda.histogram(_raw_matrix(spark, d), "avg_price", 20, by="is_churn",
+                                                           density=True))
+register("score_distribution")(lambda spark, d: eda.score_distribution(B.scores(spark, d, "smooth"), "prob"))
+register("target_correlation")(lambda spark, d: eda.target_correlation(
+    feature_matrix(spark, d, "v5"), [c for c in __import__("churnlab.schemas", fromlist=["x"]).FEATURE_COLS_V5]))
+register("correlation_matrix")(lambda spark, d: eda.correlation_matrix(feature_matrix(spark, d, "v5"), CORR_COLS))
+register("class_balance")(lambda spark, d: eda.class_balance(B.period_labels(spark, d), by="period"))
+register("outcome_profile")(lambda spark, d: eda.outcome_profile(_scored_matrix(spark, d), OUTCOME_COLS))
+register("play_depth_medians")(lambda spark, d: eda.column_medians(
+    B.user_logs(spark, d), ["num_25", "num_50", "num_75", "num_985", "num_100", "num_unq"]))
+register("feature_summary")(lambda spark, d: eda.feature_summary(feature_matrix(spark, d, "v5"), SUMMARY_COLS))
+register("key_coverage")(lambda spark, d: eda.key_coverage(B.labels_for(spark, d, P.period), {
+    "transactions": _tx(spark, d), "members": B.members(spark, d), "user_logs": B.user_logs(spark, d)}))
+register("user_overlap")(lambda spark, d: eda.user_overlap(B.labels_for(spark, d, P.prev_period),
+                                                           B.labels_for(spark, d, P.period)))
+register("churn_with_without_logs")(lambda spark, d: eda.no_log_users(B.labels_for(spark, d, P.period),
+                                                                      B.user_logs(spark, d)))
+register("stacked_periods")(lambda spark, d: eda.stack_periods(
+    *[B.labels_for(spark, d, p).withColumn("period", _F.lit(p)) for p in ("2000-10", "2000-11", "2000-12")])
+    .groupBy("period").agg(_F.count(_F.lit(1)).alias("n"), _F.sum("is_churn").alias("n_churn")))
+register("key_intersect")(lambda spark, d: eda.key_intersect(B.labels_for(spark, d, P.prev_period),
+                                                             B.members(spark, d)))
+register("key_except")(lambda spark, d: eda.key_except(B.members(spark, d), B.labels_for(spark, d, P.period)))
+register("top_risk")(lambda spark, d: eda.top_n(
+    B.predictions(spark, d).select("msno", "churn_prob", "model_version", "period"), "churn_prob", 20,
+    key=["msno", "period", "model_version"]))
+register("age_bucket")(lambda spark, d: eda.bucket_counts(_members_labelled(spark, d), "age", AGE_EDGES, AGE_LABELS))
+register("tenure_bucket")(lambda spark, d: eda.bucket_counts(_members_labelled(spark, d), "tenure_days",
+                                                             TENURE_EDGES, TENURE_LABELS))
+register("recency_bucket")(lambda spark, d: eda.bucket_counts(_raw_matrix(spark, d), "days_since_last",
+                                                              RECENCY_EDGES, RECENCY_LABELS, upper_clip=365))
+register("trimmed_prices")(lambda spark, d: eda.trim_quantiles(_tx(spark, d), "actual_amount_paid", 0.01, 0.99).agg(
+    _F.count(_F.lit(1)).alias("n_rows"), _F.min("actual_amount_paid").cast("double").alias("min_paid"),
+    _F.max("actual_amount_paid").cast("double").alias("max_paid")))
+register("winsorized_counts")(lambda spark, d: eda.value_counts(
+    eda.winsorize(_raw_matrix(spark, d), "n_transactions", 0.99), "n_transactions"))
+
+
+def eda_cut(c, edges, labels):
+    from churnlab.functions.columns import cut
+    return cut(c, edges, labels)

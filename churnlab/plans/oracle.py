@@ -402,3 +402,175 @@ UNION ALL SELECT 'churn_label in {0,1}', count(*) FILTER (WHERE NOT coalesce(chu
   FROM predictions
 UNION ALL SELECT 'source in {api,batch}', count(*) FILTER (WHERE NOT coalesce(source IN ('api', 'batch'), false))
   FROM predictions""", PRED_CTE)
+
+# ---------------------------------------------------------------- EDA twins
+_TXC = ["msno", "payment_method_id", "payment_plan_days", "plan_list_price", "actual_amount_paid", "is_auto_renew",
+        "transaction_date", "membership_expire_date", "is_cancel", "l_orderkey", "l_linenumber", "l_partkey",
+        "l_suppkey", "l_quantity", "l_extendedprice"]
+sql("dataset_profile", f"""
+SELECT 'transactions' AS "table", {len(_TXC)} AS n_cols, count(*) AS n_rows,
+       {' + '.join(f'count(*) FILTER (WHERE {c} IS NULL)' for c in _TXC)} AS n_null_cells,
+       count(DISTINCT msno) AS n_keys, min(transaction_date) AS min_date, max(transaction_date) AS max_date
+FROM transactions""")
+
+sql("price_describe", " UNION ALL ".join(f"""
+SELECT '{c}' AS column, count({c}) AS count, round(CAST(sum({c}) AS DOUBLE) / count({c}), 4) AS mean,
+       round(stddev_samp(CAST({c} AS DOUBLE)), 4) AS std, CAST(min({c}) AS DOUBLE) AS min,
+       quantile_cont(CAST({c} AS DOUBLE), 0.25) AS p25, quantile_cont(CAST({c} AS DOUBLE), 0.5) AS p50,
+       quantile_cont(CAST({c} AS DOUBLE), 0.75) AS p75, CAST(max({c}) AS DOUBLE) AS max
+FROM transactions""" for c in ("actual_amount_paid", "plan_list_price")))
+
+sql("plan_day_counts", """
+SELECT payment_plan_days, count(*) AS n, round(count(*) / (SELECT count(*) FROM transactions
+  WHERE payment_plan_days IS NOT NULL), 6) AS share
+FROM transactions WHERE payment_plan_days IS NOT NULL GROUP BY 1 ORDER BY n DESC, payment_plan_days LIMIT 10""")
+sql("gender_counts", """
+SELECT gender, count(*) AS n, round(count(*) / (SELECT count(*) FROM members), 6) AS share
+FROM members GROUP BY 1""")
+sql("tx_overview", """
+SELECT count(*) AS n_rows,
+       CAST(sum(plan_list_price - actual_amount_paid) AS DOUBLE) / count(plan_list_price - actual_amount_paid)
+         AS mean_discount,
+       CAST(sum(CAST(CASE WHEN plan_list_price > 0 THEN (plan_list_price - actual_amount_paid) / plan_list_price END
+                     AS DECIMAL(18,8))) AS DOUBLE)
+         / count(CASE WHEN plan_list_price > 0 THEN 1 END) AS mean_discount_pct,
+       count(*) FILTER (WHERE actual_amount_paid = 0) / count(*) AS zero_price_share,
+       sum(is_auto_renew) / count(is_auto_renew) AS auto_renew_rate,
+       sum(is_cancel) / count(is_cancel) AS cancel_rate,
+       min(transaction_date) AS first_date, max(transaction_date) AS last_date
+FROM transactions""")
+
+
+def _cut_sql(e: str, edges, labels, order: bool = False) -> str:
+    parts = []
+    for i, lab in enumerate(labels):
+        v = str(i) if order else f"'{lab}'"
+        parts.append(f"WHEN {e} > {edges[i]} AND {e} <= {edges[i + 1]} THEN {v}")
+    return "CASE " + " ".join(parts) + " END"
+
+
+_AGE = ([0, 18, 25, 35, 45, 55, 100], ["<18", "18-25", "25-35", "35-45", "45-55", "55+"])
+_TEN = ([0, 90, 365, 730, 1095, 1825, 99999], ["<3m", "3-12m", "1-2y", "2-3y", "3-5y", "5y+"])
+_RECB = ([0, 7, 30, 60, 90, 180, 365], ["<1w", "1w-1m", "1-2m", "2-3m", "3-6m", "6m+"])
+ML_CTE = RAW_MATRIX_CTE + """,
+ml AS (SELECT m.*, l.is_churn FROM mem_feat m JOIN cur_labels l USING (msno))"""
+
+
+def _rate_sql(src: str, key_expr: str, key: str, min_n: int = 0) -> str:
+    return f"""
+SELECT {key}, n, round(pos / n, 6) AS churn_rate, round((pos / n) / overall, 6) AS lift
+FROM (SELECT {key_expr} AS {key}, count(*) AS n, sum(is_churn) AS pos FROM {src}
+      WHERE {key_expr} IS NOT NULL GROUP BY 1) g
+CROSS JOIN (SELECT sum(is_churn) / count(*) AS overall FROM {src} WHERE {key_expr} IS NOT NULL) o
+WHERE n >= {min_n}"""
+
+
+sql("rate_by_city", _rate_sql("ml", "city", "city", 20), ML_CTE)
+sql("rate_by_registration", _rate_sql("ml", "registered_via", "registered_via"), ML_CTE)
+sql("rate_by_gender", _rate_sql("ml", "gender_enc", "gender_enc"), ML_CTE)
+sql("rate_by_age", _rate_sql("ml", _cut_sql("age", *_AGE), "age_group"), ML_CTE)
+sql("rate_by_tenure", _rate_sql("ml", _cut_sql("tenure_days", *_TEN), "tenure_bucket"), ML_CTE)
+sql("rate_by_recency", _rate_sql("raw", _cut_sql("CASE WHEN days_since_last IS NOT NULL THEN least(days_since_last, 365) END", *_RECB), "recency_bucket"), ML_CTE)
+sql("rate_by_plan", _rate_sql("raw", "last_plan_days", "last_plan_days", 20), ML_CTE)
+sql("rate_by_payment", _rate_sql("raw", "last_payment_method", "last_payment_method"), ML_CTE)
+sql("top_cities", "SELECT * FROM (" + _rate_sql("ml", "city", "city", 20) + ") t ORDER BY churn_rate DESC, city LIMIT 15",
+    ML_CTE)
+sql("crosstab_cancel", """
+SELECT last_is_cancel, n_0, n_1, round(n_0 / (n_0 + n_1), 6) AS pct_0, round(n_1 / (n_0 + n_1), 6) AS pct_1
+FROM (SELECT last_is_cancel, count(*) FILTER (WHERE is_churn = 0) AS n_0, count(*) FILTER (WHERE is_churn = 1) AS n_1
+      FROM raw GROUP BY 1) t""", RAW_MATRIX_CTE)
+sql("price_histogram", """
+SELECT is_churn, bin, round(lo + bin * (hi - lo) / 20, 6) AS bin_lo, round(lo + (bin + 1) * (hi - lo) / 20, 6) AS bin_hi,
+       n, round(n / (sum(n) OVER (PARTITION BY is_churn) * CASE WHEN (hi - lo) / 20 > 0 THEN (hi - lo) / 20 ELSE 1.0 END), 9)
+         AS density
+FROM (SELECT is_churn, lo, hi, CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((CAST(avg_price AS DOUBLE) - lo) / (hi - lo) * 20), 19) END
+             AS INTEGER) AS bin, count(*) AS n
+      FROM raw CROSS JOIN (SELECT CAST(min(avg_price) AS DOUBLE) AS lo, CAST(max(avg_price) AS DOUBLE) AS hi FROM raw) r
+      WHERE avg_price IS NOT NULL GROUP BY 1, 2, 3, 4) t""", RAW_MATRIX_CTE)
+sql("score_distribution", """
+SELECT count(prob) AS n, round(avg(prob), 9) AS mean, min(prob) AS min, max(prob) AS max,
+       round(count(*) FILTER (WHERE prob >= 0.5) / count(prob), 9) AS share_pos,
+       quantile_cont(prob, 0.5) AS p50, quantile_cont(prob, 0.9) AS p90, quantile_cont(prob, 0.99) AS p99
+FROM (SELECT l_extendedprice / 200000 AS prob FROM lineitem) t""")
+
+FM_CTE = RAW_MATRIX_CTE + ", fm AS (" + _matrix_sql("v5") + ")"
+
+
+def _corr_sql(a: str, b: str) -> str:
+    x, y = f"CAST({a} AS DOUBLE)", f"CAST({b} AS DOUBLE)"
+    return f"CASE WHEN stddev_pop({x}) > 0 AND stddev_pop({y}) > 0 THEN corr({x}, {y}) END"
+
+
+sql("target_correlation", " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, round({_corr_sql(c, 'is_churn')}, 6) AS corr, "
+    f"round(abs({_corr_sql(c, 'is_churn')}), 6) AS abs_corr FROM fm" for c in FEATURE_SETS["v5"]), FM_CTE)
+_CC = ["n_transactions", "avg_price", "last_is_cancel", "days_until_expire", "is_expired", "n_renewals",
+       "days_since_last_tx", "prev_churn"]
+sql("correlation_matrix", " UNION ALL ".join(
+    f"SELECT '{a}' AS a, '{b}' AS b, round({_corr_sql(a, b)}, 6) AS corr FROM fm"
+    for i, a in enumerate(_CC) for b in _CC[i:]), FM_CTE)
+sql("class_balance", """
+SELECT period, is_churn, count(*) AS n, round(count(*) / sum(count(*)) OVER (PARTITION BY period), 6) AS share
+FROM period_labels GROUP BY 1, 2""")
+_OC = ["n_transactions", "avg_price", "days_until_expire", "n_renewals"]
+sql("outcome_profile", f"""
+SELECT result, count(*) AS n, round(avg(prob), 6) AS mean_prob, {', '.join(f'round(avg({c}), 6) AS {c}' for c in _OC)}
+FROM (SELECT *, CASE WHEN is_churn = 1 AND prob >= 0.5 THEN 'TP' WHEN is_churn = 0 AND prob >= 0.5 THEN 'FP'
+                     WHEN is_churn = 1 AND prob < 0.5 THEN 'FN' WHEN is_churn = 0 AND prob < 0.5 THEN 'TN' END AS result
+      FROM (SELECT *, 1 - 1 / (1 + days_since_last_tx / 30.0) AS prob FROM fm) s) t
+GROUP BY 1""", FM_CTE)
+sql("play_depth_medians", " UNION ALL ".join(
+    f"SELECT '{c}' AS column, median(CAST({c} AS DOUBLE)) AS median FROM user_logs"
+    for c in ["num_25", "num_50", "num_75", "num_985", "num_100", "num_unq"]))
+_SC = ["n_transactions", "avg_price", "tenure_days", "days_until_expire", "days_since_last_tx", "n_days"]
+sql("feature_summary", " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, median({c}) AS median "
+    f"FROM fm" for c in _SC), FM_CTE)
+sql("key_coverage", """
+SELECT source, n_present, n_left, round(n_present / n_left, 6) AS coverage
+FROM (SELECT 'transactions' AS source, count(*) AS n_present FROM (SELECT DISTINCT msno FROM cur_labels) k
+        WHERE msno IN (SELECT msno FROM transactions)
+      UNION ALL SELECT 'members', count(*) FROM (SELECT DISTINCT msno FROM cur_labels) k
+        WHERE msno IN (SELECT msno FROM members)
+      UNION ALL SELECT 'user_logs', count(*) FROM (SELECT DISTINCT msno FROM cur_labels) k
+        WHERE msno IN (SELECT msno FROM user_logs)) t
+CROSS JOIN (SELECT count(DISTINCT msno) AS n_left FROM cur_labels) n""")
+_PREV = f"(SELECT msno FROM period_labels WHERE period = '{P.prev_period}')"
+sql("user_overlap", f"""
+SELECT (SELECT count(DISTINCT msno) FROM {_PREV} a) AS n_a, (SELECT count(DISTINCT msno) FROM cur_labels) AS n_b,
+       (SELECT count(*) FROM (SELECT msno FROM {_PREV} a INTERSECT SELECT msno FROM cur_labels) i) AS n_both""")
+sql("churn_with_without_logs", """
+SELECT true AS has_logs, count(*) AS n, round(avg(is_churn), 6) AS churn_rate FROM cur_labels
+  WHERE msno IN (SELECT msno FROM user_logs)
+UNION ALL
+SELECT false, count(*), round(avg(is_churn), 6) FROM cur_labels WHERE msno NOT IN (SELECT msno FROM user_logs)""")
+sql("stacked_periods", """
+SELECT period, count(*) AS n, CAST(sum(is_churn) AS BIGINT) AS n_churn FROM period_labels GROUP BY 1""")
+sql("key_intersect", f"SELECT msno FROM {_PREV} a INTERSECT SELECT msno FROM members")
+sql("key_except", "SELECT DISTINCT msno FROM members WHERE msno NOT IN (SELECT msno FROM cur_labels)")
+sql("top_risk", """
+SELECT msno, churn_prob, model_version, period FROM predictions
+ORDER BY churn_prob DESC, msno, period, model_version LIMIT 20""", PRED_CTE)
+
+
+def _bucket_sql(src: str, e: str, edges_labels) -> str:
+    return f"""
+SELECT bucket, bucket_order, count(*) AS n, round(avg(is_churn), 6) AS churn_rate
+FROM (SELECT {_cut_sql(e, *edges_labels)} AS bucket, {_cut_sql(e, *edges_labels, order=True)} AS bucket_order, is_churn
+      FROM {src}) t WHERE bucket IS NOT NULL GROUP BY 1, 2"""
+
+
+sql("age_bucket", _bucket_sql("ml", "age", _AGE), ML_CTE)
+sql("tenure_bucket", _bucket_sql("ml", "tenure_days", _TEN), ML_CTE)
+sql("recency_bucket", _bucket_sql("raw", "CASE WHEN days_since_last IS NOT NULL THEN least(days_since_last, 365) END", _RECB), ML_CTE)
+sql("trimmed_prices", """
+SELECT count(*) AS n_rows, CAST(min(actual_amount_paid) AS DOUBLE) AS min_paid,
+       CAST(max(actual_amount_paid) AS DOUBLE) AS max_paid
+FROM transactions CROSS JOIN (SELECT quantile_cont(CAST(actual_amount_paid AS DOUBLE), 0.01) AS lo,
+                                     quantile_cont(CAST(actual_amount_paid AS DOUBLE), 0.99) AS hi FROM transactions) q
+WHERE actual_amount_paid BETWEEN lo AND hi""")
+sql("winsorized_counts", """
+SELECT n_transactions, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 6) AS share
+FROM (SELECT least(CAST(n_transactions AS DOUBLE), cap) AS n_transactions FROM raw
+      CROSS JOIN (SELECT quantile_cont(CAST(n_transactions AS DOUBLE), 0.99) AS cap FROM raw) c) t
+WHERE n_transactions IS NOT NULL GROUP BY 1""", RAW_MATRIX_CTE)

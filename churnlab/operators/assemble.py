@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from churnlab.operators import features as FT
 from churnlab.operators.impute import V5_CONSTANTS, V5_MEDIAN, impute
 from churnlab.schemas import FEATURE_SETS
+from churnlab.session import materialize
 
 FLAG_COLS = ["has_member_record", "has_log_record"]
 
@@ -37,6 +38,8 @@ def assemble_raw(users: DataFrame, tx: DataFrame, logs: DataFrame, members: Data
     df = users.join(txf, "msno", "left").join(memf, "msno", "left").join(logf, "msno", "left")
     if prev_labels is not None:
         df = prev_label_join(df, prev_labels)
+    elif "prev_churn" in users.columns:
+        pass  # the label source already carries the previous period's label
     else:
         df = df.withColumn("prev_churn", F.lit(None).cast("int"))
     return (df.withColumn("has_member_record", F.col("city").isNotNull().cast("int"))
@@ -54,7 +57,9 @@ def impute_matrix(raw: DataFrame, feature_set: str = "v5", fit_on: DataFrame | N
         constants.update({k: v for k, v in V5_CONSTANTS.items() if k in cols})
     keep = ["msno", "is_churn"] + [c for c in cols if c != "cancel_before_expire"]
     keep = [c for c in keep if c in raw.columns]
-    df = impute(raw.select(*keep), median_cols, constants, fit_on=fit_on)
+    # The raw matrix feeds the median pass and the fill: compute it once.
+    raw = materialize(raw.select(*keep))
+    df = impute(raw, median_cols, constants, fit_on=fit_on)
     if "cancel_before_expire" in cols:
         df = df.withColumn("cancel_before_expire",
                            ((F.col("last_is_cancel") == 1) & (F.col("days_until_expire") > 0)).cast("int"))

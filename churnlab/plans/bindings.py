@@ -111,6 +111,18 @@ def period_labels(spark: SparkSession, sf_dir: str, periods=DEMO_LABEL_PERIODS)
                     (F.col("last_tx") < F.col("p.start")).cast("int").alias("is_churn")))
 
 
+def labels_with_prev(spark: SparkSession, sf_dir: str, period: str, prev_period: str) -> DataFrame:
+    """Labelled users of ``period`` with the previous month's label as ``prev_churn``
+    (NULL when the user was not yet a customer then); one aggregate over transactions."""
+    tx = transactions(spark, sf_dir)
+    cur, prev = (int(_period_start(p).strftime("%Y%m%d")) for p in (period, prev_period))
+    per_user = tx.groupBy("msno").agg(F.min("transaction_date").alias("first_tx"),
+                                      F.max("transaction_date").alias("last_tx"))
+    return per_user.where(F.col("first_tx") < cur).select(
+        "msno", (F.col("last_tx") < cur).cast("int").alias("is_churn"),
+        F.when(F.col("first_tx") < prev, (F.col("last_tx") < prev).cast("int")).alias("prev_churn"))
+
+
 def labels_for(spark: SparkSession, sf_dir: str, period: str) -> DataFrame:
     return period_labels(spark, sf_dir).where(F.col("period") == period).select("msno", "is_churn")
 

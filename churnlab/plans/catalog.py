@@ -130,9 +130,8 @@ def q_churn_labels(spark, d):
 # ---------------------------------------------------------------- J1/J2, I1-I3, V1-V4, J8
 def _raw_matrix(spark, d):
     from churnlab.operators.assemble import assemble_raw
-    users = B.labels_for(spark, d, P.period)
-    prev = B.labels_for(spark, d, P.prev_period)
-    return assemble_raw(users, _tx(spark, d), B.user_logs(spark, d), B.members(spark, d), prev, P, B.TX_TIE_COLS)
+    users = B.labels_with_prev(spark, d, P.period, P.prev_period)
+    return assemble_raw(users, _tx(spark, d), B.user_logs(spark, d), B.members(spark, d), None, P, B.TX_TIE_COLS)
 
 
 def feature_matrix(spark, d, feature_set="v5"):
@@ -289,3 +288,55 @@ register("winsorized_counts")(lambda spark, d: eda.value_counts(
 def eda_cut(c, edges, labels):
     from churnlab.functions.columns import cut
     return cut(c, edges, labels)
+
+
+# ---------------------------------------------------------------- metrics
+from churnlab.operators import metrics as M  # noqa: E402
+from churnlab.functions import columns as FC  # noqa: E402
+
+EVAL_PERIOD = "1998-06"
+PRED_TIE = ("model_version", "l_orderkey", "l_linenumber", "churn_prob")
+
+
+def _both_scores(spark, d, fn):
+    parts = [fn(B.scores(spark, d, k)).select(_F.lit(k).alias("kind"), "*") for k in ("tied", "smooth")]
+    return parts[0].unionByName(parts[1])
+
+
+register("threshold_table")(lambda spark, d: M.threshold_table(B.scores(spark, d, "tied")).select(
+    "threshold", "tp", "fp", "fn", "tn"))
+register("metric_roc_auc")(lambda spark, d: _both_scores(spark, d, M.roc_auc))
+register("metric_pr_auc")(lambda spark, d: _both_scores(spark, d, M.pr_auc))
+register("metric_log_loss")(lambda spark, d: _both_scores(spark, d, M.log_loss))
+register("roc_points")(lambda spark, d: M.roc_points(B.scores(spark, d, "tied")))
+register("pr_points")(lambda spark, d: M.pr_points(B.scores(spark, d, "tied")))
+register("best_f1")(lambda spark, d: _both_scores(spark, d, M.best_f1_threshold))
+register("classification_report")(lambda spark, d: M.classification_report(B.scores(spark, d, "tied"), thr=0.5))
+register("confusion_matrix")(lambda spark, d: M.confusion_matrix(B.scores(spark, d, "tied"), thr=0.5))
+register("latest_prediction")(lambda spark, d: M.latest_prediction(
+    B.predictions(spark, d), EVAL_PERIOD, tie=PRED_TIE).select(
+    "msno", "churn_prob", "model_version", "period", "source", "predicted_at"))
+register("eval_join")(lambda spark, d: M.eval_join(B.predictions(spark, d), B.ground_truth(spark, d), EVAL_PERIOD)
+                      .groupBy("model_version").agg(_F.count(_F.lit(1)).alias("n"),
+                                                    _F.sum("actual_churn").alias("n_churn")))
+register("performance_report")(lambda spark, d: M.performance_report(B.predictions(spark, d),
+                                                                     B.ground_truth(spark, d), EVAL_PERIOD,
+                                                                     tie=PRED_TIE))
+register("outcome_counts")(lambda spark, d: B.scores(spark, d, "tied").select(
+    FC.confusion_label("label", FC.label_at("prob", 0.5)).alias("result")).groupBy("result").agg(
+    _F.count(_F.lit(1)).alias("n")))
+register("risk_bands")(lambda spark, d: B.scores(spark, d, "smooth").select(FC.risk_band("prob").alias("band"))
+                       .groupBy("band").agg(_F.count(_F.lit(1)).alias("n")))
+
+
+@register("tx_discount")
+def q_tx_discount(spark, d):
+    tx = _tx(spark, d)
+    amount = _F.col("plan_list_price") - _F.col("actual_amount_paid")
+    pct = FC.safe_ratio(amount, _F.col("plan_list_price")).cast("decimal(18,8)")
+    return tx.select("payment_method_id", amount.alias("amt"), pct.alias("pct"),
+                     FC.clip(_F.col("payment_plan_days") - 25, 0, 10).alias("clipped_days")).groupBy(
+        "payment_method_id").agg(_F.count(_F.lit(1)).alias("n"), _F.sum("amt").cast("double").alias("sum_discount"),
+                                 (_F.sum("pct").cast("double") / _F.count("pct")).alias("mean_discount_pct"),
+                                 _F.count_if(_F.col("pct").isNull()).alias("n_no_list_price"),
+                                 _F.sum("clipped_days").alias("sum_clipped_days"))

@@ -574,3 +574,115 @@ SELECT n_transactions, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 6)
 FROM (SELECT least(CAST(n_transactions AS DOUBLE), cap) AS n_transactions FROM raw
       CROSS JOIN (SELECT quantile_cont(CAST(n_transactions AS DOUBLE), 0.99) AS cap FROM raw) c) t
 WHERE n_transactions IS NOT NULL GROUP BY 1""", RAW_MATRIX_CTE)
+
+# ---------------------------------------------------------------- metrics twins
+SCORES_CTE = """
+scores AS (
+  SELECT 'tied' AS kind, CAST(l_returnflag = 'R' AS INTEGER) AS label, l_discount * 10 AS prob FROM lineitem
+  UNION ALL
+  SELECT 'smooth', CAST(l_returnflag = 'R' AS INTEGER), l_extendedprice / 200000 FROM lineitem
+),
+g AS (SELECT kind, prob AS threshold, CAST(sum(label) AS BIGINT) AS pos, count(*) - sum(label) AS neg
+      FROM scores WHERE prob IS NOT NULL GROUP BY 1, 2),
+tt AS (
+  SELECT kind, threshold, pos, neg,
+         sum(pos) OVER (PARTITION BY kind ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) AS tp,
+         sum(neg) OVER (PARTITION BY kind ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) AS fp,
+         sum(pos) OVER (PARTITION BY kind) AS P, sum(neg) OVER (PARTITION BY kind) AS N
+  FROM g
+),
+ranked AS (
+  SELECT kind, label, rank() OVER (PARTITION BY kind ORDER BY prob) AS rmin,
+         count(*) OVER (PARTITION BY kind, prob) AS cnt
+  FROM scores
+)"""
+sql("threshold_table", """
+SELECT threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, CAST(P - tp AS BIGINT) AS fn,
+       CAST(N - fp AS BIGINT) AS tn FROM tt WHERE kind = 'tied'""", SCORES_CTE)
+# Rank form of the AUC (average ranks of positives), independent of the threshold table.
+sql("metric_roc_auc", """
+SELECT kind, CASE WHEN p > 0 AND n > 0 THEN CAST(s - p * (p + 1) AS DOUBLE) / (2 * p * n) END AS roc_auc
+FROM (SELECT kind, sum(CASE WHEN label = 1 THEN 2 * rmin + cnt - 1 ELSE 0 END) AS s,
+             sum(label) AS p, count(*) - sum(label) AS n FROM ranked GROUP BY kind) t""", SCORES_CTE)
+sql("metric_pr_auc", """
+SELECT kind, CASE WHEN max(P) > 0 THEN round(sum(CASE WHEN pos > 0 THEN pos / P * (tp / (tp + fp)) END), 10) END
+  AS pr_auc FROM tt GROUP BY kind""", SCORES_CTE)
+sql("metric_log_loss", f"""
+SELECT kind, round(avg(-CASE WHEN label = 1 THEN ln(least(greatest(prob, {2.220446049250313e-16!r}), {1 - 2.220446049250313e-16!r}))
+                        ELSE ln(1 - least(greatest(prob, {2.220446049250313e-16!r}), {1 - 2.220446049250313e-16!r})) END), 10)
+  AS log_loss FROM scores WHERE prob IS NOT NULL GROUP BY kind""", SCORES_CTE)
+sql("roc_points", """
+SELECT threshold, round(CASE WHEN N > 0 THEN fp / N END, 12) AS fpr, round(CASE WHEN P > 0 THEN tp / P END, 12) AS tpr
+FROM tt WHERE kind = 'tied'""", SCORES_CTE)
+sql("pr_points", """
+SELECT threshold, round(tp / (tp + fp), 12) AS precision, round(CASE WHEN P > 0 THEN tp / P END, 12) AS recall
+FROM tt WHERE kind = 'tied'""", SCORES_CTE)
+sql("best_f1", """
+SELECT kind, threshold, round(pr, 9) AS precision, round(rc, 9) AS recall, round(f1, 9) AS f1
+FROM (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY f1 DESC, threshold ASC) AS rn
+      FROM (SELECT kind, threshold, pr, rc, 2 * pr * rc / (pr + rc + 1e-9) AS f1
+            FROM (SELECT kind, threshold, tp / (tp + fp) AS pr, CASE WHEN P > 0 THEN tp / P ELSE 0.0 END AS rc FROM tt) a) b) c
+WHERE rn = 1""", SCORES_CTE)
+_CR = """
+c AS (SELECT count(*) FILTER (WHERE label = 1 AND prob >= 0.5) AS tp, count(*) FILTER (WHERE label = 0 AND prob >= 0.5) AS fp,
+             count(*) FILTER (WHERE label = 1 AND prob < 0.5) AS fn, count(*) FILTER (WHERE label = 0 AND prob < 0.5) AS tn
+      FROM scores WHERE kind = 'tied'),
+m AS (SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS p1, CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS r1,
+             CASE WHEN tn + fn > 0 THEN tn / (tn + fn) ELSE 0.0 END AS p0, CASE WHEN tn + fp > 0 THEN tn / (tn + fp) ELSE 0.0 END AS r0,
+             tp + fn AS s1, tn + fp AS s0 FROM c),
+f AS (SELECT *, CASE WHEN p1 + r1 > 0 THEN 2 * p1 * r1 / (p1 + r1) ELSE 0.0 END AS f1_1,
+             CASE WHEN p0 + r0 > 0 THEN 2 * p0 * r0 / (p0 + r0) ELSE 0.0 END AS f1_0, s0 + s1 AS n FROM m)"""
+sql("classification_report", """
+SELECT '0' AS class, round(p0, 6) AS precision, round(r0, 6) AS recall, round(f1_0, 6) AS f1, s0 AS support FROM f
+UNION ALL SELECT '1', round(p1, 6), round(r1, 6), round(f1_1, 6), s1 FROM f
+UNION ALL SELECT 'macro avg', round((p0 + p1) / 2, 6), round((r0 + r1) / 2, 6), round((f1_0 + f1_1) / 2, 6), n FROM f
+UNION ALL SELECT 'weighted avg', round(CASE WHEN n > 0 THEN (p0 * s0 + p1 * s1) / n ELSE 0.0 END, 6),
+  round(CASE WHEN n > 0 THEN (r0 * s0 + r1 * s1) / n ELSE 0.0 END, 6),
+  round(CASE WHEN n > 0 THEN (f1_0 * s0 + f1_1 * s1) / n ELSE 0.0 END, 6), n FROM f
+UNION ALL SELECT 'accuracy', round(CASE WHEN n > 0 THEN (tp + tn) / n ELSE 0.0 END, 6),
+  round(CASE WHEN n > 0 THEN (tp + tn) / n ELSE 0.0 END, 6), round(CASE WHEN n > 0 THEN (tp + tn) / n ELSE 0.0 END, 6), n FROM f""",
+    SCORES_CTE + "," + _CR)
+sql("confusion_matrix", """
+SELECT actual, predicted, n, round(n / sum(n) OVER (PARTITION BY actual), 6) AS share
+FROM (SELECT label AS actual, CAST(prob >= 0.5 AS INTEGER) AS predicted, count(*) AS n FROM scores WHERE kind = 'tied'
+      GROUP BY 1, 2) t""", SCORES_CTE)
+_LATEST = """
+latest AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY msno ORDER BY predicted_at DESC, model_version DESC,
+                                  l_orderkey DESC, l_linenumber DESC, churn_prob DESC) AS rn
+                 FROM predictions WHERE period = '1998-06' {extra}) t WHERE rn = 1
+)"""
+sql("latest_prediction", "SELECT msno, churn_prob, model_version, period, source, predicted_at FROM latest",
+    PRED_CTE + "," + _LATEST.format(extra=""))
+sql("eval_join", """
+SELECT p.model_version, count(*) AS n, CAST(sum(g.actual_churn) AS BIGINT) AS n_churn
+FROM predictions p JOIN ground_truth g ON p.msno = g.msno AND p.period = g.period
+WHERE p.source = 'batch' AND p.period = '1998-06' GROUP BY 1""", PRED_CTE)
+sql("performance_report", f"""
+SELECT '1998-06' AS period, count(*) AS n, round(avg(label), 6) AS churn_rate,
+       round(CASE WHEN sum(label) > 0 AND count(*) - sum(label) > 0 THEN
+         CAST(sum(CASE WHEN label = 1 THEN 2 * rmin + cnt - 1 ELSE 0 END) - sum(label) * (sum(label) + 1) AS DOUBLE)
+         / (2 * sum(label) * (count(*) - sum(label))) END, 10) AS roc_auc,
+       round(avg(-CASE WHEN label = 1 THEN ln(least(greatest(prob, {2.220446049250313e-16!r}), {1 - 2.220446049250313e-16!r}))
+                  ELSE ln(1 - least(greatest(prob, {2.220446049250313e-16!r}), {1 - 2.220446049250313e-16!r})) END), 10) AS log_loss,
+       coalesce(CASE WHEN sum(label) > 0 AND count(*) - sum(label) > 0 THEN
+         CAST(sum(CASE WHEN label = 1 THEN 2 * rmin + cnt - 1 ELSE 0 END) - sum(label) * (sum(label) + 1) AS DOUBLE)
+         / (2 * sum(label) * (count(*) - sum(label))) END < 0.85, false) AS alert
+FROM (SELECT label, prob, rank() OVER (ORDER BY prob) AS rmin, count(*) OVER (PARTITION BY prob) AS cnt
+      FROM (SELECT CAST(g.actual_churn AS INTEGER) AS label, CAST(l.churn_prob AS DOUBLE) AS prob
+            FROM latest l JOIN ground_truth g ON l.msno = g.msno AND l.period = g.period) j) r""",
+    PRED_CTE + "," + _LATEST.format(extra="AND source = 'batch'"))
+sql("outcome_counts", """
+SELECT CASE WHEN label = 1 AND prob >= 0.5 THEN 'TP' WHEN label = 0 AND prob >= 0.5 THEN 'FP'
+            WHEN label = 1 AND prob < 0.5 THEN 'FN' WHEN label = 0 AND prob < 0.5 THEN 'TN' END AS result, count(*) AS n
+FROM scores WHERE kind = 'tied' GROUP BY 1""", SCORES_CTE)
+sql("risk_bands", """
+SELECT CASE WHEN prob < 0.3 THEN 'low' WHEN prob < 0.5 THEN 'medium' WHEN prob IS NOT NULL THEN 'high' END AS band,
+       count(*) AS n FROM scores WHERE kind = 'smooth' GROUP BY 1""", SCORES_CTE)
+sql("tx_discount", """
+SELECT payment_method_id, count(*) AS n, CAST(sum(plan_list_price - actual_amount_paid) AS DOUBLE) AS sum_discount,
+       CAST(sum(pct) AS DOUBLE) / count(pct) AS mean_discount_pct, count(*) FILTER (WHERE pct IS NULL) AS n_no_list_price,
+       CAST(sum(CASE WHEN payment_plan_days - 25 IS NOT NULL THEN least(greatest(payment_plan_days - 25, 0), 10) END) AS BIGINT)
+         AS sum_clipped_days
+FROM (SELECT *, CAST(CASE WHEN plan_list_price > 0 THEN (plan_list_price - actual_amount_paid) / plan_list_price END
+                     AS DECIMAL(18,8)) AS pct FROM transactions) t GROUP BY 1""")

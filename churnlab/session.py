@@ -56,3 +56,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def materialize(df):
+    """Cut lineage: write ``df`` to the shared checkpoint folder and read it back.
+
+    Used where one intermediate feeds several branches (e.g. a feature matrix
+    feeding its own median computation and the fill), so the upstream scans,
+    joins and aggregates run once. Reliable checkpoint, never a local one:
+    the data survives the loss of the executor that computed it.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

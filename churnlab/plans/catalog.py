@@ -340,3 +340,38 @@ def q_tx_discount(spark, d):
                                  (_F.sum("pct").cast("double") / _F.count("pct")).alias("mean_discount_pct"),
                                  _F.count_if(_F.col("pct").isNull()).alias("n_no_list_price"),
                                  _F.sum("clipped_days").alias("sum_clipped_days"))
+
+
+# ---------------------------------------------------------------- S8 / S10 round trips
+@register("feature_store_roundtrip")
+def q_feature_store_roundtrip(spark, d):
+    """Upsert the period twice (idempotent) next to another period, read one back."""
+    from churnlab.session import materialize
+    from churnlab.sources import store
+    fm = materialize(feature_matrix(spark, d, "v5"))
+    path = store_root_for(spark, "features_monthly")
+    import datetime as _dt
+    t = _dt.datetime(2000, 12, 1)
+    store.upsert_period(fm, path, P.period, t)
+    store.upsert_period(fm.where(_F.col("is_churn") == 1), path, P.prev_period, t)
+    store.upsert_period(fm, path, P.period, t)
+    return store.read_period(spark, path, P.period).drop("computed_at")
+
+
+@register("predictions_roundtrip")
+def q_predictions_roundtrip(spark, d):
+    from churnlab.sources import store
+    import datetime as _dt
+    preds = B.predictions(spark, d).where(_F.col("period") == EVAL_PERIOD).select("msno", "churn_prob", "churn_label")
+    path = store_root_for(spark, "predictions")
+    t = _dt.datetime(1998, 7, 1)
+    store.upsert_predictions(preds, path, EVAL_PERIOD, "v2", "batch", t)
+    store.upsert_predictions(preds.where(_F.col("churn_label") == 1), path, EVAL_PERIOD, "v2", "api", t)
+    store.upsert_predictions(preds, path, EVAL_PERIOD, "v2", "batch", t)
+    return (spark.read.parquet(path).where(_F.col("period") == EVAL_PERIOD)
+            .groupBy("source").agg(_F.count(_F.lit(1)).alias("n"), _F.sum("churn_label").cast("long").alias("n_pos")))
+
+
+def store_root_for(spark, name):
+    from churnlab.sources.store import store_root
+    return store_root(spark, name, unique=True)

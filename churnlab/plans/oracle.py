@@ -686,3 +686,11 @@ SELECT payment_method_id, count(*) AS n, CAST(sum(plan_list_price - actual_amoun
          AS sum_clipped_days
 FROM (SELECT *, CAST(CASE WHEN plan_list_price > 0 THEN (plan_list_price - actual_amount_paid) / plan_list_price END
                      AS DECIMAL(18,8)) AS pct FROM transactions) t GROUP BY 1""")
+
+# ---------------------------------------------------------------- store round trips
+sql("feature_store_roundtrip", "SELECT fm.*, '" + P.period + "' AS period FROM fm", FM_CTE)
+sql("predictions_roundtrip", """
+SELECT source, count(*) AS n, CAST(sum(churn_label) AS BIGINT) AS n_pos
+FROM (SELECT churn_label, 'batch' AS source FROM predictions WHERE period = '1998-06'
+      UNION ALL SELECT churn_label, 'api' FROM predictions WHERE period = '1998-06' AND churn_label = 1) t
+GROUP BY 1""", PRED_CTE)

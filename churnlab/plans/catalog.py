@@ -375,3 +375,50 @@ def q_predictions_roundtrip(spark, d):
 def store_root_for(spark, name):
     from churnlab.sources.store import store_root
     return store_root(spark, name, unique=True)
+
+
+# ---------------------------------------------------------------- monitoring (D, G, K2, K3, T3, T14)
+import datetime as _dt  # noqa: E402
+
+from churnlab.operators import monitor as MON  # noqa: E402
+
+DRIFT_COLS = ["n_transactions", "avg_discount_pct", "avg_plan_days", "avg_price", "n_unique_plans", "last_plan_days",
+              "last_payment_method"]
+DRIFT_BASE_ASOF = _dt.date(2000, 5, 31)
+DRIFT_CUR_ASOF = {"2000-11": _dt.date(2000, 10, 31), "2000-12": _dt.date(2000, 11, 30)}
+NOW = _dt.datetime(1998, 6, 20, 12, 0, 0)
+
+
+def _drift(spark, d, period="2000-12"):
+    tx = _tx(spark, d)
+    base = features.tx_user_profile(tx, as_of=DRIFT_BASE_ASOF, tie_cols=B.TX_TIE_COLS)
+    cur = features.tx_user_profile(tx, as_of=DRIFT_CUR_ASOF[period], tie_cols=B.TX_TIE_COLS)
+    return MON.drift_by_column(base, cur, DRIFT_COLS)
+
+
+def _perf(spark, d):
+    return M.performance_report(B.predictions(spark, d), B.ground_truth(spark, d), EVAL_PERIOD, tie=PRED_TIE)
+
+
+register("drift_by_column")(lambda spark, d: _drift(spark, d))
+register("drift_score")(lambda spark, d: MON.drift_score(_drift(spark, d)))
+register("drift_history")(lambda spark, d: MON.union_all(
+    [MON.drift_score(_drift(spark, d, p)).select(_F.lit(p).alias("period"), "drift_score", "dataset_drift")
+     for p in DRIFT_CUR_ASOF]))
+register("alerts")(lambda spark, d: MON.alerts(MON.drift_score(_drift(spark, d)), _perf(spark, d)))
+register("period_summary")(lambda spark, d: MON.period_summary(P.period, MON.drift_score(_drift(spark, d)),
+                                                               _perf(spark, d)))
+register("pred_volume")(lambda spark, d: MON.pred_volume(B.predictions(spark, d), NOW))
+register("daily_churn_rate")(lambda spark, d: MON.daily_churn_rate(B.predictions(spark, d), NOW))
+register("mean_probability")(lambda spark, d: MON.mean_probability(B.predictions(spark, d), NOW))
+register("latest_version")(lambda spark, d: MON.latest_version(B.predictions(spark, d)))
+register("hourly_by_source")(lambda spark, d: MON.hourly_by_source(B.predictions(spark, d), NOW))
+register("today_totals")(lambda spark, d: MON.today_totals(B.predictions(spark, d), NOW))
+register("daily_series")(lambda spark, d: MON.daily_series(B.predictions(spark, d), NOW))
+register("recent_predictions")(lambda spark, d: MON.recent_predictions(
+    B.predictions(spark, d).where(_F.col("predicted_at") <= _F.lit(NOW)).select(
+        "msno", "churn_prob", "model_version", "source", "predicted_at"), 50,
+    tie=("msno", "model_version", "source", "churn_prob")))
+register("class_weights")(lambda spark, d: MON.class_weights(B.labels_for(spark, d, P.period)))
+register("quality_gate")(lambda spark, d: MON.quality_gate(
+    _both_scores(spark, d, M.log_loss).join(_both_scores(spark, d, M.roc_auc), "kind"), min_auc=0.5))

@@ -694,3 +694,101 @@ SELECT source, count(*) AS n, CAST(sum(churn_label) AS BIGINT) AS n_pos
 FROM (SELECT churn_label, 'batch' AS source FROM predictions WHERE period = '1998-06'
       UNION ALL SELECT churn_label, 'api' FROM predictions WHERE period = '1998-06' AND churn_label = 1) t
 GROUP BY 1""", PRED_CTE)
+
+# ---------------------------------------------------------------- monitoring twins
+_DRIFT_COLS = ["n_transactions", "avg_discount_pct", "avg_plan_days", "avg_price", "n_unique_plans", "last_plan_days",
+               "last_payment_method"]
+
+
+def _profile_cte(suffix: str, as_of: int) -> str:
+    return (PROFILE_CTE.replace("tx_asof", f"tx_asof_{suffix}").replace("ranked", f"ranked_{suffix}")
+            .replace("profile AS", f"profile_{suffix} AS").replace(str(AS_OF), str(as_of)))
+
+
+def _drift_cte(cur_asof: int) -> str:
+    def long(src):
+        return " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS v FROM {src}" for c in _DRIFT_COLS)
+    return (_profile_cte("b", 20000531) + "," + _profile_cte("c", cur_asof) + f""",
+base_long AS (SELECT * FROM ({long('profile_b')}) t WHERE v IS NOT NULL),
+cur_long AS (SELECT * FROM ({long('profile_c')}) t WHERE v IS NOT NULL),
+info AS (SELECT feature, count(DISTINCT v) AS n_distinct,
+                quantile_cont(v, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS edges
+         FROM base_long GROUP BY 1),
+bb AS (SELECT l.feature, CASE WHEN i.n_distinct <= 20 THEN l.v
+                              ELSE CAST(len(list_filter(i.edges, lambda e: e < l.v)) AS DOUBLE) END AS bin
+       FROM base_long l JOIN info i USING (feature)),
+cb AS (SELECT l.feature, CASE WHEN i.n_distinct <= 20 THEN l.v
+                              ELSE CAST(len(list_filter(i.edges, lambda e: e < l.v)) AS DOUBLE) END AS bin
+       FROM cur_long l JOIN info i USING (feature)),
+nb AS (SELECT feature, bin, count(*) AS nb FROM bb GROUP BY 1, 2),
+nc AS (SELECT feature, bin, count(*) AS nc FROM cb GROUP BY 1, 2),
+jn AS (SELECT coalesce(nb.feature, nc.feature) AS feature, coalesce(nb.nb, 0) AS nb, coalesce(nc.nc, 0) AS nc
+       FROM nb FULL OUTER JOIN nc ON nb.feature = nc.feature AND nb.bin = nc.bin),
+sh AS (SELECT feature, greatest(nb / sum(nb) OVER (PARTITION BY feature), 1e-6) AS sb,
+              greatest(nc / sum(nc) OVER (PARTITION BY feature), 1e-6) AS sc FROM jn),
+drift AS (SELECT feature, round(sum((sc - sb) * ln(sc / sb)), 9) AS psi, sum((sc - sb) * ln(sc / sb)) > 0.2 AS drifted
+          FROM sh GROUP BY 1),
+dscore AS (SELECT n_cols, n_drifted, round(CASE WHEN n_cols > 0 THEN n_drifted / n_cols END, 6) AS drift_score,
+                  coalesce(CASE WHEN n_cols > 0 THEN n_drifted / n_cols END > 0.15, false) AS dataset_drift,
+                  CASE WHEN n_cols = 0 THEN 'no data' WHEN n_drifted / n_cols > 0.15 THEN 'drift' ELSE 'ok' END AS status
+           FROM (SELECT count(*) AS n_cols, count(*) FILTER (WHERE drifted) AS n_drifted FROM drift) t)""")
+
+
+DRIFT_CTE = _drift_cte(20001130)
+sql("drift_by_column", "SELECT * FROM drift", DRIFT_CTE)
+sql("drift_score", "SELECT * FROM dscore", DRIFT_CTE)
+sql("drift_history", "SELECT '2000-12' AS period, drift_score, dataset_drift FROM dscore UNION ALL "
+    "SELECT '2000-11', drift_score, dataset_drift FROM (" + "WITH " + BINDINGS + "," + _drift_cte(20001031)
+    + " SELECT * FROM dscore) h", DRIFT_CTE)
+_PERF_SUB = "(" + ORACLE["performance_report"] + ")"
+sql("alerts", f"""
+SELECT 'drift_score' AS "check", CAST(drift_score AS DOUBLE) AS value, 0.15 AS threshold,
+       coalesce(drift_score > 0.15, false) AS alert FROM dscore
+UNION ALL
+SELECT 'roc_auc', CAST(roc_auc AS DOUBLE), 0.85, coalesce(roc_auc < 0.85, false) FROM {_PERF_SUB} p""", DRIFT_CTE)
+sql("period_summary", f"""
+SELECT '{P.period}' AS period, d.drift_score, d.dataset_drift AS drift_alert, p.n, p.roc_auc, p.log_loss,
+       p.alert AS auc_alert, CASE WHEN d.dataset_drift OR p.alert THEN 'ALERT' ELSE 'OK' END AS status
+FROM dscore d CROSS JOIN {_PERF_SUB} p""", DRIFT_CTE)
+
+_NOW = "TIMESTAMP '1998-06-20 12:00:00'"
+sql("pred_volume", f"SELECT count(*) AS n_predictions FROM predictions WHERE predicted_at > {_NOW} - INTERVAL 24 HOUR",
+    PRED_CTE)
+sql("daily_churn_rate", f"""
+SELECT CAST(predicted_at AS DATE) AS day, count(*) AS n, round(avg(CAST(churn_label AS DOUBLE)), 6) AS churn_rate
+FROM predictions WHERE predicted_at > {_NOW} - INTERVAL 168 HOUR GROUP BY 1""", PRED_CTE)
+sql("mean_probability", f"""
+SELECT mean_prob, CASE WHEN mean_prob < 0.3 THEN 'low' WHEN mean_prob < 0.5 THEN 'medium'
+                       WHEN mean_prob IS NOT NULL THEN 'high' END AS band
+FROM (SELECT round(avg(CAST(churn_prob AS DOUBLE)), 6) AS mean_prob FROM predictions
+      WHERE predicted_at > {_NOW} - INTERVAL 24 HOUR) t""", PRED_CTE)
+sql("latest_version", """
+SELECT model_version FROM predictions
+ORDER BY predicted_at DESC, CAST(regexp_extract(model_version, '(\\d+)', 1) AS INTEGER) DESC LIMIT 1""", PRED_CTE)
+sql("hourly_by_source", f"""
+SELECT date_trunc('hour', predicted_at) AS hour, source, count(*) AS n FROM predictions
+WHERE predicted_at > {_NOW} - INTERVAL 168 HOUR GROUP BY 1, 2""", PRED_CTE)
+sql("today_totals", """
+SELECT count(*) AS n, round(avg(CAST(churn_label AS DOUBLE)), 6) AS churn_rate,
+       round(avg(CAST(churn_prob AS DOUBLE)), 6) AS mean_prob
+FROM predictions WHERE CAST(predicted_at AS DATE) = DATE '1998-06-20'""", PRED_CTE)
+sql("daily_series", """
+SELECT c.day, coalesce(n, 0) AS n
+FROM (SELECT CAST(range AS DATE) AS day FROM range(TIMESTAMP '1998-06-14', TIMESTAMP '1998-06-21', INTERVAL 1 DAY)) c
+LEFT JOIN (SELECT CAST(predicted_at AS DATE) AS day, count(*) AS n FROM predictions
+           WHERE CAST(predicted_at AS DATE) BETWEEN DATE '1998-06-14' AND DATE '1998-06-20' GROUP BY 1) x USING (day)""",
+    PRED_CTE)
+sql("recent_predictions", f"""
+SELECT msno, churn_prob, model_version, source, predicted_at FROM predictions WHERE predicted_at <= {_NOW}
+ORDER BY predicted_at DESC, msno, model_version, source, churn_prob LIMIT 50""", PRED_CTE)
+sql("class_weights", """
+SELECT n_pos, n_neg, CASE WHEN n_pos > 0 THEN n_neg / n_pos END AS scale_pos_weight,
+       CASE WHEN n_pos > 0 THEN (n_pos + n_neg) / (2 * n_pos) END AS weight_pos,
+       CASE WHEN n_neg > 0 THEN (n_pos + n_neg) / (2 * n_neg) END AS weight_neg
+FROM (SELECT count(*) FILTER (WHERE is_churn = 1) AS n_pos, count(*) FILTER (WHERE is_churn = 0) AS n_neg
+      FROM cur_labels) t""")
+sql("quality_gate", """
+SELECT l.kind, l.log_loss, a.roc_auc, coalesce(l.log_loss <= 0.24, false) AND coalesce(a.roc_auc >= 0.5, false) AS passed,
+       CASE WHEN coalesce(l.log_loss <= 0.24, false) AND coalesce(a.roc_auc >= 0.5, false) THEN 'Staging' ELSE 'None' END
+         AS stage
+FROM (""" + ORACLE["metric_log_loss"] + ") l JOIN (" + ORACLE["metric_roc_auc"] + ") a USING (kind)")

@@ -422,3 +422,92 @@ register("recent_predictions")(lambda spark, d: MON.recent_predictions(
 register("class_weights")(lambda spark, d: MON.class_weights(B.labels_for(spark, d, P.period)))
 register("quality_gate")(lambda spark, d: MON.quality_gate(
     _both_scores(spark, d, M.log_loss).join(_both_scores(spark, d, M.roc_auc), "kind"), min_auc=0.5))
+
+
+# ---------------------------------------------------------------- MLlib (rows-only checks), sampling, streaming
+from churnlab.operators import models as ML  # noqa: E402
+from churnlab.schemas import FEATURE_COLS_V5 as _V5  # noqa: E402
+
+PREV_PERIOD_CFG = __import__("dataclasses").replace(
+    P, period="2000-11", prev_period="2000-10", label_start=_dt.date(2000, 11, 1),
+    prediction_date=_dt.date(2000, 10, 31), tx_as_of=_dt.date(2000, 10, 31), tx_ref=_dt.date(2000, 10, 31))
+
+
+def _matrix_for(spark, d, cfg):
+    from churnlab.operators.assemble import assemble_raw, impute_matrix
+    users = B.labels_with_prev(spark, d, cfg.period, cfg.prev_period)
+    raw = assemble_raw(users, _tx(spark, d), B.user_logs(spark, d), B.members(spark, d), None, cfg, B.TX_TIE_COLS)
+    return impute_matrix(raw, "v5")
+
+
+@register("split")
+def q_split(spark, d):
+    tr, te = ML.split(feature_matrix(spark, d, "v5"))
+    return (tr.select(_F.lit("train").alias("part"), "is_churn").unionByName(
+        te.select(_F.lit("test").alias("part"), "is_churn")).groupBy("part", "is_churn")
+        .agg(_F.count(_F.lit(1)).alias("n")))
+register("stratified_folds")(lambda spark, d: ML.stratified_folds(B.labels_for(spark, d, P.period), 5)
+                             .groupBy("fold", "is_churn").agg(_F.count(_F.lit(1)).alias("n")))
+register("log_sample")(lambda spark, d: __import__("churnlab.sources.readers", fromlist=["x"]).keyed_sample(
+    B.user_logs(spark, d), "msno", 0.5).groupBy("msno").agg(_F.count(_F.lit(1)).alias("n_days")))
+
+
+def _fit_eval(spark, d):
+    from churnlab.session import materialize
+    fm = materialize(ML.with_class_weight(feature_matrix(spark, d, "v5")))
+    tr, te = ML.split(fm)
+    models = {"lr": ML.lr_pipeline(_V5).fit(tr), "gbt": ML.gbt_pipeline(_V5, max_iter=10, max_depth=4).fit(tr),
+              "rf": ML.rf_pipeline(_V5, num_trees=20, max_depth=6).fit(tr)}
+    return models, te
+
+
+@register("train_eval")
+def q_train_eval(spark, d):
+    models, te = _fit_eval(spark, d)
+    return MON.union_all([ML.evaluate(ML.score(m, te)).select(_F.lit(n).alias("model"), "*")
+                          for n, m in models.items()])
+
+
+@register("blend_scores")
+def q_blend_scores(spark, d):
+    models, te = _fit_eval(spark, d)
+    s = te.select("msno", "is_churn")
+    for n, m in models.items():
+        s = s.join(ML.score(m, te, out=f"p_{n}"), ["msno", "is_churn"])
+    b = ML.blend(s, ["p_lr", "p_gbt", "p_rf"])
+    return ML.evaluate(b.select("msno", "is_churn", "prob")).select(_F.lit("blend3").alias("model"), "*")
+
+
+@register("temporal_validate")
+def q_temporal_validate(spark, d):
+    """Fit on the previous month, evaluate on the current month."""
+    from churnlab.session import materialize
+    fit_on = materialize(ML.with_class_weight(_matrix_for(spark, d, PREV_PERIOD_CFG)))
+    m = ML.gbt_pipeline(_V5, max_iter=10, max_depth=4).fit(fit_on)
+    return ML.evaluate(ML.score(m, feature_matrix(spark, d, "v5"))).select(
+        _F.lit(PREV_PERIOD_CFG.period).alias("fit_period"), _F.lit(P.period).alias("eval_period"), "*")
+
+
+@register("prediction_rate_stream")
+def q_prediction_rate_stream(spark, d):
+    from churnlab.sources.store import store_root
+    from churnlab.streaming.scoring import final_rates, prediction_rate_stream
+    root = store_root(spark, "rate_stream", unique=True)
+    preds = B.predictions(spark, d).select("source", _F.col("predicted_at").cast("timestamp").alias("predicted_at"))
+    preds.repartition(4).write.parquet(f"{root}/src")
+    prediction_rate_stream(spark, f"{root}/src", preds.schema, f"{root}/out", f"{root}/ckpt", watermark="10000 days")
+    return final_rates(spark, f"{root}/out")
+
+
+@register("score_stream")
+def q_score_stream(spark, d):
+    from churnlab.session import materialize
+    from churnlab.sources.store import store_root
+    from churnlab.streaming.scoring import score_stream
+    root = store_root(spark, "score_stream", unique=True)
+    fm = materialize(ML.with_class_weight(feature_matrix(spark, d, "v5")))
+    model = ML.lr_pipeline(_V5).fit(fm)
+    feats = fm.select("msno", *_V5)
+    feats.repartition(3).write.parquet(f"{root}/src")
+    score_stream(spark, model, f"{root}/src", feats.schema, _V5, f"{root}/out", f"{root}/ckpt", "v1")
+    return spark.read.parquet(f"{root}/out").select("msno", "churn_prob", "churn_label", "model_version", "source")

@@ -792,3 +792,8 @@ SELECT l.kind, l.log_loss, a.roc_auc, coalesce(l.log_loss <= 0.24, false) AND co
        CASE WHEN coalesce(l.log_loss <= 0.24, false) AND coalesce(a.roc_auc >= 0.5, false) THEN 'Staging' ELSE 'None' END
          AS stage
 FROM (""" + ORACLE["metric_log_loss"] + ") l JOIN (" + ORACLE["metric_roc_auc"] + ") a USING (kind)")
+
+# ---------------------------------------------------------------- streaming batch twin
+sql("prediction_rate_stream", """
+SELECT date_trunc('hour', predicted_at) AS window_start, source, count(*) AS n FROM predictions GROUP BY 1, 2""",
+    PRED_CTE)

@@ -56,8 +56,11 @@ def profile_aggs(tie_cols: Sequence[str] = ()) -> list[Column]:
         (F.sum(disc).cast("double") / F.count(disc)).alias("avg_discount_pct"),
         (F.sum("payment_plan_days").cast("double") / F.count("payment_plan_days")).alias("avg_plan_days"),
         (F.sum("actual_amount_paid").cast("double") / F.count("actual_amount_paid")).alias("avg_price"),
-        F.count_distinct("payment_plan_days").alias("n_unique_plans"),
-        F.count_distinct("payment_method_id").alias("n_payment_methods"),
+        # Distinct counts through sets: no Expand (which would triple the rows
+        # before the sort-based aggregate); a set is bounded by the small value
+        # domain (plan lengths, payment methods), not by the user's row count.
+        F.size(F.collect_set("payment_plan_days")).cast("long").alias("n_unique_plans"),
+        F.size(F.collect_set("payment_method_id")).cast("long").alias("n_payment_methods"),
         _last("is_cancel", key).alias("last_is_cancel"),
         _last("is_auto_renew", key).alias("last_is_auto_renew"),
         _last("payment_plan_days", key).alias("last_plan_days"),

@@ -726,8 +726,16 @@ jn AS (SELECT coalesce(nb.feature, nc.feature) AS feature, coalesce(nb.nb, 0) AS
        FROM nb FULL OUTER JOIN nc ON nb.feature = nc.feature AND nb.bin = nc.bin),
 sh AS (SELECT feature, greatest(nb / sum(nb) OVER (PARTITION BY feature), 1e-6) AS sb,
               greatest(nc / sum(nc) OVER (PARTITION BY feature), 1e-6) AS sc FROM jn),
-drift AS (SELECT feature, round(sum((sc - sb) * ln(sc / sb)), 9) AS psi, sum((sc - sb) * ln(sc / sb)) > 0.2 AS drifted
-          FROM sh GROUP BY 1),
+kv AS (SELECT feature, v, sum(wb) AS wb, sum(wc) AS wc
+       FROM (SELECT feature, v, 1 AS wb, 0 AS wc FROM base_long UNION ALL SELECT feature, v, 0, 1 FROM cur_long) u
+       GROUP BY 1, 2),
+kc AS (SELECT feature, sum(wb) OVER (PARTITION BY feature ORDER BY v ROWS UNBOUNDED PRECEDING) AS cb,
+              sum(wc) OVER (PARTITION BY feature ORDER BY v ROWS UNBOUNDED PRECEDING) AS cc,
+              sum(wb) OVER (PARTITION BY feature) AS nb, sum(wc) OVER (PARTITION BY feature) AS nc FROM kv),
+ks AS (SELECT feature, max(CASE WHEN nb > 0 AND nc > 0 THEN abs(cb / nb - cc / nc) END) AS ks FROM kc GROUP BY 1),
+drift AS (SELECT p.feature, round(p.psi_raw, 9) AS psi, round(k.ks, 9) AS ks, p.psi_raw > 0.2 AS drifted
+          FROM (SELECT feature, sum((sc - sb) * ln(sc / sb)) AS psi_raw FROM sh GROUP BY 1) p
+          LEFT JOIN ks k USING (feature)),
 dscore AS (SELECT n_cols, n_drifted, round(CASE WHEN n_cols > 0 THEN n_drifted / n_cols END, 6) AS drift_score,
                   coalesce(CASE WHEN n_cols > 0 THEN n_drifted / n_cols END > 0.15, false) AS dataset_drift,
                   CASE WHEN n_cols = 0 THEN 'no data' WHEN n_drifted / n_cols > 0.15 THEN 'drift' ELSE 'ok' END AS status

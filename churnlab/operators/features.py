@@ -45,10 +45,31 @@ def _mean(c: Column) -> Column:
 
 
 # ---------------------------------------------------------------- A1 + A2
+# "last" attributes: output name -> source column
+LAST_COLS = {
+    "last_is_cancel": "is_cancel",
+    "last_is_auto_renew": "is_auto_renew",
+    "last_plan_days": "payment_plan_days",
+    "_last_paid": "actual_amount_paid",
+    "_last_list": "plan_list_price",
+    "last_payment_method": "payment_method_id",
+}
+
+
 def profile_aggs(tie_cols: Sequence[str] = ()) -> list[Column]:
+    """Aggregates of A1 + A2 for one ``groupBy('msno')``.
+
+    The latest row is taken once, as a struct (one arg-max instead of one per
+    column). pandas-style "last non-NULL per column" differs from it only for
+    users with NULLs in those columns; ``_n_null_rows`` flags them and
+    ``_resolve_last`` recomputes exactly those users column by column.
+    """
     key = _order_key(tie_cols)
     disc = safe_ratio(F.col("plan_list_price") - F.col("actual_amount_paid"), F.col("plan_list_price"))
     disc = disc.cast("decimal(18,8)")
+    any_null = None
+    for c in LAST_COLS.values():
+        any_null = F.col(c).isNull() if any_null is None else (any_null | F.col(c).isNull())
     return [
         F.count(F.lit(1)).alias("n_transactions"),
         F.sum("is_cancel").alias("n_cancels"),
@@ -57,20 +78,32 @@ def profile_aggs(tie_cols: Sequence[str] = ()) -> list[Column]:
         (F.sum("payment_plan_days").cast("double") / F.count("payment_plan_days")).alias("avg_plan_days"),
         (F.sum("actual_amount_paid").cast("double") / F.count("actual_amount_paid")).alias("avg_price"),
         # Distinct counts through sets: no Expand (which would triple the rows
-        # before the sort-based aggregate); a set is bounded by the small value
-        # domain (plan lengths, payment methods), not by the user's row count.
+        # before the aggregate); a set is bounded by the small value domain
+        # (plan lengths, payment methods), not by the user's row count.
         F.size(F.collect_set("payment_plan_days")).cast("long").alias("n_unique_plans"),
         F.size(F.collect_set("payment_method_id")).cast("long").alias("n_payment_methods"),
-        _last("is_cancel", key).alias("last_is_cancel"),
-        _last("is_auto_renew", key).alias("last_is_auto_renew"),
-        _last("payment_plan_days", key).alias("last_plan_days"),
-        _last("actual_amount_paid", key).alias("_last_paid"),
-        _last("plan_list_price", key).alias("_last_list"),
+        F.max_by(F.struct(*[F.col(c).alias(n) for n, c in LAST_COLS.items()]), key).alias("_last"),
         _first("actual_amount_paid", key).alias("_first_paid"),
-        _last("payment_method_id", key).alias("last_payment_method"),
+        F.count_if(any_null).alias("_n_null_rows"),
     ]
 
 
+def _resolve_last(agg: DataFrame, tx: DataFrame, tie_cols: Sequence[str]) -> DataFrame:
+    """Exact per-column last non-NULL values for users whose rows contain NULLs.
+
+    Only those users' rows are re-aggregated (semi join on the flagged keys);
+    on clean data the flagged set is empty and AQE drops the branch at run time.
+    """
+    key = _order_key(tie_cols)
+    flagged = agg.where(F.col("_n_null_rows") > 0).select("msno")
+    fix = (tx.join(flagged, "msno", "left_semi").groupBy("msno")
+           .agg(*[_last(c, key).alias(f"_fix_{n}") for n, c in LAST_COLS.items()]))
+    j = agg.join(fix, "msno", "left")
+    dirty = F.col("_n_null_rows") > 0
+    return j.select(*[c for c in agg.columns if c not in ("_last", "_n_null_rows")],
+                    *[F.when(dirty, F.col(f"_fix_{n}")).otherwise(F.col(f"_last.{n}")).alias(n) for n in LAST_COLS])
+
+
 def profile_post() -> list:
     return [
     "n_transactions", "n_cancels", "ever_canceled", "avg_discount_pct", "avg_plan_days", "avg_price",
@@ -89,7 +122,9 @@ PROFILE_COLS = ["n_transactions", "n_cancels", "ever_canceled", "avg_discount_pc
 
 def tx_user_profile(tx: DataFrame, as_of: dt.date | None = None, tie_cols: Sequence[str] = ()) -> DataFrame:
     """A1 + A2: eight per-user aggregates plus last/first row attributes."""
-    return _as_of(tx, as_of).groupBy("msno").agg(*profile_aggs(tie_cols)).select("msno", *profile_post())
+    src = _as_of(tx, as_of)
+    agg = _resolve_last(src.groupBy("msno").agg(*profile_aggs(tie_cols)), src, tie_cols)
+    return agg.select("msno", *profile_post())
 
 
 # ---------------------------------------------------------------- A8
@@ -168,8 +203,9 @@ def transaction_features(tx: DataFrame, cfg, tie_cols: Sequence[str] = ()) -> Da
     Expiry / recency columns are NULL for users that have no valid expiry /
     transaction date, exactly as a left join of the separate builders gives.
     """
-    agg = (_as_of(tx, cfg.tx_as_of).groupBy("msno")
-           .agg(*profile_aggs(tie_cols), *expiry_aggs(tie_cols), *recency_aggs(cfg.tx_ref)))
+    src = _as_of(tx, cfg.tx_as_of)
+    agg = _resolve_last(src.groupBy("msno").agg(*profile_aggs(tie_cols), *expiry_aggs(tie_cols),
+                                                  *recency_aggs(cfg.tx_ref)), src, tie_cols)
     has_exp = F.col("_exp").isNotNull()
     exp_cols = [F.when(has_exp, c).alias(n) for n, c in _expiry_exprs(cfg.prediction_date).items()]
     return agg.select("msno", *profile_post(), *exp_cols, *recency_post(cfg.tx_ref))

@@ -41,7 +41,8 @@ transactions AS (
          {_ymd_sql('o.o_orderdate')} AS transaction_date,
          {_ymd_sql('(CAST(o.o_orderdate AS DATE) + CAST(l.l_quantity AS INTEGER))')} AS membership_expire_date,
          CAST(l.l_returnflag = 'R' AS INTEGER) AS is_cancel,
-         l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity, l.l_extendedprice
+         l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity, l.l_extendedprice,
+         l.l_orderkey * 8 + l.l_linenumber AS tie_line, l.l_partkey * 16777216 + l.l_suppkey AS tie_part
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 ),
 members AS (
@@ -406,7 +407,7 @@ UNION ALL SELECT 'source in {api,batch}', count(*) FILTER (WHERE NOT coalesce(so
 # ---------------------------------------------------------------- EDA twins
 _TXC = ["msno", "payment_method_id", "payment_plan_days", "plan_list_price", "actual_amount_paid", "is_auto_renew",
         "transaction_date", "membership_expire_date", "is_cancel", "l_orderkey", "l_linenumber", "l_partkey",
-        "l_suppkey", "l_quantity", "l_extendedprice"]
+        "l_suppkey", "l_quantity", "l_extendedprice", "tie_line", "tie_part"]
 sql("dataset_profile", f"""
 SELECT 'transactions' AS "table", {len(_TXC)} AS n_cols, count(*) AS n_rows,
        {' + '.join(f'count(*) FILTER (WHERE {c} IS NULL)' for c in _TXC)} AS n_null_cells,

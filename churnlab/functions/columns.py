@@ -86,6 +86,11 @@ def cut_order(c, edges: Sequence, include_lowest: bool = False) -> Column:
     return expr
 
 
+def tenure_years(days, digits: int = 1) -> Column:
+    """P10: tenure in years (days / 365) rounded half-to-even, as pandas rounds."""
+    return F.bround(_c(days) / 365, digits)
+
+
 def label_at(prob, thr: float = 0.5) -> Column:
     """Hard label: prob >= thr (the threshold itself counts as churn)."""
     return (_c(prob) >= F.lit(thr)).cast("int")

@@ -187,3 +187,18 @@ def promote(versions: DataFrame, name: str, version: int) -> DataFrame:
     was_prod = (F.col("name") == name) & (F.col("stage") == "Production") & ~is_target
     return versions.withColumn("stage", F.when(is_target, "Production").when(was_prod, "Archived")
                                .otherwise(F.col("stage")))
+
+
+def score_batch(model: PipelineModel, features: DataFrame, period: str, version: str, path: str | None = None,
+                source: str = "batch", thr: float = 0.5) -> tuple[DataFrame, DataFrame]:
+    """Score one period, label at ``thr``, round to 6 dp, optionally upsert into the
+    prediction table (replacing this period and version only); returns (scores, distribution)."""
+    from churnlab.functions.columns import label_at
+    from churnlab.operators.eda import score_distribution
+    p = score(model, features, "p", keep=("msno",))
+    out = p.select("msno", F.round("p", 6).cast("float").alias("churn_prob"),
+                   label_at(F.round("p", 6), thr).cast("short").alias("churn_label"))
+    if path is not None:
+        from churnlab.sources.store import upsert_predictions
+        upsert_predictions(out, path, period, version, source)
+    return out, score_distribution(out.select(F.col("churn_prob").cast("double").alias("prob")), "prob", thr)

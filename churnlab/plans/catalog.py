@@ -511,3 +511,10 @@ def q_score_stream(spark, d):
     feats.repartition(3).write.parquet(f"{root}/src")
     score_stream(spark, model, f"{root}/src", feats.schema, _V5, f"{root}/out", f"{root}/ckpt", "v1")
     return spark.read.parquet(f"{root}/out").select("msno", "churn_prob", "churn_label", "model_version", "source")
+
+
+@register("tenure_years")
+def q_tenure_years(spark, d):
+    """P10: members per tenure in years (one decimal, half-even), with churn rate."""
+    m = _members_labelled(spark, d).select(FC.tenure_years("tenure_days").alias("tenure_years"), "is_churn")
+    return m.groupBy("tenure_years").agg(_F.count(_F.lit(1)).alias("n"), _F.sum("is_churn").cast("long").alias("n_churn"))

@@ -806,3 +806,7 @@ FROM (""" + ORACLE["metric_log_loss"] + ") l JOIN (" + ORACLE["metric_roc_auc"]
 sql("prediction_rate_stream", """
 SELECT date_trunc('hour', predicted_at) AS window_start, source, count(*) AS n FROM predictions GROUP BY 1, 2""",
     PRED_CTE)
+
+sql("tenure_years", """
+SELECT round_even(tenure_days / 365, 1) AS tenure_years, count(*) AS n, CAST(sum(is_churn) AS BIGINT) AS n_churn
+FROM ml GROUP BY 1""", ML_CTE)

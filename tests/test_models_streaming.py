@@ -102,3 +102,22 @@ def test_log_agg_cache_reused(spark, tmp_path):
     c = materialize_log_agg(spark, more, dt.date(2017, 2, 28), dt.date(2017, 1, 30), {}, str(tmp_path))
     assert c.first().n_days == 2                                 # different cutoffs -> recomputed
     assert F is not None
+
+
+def test_score_batch_calibrate_export(spark, tmp_path):
+    from churnlab.sources import store
+    df = ML.with_class_weight(_planted(spark))
+    m = ML.lr_pipeline(["signal", "noise"]).fit(df)
+    path = str(tmp_path / "preds")
+    out, dist = ML.score_batch(m, df, "2017-04", "7", path)
+    assert spark.read.parquet(path).count() == 400 and 0.0 <= dist.first().mean <= 1.0
+    scored = ML.score(m, df)
+    iso = ML.calibrate(scored)
+    cal = [r.calibrated_prob for r in iso.transform(scored).collect()]
+    assert all(0.0 <= p <= 1.0 for p in cal)
+    store.export_scores(out, str(tmp_path / "sub"))
+    sub = spark.read.option("header", True).csv(str(tmp_path / "sub"))
+    assert sub.columns == ["msno", "is_churn"] and sub.count() == 400
+    store.append_predictions(out, str(tmp_path / "api"), "api", "7", dt.datetime(2017, 4, 2))
+    store.append_predictions(out, str(tmp_path / "api"), "api", "7", dt.datetime(2017, 4, 3))
+    assert spark.read.parquet(str(tmp_path / "api")).count() == 800

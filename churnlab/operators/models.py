@@ -41,12 +41,28 @@ def subsample(df: DataFrame, frac: float, seed: int = 42, key: str = "msno") ->
 
 def stratified_folds(df: DataFrame, k: int = 5, seed: int = 42, key: str = "msno", label: str = "is_churn",
                      exact: bool = False) -> DataFrame:
-    """Fold id per row. Default: hash fold (no shuffle). ``exact``: equal-size
-    folds within each class via ``ntile`` over the hash order (one window per class)."""
+    """Fold id per row.
+
+    Default: ``pmod(hash, k)`` - no shuffle, stratified in expectation.
+    ``exact``: fold sizes within each class differ by at most one. Rows are
+    ranked by (hash, key) inside their class without a per-class window: the
+    hash is uniform, so its top 8 bits cut each class into 256 ordered ranges;
+    range sizes (a tiny table) give offsets and ``row_number`` runs inside each
+    range only. fold = floor(rank * k / class size).
+    """
+    h = F.xxhash64(F.col(key), F.lit(seed))
     if not exact:
-        return df.withColumn("fold", F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(k)).cast("int"))
-    w = Window.partitionBy(label).orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key))
-    return df.withColumn("fold", (F.ntile(k).over(w) - 1).cast("int"))
+        return df.withColumn("fold", F.pmod(h, F.lit(k)).cast("int"))
+    x = df.withColumn("_h", h).withColumn("_r", F.shiftright(F.col("_h"), 56))
+    sizes = x.groupBy(label, "_r").agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.partitionBy(label).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    off = sizes.select(label, "_r", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"),
+                       F.sum("_c").over(Window.partitionBy(label)).alias("_n"))
+    inner = Window.partitionBy(label, "_r").orderBy("_h", key)
+    ranked = x.join(F.broadcast(off), [label, "_r"]).withColumn(
+        "_rank", F.col("_off") + F.row_number().over(inner) - 1)
+    return ranked.withColumn("fold", F.floor(F.col("_rank") * k / F.col("_n")).cast("int")).drop(
+        "_h", "_r", "_off", "_n", "_rank")
 
 
 def with_class_weight(df: DataFrame, label: str = "is_churn", col: str = "weight") -> DataFrame:

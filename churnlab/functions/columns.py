@@ -125,3 +125,21 @@ def desc_text_key(c) -> Column:
     extensions, as descending order requires.
     """
     return F.concat(F.translate(_c(c), _NUM_CHARS, _REV_CHARS), F.lit("Z"))
+
+
+def count_less_sorted(arr, v, n: int) -> Column:
+    """Number of elements of a sorted array column (length ``n``) that are < ``v``.
+
+    An unrolled binary search (depth log2 n) of plain comparisons, so it stays
+    inside whole-stage code generation, unlike a lambda ``filter`` over the array.
+    """
+    a, x = _c(arr), _c(v)
+
+    def search(lo: int, hi: int) -> Column:
+        # invariant: the first ``lo`` elements are < x, elements from ``hi`` on are >= x
+        if lo >= hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(F.element_at(a, mid + 1) < x, search(mid + 1, hi)).otherwise(search(lo, mid))
+
+    return search(0, n)

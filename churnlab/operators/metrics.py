@@ -16,7 +16,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnlab.functions.columns import label_at
+from churnlab.functions.columns import count_less_sorted, label_at
 
 EPS = 2.220446049250313e-16  # fixed value: float64 machine epsilon used to clip probabilities
 F1_EPS = 1e-9                # fixed value: smoothing term of the F1 search
@@ -34,7 +34,7 @@ def threshold_table(df: DataFrame, label: str = "label", prob: str = "prob", buc
     fr = [i / buckets for i in range(1, buckets)]
     bounds = g.agg(F.percentile_approx("threshold", fr, 10000).alias("b"))
     gb = g.crossJoin(F.broadcast(bounds)).select(
-        "threshold", "pos", "neg", F.size(F.filter("b", lambda x: x < F.col("threshold"))).alias("bucket"))
+        "threshold", "pos", "neg", count_less_sorted("b", "threshold", buckets - 1).alias("bucket"))
     tot = gb.groupBy("bucket").agg(F.sum("pos").alias("bp"), F.sum("neg").alias("bn"))
     above = Window.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
     allw = Window.partitionBy()

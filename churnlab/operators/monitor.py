@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnlab.functions.columns import risk_band
+from churnlab.functions.columns import count_less_sorted, risk_band
 from churnlab.operators.quantiles import exact_quantiles
 
 # fixed values: thresholds of the monitoring configuration
@@ -47,7 +47,7 @@ def drift_by_column(base: DataFrame, cur: DataFrame, cols: Sequence[str], bins:
 
     def binned(x: DataFrame) -> DataFrame:
         b = F.when(F.col("n_distinct") <= MAX_CATEGORIES, F.col("v")).otherwise(
-            F.size(F.filter("edges", lambda e: e < F.col("v"))).cast("double"))
+            count_less_sorted("edges", "v", bins - 1).cast("double"))
         return x.join(F.broadcast(info), "feature").select("feature", b.alias("bin"))
 
     nb = binned(lb).groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("nb"))
@@ -77,7 +77,7 @@ def ks_by_column(lb: DataFrame, lc: DataFrame, buckets: int = 64) -> DataFrame:
     stats = vc.groupBy("feature").agg(F.sum("wb").alias("nb"), F.sum("wc").alias("nc"),
                                       F.percentile_approx("v", fr, 10000).alias("b"))
     vb = vc.join(F.broadcast(stats), "feature").select(
-        "feature", "v", "wb", "wc", "nb", "nc", F.size(F.filter("b", lambda x: x < F.col("v"))).alias("bucket"))
+        "feature", "v", "wb", "wc", "nb", "nc", count_less_sorted("b", "v", buckets - 1).alias("bucket"))
     tot = vb.groupBy("feature", "bucket").agg(F.sum("wb").alias("tb"), F.sum("wc").alias("tc"))
     before = Window.partitionBy("feature").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     off = tot.select("feature", "bucket", F.coalesce(F.sum("tb").over(before), F.lit(0)).alias("ob"),

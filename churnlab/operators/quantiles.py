@@ -2,7 +2,8 @@
 
 Plan (all distributed, bounded broadcasts):
 1. unpivot to (k, v) and pre-aggregate to distinct values with weights
-   (heavy ties collapse here, map-side);
+   (heavy ties collapse here, map-side); this table is written once to the
+   shared checkpoint folder because every later step reads it;
 2. per column: row count and ~B approximate bucket boundaries (a bounded
    sketch, one small row per column);
 3. bucket every distinct value, total each bucket (ncols x B rows), running
@@ -20,20 +21,32 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 128
+from churnlab.functions.columns import count_less_sorted
+from churnlab.session import materialize
+
+VALUES_PER_BUCKET = 250_000   # target distinct values per running-sum window task
+MIN_BUCKETS, MAX_BUCKETS = 16, 4096
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = (0.5,),
-                    buckets: int = DEFAULT_BUCKETS, accuracy: int = 10000) -> DataFrame:
+                    buckets: int | None = None, accuracy: int = 10000) -> DataFrame:
     """Rows (k, p, q): exact quantile ``q`` of column ``k`` at probability ``p`` (NULLs ignored)."""
     long = (df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("k"), F.col(c).cast("double").alias("v")) for c in cols])).alias("r"))
         .select("r.k", "r.v").where(F.col("v").isNotNull()))
-    vc = long.groupBy("k", "v").agg(F.count(F.lit(1)).alias("w"))
+    # The distinct-value table and the per-column stats each feed several
+    # branches below; they are written once (shared checkpoint folder) so the
+    # upstream plan runs a single time.
+    vc = materialize(long.groupBy("k", "v").agg(F.count(F.lit(1)).alias("w")))
+    if buckets is None:
+        # Sized from the written table's row count (parquet metadata, no scan of the data).
+        n_values = vc.count()
+        buckets = min(MAX_BUCKETS, max(MIN_BUCKETS, -(-n_values // (VALUES_PER_BUCKET * max(1, len(cols))))))
     fracs = [i / buckets for i in range(1, buckets)]
-    stats = vc.groupBy("k").agg(F.sum("w").alias("n"), F.percentile_approx("v", fracs, accuracy).alias("b"))
+    stats = materialize(vc.groupBy("k").agg(F.sum("w").alias("n"),
+                                            F.percentile_approx("v", fracs, accuracy).alias("b")))
     vb = (vc.join(F.broadcast(stats.select("k", "b")), "k")
-          .select("k", "v", "w", F.size(F.filter("b", lambda x: x < F.col("v"))).alias("bucket")))
+          .select("k", "v", "w", count_less_sorted("b", "v", buckets - 1).alias("bucket")))
     totals = vb.groupBy("k", "bucket").agg(F.sum("w").alias("bw"))
     offsets = totals.select("k", "bucket", F.coalesce(F.sum("bw").over(
         Window.partitionBy("k").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

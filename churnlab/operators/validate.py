@@ -30,9 +30,18 @@ def feature_rules(cols: Sequence[str] = FEATURE_COLS_V5) -> dict[str, Column]:
 
 
 def with_rule_results(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
-    failed = F.filter(F.array(*[F.when(~F.coalesce(r, F.lit(False)), F.lit(n)) for n, r in rules.items()]),
-                      lambda x: x.isNotNull())
-    return df.withColumn("failed_rules", failed).withColumn("is_valid", F.size("failed_rules") == 0)
+    """Add ``is_valid`` (all rules true) and ``failed_rules`` (names of the failing rules).
+
+    Plain boolean / string expressions (``concat_ws`` skips NULLs), so the
+    check stays in generated code; rule names contain no comma.
+    """
+    ok_all = None
+    for r in rules.values():
+        ok = F.coalesce(r, F.lit(False))
+        ok_all = ok if ok_all is None else (ok_all & ok)
+    names = F.concat_ws(",", *[F.when(~F.coalesce(r, F.lit(False)), F.lit(n)) for n, r in rules.items()])
+    failed = F.when(ok_all, F.array().cast("array<string>")).otherwise(F.split(names, ","))
+    return df.withColumn("is_valid", ok_all).withColumn("failed_rules", failed)
 
 
 def validate_features(df: DataFrame, cols: Sequence[str] = FEATURE_COLS_V5) -> tuple[DataFrame, DataFrame]:

@@ -227,7 +227,12 @@ def _scored_matrix(spark, d):
 
 register("dataset_profile")(lambda spark, d: eda.dataset_profile(_tx(spark, d), "msno", "transaction_date",
                                                                  "transactions"))
-register("price_describe")(lambda spark, d: eda.describe(_tx(spark, d), ["actual_amount_paid", "plan_list_price"]))
+@register("price_describe")
+def q_price_describe(spark, d):
+    from churnlab.session import materialize
+    # The moments pass and the exact-quantile pass both read the two price columns: compute the join once.
+    cols = ["actual_amount_paid", "plan_list_price"]
+    return eda.describe(materialize(_tx(spark, d).select(*cols)), cols)
 register("plan_day_counts")(lambda spark, d: eda.value_counts(_tx(spark, d), "payment_plan_days", n=10))
 register("gender_counts")(lambda spark, d: eda.value_counts(B.members(spark, d), "gender", dropna=False))
 register("tx_overview")(lambda spark, d: eda.tx_overview(_tx(spark, d)))
@@ -390,9 +395,13 @@ NOW = _dt.datetime(1998, 6, 20, 12, 0, 0)
 
 
 def _drift(spark, d, period="2000-12"):
+    from churnlab.session import materialize
     tx = _tx(spark, d)
-    base = features.tx_user_profile(tx, as_of=DRIFT_BASE_ASOF, tie_cols=B.TX_TIE_COLS)
-    cur = features.tx_user_profile(tx, as_of=DRIFT_CUR_ASOF[period], tie_cols=B.TX_TIE_COLS)
+    # Both sides feed several passes (cardinality, deciles, bins, KS): compute each per-user table once.
+    base = materialize(features.tx_user_profile(tx, as_of=DRIFT_BASE_ASOF, tie_cols=B.TX_TIE_COLS)
+                       .select("msno", *DRIFT_COLS))
+    cur = materialize(features.tx_user_profile(tx, as_of=DRIFT_CUR_ASOF[period], tie_cols=B.TX_TIE_COLS)
+                      .select("msno", *DRIFT_COLS))
     return MON.drift_by_column(base, cur, DRIFT_COLS)
 
 

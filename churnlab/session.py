@@ -62,12 +62,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df):
-    """Cut lineage: write ``df`` to the shared checkpoint folder and read it back.
+    """Cut lineage: write ``df`` as a parquet table in the shared checkpoint folder and read it back.
 
     Used where one intermediate feeds several branches (e.g. a feature matrix
     feeding its own median computation and the fill), so the upstream scans,
-    joins and aggregates run once. Reliable checkpoint, never a local one:
-    the data survives the loss of the executor that computed it.
+    joins and aggregates run once. A written table (not ``localCheckpoint``)
+    survives the loss of the executor that computed it; unlike an RDD
+    checkpoint it is computed once (no second pass to save it), stored
+    columnar, and read back with column pruning and filter pushdown.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    import uuid
+    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{base}/churnlab_materialized/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

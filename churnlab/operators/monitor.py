@@ -13,7 +13,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlab.functions.columns import count_less_sorted, risk_band
-from churnlab.operators.quantiles import exact_quantiles
+from churnlab.operators.quantiles import exact_quantiles_long
+from churnlab.session import materialize
+
+
+def _long_quantiles(long_df: DataFrame, probs) -> DataFrame:
+    return exact_quantiles_long(long_df.select(F.col("feature").alias("k"), "v"), probs)
 
 # fixed values: thresholds of the monitoring configuration
 DRIFT_ALERT = 0.15        # share of drifted columns that raises an alert
@@ -39,9 +44,11 @@ def drift_by_column(base: DataFrame, cur: DataFrame, cols: Sequence[str], bins:
     shares are floored at 1e-6. One unpivot and one ``groupBy(feature, bin)``
     per side; the per-column bin definitions are a tiny broadcast table.
     """
-    lb, lc = _long(base, cols), _long(cur, cols)
+    # Each side feeds four passes (cardinality, deciles, bins, KS): write its
+    # long form once to the shared checkpoint folder instead of recomputing it.
+    lb, lc = materialize(_long(base, cols)), materialize(_long(cur, cols))
     card = lb.groupBy("feature").agg(F.count_distinct("v").alias("n_distinct"))
-    q = exact_quantiles(base, cols, [i / bins for i in range(1, bins)])
+    q = _long_quantiles(lb, [i / bins for i in range(1, bins)])
     edges = q.groupBy(F.col("k").alias("feature")).agg(F.array_sort(F.collect_list("q")).alias("edges"))
     info = card.join(edges, "feature", "left")
 

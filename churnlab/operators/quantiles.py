@@ -33,7 +33,14 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] =
     """Rows (k, p, q): exact quantile ``q`` of column ``k`` at probability ``p`` (NULLs ignored)."""
     long = (df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("k"), F.col(c).cast("double").alias("v")) for c in cols])).alias("r"))
-        .select("r.k", "r.v").where(F.col("v").isNotNull()))
+        .select("r.k", "r.v"))
+    return exact_quantiles_long(long, probs, buckets, accuracy, n_keys=len(cols))
+
+
+def exact_quantiles_long(long: DataFrame, probs: Sequence[float] = (0.5,), buckets: int | None = None,
+                         accuracy: int = 10000, n_keys: int = 1) -> DataFrame:
+    """Same as ``exact_quantiles`` for data already in long form (k, v)."""
+    long = long.where(F.col("v").isNotNull())
     # The distinct-value table and the per-column stats each feed several
     # branches below; they are written once (shared checkpoint folder) so the
     # upstream plan runs a single time.
@@ -41,7 +48,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] =
     if buckets is None:
         # Sized from the written table's row count (parquet metadata, no scan of the data).
         n_values = vc.count()
-        buckets = min(MAX_BUCKETS, max(MIN_BUCKETS, -(-n_values // (VALUES_PER_BUCKET * max(1, len(cols))))))
+        buckets = min(MAX_BUCKETS, max(MIN_BUCKETS, -(-n_values // (VALUES_PER_BUCKET * max(1, n_keys)))))
     fracs = [i / buckets for i in range(1, buckets)]
     stats = materialize(vc.groupBy("k").agg(F.sum("w").alias("n"),
                                             F.percentile_approx("v", fracs, accuracy).alias("b")))

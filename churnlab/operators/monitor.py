@@ -22,6 +22,7 @@ def _long_quantiles(long_df: DataFrame, probs) -> DataFrame:
 
 # fixed values: thresholds of the monitoring configuration
 DRIFT_ALERT = 0.15        # share of drifted columns that raises an alert
+DRIFT_WARN = 0.10         # dashboard warning band for the drift score
 MIN_AUC = 0.85
 MAX_LOG_LOSS = 0.240
 PSI_COLUMN_DRIFT = 0.2    # per-column PSI above which a column counts as drifted
@@ -129,6 +130,15 @@ def period_summary(period: str, drift_row: DataFrame, perf_row: DataFrame) -> Da
 
 
 # ---------------------------------------------------------------- dashboard panels
+def latest_drift(history: DataFrame) -> DataFrame:
+    """Drift score of the most recent period in the drift history (bands .10 / .15)."""
+    one = history.agg(F.max_by(F.struct("period", "drift_score", "dataset_drift"), "period").alias("r"))
+    s = F.col("r.drift_score")
+    return one.select("r.period", "r.drift_score", "r.dataset_drift",
+                      F.when(s > DRIFT_ALERT, "red").when(s > DRIFT_WARN, "yellow").when(s.isNotNull(), "green")
+                      .alias("band"))
+
+
 def _since(preds: DataFrame, now: dt.datetime, hours: int) -> DataFrame:
     return preds.where(F.col("predicted_at") > F.lit(now - dt.timedelta(hours=hours)))
 

@@ -410,6 +410,7 @@ register("drift_score")(lambda spark, d: MON.drift_score(_drift(spark, d)))
 register("drift_history")(lambda spark, d: MON.union_all(
     [MON.drift_score(_drift(spark, d, p)).select(_F.lit(p).alias("period"), "drift_score", "dataset_drift")
      for p in DRIFT_CUR_ASOF]))
+register("latest_drift")(lambda spark, d: MON.latest_drift(QUERIES["drift_history"](spark, d)))
 register("alerts")(lambda spark, d: MON.alerts(MON.drift_score(_drift(spark, d)), _perf(spark, d)))
 register("period_summary")(lambda spark, d: MON.period_summary(P.period, MON.drift_score(_drift(spark, d)),
                                                                _perf(spark, d)))

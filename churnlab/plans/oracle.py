@@ -810,3 +810,9 @@ SELECT date_trunc('hour', predicted_at) AS window_start, source, count(*) AS n F
 sql("tenure_years", """
 SELECT round_even(tenure_days / 365, 1) AS tenure_years, count(*) AS n, CAST(sum(is_churn) AS BIGINT) AS n_churn
 FROM ml GROUP BY 1""", ML_CTE)
+
+sql("latest_drift", """
+SELECT period, drift_score, dataset_drift,
+       CASE WHEN drift_score > 0.15 THEN 'red' WHEN drift_score > 0.10 THEN 'yellow'
+            WHEN drift_score IS NOT NULL THEN 'green' END AS band
+FROM (""" + ORACLE["drift_history"] + """) h ORDER BY period DESC LIMIT 1""")

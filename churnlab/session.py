@@ -21,6 +21,19 @@ _CONF = {
 }
 
 
+# Suggested settings for a large cluster (pass as ``extra`` or via spark-submit). AQE starts from many
+# shuffle partitions and coalesces them to ~256 MB; skewed join partitions are split at run time;
+# broadcast decisions use measured sizes; scans split files into 256 MB tasks.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.parquet.filterPushdown": "true",
+}
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "churnlab", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the library's settings.

@@ -39,11 +39,6 @@ def _first(c: str, key: Column) -> Column:
     return F.min_by(F.col(c), F.when(F.col(c).isNotNull(), key))
 
 
-def _mean(c: Column) -> Column:
-    """Exact-sum mean: sum in the column's own (exact) type, one division."""
-    return (F.sum(c).cast("double") / F.count(c)).alias("_")
-
-
 # ---------------------------------------------------------------- A1 + A2
 # "last" attributes: output name -> source column
 LAST_COLS = {

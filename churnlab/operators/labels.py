@@ -22,7 +22,8 @@ from churnlab.plans.periods import LabelWindow, ymd
 NO_RENEWAL_GAP = 9999  # fixed value: gap reported when no renewal follows
 
 
-def plan_signature(df_cols=None) -> Column:
+def plan_signature() -> Column:
+    """Plan text: list price, plan days and payment method concatenated without a separator."""
     return F.concat(F.col("plan_list_price").cast("string"), F.col("payment_plan_days").cast("string"),
                     F.col("payment_method_id").cast("string"))
 

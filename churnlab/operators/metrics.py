@@ -11,8 +11,6 @@ to one final division.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -194,6 +192,3 @@ def performance_report(preds: DataFrame, truth: DataFrame, period: str, min_auc:
     return out.select(F.lit(period).alias("period"), "n", "churn_rate", F.round("roc_auc", 10).alias("roc_auc"),
                       "log_loss", F.coalesce(F.col("roc_auc") < min_auc, F.lit(False)).alias("alert"))
 
-
-def _isfinite(x: float) -> bool:
-    return not (math.isnan(x) or math.isinf(x))

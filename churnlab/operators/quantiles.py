@@ -12,6 +12,10 @@ Plan (all distributed, bounded broadcasts):
    1/B of a column's distinct values, so no task sees a whole column;
 5. pick the values at the two ranks around ``p * (n - 1)`` and interpolate
    linearly (``lo + (hi - lo) * frac``, the pandas / SQL ``quantile_cont`` rule).
+
+When the written distinct-value table is counted at no more than
+SMALL_TABLE_VALUES rows, steps 2-3 are skipped and the running sums run per
+column (a proven, bounded size per task); results are identical.
 """
 
 from __future__ import annotations
@@ -26,6 +30,7 @@ from churnlab.session import materialize
 
 VALUES_PER_BUCKET = 250_000   # target distinct values per running-sum window task
 MIN_BUCKETS, MAX_BUCKETS = 16, 4096
+SMALL_TABLE_VALUES = 500_000  # at most this many distinct (column, value) rows: per-column running sums directly
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = (0.5,),
@@ -48,6 +53,8 @@ def exact_quantiles_long(long: DataFrame, probs: Sequence[float] = (0.5,), bucke
     if buckets is None:
         # Sized from the written table's row count (parquet metadata, no scan of the data).
         n_values = vc.count()
+        if n_values <= SMALL_TABLE_VALUES:
+            return _small_quantiles(vc, probs)
         buckets = min(MAX_BUCKETS, max(MIN_BUCKETS, -(-n_values // (VALUES_PER_BUCKET * max(1, n_keys)))))
     fracs = [i / buckets for i in range(1, buckets)]
     stats = materialize(vc.groupBy("k").agg(F.sum("w").alias("n"),
@@ -76,6 +83,28 @@ def exact_quantiles_long(long: DataFrame, probs: Sequence[float] = (0.5,), bucke
     return res.select("k", "p", (F.col("vlo") + (F.col("vhi") - F.col("vlo")) * F.col("frac")).alias("q"))
 
 
+def _pick(cum: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """From (k, v, start, end, n) rows, the values at the ranks around p * (n - 1), interpolated."""
+    x = cum.select("k", "v", "start", "end", "n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
+    pos = F.col("p") * (F.col("n") - 1)
+    lo, hi = F.floor(pos), F.ceil(pos)
+    in_lo = (F.col("start") <= lo) & (lo < F.col("end"))
+    in_hi = (F.col("start") <= hi) & (hi < F.col("end"))
+    res = x.where(in_lo | in_hi).groupBy("k", "p", (pos - lo).alias("frac")).agg(
+        F.max(F.when(in_lo, F.col("v"))).alias("vlo"), F.max(F.when(in_hi, F.col("v"))).alias("vhi"))
+    return res.select("k", "p", (F.col("vlo") + (F.col("vhi") - F.col("vlo")) * F.col("frac")).alias("q"))
+
+
+def _small_quantiles(vc: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """Path for a distinct-value table known (counted) to hold at most SMALL_TABLE_VALUES rows:
+    the running sums run per column directly, skipping the range sketch and offsets."""
+    wk = Window.partitionBy("k")
+    cum = vc.select("k", "v", "w",
+                    F.sum("w").over(wk.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)).alias("end"),
+                    F.sum("w").over(wk).alias("n"))
+    return _pick(cum.withColumn("start", F.col("end") - F.col("w")), probs)
+
+
 def exact_medians_row(df: DataFrame, cols: Sequence[str], **kw) -> DataFrame:
     """One row with one column per input column holding its exact median.
 

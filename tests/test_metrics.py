@@ -71,3 +71,13 @@ def test_latest_prediction(spark):
                                      "predicted_at timestamp")
     got = {r.msno: r.churn_prob for r in M.latest_prediction(df, "2017-03").collect()}
     assert got == {"u": 0.7, "w": 0.4}
+
+
+def test_exact_quantiles_paths_agree(spark):
+    rnd = random.Random(8)
+    vals = [float(rnd.randint(0, 40)) for _ in range(700)] + [rnd.random() for _ in range(700)]
+    df = spark.createDataFrame([(v,) for v in vals], "a double")
+    probs = (0.01, 0.3, 0.5, 0.77, 1.0)
+    small = {r.p: r.q for r in exact_quantiles(df, ["a"], probs).collect()}            # counted-small path
+    ranged = {r.p: r.q for r in exact_quantiles(df, ["a"], probs, buckets=16).collect()}  # range path
+    assert small == ranged

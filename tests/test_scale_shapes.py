@@ -62,8 +62,11 @@ def test_quantiles_hot_value_exact(spark):
     q = {r.p: r.q for r in exact_quantiles(df, ["x"], (0.2, 0.5, 0.9)).collect()}
     for p in (0.2, 0.5, 0.9):
         assert abs(q[p] - float(np.quantile(vals, p))) < 1e-12
-    plan = _plan(exact_quantiles(df, ["x"], (0.5,)))
-    # the running-sum window is partitioned by (column, value range), never by the column alone
+    q16 = {r.p: r.q for r in exact_quantiles(df, ["x"], (0.2, 0.5, 0.9), buckets=16).collect()}
+    assert q16 == q
+    plan = _plan(exact_quantiles(df, ["x"], (0.5,), buckets=16))
+    # range path (used above SMALL_TABLE_VALUES distinct values): the running-sum window is
+    # partitioned by (column, value range), never by the column alone
     running = [ln for ln in plan.splitlines() if "Window [" in ln and "sum(w#" in ln]
     assert running and all("bucket" in ln for ln in running)
 

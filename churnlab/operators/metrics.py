@@ -15,20 +15,37 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlab.functions.columns import count_less_sorted, label_at
+from churnlab.operators.quantiles import MAX_BUCKETS, MIN_BUCKETS, SMALL_TABLE_VALUES, VALUES_PER_BUCKET
+from churnlab.session import materialize
 
 EPS = 2.220446049250313e-16  # fixed value: float64 machine epsilon used to clip probabilities
 F1_EPS = 1e-9                # fixed value: smoothing term of the F1 search
-DEFAULT_BUCKETS = 64
 
 
-def threshold_table(df: DataFrame, label: str = "label", prob: str = "prob", buckets: int = DEFAULT_BUCKETS
+def threshold_table(df: DataFrame, label: str = "label", prob: str = "prob", buckets: int | None = None
                     ) -> DataFrame:
     """For every distinct score ``threshold`` (pred = prob >= threshold):
-    tp, fp, fn, tn and the per-score counts pos / neg."""
-    g = (df.where(F.col(prob).isNotNull())
-         .groupBy(F.col(prob).cast("double").alias("threshold"))
-         .agg(F.sum(F.col(label).cast("long")).alias("pos"), F.count(F.lit(1)).alias("_n"))
-         .select("threshold", "pos", (F.col("_n") - F.col("pos")).alias("neg")))
+    tp, fp, fn, tn and the per-score counts pos / neg.
+
+    The distinct-score table is written once; when it is counted at no more
+    than SMALL_TABLE_VALUES rows the running sums run in one bounded window,
+    otherwise per score range with exact offsets.
+    """
+    g = materialize(df.where(F.col(prob).isNotNull())
+                    .groupBy(F.col(prob).cast("double").alias("threshold"))
+                    .agg(F.sum(F.col(label).cast("long")).alias("pos"), F.count(F.lit(1)).alias("_n"))
+                    .select("threshold", "pos", (F.col("_n") - F.col("pos")).alias("neg")))
+    if buckets is None:
+        n_scores = g.count()
+        if n_scores <= SMALL_TABLE_VALUES:
+            down = Window.orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
+            allw = Window.partitionBy()
+            t = g.select("threshold", "pos", "neg", F.sum("pos").over(down).alias("tp"),
+                         F.sum("neg").over(down).alias("fp"), F.sum("pos").over(allw).alias("P"),
+                         F.sum("neg").over(allw).alias("N"))
+            return t.select("threshold", "pos", "neg", "tp", "fp", (F.col("P") - F.col("tp")).alias("fn"),
+                            (F.col("N") - F.col("fp")).alias("tn"), "P", "N")
+        buckets = min(MAX_BUCKETS, max(MIN_BUCKETS, -(-n_scores // VALUES_PER_BUCKET)))
     fr = [i / buckets for i in range(1, buckets)]
     bounds = g.agg(F.percentile_approx("threshold", fr, 10000).alias("b"))
     gb = g.crossJoin(F.broadcast(bounds)).select(

@@ -81,3 +81,12 @@ def test_exact_quantiles_paths_agree(spark):
     small = {r.p: r.q for r in exact_quantiles(df, ["a"], probs).collect()}            # counted-small path
     ranged = {r.p: r.q for r in exact_quantiles(df, ["a"], probs, buckets=16).collect()}  # range path
     assert small == ranged
+
+
+def test_threshold_table_paths_agree(spark):
+    rnd = random.Random(12)
+    rows = [(int(rnd.random() < 0.35), round(rnd.random(), 3)) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "label int, prob double")
+    a = sorted(tuple(r) for r in M.threshold_table(df).collect())
+    b = sorted(tuple(r) for r in M.threshold_table(df, buckets=16).collect())
+    assert a == b

@@ -121,3 +121,12 @@ def test_score_batch_calibrate_export(spark, tmp_path):
     store.append_predictions(out, str(tmp_path / "api"), "api", "7", dt.datetime(2017, 4, 2))
     store.append_predictions(out, str(tmp_path / "api"), "api", "7", dt.datetime(2017, 4, 3))
     assert spark.read.parquet(str(tmp_path / "api")).count() == 800
+
+
+def test_tune_trials_and_subsample(spark):
+    df = _planted(spark, n=300)
+    trials = ML.tune(df, ["signal", "noise"], {"reg": [0.0, 0.1]}, model="lr", k=2)
+    rows = trials.collect()
+    assert len(rows) == 2 and all(r.roc_auc > 0.7 for r in rows)
+    a = {r.msno for r in ML.subsample(df, 0.25).collect()}
+    assert a == {r.msno for r in ML.subsample(df.repartition(5), 0.25).collect()} and 30 < len(a) < 120

@@ -49,3 +49,24 @@ def test_edge_records_contract(spark, base_record):
                    trend_7d_vs_30d=0.0)
     first_month = dict(base_record, n_transactions=1.0, n_cancels=0.0, tenure_days=15.0, n_renewals=0.0)
     assert _split(spark, [no_logs, first_month]) == (2, 0)
+
+
+def test_missing_columns_fail_before_jobs(spark, base_record):
+    import pytest
+
+    from churnlab.operators.validate import missing_columns
+    df = records_df(spark, [base_record]).drop("age")
+    with pytest.raises(ValueError, match="age"):
+        missing_columns(df)
+
+
+def test_constraint_violations(spark):
+    from pyspark.sql import functions as F
+
+    from churnlab.operators.validate import constraint_violations
+    df = spark.createDataFrame([("a", "2017-03", 0.2), ("a", "2017-03", 1.2), ("b", "2017-03", None)],
+                               "msno string, period string, p double")
+    got = {r.constraint: r.n_violations for r in
+           constraint_violations(df, unique=("msno", "period"), checks={"p in [0,1]": F.col("p").between(0, 1)})
+           .collect()}
+    assert got == {"unique(msno,period)": 2, "p in [0,1]": 2}

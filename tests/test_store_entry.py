@@ -31,6 +31,7 @@ def test_entry_and_registry(spark):
     import __spark_entry__ as E
     df = E.entry(spark)
     assert df.count() == 11 and df.columns == ["feature", "renewal_mean", "churn_mean", "diff_pct"]
+    assert E.entry(spark).schema == df.schema          # stable schema across runs
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q) and len(q) >= 90
 

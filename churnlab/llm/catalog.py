@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlab.llm import decontam, simhash, topk
-from churnlab.llm.common import table
+from churnlab.llm import (cotrain, decontam, hilbert, ppm, preference, simhash, topk, toxicity, unigram, wordpiece)
+from churnlab.llm.common import fold, table
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,16 +26,70 @@ def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(vectors, vectors.where(F.col("vec_id") % 100 == 0))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every document by a model that never saw the labels of the held-out fifth."""
+    docs = table(spark, sf_dir, "documents")
+    held = fold(F.col("doc_id"), 5) == 0
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), allowed=~held)
+    return toxicity.score(docs, model).select(
+        "doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+#: Metadata dimensions of the curve.
+DIMENSIONS = ["lang", "source", "n_chars"]
+
+
+def op4_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards of the written runs; the law is ``rows``: shard counts differ by one at most."""
+    crc = F.crc32(F.col("text").cast("binary"))
+    path = hilbert.write_runs(table(spark, sf_dir, "documents"), DIMENSIONS, [crc, "doc_id"])
+    shards = hilbert.read_shards(spark.read.parquet(path))
+    return shards.select(
+        "doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
+        crc.alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op5_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Formatted preference pairs made of all conversations; spans as "start-stop" text."""
+    pairs = preference.pairs_from_conversations(table(spark, sf_dir, "conversations"))
+    spans = lambda c: F.concat_ws(";", F.transform(c, lambda x: F.concat_ws("-", x["start"], x["stop"])))
+    return preference.format_preferences(pairs).withColumns(
+        {c: spans(c) for c in ("chosen_spans", "rejected_spans")})
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_decontamination": op1_decontamination,
-    "op2_exact_topk": op2_exact_topk,
-    "op6_simhash": op6_simhash,
-}
+def op7_wordpiece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wordpiece.token_counts(table(spark, sf_dir, "documents")).drop("text_key")
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return cotrain.score(docs, cotrain.fit(docs, table(spark, sf_dir, "labels"))).select(
+        "doc_id", "p_content", "p_metadata", "score", (F.col("score") >= 0.5).cast("int").alias("keep"))
+
+
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text, and whether decoding them gives the text back."""
+    return unigram.encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", F.size("ids").alias("n_ids"), "ids", "decodes")
+
+
+def op10_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of every document by a model that never saw the held-out third."""
+    docs = table(spark, sf_dir, "documents")
+    held = fold(F.col("doc_id"), 3) == 1
+    return ppm.predict(docs, ppm.fit(docs, allowed=~held)).select(
+        "doc_id", held.alias("held_out"), "lang_pred", "score", "bits_per_byte")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_decontamination, op2_exact_topk, op3_toxicity, op4_hilbert_shards, op5_preferences, op6_simhash,
+    op7_wordpiece_counts, op8_quality, op9_sentencepiece, op10_ppm_language)}
 
 ORACLE: dict[str, str] = {
     "op2_exact_topk": """
@@ -49,4 +103,48 @@ s AS (
   FROM q JOIN v ON vec_id <> query_id AND len(qv) = len(v)),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
+    "op5_preferences": """
+WITH one AS (
+  SELECT conv_id, turn, role, text FROM (
+    SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY role NULLS FIRST, text NULLS FIRST) AS n
+    FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL) WHERE n = 1),
+last AS (
+  SELECT conv_id, turn AS last_turn, text FROM (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS n FROM one WHERE role = 'assistant')
+  WHERE n = 1),
+sides AS (
+  SELECT conv_id AS pair_id, 'chosen' AS side, turn, role, text FROM one
+  UNION ALL
+  SELECT o.conv_id, 'rejected', o.turn, o.role, CASE WHEN o.turn = l.last_turn THEN x.text ELSE o.text END
+  FROM one o LEFT JOIN last l ON l.conv_id = o.conv_id LEFT JOIN last x ON x.conv_id = xor(o.conv_id, 1)
+  WHERE l.last_turn IS NULL OR o.turn < l.last_turn OR (o.turn = l.last_turn AND x.conv_id IS NOT NULL)),
+p AS (
+  SELECT *, row_number() OVER (PARTITION BY pair_id, side ORDER BY turn) AS at,
+    '<|' || coalesce(role, 'user') || '|>' || chr(10) AS head, coalesce(text, '') || '<|end|>' || chr(10) AS body
+  FROM sides),
+d AS (
+  SELECT coalesce(c.pair_id, r.pair_id) AS pair_id,
+    min(CASE WHEN c.pair_id IS NULL OR r.pair_id IS NULL OR c.role IS DISTINCT FROM r.role
+             OR c.text IS DISTINCT FROM r.text THEN coalesce(c.at, r.at) END) AS differs,
+    count(c.pair_id) AS cn, count(r.pair_id) AS rn
+  FROM (SELECT * FROM p WHERE side = 'chosen') c FULL JOIN (SELECT * FROM p WHERE side = 'rejected') r
+    ON c.pair_id = r.pair_id AND c.at = r.at GROUP BY 1),
+pre AS (SELECT pair_id, coalesce(differs - 1, cn) AS k, cn, rn FROM d),
+q AS (
+  SELECT p.*, k, sum(CASE WHEN at > k THEN length(head) + length(body) ELSE 0 END)
+      OVER (PARTITION BY p.pair_id, side ORDER BY at) - length(body) AS start
+  FROM p JOIN pre USING (pair_id)),
+g AS (
+  SELECT pair_id,
+    string_agg(CASE WHEN side = 'chosen' AND at <= k THEN head || body ELSE '' END, '' ORDER BY at) AS prompt,
+    string_agg(CASE WHEN side = 'chosen' AND at > k THEN head || body ELSE '' END, '' ORDER BY at) AS chosen,
+    string_agg(CASE WHEN side = 'rejected' AND at > k THEN head || body ELSE '' END, '' ORDER BY at) AS rejected,
+    string_agg(CASE WHEN side = 'chosen' AND at > k AND role = 'assistant'
+                    THEN start || '-' || (start + length(body)) END, ';' ORDER BY at) AS cs,
+    string_agg(CASE WHEN side = 'rejected' AND at > k AND role = 'assistant'
+                    THEN start || '-' || (start + length(body)) END, ';' ORDER BY at) AS rs
+  FROM q GROUP BY pair_id)
+SELECT pair_id, k::INT AS prefix_turns, prompt, chosen, rejected, coalesce(cs, '') AS chosen_spans,
+  coalesce(rs, '') AS rejected_spans, cn::INT AS chosen_turns, rn::INT AS rejected_turns
+FROM g JOIN pre USING (pair_id)""",
 }

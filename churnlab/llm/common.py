@@ -70,6 +70,15 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
     return df.mapInArrow(run, schema)
 
 
+def filter_batches(df: DataFrame, keep: Callable[[pa.RecordBatch], list]) -> DataFrame:
+    """Rows of ``df``, all columns as they are, for which ``keep`` (a list of booleans a batch) holds; no shuffle."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows and (out := b.filter(pa.array(keep(b), pa.bool_()))).num_rows:
+                yield out
+    return df.mapInArrow(run, df.schema)
+
+
 def text_key(text: Column) -> Column:
     """With ``doc_id`` the key of a document row: rows that repeat an id with another text stay apart."""
     return F.xxhash64(text)
@@ -89,3 +98,16 @@ def semi_by_row(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
     d = docs.withColumn("_row_key", text_key(F.col("text")))
     cond = d["doc_id"].eqNullSafe(k["_k_id"]) & (d["_row_key"] == k["_k_text"])
     return d.join(k, cond, how).drop("_row_key")
+
+
+class Numbers(dict):
+    """Numbers strings in the order they are first looked up; ``fresh`` lists those numbered since it was emptied."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        n = self[key] = len(self)
+        self.fresh.append(key)
+        return n

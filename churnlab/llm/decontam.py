@@ -21,11 +21,11 @@ import re
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from churnlab.llm.common import configure, map_batches, semi_by_row, text_key
+from churnlab.llm.common import configure, filter_batches, map_batches, text_key
 
 #: Six selected positions each; together they hit every 15-token run with at most 3 substitutions.
 MASKS = ("1011111", "11100111", "1100010111", "101010010011")
@@ -34,25 +34,60 @@ SPAN = min(map(len, MASKS))
 #: Benchmark text bytes in a block: about 1.2 million seeds, 25 MB on an executor.
 BLOCK_BYTES = 2 << 20
 _FILTER_BITS = 22
-_WORD = re.compile(r"\w+")
+#: Texts are hashed in runs of about so many bytes, and their tokens in slices of so many.
+_RUN_BYTES, _RUN_TOKENS = 1 << 20, 1 << 17
+_FACTOR = 0xD6E8FEB86659FD93
+_SIGN = re.compile(r"[^\w\x00-\x7f]")
+_IN_WORD = np.array([chr(b).isalnum() or b == 95 or b > 127 for b in range(256)])
 _ODD = np.array([0x9E3779B97F4A7C15 * (2 * i + 1) % 2**64 for i in range(64)], np.uint64)
 
 
-class _Hashes(dict):
-    """Token -> 64-bit hash, remembered up to a bounded number of tokens."""
+def _powers(factor: int, n: int) -> np.ndarray:
+    out = np.full(n, factor, np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
 
-    def __missing__(self, token: str) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        h = self[token] = xxhash.xxh64_intdigest(token.encode("utf-8", "surrogatepass"))
-        return h
 
+def token_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the tokens of all texts in a row, each text's first and number, and for each token its text's end.
 
-_hashes = _Hashes()
-
-
-def token_hashes(text: str | None) -> list[int]:
-    return [_hashes[t] for t in _WORD.findall(text.lower())] if text else []
+    A token's hash is a polynomial in its UTF-8 bytes modulo 2^64, read off running sums over a whole run of texts.
+    """
+    raw = [_plain(t).encode("utf-8", "surrogatepass") if t else b"" for t in texts]
+    found, k = [], 0
+    while k < len(raw):
+        first, size = k, 0
+        while k < len(raw) and (k == first or size + len(raw[k]) < _RUN_BYTES):
+            size, k = size + len(raw[k]) + 1, k + 1
+        found.append(_hash_run(raw[first:k]))
+    flat = np.concatenate([h for h, _ in found]) if found else np.empty(0, np.uint64)
+    lens = np.concatenate([n for _, n in found]) if found else np.empty(0, np.int64)
+    ends = np.cumsum(lens)
+    return flat, ends - lens, lens, np.repeat(ends, lens)
+
+
+def _plain(text: str) -> str:
+    text = text.lower()
+    return text if text.isascii() else _SIGN.sub(" ", text)
+
+
+def _hash_run(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    data = np.frombuffer(b" ".join(raw) + b" ", np.uint8)
+    inside = _IN_WORD[data]
+    edge = np.diff(np.r_[False, inside].view(np.int8))
+    first, last = np.nonzero(edge == 1)[0], np.nonzero(edge == -1)[0]
+    ends = np.cumsum([len(r) + 1 for r in raw])
+    lens = np.diff(np.r_[0, np.searchsorted(first, ends)])
+    out = np.empty(len(first), np.uint64)
+    for k in range(0, len(first), _RUN_TOKENS):  # a slice at a time: a text may be of any length
+        a, z = first[k:k + _RUN_TOKENS], last[k:k + _RUN_TOKENS]
+        at, n = int(a[0]), int(z[-1] - a[0])
+        sums = np.concatenate((np.zeros(1, np.uint64),
+                               np.cumsum(data[at:at + n] * _powers(_FACTOR, n), dtype=np.uint64)))
+        h = (sums[z - at] - sums[a - at]) * _powers(pow(_FACTOR, -1, 2**64), n)[a - at]
+        h ^= h >> np.uint64(29)
+        out[k:k + len(a)] = h * _ODD[50] + (z - a).astype(np.uint64) * _ODD[51]
+    return out, lens
 
 
 def seeds(tokens: np.ndarray, ends: np.ndarray, mask: str, number: int) -> tuple[np.ndarray, np.ndarray]:
@@ -71,36 +106,29 @@ def seeds(tokens: np.ndarray, ends: np.ndarray, mask: str, number: int) -> tuple
     return h, np.arange(n) + len(mask) <= ends[:n]
 
 
-def _flat(texts: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    lens = np.array([len(t) for t in texts], np.int64)
-    starts = np.concatenate(([0], np.cumsum(lens)[:-1])).astype(np.int64)
-    flat = np.fromiter((h for t in texts for h in t), np.uint64, int(lens.sum()))
-    return flat, starts, lens, np.repeat(starts + lens, lens)
-
-
 class Index:
     """Seeds of one block of items: sorted hashes with item and position, and a bit filter before them."""
 
     def __init__(self, items: list[tuple[object, str | None]]):
-        own = [(i, t) for i, t in ((i, token_hashes(x)) for i, x in items) if len(t) >= SPAN]
-        self.ids = [i for i, _ in own]
-        self.tokens, self.starts, self.lens, ends = _flat([t for _, t in own])
-        item_at = np.repeat(np.arange(len(own)), self.lens)
+        self.ids = [i for i, _ in items]
+        self.tokens, self.starts, self.lens, ends = token_hashes([t for _, t in items])
+        item_at = np.repeat(np.arange(len(items)), self.lens)
         h, at = [], []
         for k, mask in enumerate(MASKS):
             x, ok = seeds(self.tokens, ends, mask, k)
             h.append(x[ok])
             at.append(np.nonzero(ok)[0])
-        self.hash, at = (np.concatenate(x) if own else np.empty(0, np.uint64) for x in (h, at))
+        self.hash, at = np.concatenate(h), np.concatenate(at)
         order = np.argsort(self.hash, kind="stable")
         self.hash, at = self.hash[order], at[order].astype(np.int64)
-        self.item, self.pos = item_at[at], at - self.starts[item_at[at]] if own else at
+        self.item = item_at[at]
+        self.pos = at - self.starts[self.item]
         self.filter = np.zeros(1 << _FILTER_BITS, bool)
         self.filter[(self.hash >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
 
-    def overlaps(self, texts: list[list[int]]) -> list[tuple[int, int, int, int, int, int]]:
+    def overlaps(self, texts: list[str | None]) -> list[tuple[int, int, int, int, int, int]]:
         """(text, item, first token in the text, in the item, tokens compared, tokens equal): the best of each pair."""
-        flat, starts, lens, ends = _flat(texts)
+        flat, starts, lens, ends = token_hashes(texts)
         if not len(flat) or not len(self.hash):
             return []
         text_at = np.repeat(np.arange(len(texts)), lens)
@@ -141,28 +169,32 @@ def verify(a: np.ndarray, b: np.ndarray, shift: int) -> tuple[int, int, int, int
     return int(sums[at]), -(low + shift + at), shift, run
 
 
+def _blocks(benchmark: DataFrame, block_bytes: int):
+    """The index of each block of items, sent to the executors, one after the other."""
+    spark = benchmark.sparkSession
+    items = benchmark.select("item_id", "text").where("text is not null").distinct()
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(1, -(-int(size) // block_bytes))
+    for block in range(blocks):
+        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
+        yield spark.sparkContext.broadcast(Index(sorted(((r[0], r[1]) for r in own), key=str)))
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """A row for each (document row, item) that overlap.
 
     Columns: doc_id, text_key, item_id, doc_token, item_token, run, equal (tokens; starts of the best run).
     """
-    spark = configure(docs.sparkSession)
-    items = benchmark.select("item_id", "text").where("text is not null").distinct()
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-int(size) // block_bytes))
+    configure(docs.sparkSession)
     src = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), "text")
-    kind = [src.schema["doc_id"].dataType.simpleString(), items.schema["item_id"].dataType.simpleString()]
-    schema = (f"doc_id {kind[0]}, text_key long, item_id {kind[1]}, doc_token long, item_token long, run int, "
-              "equal int")
+    kind = [d.schema[c].dataType for d, c in ((src, "doc_id"), (benchmark, "item_id"))]
+    item_type = to_arrow_type(kind[1])
+    schema = (f"doc_id {kind[0].simpleString()}, text_key long, item_id {kind[1].simpleString()}, doc_token long, "
+              "item_token long, run int, equal int")
     out = None
-    for block in range(blocks):
-        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
-        index = spark.sparkContext.broadcast(Index(sorted(((r[0], r[1]) for r in own), key=str)))
-        item_type = pa.from_numpy_dtype(np.int64) if kind[1] == "bigint" else None
-
-        def fn(b: pa.RecordBatch, index=index, item_type=item_type) -> pa.RecordBatch:
-            texts = [token_hashes(t) for t in b.column(2).to_pylist()]
-            rows = index.value.overlaps(texts)
+    for index in _blocks(benchmark, block_bytes):
+        def fn(b: pa.RecordBatch, index=index) -> pa.RecordBatch:
+            rows = index.value.overlaps(b.column(2).to_pylist())
             t = pa.array([r[0] for r in rows], pa.int64())
             ids = pa.array([index.value.ids[r[1]] for r in rows], item_type)
             more = [pa.array([r[k] for r in rows], pa.int64() if k < 4 else pa.int32()) for k in range(2, 6)]
@@ -174,7 +206,12 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYT
     return out
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Documents that overlap no benchmark item, all columns kept."""
-    hit = overlaps(docs, benchmark).select("doc_id", "text_key").distinct()
-    return semi_by_row(docs, hit, "left_anti").select(*docs.columns)
+    configure(docs.sparkSession)
+    for index in _blocks(benchmark, block_bytes):
+        def keep(b: pa.RecordBatch, index=index) -> list[bool]:
+            hit = {r[0] for r in index.value.overlaps(b.column("text").to_pylist())}
+            return [i not in hit for i in range(b.num_rows)]
+        docs = filter_batches(docs, keep)
+    return docs

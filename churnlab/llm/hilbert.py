@@ -85,8 +85,10 @@ def _sortable(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("string")
 
 
-def cell_bounds(df: DataFrame, dims: list[str], bits: int = BITS) -> dict[str, list[str]]:
-    """For each dimension the lower bounds (as sortable strings) of the equal-depth cells after the first.
+def cell_bounds(df: DataFrame, dims: list[str], bits: int = BITS) -> dict[str, list[tuple[str, int]]]:
+    """For each dimension the lower bounds (as sortable strings) of the equal-depth cells after the first, and the cell.
+
+    A value that fills several cells begins where its rows begin, so frequent values keep their room on the curve.
 
     Values are counted before they are shuffled; running counts go over range partitions of the distinct values.
     """
@@ -104,19 +106,19 @@ def cell_bounds(df: DataFrame, dims: list[str], bits: int = BITS) -> dict[str, l
     ranked = spread.withColumn("run", running).join(F.broadcast(before), ["dim", "part"])
     cell = F.floor((F.col("run") + F.col("before")) * (1 << bits) / F.col("total"))
     firsts = ranked.groupBy("dim", cell.alias("cell")).agg(F.min("value").alias("value")).where("cell > 0")
-    out: dict[str, list[str]] = {d: [] for d in dims}
+    out: dict[str, list[tuple[str, int]]] = {d: [] for d in dims}
     for r in firsts.orderBy("dim", "value").collect():
-        out[dims[r["dim"]]].append(r["value"])
+        out[dims[r["dim"]]].append((r["value"], r["cell"]))
     return out
 
 
-def _cell(value: Column, bounds: list[str]) -> Column:
-    """How many bounds are not above the value: a binary search unrolled over the bounds, null being 0."""
+def _cell(value: Column, bounds: list[tuple[str, int]]) -> Column:
+    """Cell of the last bound not above the value, by a binary search unrolled over the bounds; null is in cell 0."""
     def search(low: int, high: int) -> Column:
         if low == high:
-            return F.lit(low)
+            return F.lit(bounds[low - 1][1] if low else 0)
         mid = (low + high) // 2
-        return F.when(value < bounds[mid], search(low, mid)).otherwise(search(mid + 1, high))
+        return F.when(value < bounds[mid][0], search(low, mid)).otherwise(search(mid + 1, high))
     return F.when(value.isNull(), F.lit(0)).otherwise(search(0, len(bounds)))
 
 

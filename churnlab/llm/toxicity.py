@@ -3,7 +3,8 @@
 Labelled sentences that name a group are copied with the group term swapped for others of its kind. Besides the log
 loss of the labels, training penalises the squared change of the score under a swap, so a term that happens to occur
 in toxic documents carries no weight of its own and neutral mentions of groups keep their low scores. Features are
-the presence of words: those whose share differs most between the classes, counted by Spark, plus the group terms.
+the presence of words and of word beginnings (so that other forms of a word count too): those whose share differs most
+between the classes, counted by Spark, plus the group terms.
 
 The classifier is fitted on a bounded sample of labelled documents (``SAMPLE`` rows at most, ``FEATURES`` words);
 every document is scored over its whole text. Nothing but the sample and the model passes the driver.
@@ -29,6 +30,8 @@ from churnlab.llm.linear import fit_logistic, labelled_sample, sigmoid
 SAMPLE, FEATURES, LEAST_DF, LEAST_Z = 8000, 800, 5, 4.0
 #: Strength of the swap penalty and of plain shrinkage; swaps made of each sentence with a group term.
 SWAP_PENALTY, L2, SWAPS = 50.0, 1.0, 2
+#: Lengths of the word beginnings that are features.
+BEGINNINGS = (4, 5)
 #: Group terms; a term is swapped for others of the same row only.
 IDENTITY_TERMS = (
     ("women", "men", "girls", "boys"), ("woman", "man", "girl", "boy"),
@@ -46,7 +49,12 @@ _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 
 
 def words(text: str | None) -> set[str]:
-    return set(_WORD.findall(text.lower())) if text else set()
+    """The words of a text and the beginnings of its longer words, marked by ``^``."""
+    return with_beginnings(set(_WORD.findall(text.lower()))) if text else set()
+
+
+def with_beginnings(found: set[str]) -> set[str]:
+    return found.union(*({"^" + w[:k] for w in found if len(w) > k} for k in BEGINNINGS))
 
 
 def swapped(text: str, terms: tuple[tuple[str, ...], ...] = IDENTITY_TERMS, swaps: int = SWAPS) -> list[set[str]]:
@@ -61,7 +69,7 @@ def swapped(text: str, terms: tuple[tuple[str, ...], ...] = IDENTITY_TERMS, swap
                     w, changed = row[(at[1] + shift) % len(row)], True
                 found.add(w)
         if changed:
-            out.append(found)
+            out.append(with_beginnings(found))
     return out
 
 

@@ -24,6 +24,7 @@ import re
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField, StructType
 
 from churnlab.llm.common import Numbers, configure
 from churnlab.llm.double_array import DoubleArray
@@ -264,7 +265,7 @@ def encode_documents(docs: DataFrame, path: str = MODEL) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()), mask=null)
             yield pa.RecordBatch.from_arrays([*b.columns, lists, pa.array(back, pa.bool_())],
                                              [*b.schema.names, "ids", "decodes"])
-    schema = src.schema.add("ids", "array<int>").add("decodes", "boolean")
+    schema = StructType([*src.schema, StructField("ids", ArrayType(IntegerType())), StructField("decodes", BooleanType())])
     return src.mapInArrow(run, schema)
 
 
@@ -280,6 +281,6 @@ def decode_documents(encoded: DataFrame, path: str = MODEL) -> DataFrame:
                 out = [None if x is None else decode(shared.value, x) for x in b.column("ids").to_pylist()]
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.string())],
                                                  [*b.schema.names, "decoded"])
-    return src.mapInArrow(run, src.schema.add("decoded", "string"))
+    return src.mapInArrow(run, StructType([*src.schema, StructField("decoded", StringType())]))
 
 

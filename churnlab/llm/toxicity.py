@@ -27,9 +27,9 @@ from churnlab.llm.common import configure, filter_batches, map_batches, text_key
 from churnlab.llm.linear import fit_logistic, labelled_sample, sigmoid
 
 #: Labelled documents fitted on, words kept, least documents of a word, least z of its difference between classes.
-SAMPLE, FEATURES, LEAST_DF, LEAST_Z = 8000, 800, 5, 4.0
+SAMPLE, FEATURES, LEAST_DF, LEAST_Z = 8000, 800, 5, 5.5
 #: Strength of the swap penalty and of plain shrinkage; swaps made of each sentence with a group term.
-SWAP_PENALTY, L2, SWAPS = 50.0, 1.0, 2
+SWAP_PENALTY, L2, SWAPS = 50.0, 0.2, 2
 #: Lengths of the word beginnings that are features.
 BEGINNINGS = (4, 5)
 #: Group terms; a term is swapped for others of the same row only.

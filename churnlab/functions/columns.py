@@ -104,12 +104,25 @@ def confusion_label(label, pred) -> Column:
 
 # fixed values: risk bands of the scoring front end
 RISK_BANDS = ((0.3, "low"), (0.5, "medium"))
+# fixed values: risk bands of the result display
+DISPLAY_BANDS = ((0.25, "low"), (0.5, "medium"))
 
 
-def risk_band(prob) -> Column:
+def risk_band(prob, bands=RISK_BANDS) -> Column:
     x = _c(prob)
-    return F.when(x < RISK_BANDS[0][0], RISK_BANDS[0][1]).when(x < RISK_BANDS[1][0], RISK_BANDS[1][1]).when(
-        x.isNotNull(), "high")
+    return F.when(x < bands[0][0], bands[0][1]).when(x < bands[1][0], bands[1][1]).when(x.isNotNull(), "high")
+
+
+def discount_cols(list_price="plan_list_price", paid="actual_amount_paid") -> tuple[Column, Column]:
+    """Discount amount, and its share of the list price as decimal(18,8) (NULL without a positive list price)."""
+    amount = _c(list_price) - _c(paid)
+    return amount, safe_ratio(amount, _c(list_price)).cast("decimal(18,8)")
+
+
+def key_hash(key: str, seed: int, buckets: int) -> Column:
+    """Bucket of a key by the first 32 bits of md5(key ':' seed): the same number in any engine that has md5."""
+    text = F.concat(F.col(key).cast("string"), F.lit(f":{seed}")).cast("binary")
+    return F.pmod(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long"), F.lit(buckets))
 
 
 # Order-reversing map for numeric text: '-' < '.' < '0' < ... < '9' go to 'L' > 'K' > ... > 'A'.

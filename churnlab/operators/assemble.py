@@ -10,6 +10,7 @@ All medians for imputation are computed in one distributed pass.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -31,11 +32,23 @@ def prev_label_join(users: DataFrame, prev_labels: DataFrame) -> DataFrame:
 def assemble_raw(users: DataFrame, tx: DataFrame, logs: DataFrame, members: DataFrame,
                  prev_labels: DataFrame | None, cfg, tie_cols: Sequence[str] = ()) -> DataFrame:
     """Left-joined, not yet imputed matrix with coverage flags (flags are set before imputing)."""
-    txf = FT.transaction_features(tx, cfg, tie_cols)
+    return _join_sources(users, FT.transaction_features(tx, cfg, tie_cols), logs, members, prev_labels, cfg)
+
+
+def assemble_labelled(tx: DataFrame, logs: DataFrame, members: DataFrame, cfg, prev_start: dt.date,
+                      tie_cols: Sequence[str] = ()) -> DataFrame:
+    """As ``assemble_raw``, with the labels taken from the transactions in the same scan and shuffle."""
+    base = FT.labelled_transaction_features(tx, cfg, prev_start, tie_cols)
+    return _join_sources(base, None, logs, members, None, cfg)
+
+
+def _join_sources(users: DataFrame, txf: DataFrame | None, logs: DataFrame, members: DataFrame,
+                  prev_labels: DataFrame | None, cfg) -> DataFrame:
     memf = FT.member_features(members, cfg.prediction_date)
     agg = FT.log_user_agg(logs, cfg.log_max_date, cfg.log_recent, cfg.log_windows)
     logf = agg.select("msno", *FT.log_feature_exprs(cfg.log_ref_date), *FT.multiwindow_exprs())
-    df = users.join(txf, "msno", "left").join(memf, "msno", "left").join(logf, "msno", "left")
+    df = users if txf is None else users.join(txf, "msno", "left")
+    df = df.join(memf, "msno", "left").join(logf, "msno", "left")
     if prev_labels is not None:
         df = prev_label_join(df, prev_labels)
     elif "prev_churn" in users.columns:

@@ -61,12 +61,11 @@ def _unpivot_one(one: DataFrame, names: Sequence[str], name_col: str, fields: di
 
 # ---------------------------------------------------------------- A10
 def dataset_profile(df: DataFrame, key: str, date_col: str | None = None, name: str = "table") -> DataFrame:
-    """A10: rows, columns, NULL cells, distinct keys, date range in one pass."""
-    nulls = None
-    for c in df.columns:
-        t = F.count_if(F.col(c).isNull())
-        nulls = t if nulls is None else nulls + t
-    aggs = [F.count(F.lit(1)).alias("n_rows"), nulls.alias("n_null_cells"), F.count_distinct(key).alias("n_keys")]
+    """A10: rows, columns, NULL cells (all, and "column=count" of each), distinct keys, date range in one pass."""
+    per = [F.count_if(F.col(c).isNull()) for c in df.columns]
+    by_column = F.concat_ws(";", *[F.concat(F.lit(f"{c}="), n.cast("string")) for c, n in zip(df.columns, per)])
+    aggs = [F.count(F.lit(1)).alias("n_rows"), sum(per[1:], per[0]).alias("n_null_cells"),
+            by_column.alias("nulls_by_column"), F.count_distinct(key).alias("n_keys")]
     if date_col:
         aggs += [F.min(date_col).alias("min_date"), F.max(date_col).alias("max_date")]
     return df.agg(*aggs).select(F.lit(name).alias("table"), F.lit(len(df.columns)).alias("n_cols"), "*")
@@ -241,6 +240,15 @@ def outcome_profile(df: DataFrame, cols: Sequence[str], label: str = "is_churn",
                                    *[F.round(F.avg(F.col(c).cast("double")), digits).alias(c) for c in cols])
 
 
+def missed_by_bucket(df: DataFrame, c: str, edges: Sequence, names: Sequence[str], label: str = "is_churn",
+                     prob: str = "prob", thr: float = 0.5, digits: int = 6) -> DataFrame:
+    """Count and mean score of the false negatives per bucket of ``c``."""
+    from churnlab.functions.columns import cut
+    missed = df.where((F.col(label) == 1) & (F.col(prob) < thr))
+    return missed.groupBy(cut(c, edges, names).alias("bucket")).agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg(prob), digits).alias(f"mean_{prob}"))
+
+
 # ---------------------------------------------------------------- A23 / A24
 def column_medians(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Exact median of each column."""

@@ -51,54 +51,32 @@ LAST_COLS = {
 }
 
 
-def profile_aggs(tie_cols: Sequence[str] = ()) -> list[Column]:
-    """Aggregates of A1 + A2 for one ``groupBy('msno')``.
+def profile_aggs(tie_cols: Sequence[str] = (), n_rows: Column | None = None) -> list[Column]:
+    """Aggregates of A1 + A2 for one ``groupBy('msno')``: one pass, no second look at any row.
 
-    The latest row is taken once, as a struct (one arg-max instead of one per
-    column). pandas-style "last non-NULL per column" differs from it only for
-    users with NULLs in those columns; ``_n_null_rows`` flags them and
-    ``_resolve_last`` recomputes exactly those users column by column.
+    Every "last" attribute is its own arg-max over the rows where the column is not NULL (pandas ``last``), so rows
+    with NULLs need no repair. ``n_rows`` replaces the plain row count where some rows are masked.
     """
     key = _order_key(tie_cols)
     disc = safe_ratio(F.col("plan_list_price") - F.col("actual_amount_paid"), F.col("plan_list_price"))
     disc = disc.cast("decimal(18,8)")
-    any_null = None
-    for c in LAST_COLS.values():
-        any_null = F.col(c).isNull() if any_null is None else (any_null | F.col(c).isNull())
     return [
-        F.count(F.lit(1)).alias("n_transactions"),
+        (F.count(F.lit(1)) if n_rows is None else n_rows).alias("n_transactions"),
         F.sum("is_cancel").alias("n_cancels"),
         F.max("is_cancel").alias("ever_canceled"),
         (F.sum(disc).cast("double") / F.count(disc)).alias("avg_discount_pct"),
         (F.sum("payment_plan_days").cast("double") / F.count("payment_plan_days")).alias("avg_plan_days"),
         (F.sum("actual_amount_paid").cast("double") / F.count("actual_amount_paid")).alias("avg_price"),
         # Distinct counts through sets: no Expand (which would triple the rows
-        # before the aggregate); a set is bounded by the small value domain
+        # before the aggregate); a set is bounded by the value domain
         # (plan lengths, payment methods), not by the user's row count.
         F.size(F.collect_set("payment_plan_days")).cast("long").alias("n_unique_plans"),
         F.size(F.collect_set("payment_method_id")).cast("long").alias("n_payment_methods"),
-        F.max_by(F.struct(*[F.col(c).alias(n) for n, c in LAST_COLS.items()]), key).alias("_last"),
+        *[_last(c, key).alias(n) for n, c in LAST_COLS.items()],
         _first("actual_amount_paid", key).alias("_first_paid"),
-        F.count_if(any_null).alias("_n_null_rows"),
     ]
 
 
-def _resolve_last(agg: DataFrame, tx: DataFrame, tie_cols: Sequence[str]) -> DataFrame:
-    """Exact per-column last non-NULL values for users whose rows contain NULLs.
-
-    Only those users' rows are re-aggregated (semi join on the flagged keys);
-    on clean data the flagged set is empty and AQE drops the branch at run time.
-    """
-    key = _order_key(tie_cols)
-    flagged = agg.where(F.col("_n_null_rows") > 0).select("msno")
-    fix = (tx.join(flagged, "msno", "left_semi").groupBy("msno")
-           .agg(*[_last(c, key).alias(f"_fix_{n}") for n, c in LAST_COLS.items()]))
-    j = agg.join(fix, "msno", "left")
-    dirty = F.col("_n_null_rows") > 0
-    return j.select(*[c for c in agg.columns if c not in ("_last", "_n_null_rows")],
-                    *[F.when(dirty, F.col(f"_fix_{n}")).otherwise(F.col(f"_last.{n}")).alias(n) for n in LAST_COLS])
-
-
 def profile_post() -> list:
     return [
     "n_transactions", "n_cancels", "ever_canceled", "avg_discount_pct", "avg_plan_days", "avg_price",
@@ -117,9 +95,7 @@ PROFILE_COLS = ["n_transactions", "n_cancels", "ever_canceled", "avg_discount_pc
 
 def tx_user_profile(tx: DataFrame, as_of: dt.date | None = None, tie_cols: Sequence[str] = ()) -> DataFrame:
     """A1 + A2: eight per-user aggregates plus last/first row attributes."""
-    src = _as_of(tx, as_of)
-    agg = _resolve_last(src.groupBy("msno").agg(*profile_aggs(tie_cols)), src, tie_cols)
-    return agg.select("msno", *profile_post())
+    return _as_of(tx, as_of).groupBy("msno").agg(*profile_aggs(tie_cols)).select("msno", *profile_post())
 
 
 # ---------------------------------------------------------------- A8
@@ -192,18 +168,54 @@ def tx_recency(tx: DataFrame, ref: dt.date, as_of: dt.date | None = None) -> Dat
 
 
 # ---------------------------------------------------------------- fused
+_TX_COLS = ("is_cancel", "plan_list_price", "actual_amount_paid", "payment_plan_days", "payment_method_id",
+            "is_auto_renew", "membership_expire_date", "transaction_date")
+
+
+def _masked(tx: DataFrame, as_of: dt.date | None, tie_cols: Sequence[str]) -> DataFrame:
+    """All rows, their columns NULL after the cutoff; ``_seen`` marks the others, ``_date`` is every row's date."""
+    seen = F.lit(True) if as_of is None else F.coalesce(F.col("transaction_date") <= ymd(as_of), F.lit(False))
+    cols = dict.fromkeys([*_TX_COLS, *tie_cols])
+    return tx.select("msno", seen.alias("_seen"), F.col("transaction_date").alias("_date"),
+                     *[F.when(seen, F.col(c)).alias(c) for c in cols])
+
+
+def _fused(tx: DataFrame, cfg, tie_cols: Sequence[str], extra: Sequence[Column] = ()) -> DataFrame:
+    return _masked(tx, cfg.tx_as_of, tie_cols).groupBy("msno").agg(
+        *profile_aggs(tie_cols, F.count_if(F.col("_seen"))), *expiry_aggs(tie_cols), *recency_aggs(cfg.tx_ref), *extra)
+
+
+def _fused_post(cfg) -> list[Column]:
+    seen, has_exp = F.col("n_transactions") > 0, F.col("_exp").isNotNull()
+    named = [F.col(c) if isinstance(c, str) else c for c in profile_post()]
+    prof = [F.when(seen, c).alias(n) for n, c in zip(PROFILE_COLS, named)]
+    exp = [F.when(has_exp, c).alias(n) for n, c in _expiry_exprs(cfg.prediction_date).items()]
+    rec = [F.when(F.col("_last_tx").isNotNull(), c).alias(n) for n, c in zip(RECENCY_COLS, recency_post(cfg.tx_ref))]
+    return [*prof, *exp, *rec]
+
+
 def transaction_features(tx: DataFrame, cfg, tie_cols: Sequence[str] = ()) -> DataFrame:
-    """A1 + A2 + A8 + A9 in one ``groupBy('msno')``: a single shuffle of the transactions.
+    """A1 + A2 + A8 + A9 in one ``groupBy('msno')``: one scan and one shuffle of the transactions.
 
     Expiry / recency columns are NULL for users that have no valid expiry /
     transaction date, exactly as a left join of the separate builders gives.
     """
-    src = _as_of(tx, cfg.tx_as_of)
-    agg = _resolve_last(src.groupBy("msno").agg(*profile_aggs(tie_cols), *expiry_aggs(tie_cols),
-                                                  *recency_aggs(cfg.tx_ref)), src, tie_cols)
-    has_exp = F.col("_exp").isNotNull()
-    exp_cols = [F.when(has_exp, c).alias(n) for n, c in _expiry_exprs(cfg.prediction_date).items()]
-    return agg.select("msno", *profile_post(), *exp_cols, *recency_post(cfg.tx_ref))
+    return _fused(_as_of(tx, cfg.tx_as_of), cfg, tie_cols).select("msno", *_fused_post(cfg))
+
+
+def labelled_transaction_features(tx: DataFrame, cfg, prev_start: dt.date, tie_cols: Sequence[str] = ()) -> DataFrame:
+    """Labelled users with their transaction features, from the same single aggregate.
+
+    Labels look past the cutoff (who comes back), features must not: rows after it are masked for the features only.
+    Users first seen before ``cfg.label_start``; ``is_churn`` when no row follows it, ``prev_churn`` likewise for the
+    month from ``prev_start`` (NULL when the user was not there yet).
+    """
+    agg = _fused(tx, cfg, tie_cols, [F.min("_date").alias("_first_date"), F.max("_date").alias("_last_date")])
+    cur, prev = ymd(cfg.label_start), ymd(prev_start)
+    return agg.where(F.col("_first_date") < cur).select(
+        "msno", (F.col("_last_date") < cur).cast("int").alias("is_churn"),
+        F.when(F.col("_first_date") < prev, (F.col("_last_date") < prev).cast("int")).alias("prev_churn"),
+        *_fused_post(cfg))
 
 
 # ---------------------------------------------------------------- logs A3 / A5

@@ -41,7 +41,7 @@ def _apply(df: DataFrame, medians: DataFrame | None, median_cols: Sequence[str],
         if c in constants:
             out.append(F.coalesce(F.col(c).cast("double"), F.lit(float(constants[c]))).alias(c))
         elif c in median_cols:
-            out.append(F.coalesce(F.col(c).cast("double"), F.col(f"__med_{c}")).alias(c))
+            out.append(F.coalesce(F.col(c).cast("double"), F.col(f"__med_{c}"), F.lit(0.0)).alias(c))
         else:
             out.append(F.col(c))
     return df.select(*out)
@@ -50,7 +50,7 @@ def _apply(df: DataFrame, medians: DataFrame | None, median_cols: Sequence[str],
 def impute(df: DataFrame, median_cols: Sequence[str], constants: dict,
            fit_on: DataFrame | None = None) -> DataFrame:
     """Fill NULLs: ``constants`` by value, ``median_cols`` by the exact median of
-    ``fit_on`` (default: ``df`` itself, as the reference does)."""
+    ``fit_on`` (default: ``df`` itself); a column without any value is filled with 0."""
     med_cols = [c for c in median_cols if c in df.columns and c not in constants]
     medians = exact_medians_row(fit_on if fit_on is not None else df, med_cols) if med_cols else None
     return _apply(df, medians, med_cols, {k: v for k, v in constants.items() if k in df.columns})
@@ -72,11 +72,12 @@ def impute_v5(df: DataFrame, fit_on: DataFrame | None = None) -> DataFrame:
     return impute(df, V5_MEDIAN, V5_CONSTANTS, fit_on)
 
 
-def null_report(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """NULL count and share per column (one aggregate pass, unpivoted)."""
+def null_report(df: DataFrame, cols: Sequence[str] | None = None, top: int | None = None) -> DataFrame:
+    """NULL count and share per column (one aggregate pass, unpivoted); ``top``: the most NULLs first."""
     cols = list(cols or [c for c in df.columns])
     one = df.agg(F.count(F.lit(1)).alias("__n"), *[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
     long = one.select("__n", F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).alias("n_null")) for c in cols])).alias("r"))
-    return long.select("r.column", "r.n_null",
-                       F.when(F.col("__n") > 0, F.round(F.col("r.n_null") / F.col("__n") * 100, 4)).alias("pct_null"))
+    out = long.select("r.column", "r.n_null",
+                      F.when(F.col("__n") > 0, F.round(F.col("r.n_null") / F.col("__n") * 100, 4)).alias("pct_null"))
+    return out if top is None else out.orderBy(F.desc("n_null"), "column").limit(top)

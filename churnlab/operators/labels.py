@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from churnlab.functions.columns import desc_text_key, parse_yyyymmdd
 from churnlab.plans.periods import LabelWindow, ymd
 
+SALTS = 16  # tasks a user's groups are dealt to in the labeller's join
 NO_RENEWAL_GAP = 9999  # fixed value: gap reported when no renewal follows
 
 
@@ -54,19 +55,23 @@ def renewal_gap(candidates: DataFrame, future: DataFrame) -> DataFrame:
     ordered before that renewal))``; no renewal -> 9999. Users without any
     future transaction are not in the output (they have no activity).
 
-    Plan: future rows semi-joined to the candidates, one aggregate for the
-    first renewal key, one join back (both sides hash-partitioned on msno, no
-    extra exchange), one aggregate for the cancel minimum.
+    Within one (date, plan text) subscriptions come before cancellations, so the rows of a user are first reduced to
+    one per (user, date, plan text): whether it has a renewal, and its least cancel expiry. That aggregate is spread
+    by all three, so a user with a third of the rows fills many tasks. The walk then needs the first group with a
+    renewal (a partial aggregate) and the cancels of earlier groups; that join is dealt by (user, salt), and the
+    aggregate after it combines map-side.
     """
-    f = (future.join(candidates.select("msno"), "msno", "left_semi")
-         .select("msno", "is_cancel", "membership_expire_date", "transaction_date", order_key().alias("k")))
-    first_renewal = f.groupBy("msno").agg(
-        F.min(F.when(F.col("is_cancel") == 0, F.col("k"))).alias("k0"))
-    j = f.join(first_renewal, "msno")
-    before = F.col("k0").isNull() | (F.col("k") < F.col("k0"))
-    per_user = j.groupBy("msno", "k0").agg(
-        F.min(F.when((F.col("is_cancel") == 1) & before, F.col("membership_expire_date"))).alias("cancel_min"))
-    out = candidates.join(per_user, "msno")
+    keys = order_key()
+    g = (future.select("msno", "is_cancel", "membership_expire_date", keys["d"].alias("d"), keys["s"].alias("s"))
+         .groupBy("msno", "d", "s").agg(
+             F.max(F.coalesce(F.col("is_cancel") == 0, F.lit(False))).alias("renews"),
+             F.min(F.when(F.col("is_cancel") == 1, F.col("membership_expire_date"))).alias("cancel_min")))
+    first = g.groupBy("msno").agg(F.min(F.when(F.col("renews"), F.struct("d", "s"))).alias("k0"))
+    users = candidates.select("msno", "last_expire").join(first, "msno").withColumn(
+        "salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    j = g.withColumn("salt", F.pmod(F.xxhash64("d", "s"), F.lit(SALTS)).cast("int")).join(users, ["msno", "salt"])
+    earlier = F.col("k0").isNull() | (F.struct("d", "s") < F.col("k0"))
+    out = j.groupBy("msno", "last_expire", "k0").agg(F.min(F.when(earlier, F.col("cancel_min"))).alias("cancel_min"))
     shortened = F.least(F.col("last_expire"), F.coalesce(F.col("cancel_min"), F.col("last_expire")))
     gap = F.datediff(parse_yyyymmdd(F.col("k0.d"), strict=True), parse_yyyymmdd(shortened, strict=True))
     return out.select("msno", "last_expire",

@@ -3,10 +3,10 @@
 No metric sorts the whole input in one task. Scores are first reduced to
 distinct values with positive / negative counts (map-side partial
 aggregation, so a score shared by a third of the rows is one row), the
-distinct scores are cut into ~B ranges by approximate quantiles, range
-totals (B rows) give exact offsets, and the running sums run inside each
-range only. Results are exact, ties included; AUC uses integer arithmetic up
-to one final division.
+distinct scores are written in ranges of a bounded number of rows, range
+totals (a small table) give exact offsets, and the running sums run inside
+each range only. Results are exact, ties included; AUC uses whole decimals
+up to one final division.
 """
 
 from __future__ import annotations
@@ -14,53 +14,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnlab.functions.columns import count_less_sorted, label_at
-from churnlab.operators.quantiles import MAX_BUCKETS, MIN_BUCKETS, SMALL_TABLE_VALUES, VALUES_PER_BUCKET
+from churnlab.functions.columns import label_at
+from churnlab.operators.quantiles import VALUES_PER_RANGE, before, in_ranges
 from churnlab.session import materialize
 
 EPS = 2.220446049250313e-16  # fixed value: float64 machine epsilon used to clip probabilities
 F1_EPS = 1e-9                # fixed value: smoothing term of the F1 search
 
 
-def threshold_table(df: DataFrame, label: str = "label", prob: str = "prob", buckets: int | None = None
+def threshold_table(df: DataFrame, label: str = "label", prob: str = "prob", per_range: int = VALUES_PER_RANGE
                     ) -> DataFrame:
     """For every distinct score ``threshold`` (pred = prob >= threshold):
     tp, fp, fn, tn and the per-score counts pos / neg.
 
-    The distinct-score table is written once; when it is counted at no more
-    than SMALL_TABLE_VALUES rows the running sums run in one bounded window,
-    otherwise per score range with exact offsets.
+    Distinct scores lie in written ranges, greatest first; range totals (a small table) give exact offsets and the
+    running sums run inside each range only.
     """
-    g = materialize(df.where(F.col(prob).isNotNull())
-                    .groupBy(F.col(prob).cast("double").alias("threshold"))
-                    .agg(F.sum(F.col(label).cast("long")).alias("pos"), F.count(F.lit(1)).alias("_n"))
-                    .select("threshold", "pos", (F.col("_n") - F.col("pos")).alias("neg")))
-    if buckets is None:
-        n_scores = g.count()
-        if n_scores <= SMALL_TABLE_VALUES:
-            down = Window.orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
-            allw = Window.partitionBy()
-            t = g.select("threshold", "pos", "neg", F.sum("pos").over(down).alias("tp"),
-                         F.sum("neg").over(down).alias("fp"), F.sum("pos").over(allw).alias("P"),
-                         F.sum("neg").over(allw).alias("N"))
-            return t.select("threshold", "pos", "neg", "tp", "fp", (F.col("P") - F.col("tp")).alias("fn"),
-                            (F.col("N") - F.col("fp")).alias("tn"), "P", "N")
-        buckets = min(MAX_BUCKETS, max(MIN_BUCKETS, -(-n_scores // VALUES_PER_BUCKET)))
-    fr = [i / buckets for i in range(1, buckets)]
-    bounds = g.agg(F.percentile_approx("threshold", fr, 10000).alias("b"))
-    gb = g.crossJoin(F.broadcast(bounds)).select(
-        "threshold", "pos", "neg", count_less_sorted("b", "threshold", buckets - 1).alias("bucket"))
-    tot = gb.groupBy("bucket").agg(F.sum("pos").alias("bp"), F.sum("neg").alias("bn"))
-    above = Window.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    allw = Window.partitionBy()
-    off = tot.select("bucket", F.coalesce(F.sum("bp").over(above), F.lit(0)).alias("op"),
-                     F.coalesce(F.sum("bn").over(above), F.lit(0)).alias("on"),
-                     F.sum("bp").over(allw).alias("P"), F.sum("bn").over(allw).alias("N"))
-    run = Window.partitionBy("bucket").orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
-    t = (gb.join(F.broadcast(off), "bucket")
-         .select("threshold", "pos", "neg", "P", "N",
-                 (F.col("op") + F.sum("pos").over(run)).alias("tp"),
-                 (F.col("on") + F.sum("neg").over(run)).alias("fp")))
+    counted = (df.where(F.col(prob).isNotNull()).groupBy(F.col(prob).cast("double").alias("threshold"))
+               .agg(F.sum(F.col(label).cast("long")).alias("pos"), F.count(F.lit(1)).alias("_n"))
+               .select("threshold", "pos", (F.col("_n") - F.col("pos")).alias("neg")))
+    g = in_ranges(counted, [F.desc("threshold")], per_range)
+    off = before(["p", "n"], g.groupBy("part").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")))
+    run = Window.partitionBy("part").orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
+    t = (g.join(F.broadcast(off), "part")
+         .select("threshold", "pos", "neg", F.col("p_all").alias("P"), F.col("n_all").alias("N"),
+                 (F.col("p_before") + F.sum("pos").over(run)).alias("tp"),
+                 (F.col("n_before") + F.sum("neg").over(run)).alias("fp")))
     return t.select("threshold", "pos", "neg", "tp", "fp", (F.col("P") - F.col("tp")).alias("fn"),
                     (F.col("N") - F.col("fp")).alias("tn"), "P", "N")
 
@@ -68,13 +47,14 @@ def threshold_table(df: DataFrame, label: str = "label", prob: str = "prob", buc
 def roc_auc(df: DataFrame, label: str = "label", prob: str = "prob", table: DataFrame | None = None) -> DataFrame:
     """M1: area under ROC with half credit for ties (Mann-Whitney), one row ``roc_auc``.
 
-    2*P*N*AUC = sum over scores of neg * (2 * tp - pos): exact in long arithmetic.
+    2*P*N*AUC = sum over scores of neg * (2 * tp - pos): exact in 38-digit decimals, up to 10^18 rows of a class.
     """
     t = table if table is not None else threshold_table(df, label, prob)
-    one = t.agg(F.sum(F.col("neg") * (2 * F.col("tp") - F.col("pos"))).alias("num"),
+    whole = lambda c: c.cast("decimal(19,0)")
+    one = t.agg(F.sum(whole(F.col("neg")) * whole(2 * F.col("tp") - F.col("pos"))).alias("num"),
                 F.first("P").alias("P"), F.first("N").alias("N"))
-    den = 2 * F.col("P") * F.col("N")
-    return one.select(F.when(den > 0, F.col("num") / F.when(den > 0, den)).alias("roc_auc"))
+    den = (2 * whole(F.col("P")) * whole(F.col("N"))).cast("double")
+    return one.select(F.when(den > 0, F.col("num").cast("double") / F.when(den > 0, den)).alias("roc_auc"))
 
 
 def pr_auc(df: DataFrame, label: str = "label", prob: str = "prob", table: DataFrame | None = None,
@@ -200,8 +180,9 @@ def performance_report(preds: DataFrame, truth: DataFrame, period: str, min_auc:
     gives NULL metrics with n = 0.
     """
     latest = latest_prediction(preds.where(F.col("source") == "batch"), period, model_version, tie=tie)
-    j = eval_join(latest, truth, period, source=None).select(
-        F.col("actual_churn").cast("int").alias("label"), F.col("churn_prob").cast("double").alias("prob"))
+    # three passes read the joined rows: write them once
+    j = materialize(eval_join(latest, truth, period, source=None).select(
+        F.col("actual_churn").cast("int").alias("label"), F.col("churn_prob").cast("double").alias("prob")))
     auc = roc_auc(j)
     ll = log_loss(j)
     basics = j.agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("label"), 6).alias("churn_rate"))

@@ -13,19 +13,23 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import StandardScaler, VectorAssembler, VectorIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from churnlab.functions.columns import key_hash
 from churnlab.operators import metrics as M
 from churnlab.operators.monitor import class_weights
+from churnlab.operators.quantiles import before, in_ranges
+from churnlab.session import materialize
 
 HASH_BUCKETS = 10000
+MAX_CATEGORIES = 32  # feature values up to which a column is treated as categorical by the forest
 
 
 def _h(key: str, seed: int):
-    return F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(HASH_BUCKETS))
+    return key_hash(key, seed, HASH_BUCKETS)
 
 
 def split(df: DataFrame, frac: float = 0.8, seed: int = 42, key: str = "msno") -> tuple[DataFrame, DataFrame]:
@@ -45,24 +49,19 @@ def stratified_folds(df: DataFrame, k: int = 5, seed: int = 42, key: str = "msno
 
     Default: ``pmod(hash, k)`` - no shuffle, stratified in expectation.
     ``exact``: fold sizes within each class differ by at most one. Rows are
-    ranked by (hash, key) inside their class without a per-class window: the
-    hash is uniform, so its top 8 bits cut each class into 256 ordered ranges;
-    range sizes (a tiny table) give offsets and ``row_number`` runs inside each
-    range only. fold = floor(rank * k / class size).
+    ranked by (hash, key) inside their class: written in ranges of a bounded
+    number of rows, ranked inside each range, the rows of the ranges before
+    added. fold = floor(rank * k / class size).
     """
-    h = F.xxhash64(F.col(key), F.lit(seed))
     if not exact:
-        return df.withColumn("fold", F.pmod(h, F.lit(k)).cast("int"))
-    x = df.withColumn("_h", h).withColumn("_r", F.shiftright(F.col("_h"), 56))
-    sizes = x.groupBy(label, "_r").agg(F.count(F.lit(1)).alias("_c"))
-    before = Window.partitionBy(label).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
-    off = sizes.select(label, "_r", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"),
-                       F.sum("_c").over(Window.partitionBy(label)).alias("_n"))
-    inner = Window.partitionBy(label, "_r").orderBy("_h", key)
-    ranked = x.join(F.broadcast(off), [label, "_r"]).withColumn(
-        "_rank", F.col("_off") + F.row_number().over(inner) - 1)
-    return ranked.withColumn("fold", F.floor(F.col("_rank") * k / F.col("_n")).cast("int")).drop(
-        "_h", "_r", "_off", "_n", "_rank")
+        return df.withColumn("fold", key_hash(key, seed, k).cast("int"))
+    x = in_ranges(df.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed))), [label, "_h", key])
+    off = before(["_n"], x.groupBy(label, "part").agg(F.count(F.lit(1)).alias("_n")), [label]).drop("_n")
+    inner = Window.partitionBy(label, "part").orderBy("_h", key)
+    ranked = x.join(F.broadcast(off), [label, "part"]).withColumn(
+        "_rank", F.col("_n_before") + F.row_number().over(inner) - 1)
+    return ranked.withColumn("fold", F.floor(F.col("_rank") * k / F.col("_n_all")).cast("int")).drop(
+        "_h", "part", "_n_before", "_n_all", "_rank")
 
 
 def with_class_weight(df: DataFrame, label: str = "is_churn", col: str = "weight") -> DataFrame:
@@ -100,11 +99,17 @@ def gbt_pipeline(features: Sequence[str], label: str = "is_churn", weight: str |
 
 def rf_pipeline(features: Sequence[str], label: str = "is_churn", weight: str | None = "weight",
                 num_trees: int = 50, max_depth: int = 8, seed: int = 42) -> Pipeline:
-    """Random forest, the differently biased third ensemble member."""
+    """Random forest, the differently biased third ensemble member.
+
+    Columns with at most ``MAX_CATEGORIES`` values are indexed and split as categories, not as numbers.
+    """
+    raw = _assembler(features).setOutputCol("raw_features")
+    index = VectorIndexer(inputCol="raw_features", outputCol="features", maxCategories=MAX_CATEGORIES,
+                          handleInvalid="keep")
     r = RandomForestClassifier(labelCol=label, numTrees=num_trees, maxDepth=max_depth, seed=seed)
     if weight:
         r = r.setWeightCol(weight)
-    return Pipeline(stages=[_assembler(features), r])
+    return Pipeline(stages=[raw, index, r.setMaxBins(2 * MAX_CATEGORIES)])
 
 
 BUILDERS = {"lr": lr_pipeline, "gbt": gbt_pipeline, "rf": rf_pipeline}
@@ -113,8 +118,12 @@ BUILDERS = {"lr": lr_pipeline, "gbt": gbt_pipeline, "rf": rf_pipeline}
 def score(model: PipelineModel, df: DataFrame, out: str = "prob", keep: Sequence[str] = ("msno", "is_churn")
           ) -> DataFrame:
     """Positive-class probability as a double column."""
-    p = model.transform(df)
-    return p.select(*keep, vector_to_array("probability")[1].alias(out))
+    return add_score(model, df, out).select(*keep, out)
+
+
+def add_score(model: PipelineModel, df: DataFrame, out: str = "prob") -> DataFrame:
+    """``df`` with one score column more; models chain on one DataFrame, without joining scored copies."""
+    return model.transform(df).select(*df.columns, vector_to_array("probability")[1].alias(out))
 
 
 def evaluate(scored: DataFrame, label: str = "is_churn", prob: str = "prob") -> DataFrame:
@@ -128,11 +137,12 @@ def cross_validate(df: DataFrame, features: Sequence[str], models: Sequence[str]
                    seed: int = 42, label: str = "is_churn", params: dict | None = None) -> DataFrame:
     """K-fold metrics per model -> rows (model, fold, roc_auc, pr_auc, log_loss)."""
     from functools import reduce
-    folds = with_class_weight(stratified_folds(df, k, seed), label)
+    folds = df if "fold" in df.columns else materialize(stratified_folds(df, k, seed, label=label))
     rows = []
     for name in models:
         for i in range(k):
-            tr, te = folds.where(F.col("fold") != i), folds.where(F.col("fold") == i)
+            tr = with_class_weight(folds.where(F.col("fold") != i), label)  # weights of the training part only
+            te = folds.where(F.col("fold") == i)
             m = BUILDERS[name](features, label, **(params or {}).get(name, {})).fit(tr)
             ev = evaluate(score(m, te), label)
             rows.append(ev.select(F.lit(name).alias("model"), F.lit(i).alias("fold"), "*"))
@@ -148,9 +158,10 @@ def tune(df: DataFrame, features: Sequence[str], grid: dict[str, Sequence], mode
     if n_draws is not None and n_draws < len(combos):
         combos = random.Random(seed).sample(combos, n_draws)
     trials = []
+    folds = materialize(stratified_folds(df, k, seed, label=label))  # read again by every trial and fold
     for t, combo in enumerate(combos):
         params = dict(zip(keys, combo))
-        cv = cross_validate(df, features, (model,), k, seed, label, {model: params})
+        cv = cross_validate(folds, features, (model,), k, seed, label, {model: params})
         s = cv.agg(F.avg("roc_auc").alias("roc_auc"), F.avg("log_loss").alias("log_loss"))
         trials.append(s.select(F.lit(t).alias("trial"), F.lit(str(params)).alias("params"), "*"))
     return reduce(lambda a, b: a.unionByName(b), trials)
@@ -180,11 +191,6 @@ def feature_importance(model: PipelineModel, features: Sequence[str], top: int =
     return sorted(zip(features, imp.tolist()), key=lambda x: -x[1])[:top]
 
 
-def quality_gate_row(metrics: DataFrame, max_log_loss: float = 0.240) -> DataFrame:
-    from churnlab.operators.monitor import quality_gate
-    return quality_gate(metrics, max_log_loss)
-
-
 def register_version(versions: DataFrame | None, spark, name: str, version: int, metrics: dict,
                      stage: str = "None", now=None) -> DataFrame:
     """Append a version row; ``promote`` moves one version to Production and archives the previous."""
@@ -217,4 +223,7 @@ def score_batch(model: PipelineModel, features: DataFrame, period: str, version:
     if path is not None:
         from churnlab.sources.store import upsert_predictions
         upsert_predictions(out, path, period, version, source)
+        written = features.sparkSession.read.parquet(path).where(
+            (F.col("period") == period) & (F.col("model_version") == version) & (F.col("source") == source))
+        out = written.select(*out.columns)  # the written rows; nothing is scored twice
     return out, score_distribution(out.select(F.col("churn_prob").cast("double").alias("prob")), "prob", thr)

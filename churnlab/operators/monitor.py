@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlab.functions.columns import count_less_sorted, risk_band
-from churnlab.operators.quantiles import exact_quantiles_long
+from churnlab.operators.quantiles import VALUES_PER_RANGE, before, exact_quantiles_long, in_ranges
 from churnlab.session import materialize
 
 
@@ -71,29 +71,22 @@ def drift_by_column(base: DataFrame, cur: DataFrame, cols: Sequence[str], bins:
                       (F.col("psi") > PSI_COLUMN_DRIFT).alias("drifted"))
 
 
-def ks_by_column(lb: DataFrame, lc: DataFrame, buckets: int = 64) -> DataFrame:
+def ks_by_column(lb: DataFrame, lc: DataFrame, per_range: int = VALUES_PER_RANGE) -> DataFrame:
     """Exact two-sample KS statistic per feature: max |F_base(x) - F_cur(x)|.
 
-    Both samples are reduced to (feature, value, base weight, current weight);
-    the empirical CDFs come from bucketed running sums (bounded buckets, exact
-    offsets), so no feature is sorted in one task.
+    Both samples are reduced to (feature, value, base weight, current weight) and written in ranges of a bounded
+    number of values; the empirical CDFs are running sums inside the ranges plus the totals of the ranges before.
     """
-    vc = (lb.select("feature", "v", F.lit(1).alias("wb"), F.lit(0).alias("wc"))
-          .unionByName(lc.select("feature", "v", F.lit(0).alias("wb"), F.lit(1).alias("wc")))
-          .groupBy("feature", "v").agg(F.sum("wb").alias("wb"), F.sum("wc").alias("wc")))
-    fr = [i / buckets for i in range(1, buckets)]
-    stats = vc.groupBy("feature").agg(F.sum("wb").alias("nb"), F.sum("wc").alias("nc"),
-                                      F.percentile_approx("v", fr, 10000).alias("b"))
-    vb = vc.join(F.broadcast(stats), "feature").select(
-        "feature", "v", "wb", "wc", "nb", "nc", count_less_sorted("b", "v", buckets - 1).alias("bucket"))
-    tot = vb.groupBy("feature", "bucket").agg(F.sum("wb").alias("tb"), F.sum("wc").alias("tc"))
-    before = Window.partitionBy("feature").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    off = tot.select("feature", "bucket", F.coalesce(F.sum("tb").over(before), F.lit(0)).alias("ob"),
-                     F.coalesce(F.sum("tc").over(before), F.lit(0)).alias("oc"))
-    run = Window.partitionBy("feature", "bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    cum = vb.join(F.broadcast(off), ["feature", "bucket"]).select(
-        "feature", (F.col("ob") + F.sum("wb").over(run)).alias("cb"), (F.col("oc") + F.sum("wc").over(run)).alias("cc"),
-        "nb", "nc")
+    vc = in_ranges(
+        lb.select("feature", "v", F.lit(1).alias("wb"), F.lit(0).alias("wc"))
+        .unionByName(lc.select("feature", "v", F.lit(0).alias("wb"), F.lit(1).alias("wc")))
+        .groupBy("feature", "v").agg(F.sum("wb").alias("wb"), F.sum("wc").alias("wc")), ["feature", "v"], per_range)
+    off = before(["b", "c"], vc.groupBy("feature", "part").agg(F.sum("wb").alias("b"), F.sum("wc").alias("c")),
+                 ["feature"]).drop("b", "c")
+    run = Window.partitionBy("feature", "part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    cum = vc.join(F.broadcast(off), ["feature", "part"]).select(
+        "feature", (F.col("b_before") + F.sum("wb").over(run)).alias("cb"),
+        (F.col("c_before") + F.sum("wc").over(run)).alias("cc"), F.col("b_all").alias("nb"), F.col("c_all").alias("nc"))
     ok = (F.col("nb") > 0) & (F.col("nc") > 0)
     d = F.when(ok, F.abs(F.col("cb") / F.when(ok, F.col("nb")) - F.col("cc") / F.when(ok, F.col("nc"))))
     return cum.groupBy("feature").agg(F.max(d).alias("ks"))
@@ -162,8 +155,8 @@ def mean_probability(preds: DataFrame, now: dt.datetime) -> DataFrame:
 
 
 def latest_version(preds: DataFrame) -> DataFrame:
-    """Model version of the newest prediction (versions compared as integers on ties)."""
-    vnum = F.regexp_extract("model_version", r"(\d+)", 1).cast("int")
+    """Model version of the newest prediction (versions compared as integers on ties, none being lowest)."""
+    vnum = F.regexp_extract("model_version", r"(\d+)", 1).try_cast("int")
     return preds.agg(F.max_by("model_version", F.struct(F.col("predicted_at"), vnum)).alias("model_version"))
 
 

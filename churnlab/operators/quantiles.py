@@ -1,110 +1,79 @@
 """Exact quantiles of many columns without gathering a column into one task.
 
-Plan (all distributed, bounded broadcasts):
-1. unpivot to (k, v) and pre-aggregate to distinct values with weights
-   (heavy ties collapse here, map-side); this table is written once to the
-   shared checkpoint folder because every later step reads it;
-2. per column: row count and ~B approximate bucket boundaries (a bounded
-   sketch, one small row per column);
-3. bucket every distinct value, total each bucket (ncols x B rows), running
-   offsets over that small table;
-4. running weights inside each (column, bucket) window - a bucket holds about
-   1/B of a column's distinct values, so no task sees a whole column;
-5. pick the values at the two ranks around ``p * (n - 1)`` and interpolate
-   linearly (``lo + (hi - lo) * frac``, the pandas / SQL ``quantile_cont`` rule).
-
-When the written distinct-value table is counted at no more than
-SMALL_TABLE_VALUES rows, steps 2-3 are skipped and the running sums run per
-column (a proven, bounded size per task); results are identical.
+Plan (one path at every size, all distributed, bounded broadcasts):
+1. unpivot to (k, v) and pre-aggregate to distinct values with weights (heavy ties collapse map-side);
+2. range-partition the distinct values by (k, v) into ranges of about VALUES_PER_RANGE rows, written once;
+3. total each (column, range), a small table, and from its running sums find the ranges that hold the two ranks
+   around ``p * (n - 1)``: at most two ranges per column and probability;
+4. only those ranges are read again and sorted, and the values at the ranks are interpolated linearly
+   (``lo + (hi - lo) * frac``, the pandas / SQL ``quantile_cont`` rule).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnlab.functions.columns import count_less_sorted
 from churnlab.session import materialize
 
-VALUES_PER_BUCKET = 250_000   # target distinct values per running-sum window task
-MIN_BUCKETS, MAX_BUCKETS = 16, 4096
-SMALL_TABLE_VALUES = 500_000  # at most this many distinct (column, value) rows: per-column running sums directly
+VALUES_PER_RANGE = 250_000   # rows a running-sum window task holds
+
+
+def in_ranges(df: DataFrame, keys: Sequence[str | Column], per_range: int = VALUES_PER_RANGE) -> DataFrame:
+    """``df`` written in the order of ``keys`` across ranges of about ``per_range`` rows; ``part`` numbers them."""
+    rows = materialize(df)
+    n = max(1, -(-rows.count() // per_range))
+    return materialize(rows.repartitionByRange(n, *keys).withColumn("part", F.spark_partition_id()))
+
+
+def before(cols: Sequence[str], totals: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Totals of the ranges before each range (``<col>_before``) and of all (``<col>_all``), per ``by``.
+
+    ``totals`` has one row a range, so its window holds as many rows as there are ranges.
+    """
+    w = Window.partitionBy(*by)
+    up = w.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select("*", *[x for c in cols for x in (F.coalesce(F.sum(c).over(up), F.lit(0)).alias(f"{c}_before"),
+                                                          F.sum(c).over(w).alias(f"{c}_all"))])
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = (0.5,),
-                    buckets: int | None = None, accuracy: int = 10000) -> DataFrame:
+                    per_range: int = VALUES_PER_RANGE) -> DataFrame:
     """Rows (k, p, q): exact quantile ``q`` of column ``k`` at probability ``p`` (NULLs ignored)."""
     long = (df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("k"), F.col(c).cast("double").alias("v")) for c in cols])).alias("r"))
         .select("r.k", "r.v"))
-    return exact_quantiles_long(long, probs, buckets, accuracy, n_keys=len(cols))
+    return exact_quantiles_long(long, probs, per_range)
 
 
-def exact_quantiles_long(long: DataFrame, probs: Sequence[float] = (0.5,), buckets: int | None = None,
-                         accuracy: int = 10000, n_keys: int = 1) -> DataFrame:
+def exact_quantiles_long(long: DataFrame, probs: Sequence[float] = (0.5,), per_range: int = VALUES_PER_RANGE
+                         ) -> DataFrame:
     """Same as ``exact_quantiles`` for data already in long form (k, v)."""
-    long = long.where(F.col("v").isNotNull())
-    # The distinct-value table and the per-column stats each feed several
-    # branches below; they are written once (shared checkpoint folder) so the
-    # upstream plan runs a single time.
-    vc = materialize(long.groupBy("k", "v").agg(F.count(F.lit(1)).alias("w")))
-    if buckets is None:
-        # Sized from the written table's row count (parquet metadata, no scan of the data).
-        n_values = vc.count()
-        if n_values <= SMALL_TABLE_VALUES:
-            return _small_quantiles(vc, probs)
-        buckets = min(MAX_BUCKETS, max(MIN_BUCKETS, -(-n_values // (VALUES_PER_BUCKET * max(1, n_keys)))))
-    fracs = [i / buckets for i in range(1, buckets)]
-    stats = materialize(vc.groupBy("k").agg(F.sum("w").alias("n"),
-                                            F.percentile_approx("v", fracs, accuracy).alias("b")))
-    vb = (vc.join(F.broadcast(stats.select("k", "b")), "k")
-          .select("k", "v", "w", count_less_sorted("b", "v", buckets - 1).alias("bucket")))
-    totals = vb.groupBy("k", "bucket").agg(F.sum("w").alias("bw"))
-    offsets = totals.select("k", "bucket", F.coalesce(F.sum("bw").over(
-        Window.partitionBy("k").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        .alias("off"))
-    cum = (vb.join(F.broadcast(offsets), ["k", "bucket"])
-           .withColumn("end", F.col("off") + F.sum("w").over(
-               Window.partitionBy("k", "bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)))
-           .withColumn("start", F.col("end") - F.col("w")))
-    pos = F.col("p") * (F.col("n") - 1)
-    targets = (stats.select("k", "n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
-               .select("k", "p", F.floor(pos).cast("long").alias("lo"), F.ceil(pos).cast("long").alias("hi"),
-                       (pos - F.floor(pos)).alias("frac")))
-    t = targets.alias("t")
-    c = cum.alias("c")
-    in_lo = (F.col("c.start") <= F.col("t.lo")) & (F.col("t.lo") < F.col("c.end"))
-    in_hi = (F.col("c.start") <= F.col("t.hi")) & (F.col("t.hi") < F.col("c.end"))
-    hit = c.join(F.broadcast(t), (F.col("c.k") == F.col("t.k")) & (in_lo | in_hi))
-    res = hit.groupBy(F.col("t.k").alias("k"), F.col("t.p").alias("p"), F.col("t.frac").alias("frac")).agg(
-        F.max(F.when(in_lo, F.col("c.v"))).alias("vlo"), F.max(F.when(in_hi, F.col("c.v"))).alias("vhi"))
-    return res.select("k", "p", (F.col("vlo") + (F.col("vhi") - F.col("vlo")) * F.col("frac")).alias("q"))
-
-
-def _pick(cum: DataFrame, probs: Sequence[float]) -> DataFrame:
-    """From (k, v, start, end, n) rows, the values at the ranks around p * (n - 1), interpolated."""
-    x = cum.select("k", "v", "start", "end", "n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
-    pos = F.col("p") * (F.col("n") - 1)
-    lo, hi = F.floor(pos), F.ceil(pos)
-    in_lo = (F.col("start") <= lo) & (lo < F.col("end"))
-    in_hi = (F.col("start") <= hi) & (hi < F.col("end"))
-    res = x.where(in_lo | in_hi).groupBy("k", "p", (pos - lo).alias("frac")).agg(
+    counted = long.where(F.col("v").isNotNull()).groupBy("k", "v").agg(F.count(F.lit(1)).alias("w"))
+    values = in_ranges(counted, ["k", "v"], per_range)
+    offs = before(["w"], values.groupBy("k", "part").agg(F.sum("w").alias("w")), ["k"])
+    pos = F.col("p") * (F.col("w_all") - 1)
+    targets = offs.select("k", "part", "w", "w_before", "w_all",
+                          F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p")).select(
+        "k", "part", "p", "w", "w_before", F.floor(pos).cast("long").alias("lo"), F.ceil(pos).cast("long").alias("hi"),
+        (pos - F.floor(pos)).alias("frac"))
+    inside = lambda r, a, b: (F.col(a) <= F.col(r)) & (F.col(r) < F.col(b))
+    targets = targets.withColumn("w_end", F.col("w_before") + F.col("w")).where(
+        inside("lo", "w_before", "w_end") | inside("hi", "w_before", "w_end")).drop("w", "w_end")
+    wanted = targets.select("k", "part", "w_before").distinct()
+    run = Window.partitionBy("k", "part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    cum = values.join(F.broadcast(wanted), ["k", "part"]).select(
+        "k", "part", "v", "w", (F.col("w_before") + F.sum("w").over(run)).alias("end")).withColumn(
+        "start", F.col("end") - F.col("w"))
+    hit = cum.join(F.broadcast(targets.drop("w_before")), ["k", "part"])
+    in_lo, in_hi = inside("lo", "start", "end"), inside("hi", "start", "end")
+    res = hit.where(in_lo | in_hi).groupBy("k", "p", "frac").agg(
         F.max(F.when(in_lo, F.col("v"))).alias("vlo"), F.max(F.when(in_hi, F.col("v"))).alias("vhi"))
     return res.select("k", "p", (F.col("vlo") + (F.col("vhi") - F.col("vlo")) * F.col("frac")).alias("q"))
 
 
-def _small_quantiles(vc: DataFrame, probs: Sequence[float]) -> DataFrame:
-    """Path for a distinct-value table known (counted) to hold at most SMALL_TABLE_VALUES rows:
-    the running sums run per column directly, skipping the range sketch and offsets."""
-    wk = Window.partitionBy("k")
-    cum = vc.select("k", "v", "w",
-                    F.sum("w").over(wk.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)).alias("end"),
-                    F.sum("w").over(wk).alias("n"))
-    return _pick(cum.withColumn("start", F.col("end") - F.col("w")), probs)
-
-
 def exact_medians_row(df: DataFrame, cols: Sequence[str], **kw) -> DataFrame:
     """One row with one column per input column holding its exact median.
 

@@ -24,10 +24,10 @@ SEGMENT_CODES = {"AUTOMOBILE": 3, "BUILDING": 4, "FURNITURE": 7, "HOUSEHOLD": 9,
 # fixed values: registration day 0 and its spread
 REGISTRATION_BASE = dt.date(1990, 1, 1)
 REGISTRATION_SPREAD_DAYS = 1800
-# Tie-break columns that give transactions a total order after the date: (order, line, part,
-# supplier, quantity, price), with the four keys packed losslessly into two longs (line numbers
-# < 8, supplier keys < 2^24, order keys < 2^33) so the sort key has 5 fields instead of 7.
-TX_TIE_COLS = ("tie_line", "tie_part", "l_quantity", "l_extendedprice")
+# The event table lies in January 2024; its days are moved back so that 2024-01-25 becomes 2000-11-30.
+LOG_SHIFT_DAYS = (dt.date(2024, 1, 25) - dt.date(2000, 11, 30)).days
+# Tie-break columns that give transactions a total order after the date.
+TX_TIE_COLS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,8 +55,6 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         date_to_yyyymmdd(F.date_add(F.to_date("o_orderdate"), plan_days)).alias("membership_expire_date"),
         (F.col("l_returnflag") == "R").cast("int").alias("is_cancel"),
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("tie_line"),
-        (F.col("l_partkey") * (1 << 24) + F.col("l_suppkey")).alias("tie_part"),
     )
 
 
@@ -80,8 +78,9 @@ def members(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily listening rows: one row per (user, day) of ``events``."""
-    e = table(spark, sf_dir, "events").select("user_id", "ts", "event_type", "value")
+    """Daily listening rows: one row per (user, day) of ``events``, moved into the months of the payments."""
+    e = table(spark, sf_dir, "events").select(
+        "user_id", F.date_sub(F.to_date("ts"), LOG_SHIFT_DAYS).alias("ts"), "event_type", "value")
     t = F.col("event_type")
     return (e.groupBy(F.col("user_id").alias("msno"), date_to_yyyymmdd("ts").alias("date"))
             .agg(F.count_if(t == "view").cast("int").alias("num_25"),
@@ -94,7 +93,7 @@ def user_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
                  (F.sum(F.col("value").cast("decimal(18,2)")) * 60).cast("decimal(18,2)").alias("total_secs")))
 
 
-def _period_start(p: str) -> dt.date:
+def period_start(p: str) -> dt.date:
     y, m = p.split("-")
     return dt.date(int(y), int(m), 1)
 
@@ -108,7 +107,7 @@ def period_labels(spark: SparkSession, sf_dir: str, periods=DEMO_LABEL_PERIODS)
     per_user = tx.groupBy("msno").agg(F.min("transaction_date").alias("first_tx"),
                                       F.max("transaction_date").alias("last_tx"))
     starts = F.array(*[F.struct(F.lit(p).alias("period"),
-                                F.lit(int(_period_start(p).strftime("%Y%m%d"))).alias("start"))
+                                F.lit(int(period_start(p).strftime("%Y%m%d"))).alias("start"))
                        for p in periods])
     x = per_user.select("msno", "first_tx", "last_tx", F.explode(starts).alias("p"))
     return (x.where(F.col("first_tx") < F.col("p.start"))
@@ -116,18 +115,6 @@ def period_labels(spark: SparkSession, sf_dir: str, periods=DEMO_LABEL_PERIODS)
                     (F.col("last_tx") < F.col("p.start")).cast("int").alias("is_churn")))
 
 
-def labels_with_prev(spark: SparkSession, sf_dir: str, period: str, prev_period: str) -> DataFrame:
-    """Labelled users of ``period`` with the previous month's label as ``prev_churn``
-    (NULL when the user was not yet a customer then); one aggregate over transactions."""
-    tx = transactions(spark, sf_dir)
-    cur, prev = (int(_period_start(p).strftime("%Y%m%d")) for p in (period, prev_period))
-    per_user = tx.groupBy("msno").agg(F.min("transaction_date").alias("first_tx"),
-                                      F.max("transaction_date").alias("last_tx"))
-    return per_user.where(F.col("first_tx") < cur).select(
-        "msno", (F.col("last_tx") < cur).cast("int").alias("is_churn"),
-        F.when(F.col("first_tx") < prev, (F.col("last_tx") < prev).cast("int")).alias("prev_churn"))
-
-
 def labels_for(spark: SparkSession, sf_dir: str, period: str) -> DataFrame:
     return period_labels(spark, sf_dir).where(F.col("period") == period).select("msno", "is_churn")
 

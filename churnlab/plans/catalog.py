@@ -14,6 +14,7 @@ from churnlab.operators import eda, features, labels
 from churnlab.plans import bindings as B
 from churnlab.plans.periods import DEMO_LABEL_WINDOW as LW
 from churnlab.plans.periods import DEMO_PERIOD as P
+from churnlab.plans.periods import period_config
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -129,9 +130,13 @@ def q_churn_labels(spark, d):
 
 # ---------------------------------------------------------------- J1/J2, I1-I3, V1-V4, J8
 def _raw_matrix(spark, d):
-    from churnlab.operators.assemble import assemble_raw
-    users = B.labels_with_prev(spark, d, P.period, P.prev_period)
-    return assemble_raw(users, _tx(spark, d), B.user_logs(spark, d), B.members(spark, d), None, P, B.TX_TIE_COLS)
+    return _raw_matrix_for(spark, d, P)
+
+
+def _raw_matrix_for(spark, d, cfg):
+    from churnlab.operators.assemble import assemble_labelled
+    return assemble_labelled(_tx(spark, d), B.user_logs(spark, d), B.members(spark, d), cfg,
+                             B.period_start(cfg.prev_period), B.TX_TIE_COLS)
 
 
 def feature_matrix(spark, d, feature_set="v5"):
@@ -173,6 +178,14 @@ def q_null_report(spark, d):
     return null_report(raw, [c for c in FEATURE_COLS_V5 if c in raw.columns])
 
 
+@register("top_nulls")
+def q_top_nulls(spark, d):
+    from churnlab.operators.impute import null_report
+    from churnlab.schemas import FEATURE_COLS_V5
+    raw = _raw_matrix(spark, d)
+    return null_report(raw, [c for c in FEATURE_COLS_V5 if c in raw.columns], top=10)
+
+
 @register("validation_counts")
 def q_validation_counts(spark, d):
     from churnlab.operators.validate import validation_counts
@@ -204,9 +217,11 @@ from pyspark.sql import functions as _F  # noqa: E402
 
 from churnlab.functions.columns import clip as _clip  # noqa: E402
 
+# fixed values: bucket edges and labels of the reports
 AGE_EDGES, AGE_LABELS = [0, 18, 25, 35, 45, 55, 100], ["<18", "18-25", "25-35", "35-45", "45-55", "55+"]
 TENURE_EDGES, TENURE_LABELS = [0, 90, 365, 730, 1095, 1825, 99999], ["<3m", "3-12m", "1-2y", "2-3y", "3-5y", "5y+"]
 RECENCY_EDGES, RECENCY_LABELS = [0, 7, 30, 60, 90, 180, 365], ["<1w", "1w-1m", "1-2m", "2-3m", "3-6m", "6m+"]
+TX_COUNT_EDGES, TX_COUNT_LABELS = [0, 5, 10, 20, 50, 1_000_000], ["1-5", "6-10", "11-20", "21-50", "50+"]
 MIN_GROUP = 20
 CORR_COLS = ["n_transactions", "avg_price", "last_is_cancel", "days_until_expire", "is_expired", "n_renewals",
              "days_since_last_tx", "prev_churn"]
@@ -260,6 +275,8 @@ register("target_correlation")(lambda spark, d: eda.target_correlation(
 register("correlation_matrix")(lambda spark, d: eda.correlation_matrix(feature_matrix(spark, d, "v5"), CORR_COLS))
 register("class_balance")(lambda spark, d: eda.class_balance(B.period_labels(spark, d), by="period"))
 register("outcome_profile")(lambda spark, d: eda.outcome_profile(_scored_matrix(spark, d), OUTCOME_COLS))
+register("missed_by_tx_bucket")(lambda spark, d: eda.missed_by_bucket(
+    _scored_matrix(spark, d), "n_transactions", TX_COUNT_EDGES, TX_COUNT_LABELS))
 register("play_depth_medians")(lambda spark, d: eda.column_medians(
     B.user_logs(spark, d), ["num_25", "num_50", "num_75", "num_985", "num_100", "num_unq"]))
 register("feature_summary")(lambda spark, d: eda.feature_summary(feature_matrix(spark, d, "v5"), SUMMARY_COLS))
@@ -334,11 +351,14 @@ register("risk_bands")(lambda spark, d: B.scores(spark, d, "smooth").select(FC.r
                        .groupBy("band").agg(_F.count(_F.lit(1)).alias("n")))
 
 
+register("display_bands")(lambda spark, d: B.scores(spark, d, "smooth").select(
+    FC.risk_band("prob", FC.DISPLAY_BANDS).alias("band")).groupBy("band").agg(_F.count(_F.lit(1)).alias("n")))
+
+
 @register("tx_discount")
 def q_tx_discount(spark, d):
     tx = _tx(spark, d)
-    amount = _F.col("plan_list_price") - _F.col("actual_amount_paid")
-    pct = FC.safe_ratio(amount, _F.col("plan_list_price")).cast("decimal(18,8)")
+    amount, pct = FC.discount_cols()
     return tx.select("payment_method_id", amount.alias("amt"), pct.alias("pct"),
                      FC.clip(_F.col("payment_plan_days") - 25, 0, 10).alias("clipped_days")).groupBy(
         "payment_method_id").agg(_F.count(_F.lit(1)).alias("n"), _F.sum("amt").cast("double").alias("sum_discount"),
@@ -389,15 +409,16 @@ from churnlab.operators import monitor as MON  # noqa: E402
 
 DRIFT_COLS = ["n_transactions", "avg_discount_pct", "avg_plan_days", "avg_price", "n_unique_plans", "last_plan_days",
               "last_payment_method"]
-DRIFT_BASE_ASOF = _dt.date(2000, 5, 31)
-DRIFT_CUR_ASOF = {"2000-11": _dt.date(2000, 10, 31), "2000-12": _dt.date(2000, 11, 30)}
+# months reported, each with the cutoff of its current profile and of the baseline half a year before
+DRIFT_ASOF = {"1998-06": (_dt.date(1997, 11, 30), _dt.date(1998, 5, 31)),
+              "2000-11": (_dt.date(2000, 4, 30), _dt.date(2000, 10, 31)),
+              "2000-12": (_dt.date(2000, 5, 31), _dt.date(2000, 11, 30))}
+DRIFT_HISTORY = ("2000-11", "2000-12")
 NOW = _dt.datetime(1998, 6, 20, 12, 0, 0)
 
 
-def _drift(spark, d, period="2000-12"):
-    tx = _tx(spark, d)
-    base = features.tx_user_profile(tx, as_of=DRIFT_BASE_ASOF, tie_cols=B.TX_TIE_COLS)
-    cur = features.tx_user_profile(tx, as_of=DRIFT_CUR_ASOF[period], tie_cols=B.TX_TIE_COLS)
+def _drift(spark, d, period=P.period):
+    base, cur = (features.tx_user_profile(_tx(spark, d), as_of=at, tie_cols=B.TX_TIE_COLS) for at in DRIFT_ASOF[period])
     return MON.drift_by_column(base, cur, DRIFT_COLS)
 
 
@@ -405,15 +426,23 @@ def _perf(spark, d):
     return M.performance_report(B.predictions(spark, d), B.ground_truth(spark, d), EVAL_PERIOD, tie=PRED_TIE)
 
 
+def _stored_drift(spark, d):
+    """Drift reports of the months, appended one after the other to a report table and read from it."""
+    from churnlab.sources import store
+    path = store_root_for(spark, "drift_reports")
+    for p in DRIFT_HISTORY:
+        report = MON.drift_score(_drift(spark, d, p)).select(_F.lit(p).alias("period"), "drift_score", "dataset_drift")
+        store.append_drift_report(report, path)
+    return store.read_drift_reports(spark, path)
+
+
 register("drift_by_column")(lambda spark, d: _drift(spark, d))
 register("drift_score")(lambda spark, d: MON.drift_score(_drift(spark, d)))
-register("drift_history")(lambda spark, d: MON.union_all(
-    [MON.drift_score(_drift(spark, d, p)).select(_F.lit(p).alias("period"), "drift_score", "dataset_drift")
-     for p in DRIFT_CUR_ASOF]))
-register("latest_drift")(lambda spark, d: MON.latest_drift(QUERIES["drift_history"](spark, d)))
-register("alerts")(lambda spark, d: MON.alerts(MON.drift_score(_drift(spark, d)), _perf(spark, d)))
-register("period_summary")(lambda spark, d: MON.period_summary(P.period, MON.drift_score(_drift(spark, d)),
-                                                               _perf(spark, d)))
+register("drift_history")(lambda spark, d: _stored_drift(spark, d))
+register("latest_drift")(lambda spark, d: MON.latest_drift(_stored_drift(spark, d)))
+register("alerts")(lambda spark, d: MON.alerts(MON.drift_score(_drift(spark, d, EVAL_PERIOD)), _perf(spark, d)))
+register("period_summary")(lambda spark, d: MON.period_summary(
+    EVAL_PERIOD, MON.drift_score(_drift(spark, d, EVAL_PERIOD)), _perf(spark, d)))
 register("pred_volume")(lambda spark, d: MON.pred_volume(B.predictions(spark, d), NOW))
 register("daily_churn_rate")(lambda spark, d: MON.daily_churn_rate(B.predictions(spark, d), NOW))
 register("mean_probability")(lambda spark, d: MON.mean_probability(B.predictions(spark, d), NOW))
@@ -434,16 +463,12 @@ register("quality_gate")(lambda spark, d: MON.quality_gate(
 from churnlab.operators import models as ML  # noqa: E402
 from churnlab.schemas import FEATURE_COLS_V5 as _V5  # noqa: E402
 
-PREV_PERIOD_CFG = __import__("dataclasses").replace(
-    P, period="2000-11", prev_period="2000-10", label_start=_dt.date(2000, 11, 1),
-    prediction_date=_dt.date(2000, 10, 31), tx_as_of=_dt.date(2000, 10, 31), tx_ref=_dt.date(2000, 10, 31))
+PREV_PERIOD_CFG, NEXT_PERIOD_CFG = period_config(P.prev_period), period_config("2001-01")
 
 
 def _matrix_for(spark, d, cfg):
-    from churnlab.operators.assemble import assemble_raw, impute_matrix
-    users = B.labels_with_prev(spark, d, cfg.period, cfg.prev_period)
-    raw = assemble_raw(users, _tx(spark, d), B.user_logs(spark, d), B.members(spark, d), None, cfg, B.TX_TIE_COLS)
-    return impute_matrix(raw, "v5")
+    from churnlab.operators.assemble import impute_matrix
+    return impute_matrix(_raw_matrix_for(spark, d, cfg), "v5")
 
 
 @register("split")
@@ -458,40 +483,64 @@ register("log_sample")(lambda spark, d: __import__("churnlab.sources.readers", f
     B.user_logs(spark, d), "msno", 0.5).groupBy("msno").agg(_F.count(_F.lit(1)).alias("n_days")))
 
 
-def _fit_eval(spark, d):
+def _fitted(tr):
+    """The three models, weighted by the classes of their training part."""
+    from churnlab.session import materialize
+    tr = materialize(ML.with_class_weight(tr))
+    return {"lr": ML.lr_pipeline(_V5).fit(tr), "gbt": ML.gbt_pipeline(_V5, max_iter=10, max_depth=4).fit(tr),
+            "rf": ML.rf_pipeline(_V5, num_trees=20, max_depth=6).fit(tr)}
+
+
+def _split_scored(spark, d):
+    """Test part with a score column per model, all on one DataFrame."""
     from churnlab.session import materialize
-    fm = materialize(ML.with_class_weight(feature_matrix(spark, d, "v5")))
-    tr, te = ML.split(fm)
-    models = {"lr": ML.lr_pipeline(_V5).fit(tr), "gbt": ML.gbt_pipeline(_V5, max_iter=10, max_depth=4).fit(tr),
-              "rf": ML.rf_pipeline(_V5, num_trees=20, max_depth=6).fit(tr)}
-    return models, te
+    tr, te = ML.split(materialize(feature_matrix(spark, d, "v5")))
+    te = te.select("msno", "is_churn", *_V5)
+    for n, m in _fitted(tr).items():
+        te = ML.add_score(m, te, f"p_{n}")
+    return materialize(te.select("msno", "is_churn", "p_lr", "p_gbt", "p_rf"))
+
+
+def _score_checks(scored, prob):
+    """What holds for any model: every row scored, scores in [0, 1], label = score >= 0.5, metrics in range."""
+    p = _F.col(prob)
+    one = scored.agg(_F.count(_F.lit(1)).alias("n"), _F.count_if(p.between(0, 1)).alias("n_in_range"),
+                     _F.count_if(FC.label_at(prob, 0.5) == (p >= 0.5).cast("int")).alias("n_label_ok"))
+    ev = ML.evaluate(scored, prob=prob)
+    return one.crossJoin(ev).select("n", "n_in_range", "n_label_ok", _F.col("roc_auc").between(0, 1).alias("auc_ok"),
+                                    (_F.col("log_loss") >= 0).alias("log_loss_ok"))
 
 
 @register("train_eval")
 def q_train_eval(spark, d):
-    models, te = _fit_eval(spark, d)
-    return MON.union_all([ML.evaluate(ML.score(m, te)).select(_F.lit(n).alias("model"), "*")
-                          for n, m in models.items()])
+    te = _split_scored(spark, d)
+    return MON.union_all([_score_checks(te, f"p_{n}").select(_F.lit(n).alias("model"), "*")
+                          for n in ("lr", "gbt", "rf")])
 
 
 @register("blend_scores")
 def q_blend_scores(spark, d):
-    models, te = _fit_eval(spark, d)
-    s = te.select("msno", "is_churn")
-    for n, m in models.items():
-        s = s.join(ML.score(m, te, out=f"p_{n}"), ["msno", "is_churn"])
-    b = ML.blend(s, ["p_lr", "p_gbt", "p_rf"])
-    return ML.evaluate(b.select("msno", "is_churn", "prob")).select(_F.lit("blend3").alias("model"), "*")
+    b = ML.blend(_split_scored(spark, d), ["p_lr", "p_gbt", "p_rf"])
+    mean = (_F.col("p_lr") + _F.col("p_gbt") + _F.col("p_rf")) / 3
+    same = b.agg(_F.count_if(_F.abs(_F.col("prob") - mean) < 1e-12).alias("n_mean_ok"))
+    return _score_checks(b, "prob").crossJoin(same).select(_F.lit("blend3").alias("model"), "*")
 
 
 @register("temporal_validate")
 def q_temporal_validate(spark, d):
-    """Fit on the previous month, evaluate on the current month."""
+    """Fit on the previous month and evaluate on the current one; refit on both and score the next."""
     from churnlab.session import materialize
-    fit_on = materialize(ML.with_class_weight(_matrix_for(spark, d, PREV_PERIOD_CFG)))
-    m = ML.gbt_pipeline(_V5, max_iter=10, max_depth=4).fit(fit_on)
-    return ML.evaluate(ML.score(m, feature_matrix(spark, d, "v5"))).select(
-        _F.lit(PREV_PERIOD_CFG.period).alias("fit_period"), _F.lit(P.period).alias("eval_period"), "*")
+    fit = lambda df: ML.gbt_pipeline(_V5, max_iter=10, max_depth=4).fit(ML.with_class_weight(df))
+    prev, cur = materialize(_matrix_for(spark, d, PREV_PERIOD_CFG)), materialize(feature_matrix(spark, d, "v5"))
+    phases = [("evaluate", prev, P.period, cur),
+              ("next", prev.unionByName(cur), NEXT_PERIOD_CFG.period, _matrix_for(spark, d, NEXT_PERIOD_CFG))]
+    out = []
+    for phase, train, period, at in phases:
+        scored = ML.score(fit(train), at)
+        out.append(scored.agg(_F.count(_F.lit(1)).alias("n"),
+                              _F.count_if(_F.col("prob").between(0, 1)).alias("n_in_range"))
+                   .select(_F.lit(phase).alias("phase"), _F.lit(period).alias("eval_period"), "*"))
+    return MON.union_all(out)
 
 
 @register("prediction_rate_stream")
@@ -500,23 +549,33 @@ def q_prediction_rate_stream(spark, d):
     from churnlab.streaming.scoring import final_rates, prediction_rate_stream
     root = store_root(spark, "rate_stream", unique=True)
     preds = B.predictions(spark, d).select("source", _F.col("predicted_at").cast("timestamp").alias("predicted_at"))
-    preds.repartition(4).write.parquet(f"{root}/src")
-    prediction_rate_stream(spark, f"{root}/src", preds.schema, f"{root}/out", f"{root}/ckpt", watermark="10000 days")
+    preds.write.parquet(f"{root}/src")
+    prediction_rate_stream(spark, f"{root}/src", preds.schema, f"{root}/out", f"{root}/ckpt")
     return final_rates(spark, f"{root}/out")
 
 
 @register("score_stream")
 def q_score_stream(spark, d):
+    """Valid rows scored, the others in the rejects; raw (not imputed) rows, so both kinds occur."""
     from churnlab.session import materialize
     from churnlab.sources.store import store_root
     from churnlab.streaming.scoring import score_stream
     root = store_root(spark, "score_stream", unique=True)
-    fm = materialize(ML.with_class_weight(feature_matrix(spark, d, "v5")))
-    model = ML.lr_pipeline(_V5).fit(fm)
-    feats = fm.select("msno", *_V5)
-    feats.repartition(3).write.parquet(f"{root}/src")
+    fm = materialize(feature_matrix(spark, d, "v5"))
+    model = ML.lr_pipeline(_V5).fit(ML.with_class_weight(fm))
+    raw = _raw_matrix(spark, d)
+    cancel = ((_F.col("last_is_cancel") == 1) & (_F.col("days_until_expire") > 0)).cast("int")
+    feats = raw.withColumn("cancel_before_expire", cancel).select(
+        "msno", *[_F.col(c).cast("double").alias(c) for c in _V5])
+    feats.write.parquet(f"{root}/src")
     score_stream(spark, model, f"{root}/src", feats.schema, _V5, f"{root}/out", f"{root}/ckpt", "v1")
-    return spark.read.parquet(f"{root}/out").select("msno", "churn_prob", "churn_label", "model_version", "source")
+    ok = spark.read.schema("msno long, churn_prob float, churn_label short").parquet(f"{root}/out").select(
+        "msno", _F.lit("scored").alias("status"),
+        (_F.col("churn_prob").between(0, 1) & (_F.col("churn_label") == (_F.col("churn_prob") >= 0.5).cast("int")))
+        .alias("ok"))
+    bad = spark.read.schema("msno long, failed_rules array<string>").parquet(f"{root}/out_rejects").select(
+        "msno", _F.lit("rejected").alias("status"), (_F.size("failed_rules") > 0).alias("ok"))
+    return ok.unionByName(bad)
 
 
 @register("tenure_years")

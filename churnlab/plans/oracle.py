@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from churnlab.plans.bindings import LOG_SHIFT_DAYS
 from churnlab.plans.periods import DEMO_LABEL_PERIODS, DEMO_LABEL_WINDOW as LW, DEMO_PERIOD as P, ymd
 
 ORACLE: dict[str, str] = {}
@@ -41,8 +42,7 @@ transactions AS (
          {_ymd_sql('o.o_orderdate')} AS transaction_date,
          {_ymd_sql('(CAST(o.o_orderdate AS DATE) + CAST(l.l_quantity AS INTEGER))')} AS membership_expire_date,
          CAST(l.l_returnflag = 'R' AS INTEGER) AS is_cancel,
-         l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity, l.l_extendedprice,
-         l.l_orderkey * 8 + l.l_linenumber AS tie_line, l.l_partkey * 16777216 + l.l_suppkey AS tie_part
+         l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity, l.l_extendedprice
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 ),
 members AS (
@@ -55,7 +55,7 @@ members AS (
   FROM customer
 ),
 user_logs AS (
-  SELECT user_id AS msno, {_ymd_sql('ts')} AS date,
+  SELECT user_id AS msno, {_ymd_sql(f'(CAST(ts AS DATE) - {LOG_SHIFT_DAYS})')} AS date,
          CAST(count(*) FILTER (WHERE event_type = 'view') AS INTEGER) AS num_25,
          CAST(count(*) FILTER (WHERE event_type = 'click') AS INTEGER) AS num_50,
          CAST(count(*) FILTER (WHERE event_type = 'signup') AS INTEGER) AS num_75,
@@ -407,10 +407,11 @@ UNION ALL SELECT 'source in {api,batch}', count(*) FILTER (WHERE NOT coalesce(so
 # ---------------------------------------------------------------- EDA twins
 _TXC = ["msno", "payment_method_id", "payment_plan_days", "plan_list_price", "actual_amount_paid", "is_auto_renew",
         "transaction_date", "membership_expire_date", "is_cancel", "l_orderkey", "l_linenumber", "l_partkey",
-        "l_suppkey", "l_quantity", "l_extendedprice", "tie_line", "tie_part"]
+        "l_suppkey", "l_quantity", "l_extendedprice"]
 sql("dataset_profile", f"""
 SELECT 'transactions' AS "table", {len(_TXC)} AS n_cols, count(*) AS n_rows,
        {' + '.join(f'count(*) FILTER (WHERE {c} IS NULL)' for c in _TXC)} AS n_null_cells,
+       concat_ws(';', {', '.join(f"'{c}=' || count(*) FILTER (WHERE {c} IS NULL)" for c in _TXC)}) AS nulls_by_column,
        count(DISTINCT msno) AS n_keys, min(transaction_date) AS min_date, max(transaction_date) AS max_date
 FROM transactions""")
 
@@ -706,10 +707,10 @@ def _profile_cte(suffix: str, as_of: int) -> str:
             .replace("profile AS", f"profile_{suffix} AS").replace(str(AS_OF), str(as_of)))
 
 
-def _drift_cte(cur_asof: int) -> str:
+def _drift_cte(base_asof: int, cur_asof: int) -> str:
     def long(src):
         return " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS v FROM {src}" for c in _DRIFT_COLS)
-    return (_profile_cte("b", 20000531) + "," + _profile_cte("c", cur_asof) + f""",
+    return (_profile_cte("b", base_asof) + "," + _profile_cte("c", cur_asof) + f""",
 base_long AS (SELECT * FROM ({long('profile_b')}) t WHERE v IS NOT NULL),
 cur_long AS (SELECT * FROM ({long('profile_c')}) t WHERE v IS NOT NULL),
 info AS (SELECT feature, count(DISTINCT v) AS n_distinct,
@@ -743,22 +744,22 @@ dscore AS (SELECT n_cols, n_drifted, round(CASE WHEN n_cols > 0 THEN n_drifted /
            FROM (SELECT count(*) AS n_cols, count(*) FILTER (WHERE drifted) AS n_drifted FROM drift) t)""")
 
 
-DRIFT_CTE = _drift_cte(20001130)
+DRIFT_CTE, EVAL_DRIFT_CTE = _drift_cte(20000531, 20001130), _drift_cte(19971130, 19980531)
 sql("drift_by_column", "SELECT * FROM drift", DRIFT_CTE)
 sql("drift_score", "SELECT * FROM dscore", DRIFT_CTE)
 sql("drift_history", "SELECT '2000-12' AS period, drift_score, dataset_drift FROM dscore UNION ALL "
-    "SELECT '2000-11', drift_score, dataset_drift FROM (" + "WITH " + BINDINGS + "," + _drift_cte(20001031)
+    "SELECT '2000-11', drift_score, dataset_drift FROM (" + "WITH " + BINDINGS + "," + _drift_cte(20000430, 20001031)
     + " SELECT * FROM dscore) h", DRIFT_CTE)
 _PERF_SUB = "(" + ORACLE["performance_report"] + ")"
 sql("alerts", f"""
 SELECT 'drift_score' AS "check", CAST(drift_score AS DOUBLE) AS value, 0.15 AS threshold,
        coalesce(drift_score > 0.15, false) AS alert FROM dscore
 UNION ALL
-SELECT 'roc_auc', CAST(roc_auc AS DOUBLE), 0.85, coalesce(roc_auc < 0.85, false) FROM {_PERF_SUB} p""", DRIFT_CTE)
+SELECT 'roc_auc', CAST(roc_auc AS DOUBLE), 0.85, coalesce(roc_auc < 0.85, false) FROM {_PERF_SUB} p""", EVAL_DRIFT_CTE)
 sql("period_summary", f"""
-SELECT '{P.period}' AS period, d.drift_score, d.dataset_drift AS drift_alert, p.n, p.roc_auc, p.log_loss,
+SELECT '1998-06' AS period, d.drift_score, d.dataset_drift AS drift_alert, p.n, p.roc_auc, p.log_loss,
        p.alert AS auc_alert, CASE WHEN d.dataset_drift OR p.alert THEN 'ALERT' ELSE 'OK' END AS status
-FROM dscore d CROSS JOIN {_PERF_SUB} p""", DRIFT_CTE)
+FROM dscore d CROSS JOIN {_PERF_SUB} p""", EVAL_DRIFT_CTE)
 
 _NOW = "TIMESTAMP '1998-06-20 12:00:00'"
 sql("pred_volume", f"SELECT count(*) AS n_predictions FROM predictions WHERE predicted_at > {_NOW} - INTERVAL 24 HOUR",
@@ -773,7 +774,7 @@ FROM (SELECT round(avg(CAST(churn_prob AS DOUBLE)), 6) AS mean_prob FROM predict
       WHERE predicted_at > {_NOW} - INTERVAL 24 HOUR) t""", PRED_CTE)
 sql("latest_version", """
 SELECT model_version FROM predictions
-ORDER BY predicted_at DESC, CAST(regexp_extract(model_version, '(\\d+)', 1) AS INTEGER) DESC LIMIT 1""", PRED_CTE)
+ORDER BY predicted_at DESC, TRY_CAST(regexp_extract(model_version, '(\\d+)', 1) AS INTEGER) DESC NULLS LAST LIMIT 1""", PRED_CTE)
 sql("hourly_by_source", f"""
 SELECT date_trunc('hour', predicted_at) AS hour, source, count(*) AS n FROM predictions
 WHERE predicted_at > {_NOW} - INTERVAL 168 HOUR GROUP BY 1, 2""", PRED_CTE)
@@ -816,3 +817,42 @@ SELECT period, drift_score, dataset_drift,
        CASE WHEN drift_score > 0.15 THEN 'red' WHEN drift_score > 0.10 THEN 'yellow'
             WHEN drift_score IS NOT NULL THEN 'green' END AS band
 FROM (""" + ORACLE["drift_history"] + """) h ORDER BY period DESC LIMIT 1""")
+
+# ---------------------------------------------------------------- splits, samples and model invariants
+sql("top_nulls", "SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS column, count(*) FILTER (WHERE {c} IS NULL) AS n_null, "
+    f"CASE WHEN count(*) > 0 THEN round(count(*) FILTER (WHERE {c} IS NULL) / count(*) * 100, 4) END AS pct_null"
+    f" FROM raw" for c in _RAW5) + ') t ORDER BY n_null DESC, "column" LIMIT 10', RAW_MATRIX_CTE)
+sql("display_bands", """
+SELECT CASE WHEN prob < 0.25 THEN 'low' WHEN prob < 0.5 THEN 'medium' WHEN prob IS NOT NULL THEN 'high' END AS band,
+       count(*) AS n FROM scores WHERE kind = 'smooth' GROUP BY 1""", SCORES_CTE)
+sql("missed_by_tx_bucket", f"""
+SELECT {_cut_sql('n_transactions', [0, 5, 10, 20, 50, 1_000_000], ['1-5', '6-10', '11-20', '21-50', '50+'])} AS bucket,
+       count(*) AS n, round(avg(prob), 6) AS mean_prob
+FROM (SELECT *, 1 - 1 / (1 + days_since_last_tx / 30.0) AS prob FROM fm) t
+WHERE is_churn = 1 AND prob < 0.5 GROUP BY 1""", FM_CTE)
+
+
+def _key_hash(key: str, seed: int, buckets: int) -> str:
+    return f"('0x' || substr(md5(CAST({key} AS VARCHAR) || ':{seed}'), 1, 8))::BIGINT % {buckets}"
+
+
+_TEST = f"(SELECT msno, is_churn FROM cur_labels WHERE {_key_hash('msno', 42, 10000)} >= 8000)"
+sql("split", f"""
+SELECT CASE WHEN {_key_hash('msno', 42, 10000)} < 8000 THEN 'train' ELSE 'test' END AS part,
+       CAST(is_churn AS INTEGER) AS is_churn, count(*) AS n FROM cur_labels GROUP BY 1, 2""")
+sql("stratified_folds", f"""
+SELECT CAST({_key_hash('msno', 42, 5)} AS INTEGER) AS fold, is_churn, count(*) AS n FROM cur_labels GROUP BY 1, 2""")
+sql("log_sample", f"""
+SELECT msno, count(*) AS n_days FROM user_logs WHERE {_key_hash('msno', 42, 1000000)} < 500000 GROUP BY 1""")
+_CHECKS = "count(*) AS n, count(*) AS n_in_range, count(*) AS n_label_ok, true AS auc_ok, true AS log_loss_ok"
+sql("train_eval", " UNION ALL ".join(f"SELECT '{m}' AS model, {_CHECKS} FROM {_TEST} t" for m in ("lr", "gbt", "rf")))
+sql("blend_scores", f"SELECT 'blend3' AS model, {_CHECKS}, count(*) AS n_mean_ok FROM {_TEST} t")
+sql("temporal_validate", f"""
+SELECT 'evaluate' AS phase, '{P.period}' AS eval_period, count(*) AS n, count(*) AS n_in_range FROM cur_labels
+UNION ALL SELECT 'next', '2001-01', count(*), count(*)
+FROM (SELECT msno FROM transactions GROUP BY msno HAVING min(transaction_date) < 20010101) t""")
+sql("score_stream", f"""
+SELECT msno, CASE WHEN {_ok_all} THEN 'scored' ELSE 'rejected' END AS status, true AS ok
+FROM (SELECT *, CAST(last_is_cancel = 1 AND days_until_expire > 0 AS INTEGER) AS cancel_before_expire FROM raw) r""",
+    RAW_MATRIX_CTE)

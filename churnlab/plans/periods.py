@@ -42,18 +42,22 @@ class LabelWindow:
     grace: int = 30
 
 
+# fixed values: days back from the cutoff at which the log windows begin
+LOG_RECENT_DAYS, LOG_WINDOW_DAYS = 14, {"r7d": 7, "r90d": 90}
+
+
+def period_config(period: str) -> PeriodConfig:
+    """Configuration of a label month: every cutoff is the day before the month begins."""
+    start = dt.date(int(period[:4]), int(period[5:]), 1)
+    cut = start - dt.timedelta(days=1)
+    back = lambda n: cut - dt.timedelta(days=n)
+    return PeriodConfig(
+        period=period, prev_period=f"{cut:%Y-%m}", label_start=start, prediction_date=cut, tx_as_of=cut, tx_ref=cut,
+        log_max_date=cut, log_recent=back(LOG_RECENT_DAYS), log_windows={k: back(n) for k, n in LOG_WINDOW_DAYS.items()})
+
+
 # Configuration of the driver-table binding (see plans/bindings.py).
-DEMO_PERIOD = PeriodConfig(
-    period="2000-12",
-    prev_period="2000-11",
-    label_start=dt.date(2000, 12, 1),
-    prediction_date=dt.date(2000, 11, 30),
-    tx_as_of=dt.date(2000, 11, 30),
-    tx_ref=dt.date(2000, 11, 30),
-    log_max_date=dt.date(2024, 1, 25),
-    log_recent=dt.date(2024, 1, 11),
-    log_windows={"r7d": dt.date(2024, 1, 18), "r90d": dt.date(2024, 1, 1)},
-)
+DEMO_PERIOD = period_config("2000-12")
 DEMO_LABEL_WINDOW = LabelWindow(
     hist_start=dt.date(1998, 1, 1), hist_end=dt.date(1998, 5, 31),
     target_start=dt.date(1998, 6, 1), target_end=dt.date(1998, 6, 30), grace=30,

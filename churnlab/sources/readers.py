@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from churnlab.functions.columns import key_hash
 from churnlab.schemas import RAW_SCHEMAS
 
 
@@ -38,16 +39,19 @@ def load_logs(spark: SparkSession, base: str, names=("user_logs.csv", "user_logs
     return union_sources(*[read_table(spark, base, n) for n in names])
 
 
-def sample_rows(df: DataFrame, n: int | None = None, frac: float | None = None, seed: int = 42) -> DataFrame:
-    """Seeded fraction sample (distributed) or the first ``n`` rows (a limit)."""
+def sample_rows(df: DataFrame, n: int | None = None, frac: float | None = None, seed: int = 42,
+                by: Sequence[str] = ()) -> DataFrame:
+    """Seeded fraction sample (distributed), or the ``n`` rows first in the order of ``by`` (a top n)."""
     if frac is not None:
         return df.sample(withReplacement=False, fraction=frac, seed=seed)
     if n is not None:
-        return df.limit(n)
+        if not by:
+            raise ValueError("a row count needs an order")
+        return df.orderBy(*by).limit(n)
     return df
 
 
 def keyed_sample(df: DataFrame, key: str, frac: float, seed: int = 42) -> DataFrame:
     """Deterministic, layout-independent sample on a key hash."""
     buckets = 1_000_000
-    return df.where(F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(buckets)) < int(frac * buckets))
+    return df.where(key_hash(key, seed, buckets) < int(frac * buckets))

@@ -40,18 +40,26 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
 
 # S7
 def materialize_log_agg(spark: SparkSession, logs: DataFrame, max_date: dt.date, recent: dt.date,
-                        windows: dict, root: str) -> DataFrame:
-    """Reuse a persisted log aggregate when one exists for exactly these cutoffs."""
+                        windows: dict, root: str, version: str | None = None) -> DataFrame:
+    """Reuse a persisted log aggregate when one exists for exactly these cutoffs and this input.
+
+    ``version`` names the input (an extract's id); without one it is its row count and a hash over its rows, so
+    changed logs never meet an aggregate of older ones.
+    """
+    from pyspark.errors import AnalysisException
+
     from churnlab.operators.features import log_user_agg
+    if version is None:
+        n, h = logs.agg(F.count(F.lit(1)), F.coalesce(F.bit_xor(F.xxhash64(*sorted(logs.columns))), F.lit(0))).first()
+        version = f"{n}-{h & (2**64 - 1):016x}"
     tag = "_".join([max_date.strftime("%Y%m%d"), recent.strftime("%Y%m%d")]
-                   + [f"{k}-{v.strftime('%Y%m%d')}" for k, v in sorted(windows.items())])
+                   + [f"{k}-{v.strftime('%Y%m%d')}" for k, v in sorted(windows.items())] + [version])
     path = f"{root.rstrip('/')}/log_agg_{tag}"
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:  # not there yet
         log_user_agg(logs, max_date, recent, windows).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+        return spark.read.parquet(path)
 
 
 # S8 / S9
@@ -104,9 +112,29 @@ def append_drift_report(df: DataFrame, path: str) -> None:
     df.withColumn("created_at", F.current_timestamp()).write.mode("append").parquet(path)
 
 
+def read_drift_reports(spark: SparkSession, path: str) -> DataFrame:
+    """The newest report of each period."""
+    r = spark.read.parquet(path)
+    cols = [c for c in r.columns if c not in ("period", "created_at")]
+    return r.groupBy("period").agg(F.max_by(F.struct(*cols), "created_at").alias("r")).select("period", "r.*")
+
+
+# An append-only table of version events; the newest event of a version is its state.
+def append_versions(df: DataFrame, path: str) -> None:
+    df.withColumn("changed_at", F.current_timestamp()).write.mode("append").parquet(path)
+
+
+def read_versions(spark: SparkSession, path: str) -> DataFrame:
+    r = spark.read.parquet(path)
+    cols = [c for c in r.columns if c not in ("name", "version", "changed_at")]
+    return r.groupBy("name", "version").agg(F.max_by(F.struct(*cols), "changed_at").alias("r")).select(
+        "name", "version", "r.*")
+
+
 def load_ground_truth(df: DataFrame, path: str) -> None:
-    """Ground truth is unique on (msno, period): duplicates removed, periods replaced."""
-    _dynamic(df.dropDuplicates(["msno", "period"]).withColumn("loaded_at", F.current_timestamp()), path, ["period"])
+    """Ground truth is unique on (msno, period): of repeated rows a churn wins; periods are replaced."""
+    one = df.groupBy("msno", "period").agg(F.max("actual_churn").alias("actual_churn"))
+    _dynamic(one.withColumn("loaded_at", F.current_timestamp()), path, ["period"])
 
 
 # S15

@@ -57,7 +57,7 @@ def test_exact_quantiles_match_numpy(spark):
     rnd = random.Random(5)
     vals = [float(rnd.randint(0, 30)) for _ in range(501)] + [rnd.random() * 100 for _ in range(300)]
     df = spark.createDataFrame([(v, v * 2) for v in vals], "a double, b double")
-    q = {(r.k, r.p): r.q for r in exact_quantiles(df, ["a", "b"], (0.1, 0.5, 0.99), buckets=8).collect()}
+    q = {(r.k, r.p): r.q for r in exact_quantiles(df, ["a", "b"], (0.1, 0.5, 0.99), per_range=40).collect()}
     for c, mult in (("a", 1), ("b", 2)):
         for p in (0.1, 0.5, 0.99):
             assert abs(q[(c, p)] - float(np.quantile(np.array(vals) * mult, p))) < 1e-9
@@ -73,20 +73,43 @@ def test_latest_prediction(spark):
     assert got == {"u": 0.7, "w": 0.4}
 
 
-def test_exact_quantiles_paths_agree(spark):
+def test_exact_quantiles_same_for_any_ranges(spark):
     rnd = random.Random(8)
     vals = [float(rnd.randint(0, 40)) for _ in range(700)] + [rnd.random() for _ in range(700)]
     df = spark.createDataFrame([(v,) for v in vals], "a double")
     probs = (0.01, 0.3, 0.5, 0.77, 1.0)
-    small = {r.p: r.q for r in exact_quantiles(df, ["a"], probs).collect()}            # counted-small path
-    ranged = {r.p: r.q for r in exact_quantiles(df, ["a"], probs, buckets=16).collect()}  # range path
-    assert small == ranged
+    one = {r.p: r.q for r in exact_quantiles(df, ["a"], probs).collect()}
+    many = {r.p: r.q for r in exact_quantiles(df, ["a"], probs, per_range=50).collect()}
+    assert one == many
 
 
-def test_threshold_table_paths_agree(spark):
+def test_threshold_table_same_for_any_ranges(spark):
     rnd = random.Random(12)
     rows = [(int(rnd.random() < 0.35), round(rnd.random(), 3)) for _ in range(3000)]
     df = spark.createDataFrame(rows, "label int, prob double")
     a = sorted(tuple(r) for r in M.threshold_table(df).collect())
-    b = sorted(tuple(r) for r in M.threshold_table(df, buckets=16).collect())
+    b = sorted(tuple(r) for r in M.threshold_table(df, per_range=60).collect())
     assert a == b
+
+
+def test_two_thousand_ranges(spark):
+    df = spark.range(2000).selectExpr("id * 0.5 AS a")
+    q = {r.p: r.q for r in exact_quantiles(df, ["a"], (0.25, 0.5), per_range=1).collect()}
+    assert q == {0.25: 249.875, 0.5: 499.75}
+
+
+def test_auc_of_counts_beyond_a_long(spark):
+    n = 10**12
+    t = spark.createDataFrame([(0.9, 3 * n, n, 3 * n, 4 * n, 4 * n), (0.1, n, 3 * n, 4 * n, 4 * n, 4 * n)],
+                              "threshold double, pos long, neg long, tp long, P long, N long")
+    # 3/4 of the positives above, 1/4 of the negatives: 9/16 + half of the ties 3/16 + 3/16
+    assert M.roc_auc(None, table=t).first().roc_auc == 0.75
+
+
+def test_version_without_digits(spark):
+    import datetime as dt
+
+    from churnlab.operators.monitor import latest_version
+    at = dt.datetime(2017, 3, 1)
+    df = spark.createDataFrame([("champion", at), ("v2", at)], "model_version string, predicted_at timestamp")
+    assert latest_version(df).first().model_version == "v2"

@@ -82,28 +82,46 @@ def test_rate_stream_equals_batch(spark, tmp_path):
     df = spark.createDataFrame(rows, "source string, predicted_at timestamp")
     src = str(tmp_path / "src")
     df.repartition(3).write.parquet(src)
-    prediction_rate_stream(spark, src, df.schema, str(tmp_path / "out"), str(tmp_path / "ck"), watermark="365 days")
+    prediction_rate_stream(spark, src, df.schema, str(tmp_path / "out"), str(tmp_path / "ck"))
     got = {(r.window_start, r.source): r.n for r in final_rates(spark, str(tmp_path / "out")).collect()}
     want = {(r.hour, r.source): r.n for r in hourly_by_source(df, base + dt.timedelta(days=3), days=10).collect()}
     assert got == want
 
 
-def test_log_agg_cache_reused(spark, tmp_path):
+def test_log_agg_cache_is_of_its_input(spark, tmp_path):
     from churnlab.sources.store import materialize_log_agg
     schema = ("msno string, date int, num_25 int, num_50 int, num_75 int, num_985 int, num_100 int, num_unq int, "
               "total_secs double")
     logs = spark.createDataFrame([("u", 20170227, 1, 1, 1, 1, 1, 1, 10.0)], schema)
-    a = materialize_log_agg(spark, logs, dt.date(2017, 2, 28), dt.date(2017, 1, 30), {"r7d": dt.date(2017, 2, 21)},
-                            str(tmp_path))
-    more = logs.unionByName(logs)
-    b = materialize_log_agg(spark, more, dt.date(2017, 2, 28), dt.date(2017, 1, 30), {"r7d": dt.date(2017, 2, 21)},
-                            str(tmp_path))
-    assert a.first().n_days == 1 and b.first().n_days == 1      # second call reads the cache
-    c = materialize_log_agg(spark, more, dt.date(2017, 2, 28), dt.date(2017, 1, 30), {}, str(tmp_path))
-    assert c.first().n_days == 2                                 # different cutoffs -> recomputed
+    run = lambda df, **kw: materialize_log_agg(
+        spark, df, dt.date(2017, 2, 28), dt.date(2017, 1, 30), {"r7d": dt.date(2017, 2, 21)}, str(tmp_path), **kw)
+    assert run(logs).first().n_days == 1
+    assert run(logs.unionByName(logs)).first().n_days == 2        # changed input -> fresh data
+    assert len(list(tmp_path.iterdir())) == 2
+    run(logs)
+    assert len(list(tmp_path.iterdir())) == 2                     # same input -> read again
+    assert run(logs, version="x").first().n_days == 1 and run(logs.limit(0), version="x").count() == 1
     assert F is not None
 
 
+def test_score_stream_scores_valid_rows_and_keeps_rejects(spark, tmp_path, base_record):
+    from conftest import records_df
+
+    from churnlab.schemas import FEATURE_COLS_V5 as V5
+    from churnlab.streaming.scoring import score_stream
+    recs = [dict(base_record, n_transactions=float(i)) for i in range(40)]
+    train = ML.with_class_weight(records_df(spark, recs).withColumn("is_churn", (F.col("msno").cast("int") % 2)))
+    model = ML.lr_pipeline(V5).fit(train)
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    df = records_df(spark, recs[:10] + [dict(base_record, age=-5.0), dict(base_record, days_since_last=None)])
+    df.write.parquet(src)
+    for ck in ("ck1", "ck2"):  # a second run from a fresh checkpoint is a retried batch: nothing doubles
+        score_stream(spark, model, src, df.schema, V5, out, str(tmp_path / ck), "v1")
+        scored, bad = spark.read.parquet(out), spark.read.parquet(f"{out}_rejects")
+        assert {r.msno for r in scored.collect()} == {str(i) for i in range(10)} and scored.count() == 10
+        assert {r.msno: r.failed_rules for r in bad.collect()} == {"10": ["range:age"], "11": ["no_nulls"]}
+
+
 def test_score_batch_calibrate_export(spark, tmp_path):
     from churnlab.sources import store
     df = ML.with_class_weight(_planted(spark))

@@ -52,7 +52,35 @@ def test_labeller_hot_key_no_window(spark):
     w = LabelWindow(dt.date(2017, 1, 1), dt.date(2017, 1, 31), dt.date(2017, 2, 1), dt.date(2017, 2, 28))
     out = churn_labels(df, w)
     assert out.count() >= 1
-    assert "Window" not in _plan(out) and "collect_list" not in _plan(out)
+    plan = _plan(out)
+    assert "Window" not in plan and "collect_list" not in plan
+    # raw rows are dealt by (user, date, plan text), the reduced ones by (user, salt)
+    assert "salt#" in plan and any("hashpartitioning(msno" in ln and "s#" in ln for ln in plan.splitlines())
+
+
+def test_matrix_reads_the_fact_table_once(spark):
+    from churnlab.plans.catalog import _raw_matrix, _tx
+    from churnlab.plans import bindings as B
+    d = "/root/testdata/sf0.001"
+    scans = lambda df: _plan(df).count("sf0.001/lineitem.parquet")
+    assert scans(_raw_matrix(spark, d)) == 1
+    assert scans(FT.tx_user_profile(_tx(spark, d), tie_cols=B.TX_TIE_COLS)) == 1
+
+
+def test_features_ignore_rows_after_the_cutoff(spark):
+    from churnlab.plans.periods import period_config
+    cfg = period_config("2017-03")
+    assert max(cfg.tx_as_of, cfg.log_max_date, cfg.prediction_date, cfg.tx_ref) < cfg.label_start
+    before = [r for r in _hot_tx() if r[6] <= 20170228]
+    after = [(r[0], 99, 400, 9999, 9999, 1, 20170301 + i % 28, 20990101, 1, 10**6 + i) for i, r in enumerate(before)]
+    prev = dt.date(2017, 2, 1)
+    a, b = ({r.msno: r.asDict() for r in FT.labelled_transaction_features(
+        spark.createDataFrame(rows, TX), cfg, prev, ("seq",)).collect()} for rows in (before, before + after))
+    assert {r["is_churn"] for r in a.values()} == {1} and {r["is_churn"] for r in b.values()} == {0}
+    drop = lambda r: {k: v for k, v in r.items() if k not in ("is_churn", "prev_churn")}
+    assert {u: drop(r) for u, r in a.items()} == {u: drop(r) for u, r in b.items()}
+    late = FT.transaction_features(spark.createDataFrame(before + after, TX), cfg, ("seq",))
+    assert {r.msno: r.asDict() for r in late.collect()} == {u: drop(r) for u, r in a.items()}
 
 
 def test_quantiles_hot_value_exact(spark):
@@ -62,13 +90,12 @@ def test_quantiles_hot_value_exact(spark):
     q = {r.p: r.q for r in exact_quantiles(df, ["x"], (0.2, 0.5, 0.9)).collect()}
     for p in (0.2, 0.5, 0.9):
         assert abs(q[p] - float(np.quantile(vals, p))) < 1e-12
-    q16 = {r.p: r.q for r in exact_quantiles(df, ["x"], (0.2, 0.5, 0.9), buckets=16).collect()}
-    assert q16 == q
-    plan = _plan(exact_quantiles(df, ["x"], (0.5,), buckets=16))
-    # range path (used above SMALL_TABLE_VALUES distinct values): the running-sum window is
-    # partitioned by (column, value range), never by the column alone
-    running = [ln for ln in plan.splitlines() if "Window [" in ln and "sum(w#" in ln]
-    assert running and all("bucket" in ln for ln in running)
+    cut = {r.p: r.q for r in exact_quantiles(df, ["x"], (0.2, 0.5, 0.9), per_range=250).collect()}
+    assert cut == q
+    plan = _plan(exact_quantiles(df, ["x"], (0.5,), per_range=250))
+    # the running-sum window over values is partitioned by (column, range), never by the column alone
+    running = [ln for ln in plan.splitlines() if "Window [" in ln and "v#" in ln]
+    assert running and all("part#" in ln for ln in running)
 
 
 def test_auc_hot_score_exact(spark):

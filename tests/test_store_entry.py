@@ -43,3 +43,35 @@ def test_feature_matrix_has_no_nulls_small(spark):
     assert fm.columns[2:] == FEATURE_COLS_V5
     nulls = fm.select([F.count_if(F.col(c).isNull()).alias(c) for c in FEATURE_COLS_V5]).first()
     assert sum(nulls) == 0
+
+
+def test_plain_sinks_and_reports(spark, tmp_path):
+    from churnlab.sources import store
+    df = spark.createDataFrame([("a", 1.0)], "msno string, x double")
+    store.write_features(df, str(tmp_path / "f"))
+    assert store.read_features(spark, str(tmp_path / "f")).collect() == df.collect()
+    for _ in range(2):
+        store.write_metrics(df, str(tmp_path / "m"))
+    assert spark.read.json(str(tmp_path / "m")).count() == 2
+    for score in (0.1, 0.3):
+        store.append_drift_report(spark.createDataFrame([("2017-03", score)], "period string, drift_score double"),
+                                  str(tmp_path / "d"))
+    assert [tuple(r) for r in store.read_drift_reports(spark, str(tmp_path / "d")).collect()] == [("2017-03", 0.3)]
+    truth = spark.createDataFrame([("a", "2017-03", 0), ("a", "2017-03", 1), ("b", "2017-03", 0)],
+                                  "msno string, period string, actual_churn int")
+    store.load_ground_truth(truth, str(tmp_path / "g"))
+    store.load_ground_truth(truth, str(tmp_path / "g"))
+    got = spark.read.parquet(str(tmp_path / "g")).select("msno", "actual_churn").collect()
+    assert sorted(map(tuple, got)) == [("a", 1), ("b", 0)]
+
+
+def test_versions_are_kept_and_promoted(spark, tmp_path):
+    from churnlab.operators import models as ML
+    from churnlab.sources import store
+    path = str(tmp_path / "versions")
+    for v in (1, 2):
+        store.append_versions(ML.register_version(None, spark, "churn", v, {"log_loss": 0.2, "roc_auc": 0.9}), path)
+    for v in (1, 2):
+        store.append_versions(ML.promote(store.read_versions(spark, path), "churn", v), path)
+    got = {r.version: r.stage for r in store.read_versions(spark, path).collect()}
+    assert got == {1: "Archived", 2: "Production"}

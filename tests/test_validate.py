@@ -1,4 +1,4 @@
-"""The reference's validation unit cases, as DataFrame checks."""
+"""Validation rules and the request contract as DataFrame checks."""
 
 from conftest import records_df
 
@@ -42,13 +42,14 @@ def test_contract_gender_extra_column(spark, base_record):
     assert v["gender_enc"].n_out_of_range == 1 and v["age"].n_out_of_range == 0
 
 
-def test_edge_records_contract(spark, base_record):
-    no_logs = dict(base_record, n_days=0.0, avg_daily_secs=0.0, avg_daily_completed=0.0, avg_daily_unq=0.0,
-                   completion_ratio=0.0, days_since_last=999.0, listening_trend=0.0, has_log_record=0,
-                   n_days_7d=0.0, secs_per_day_7d=0.0, n_days_90d=0.0, secs_per_day_90d=0.0, trend_7d=0.0,
-                   trend_7d_vs_30d=0.0)
-    first_month = dict(base_record, n_transactions=1.0, n_cancels=0.0, tenure_days=15.0, n_renewals=0.0)
-    assert _split(spark, [no_logs, first_month]) == (2, 0)
+def test_records_on_and_beyond_every_bound(spark, base_record):
+    from churnlab.operators.validate import CONTRACT_BOUNDS
+    on, beyond = dict(base_record), dict(base_record)
+    for c, (lo, hi) in CONTRACT_BOUNDS.items():
+        on[c] = hi if hi is not None else lo
+        beyond[c] = hi + 1 if hi is not None else lo - 1
+    v = {r.column: r.n_out_of_range for r in contract_check(records_df(spark, [on, beyond]))[2].collect()}
+    assert all(v[c] == 1 for c in CONTRACT_BOUNDS) and _split(spark, [on, beyond]) == (1, 1)
 
 
 def test_missing_columns_fail_before_jobs(spark, base_record):

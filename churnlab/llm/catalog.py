@@ -94,9 +94,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
 ORACLE: dict[str, str] = {
     "op2_exact_topk": """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(1024 * x::DOUBLE)) AS v FROM embeddings
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding)),
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
 q AS (SELECT vec_id AS query_id, min(v) AS qv FROM v WHERE vec_id % 100 = 0 GROUP BY vec_id),
 s AS (
   SELECT query_id, vec_id, list_inner_product(qv, v)::BIGINT AS score
@@ -119,30 +119,30 @@ sides AS (
   FROM one o LEFT JOIN last l ON l.conv_id = o.conv_id LEFT JOIN last x ON x.conv_id = xor(o.conv_id, 1)
   WHERE l.last_turn IS NULL OR o.turn < l.last_turn OR (o.turn = l.last_turn AND x.conv_id IS NOT NULL)),
 p AS (
-  SELECT *, row_number() OVER (PARTITION BY pair_id, side ORDER BY turn) AS at,
+  SELECT *, row_number() OVER (PARTITION BY pair_id, side ORDER BY turn) AS place,
     '<|' || coalesce(role, 'user') || '|>' || chr(10) AS head, coalesce(text, '') || '<|end|>' || chr(10) AS body
   FROM sides),
 d AS (
   SELECT coalesce(c.pair_id, r.pair_id) AS pair_id,
     min(CASE WHEN c.pair_id IS NULL OR r.pair_id IS NULL OR c.role IS DISTINCT FROM r.role
-             OR c.text IS DISTINCT FROM r.text THEN coalesce(c.at, r.at) END) AS differs,
+             OR c.text IS DISTINCT FROM r.text THEN coalesce(c.place, r.place) END) AS differs,
     count(c.pair_id) AS cn, count(r.pair_id) AS rn
   FROM (SELECT * FROM p WHERE side = 'chosen') c FULL JOIN (SELECT * FROM p WHERE side = 'rejected') r
-    ON c.pair_id = r.pair_id AND c.at = r.at GROUP BY 1),
+    ON c.pair_id = r.pair_id AND c.place = r.place GROUP BY 1),
 pre AS (SELECT pair_id, coalesce(differs - 1, cn) AS k, cn, rn FROM d),
 q AS (
-  SELECT p.*, k, sum(CASE WHEN at > k THEN length(head) + length(body) ELSE 0 END)
-      OVER (PARTITION BY p.pair_id, side ORDER BY at) - length(body) AS start
+  SELECT p.*, k, sum(CASE WHEN place > k THEN length(head) + length(body) ELSE 0 END)
+      OVER (PARTITION BY p.pair_id, side ORDER BY place) - length(body) AS start
   FROM p JOIN pre USING (pair_id)),
 g AS (
   SELECT pair_id,
-    string_agg(CASE WHEN side = 'chosen' AND at <= k THEN head || body ELSE '' END, '' ORDER BY at) AS prompt,
-    string_agg(CASE WHEN side = 'chosen' AND at > k THEN head || body ELSE '' END, '' ORDER BY at) AS chosen,
-    string_agg(CASE WHEN side = 'rejected' AND at > k THEN head || body ELSE '' END, '' ORDER BY at) AS rejected,
-    string_agg(CASE WHEN side = 'chosen' AND at > k AND role = 'assistant'
-                    THEN start || '-' || (start + length(body)) END, ';' ORDER BY at) AS cs,
-    string_agg(CASE WHEN side = 'rejected' AND at > k AND role = 'assistant'
-                    THEN start || '-' || (start + length(body)) END, ';' ORDER BY at) AS rs
+    string_agg(CASE WHEN side = 'chosen' AND place <= k THEN head || body ELSE '' END, '' ORDER BY place) AS prompt,
+    string_agg(CASE WHEN side = 'chosen' AND place > k THEN head || body ELSE '' END, '' ORDER BY place) AS chosen,
+    string_agg(CASE WHEN side = 'rejected' AND place > k THEN head || body ELSE '' END, '' ORDER BY place) AS rejected,
+    string_agg(CASE WHEN side = 'chosen' AND place > k AND role = 'assistant'
+                    THEN start || '-' || (start + length(body)) END, ';' ORDER BY place) AS cs,
+    string_agg(CASE WHEN side = 'rejected' AND place > k AND role = 'assistant'
+                    THEN start || '-' || (start + length(body)) END, ';' ORDER BY place) AS rs
   FROM q GROUP BY pair_id)
 SELECT pair_id, k::INT AS prefix_turns, prompt, chosen, rejected, coalesce(cs, '') AS chosen_spans,
   coalesce(rs, '') AS rejected_spans, cn::INT AS chosen_turns, rn::INT AS rejected_turns

@@ -12,8 +12,8 @@ Ties on the curve are broken by the tie columns, so a hot cell spreads over as m
 with equal metadata stay next to each other.
 
 Defined results: null values come first in their dimension; rows that are equal in all columns may take each other's
-place. An empty table gives empty runs. Columns the caller has keep their names; the runs' own columns begin with
-``_hc_``.
+place. An empty table gives empty runs. The operator's own columns begin with ``_hc_``, so others never clash; a
+column named ``shard`` or ``slot`` is replaced.
 """
 
 from __future__ import annotations
@@ -142,24 +142,23 @@ def write_runs(docs: DataFrame, dims: list[str], ties: list[Column | str], path:
 
 
 def _offsets(runs: DataFrame) -> DataFrame:
-    """(run, before, total): rows before each run; one small row a run."""
-    per = runs.groupBy(F.shiftright("_hc_row", ROW_BITS).alias("run")).agg(F.count("*").alias("rows"))
-    w = Window.orderBy("run")
-    return per.select("run", (F.sum("rows").over(w) - F.col("rows")).alias("before"),
-                      F.sum("rows").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-                      .alias("total"))
+    """(_hc_at, _hc_before, _hc_total): a run, the rows before it and all rows; one small row a run."""
+    per = runs.groupBy(F.shiftright("_hc_row", ROW_BITS).alias("_hc_at")).agg(F.count("*").alias("_hc_n"))
+    w = Window.orderBy("_hc_at")
+    return per.select("_hc_at", (F.sum("_hc_n").over(w) - F.col("_hc_n")).alias("_hc_before"),
+                      F.sum("_hc_n").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+                      .alias("_hc_total"))
 
 
 def read_shards(runs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """Written runs with ``shard`` and ``slot`` added: consecutive ranks cut so that counts differ by one at most."""
-    rank = F.col("before") + F.col("_hc_row").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
-    offsets = F.broadcast(_offsets(runs))  # one row a run
+    rank = F.col("_hc_before") + F.col("_hc_row").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
     out = runs.withColumn("_hc_run", F.shiftright("_hc_row", ROW_BITS)).join(
-        offsets, F.col("_hc_run") == F.col("run")).drop("run")
+        F.broadcast(_offsets(runs)), F.col("_hc_run") == F.col("_hc_at")).drop("_hc_at")  # one row a run
     out = out.withColumn("_hc_rank", rank).withColumn(
-        "shard", F.expr(f"(_hc_rank * {shards}) div total").cast("int"))
-    first = F.expr(f"(shard * total + {shards - 1}) div {shards}")
-    return out.withColumn("slot", F.col("_hc_rank") - first).drop("before", "total")
+        "shard", F.expr(f"(_hc_rank * {shards}) div _hc_total").cast("int"))
+    first = F.expr(f"(shard * _hc_total + {shards - 1}) div {shards}")
+    return out.withColumn("slot", F.col("_hc_rank") - first).drop("_hc_before", "_hc_total")
 
 
 def manifest(shards: DataFrame, dims: list[str]) -> DataFrame:

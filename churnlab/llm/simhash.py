@@ -138,7 +138,7 @@ def _links(fps: DataFrame, radius: int, tile_rows: int, segments: int | None) ->
     count = lambda i: F.bit_count(F.shiftrightunsigned("fp", width * i).bitwiseAND(mask)).cast("long")
     key = sum((count(i) * _BASE ** i for i in range(1, m)), count(0))
     keyed = fps.select("fp", key.alias("key"))
-    sizes = keyed.groupBy("key").agg(F.ceil(F.count("*") / tile_rows).alias("parts"))
+    sizes = written(keyed.groupBy("key").agg(F.ceil(F.count("*") / tile_rows).alias("parts")), "simhash-sizes")
     tiles = written(
         keyed.join(sizes, "key")
         .groupBy("key", F.pmod(F.xxhash64("fp"), F.col("parts")).alias("part"))
@@ -175,10 +175,13 @@ def connected(edges: DataFrame) -> DataFrame:
     state = None
     while True:
         both = e.union(e.select("v", "u")).toDF("u", "v")
+        # written, the least neighbours are a plain side of the join: broadcast if small, else a hub can be split
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = written(least, "least")
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where("u != v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = written(large, "links")
+        least = written(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(small.select("u", "m"))
         e = written(small.where("u != v").distinct(), "links")
@@ -195,7 +198,8 @@ def components(fp_table: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_
     roots = connected(_links(reps.select("fp"), radius, tile_rows, segments))
     whole = reps.join(roots, reps["fp"] == roots["node"], "left").select(
         "fp", "least_id", F.coalesce("root", "fp").alias("root"))
-    ids = whole.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    whole = written(whole, "simhash-roots")
+    ids = written(whole.groupBy("root").agg(F.min("least_id").alias("component_id")), "simhash-ids")
     return whole.join(ids, "root").select("fp", "component_id")
 
 

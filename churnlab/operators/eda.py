@@ -97,7 +97,7 @@ def value_counts(df: DataFrame, c: str, n: int | None = None, dropna: bool = Tru
     """Frequency of each value, most frequent first (ties by value); optional NULL bucket."""
     src = df.where(F.col(c).isNotNull()) if dropna else df
     counts = src.groupBy(c).agg(F.count(F.lit(1)).alias("n"))
-    total = src.agg(F.count(F.lit(1)).alias("total"))
+    total = counts.agg(F.sum("n").alias("total"))  # from the counts: their shuffle is reused, the source read once
     out = counts.crossJoin(F.broadcast(total)).select(
         c, "n", F.round(F.col("n") / F.col("total"), 6).alias("share"))
     if n is not None:
@@ -136,7 +136,7 @@ def rate_by(df: DataFrame, key, min_n: int = 0, label: str = "is_churn", lift: b
     out = g.where(F.col("n") >= min_n)
     out = out.withColumn("churn_rate", F.col("_pos") / F.col("n"))
     if lift:
-        overall = src.agg((F.sum("_y") / F.count(F.lit(1))).alias("_overall"))
+        overall = g.agg((F.sum("_pos") / F.sum("n")).alias("_overall"))  # from the groups: the source is read once
         out = out.crossJoin(F.broadcast(overall)).withColumn(
             "lift", F.round(F.col("churn_rate") / F.col("_overall"), 6)).drop("_overall")
     return out.withColumn("churn_rate", F.round("churn_rate", 6)).drop("_pos")
@@ -271,16 +271,22 @@ def feature_summary(df: DataFrame, cols: Sequence[str], digits: int = 6) -> Data
 
 # ---------------------------------------------------------------- J4 / J5 / J6, U2-U4
 def key_coverage(left: DataFrame, rights: dict[str, DataFrame], key: str = "msno") -> DataFrame:
-    """Share of distinct left keys present in each right table (semi joins)."""
-    lk = left.select(key).distinct()
-    n = lk.agg(F.count(F.lit(1)).alias("n_left"))
-    parts = []
-    for name, r in rights.items():
-        hit = lk.join(r.select(key), key, "left_semi").agg(F.count(F.lit(1)).alias("n_present"))
-        parts.append(hit.select(F.lit(name).alias("source"), "n_present"))
+    """Share of distinct left keys present in each right table (every table read and shuffled once)."""
+    seen = _seen_in([left, *rights.values()], key).where(F.col("seen").bitwiseAND(F.lit(1)) > 0)
+    one = seen.agg(F.count(F.lit(1)).alias("n_left"), *[
+        F.count_if(F.col("seen").bitwiseAND(F.lit(2 << i)) > 0).alias(name) for i, name in enumerate(rights)])
+    return one.select("n_left", F.explode(F.array(*[
+        F.struct(F.lit(name).alias("source"), F.col(f"`{name}`").alias("n_present")) for name in rights])).alias("r")
+    ).select("r.source", "r.n_present", "n_left").withColumn(
+        "coverage", F.round(F.col("n_present") / F.col("n_left"), 6))
+
+
+def _seen_in(tables: Sequence[DataFrame], key: str) -> DataFrame:
+    """(key, seen): bit i of ``seen`` is set if table i has the key; one aggregate over all tables."""
     from functools import reduce
-    u = reduce(lambda a, b: a.unionByName(b), parts)
-    return u.crossJoin(n).withColumn("coverage", F.round(F.col("n_present") / F.col("n_left"), 6))
+    tagged = [t.select(F.col(key), F.lit(1 << i).alias("seen")).where(F.col(key).isNotNull())
+              for i, t in enumerate(tables)]
+    return reduce(lambda a, b: a.union(b), tagged).groupBy(key).agg(F.bit_or("seen").alias("seen"))
 
 
 def key_intersect(a: DataFrame, b: DataFrame, key: str = "msno") -> DataFrame:
@@ -295,10 +301,8 @@ def key_except(a: DataFrame, b: DataFrame, key: str = "msno") -> DataFrame:
 
 def user_overlap(a: DataFrame, b: DataFrame, key: str = "msno") -> DataFrame:
     """Sizes of two key sets and of their intersection."""
-    na = a.select(key).distinct().agg(F.count(F.lit(1)).alias("n_a"))
-    nb = b.select(key).distinct().agg(F.count(F.lit(1)).alias("n_b"))
-    both = key_intersect(a, b, key).agg(F.count(F.lit(1)).alias("n_both"))
-    return na.crossJoin(nb).crossJoin(both)
+    has = lambda bits: F.count_if(F.col("seen").bitwiseAND(F.lit(bits)) == bits)
+    return _seen_in([a, b], key).agg(has(1).alias("n_a"), has(2).alias("n_b"), has(3).alias("n_both"))
 
 
 def no_log_users(labels: DataFrame, logs: DataFrame, key: str = "msno", label: str = "is_churn") -> DataFrame:

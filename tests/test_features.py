@@ -57,3 +57,15 @@ def test_member_features_edges(spark):
     assert got["b"].gender_enc == 0 and got["b"].age == 1.0 and got["c"].bd_valid == 1
     assert got["d"].gender_enc is None and got["d"].bd_valid == 0 and got["d"].tenure_days is None
     assert got["a"].tenure_days == 366
+
+
+def test_imputing_in_two_steps_equals_one(spark):
+    from churnlab.operators.impute import V5_CONSTANTS, V5_MEDIAN, impute, impute_base, impute_v5
+    rows = [(1, 10.0, None, None, None), (2, None, 5, 1, 3), (3, 30.0, 7, None, 9), (4, None, None, 0, None)]
+    df = spark.createDataFrame(rows, "msno long, avg_price double, n_days int, is_expired int, days_until_expire int")
+    base = impute_base(df, extra_exclude=("is_expired", "days_until_expire"))
+    two = {r.msno: (r.avg_price, r.n_days, r.is_expired, r.days_until_expire) for r in impute_v5(base).collect()}
+    assert two == {1: (10.0, 0, 1, 6.0), 2: (20.0, 5, 1, 3), 3: (30.0, 7, 1, 9), 4: (20.0, 0, 0, 6.0)}
+    constants = {"n_days": 0} | {k: v for k, v in V5_CONSTANTS.items() if k in df.columns}
+    one = impute(df, ["avg_price", *[c for c in V5_MEDIAN if c in df.columns]], constants)
+    assert {r.msno: (r.avg_price, r.n_days, r.is_expired, r.days_until_expire) for r in one.collect()} == two

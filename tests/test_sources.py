@@ -23,3 +23,12 @@ def test_samples(spark):
     s2 = {r.msno for r in readers.keyed_sample(df.repartition(7), "msno", 0.3).collect()}
     assert s1 == s2 and 200 < len(s1) < 400
     assert 200 < readers.sample_rows(df, frac=0.3, seed=1).count() < 400
+
+
+def test_log_files_are_united(spark, tmp_path):
+    head = "msno,date,num_25,num_50,num_75,num_985,num_100,num_unq,total_secs\n"
+    (tmp_path / "user_logs.csv").write_text(head + "a,20170101,1,0,0,0,5,6,1200.5\n")
+    (tmp_path / "user_logs_v2.csv").write_text(head + "a,20170301,0,0,0,0,2,2,300.0\n")
+    logs = readers.load_logs(spark, str(tmp_path))
+    assert dict(logs.dtypes)["total_secs"] == "double"
+    assert sorted(r.date for r in logs.collect()) == [20170101, 20170301]

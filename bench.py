@@ -23,6 +23,8 @@ HEADLINE = [
     "metric_roc_auc", "best_f1", "performance_report", "drift_score", "hourly_by_source",
 ]
 
+LOG_ROWS = 10_000_000  # daily log rows of the rate measurement
+
 
 def main() -> None:
     from churnlab.plans.catalog import QUERIES
@@ -41,12 +43,34 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t0
 
+    def log_rate() -> float:
+        """Million daily log rows a second through the log aggregate, over the given days copied to more users."""
+        from pyspark.sql import functions as F
+
+        from churnlab.operators import features
+        from churnlab.plans import bindings
+        from churnlab.plans.periods import DEMO_PERIOD as P
+        from churnlab.session import materialize
+        days = materialize(bindings.user_logs(spark, sf_dir))
+        copies = max(1, LOG_ROWS // max(1, days.count()))
+        logs = materialize(days.crossJoin(spark.range(copies)).withColumn(
+            "msno", F.col("msno") + F.col("id") * 10_000_000).drop("id"))
+        n, best = logs.count(), None
+        for _ in range(2):
+            t0 = time.perf_counter()
+            features.log_user_agg(logs, P.log_max_date, P.log_recent, P.log_windows).write.format("noop").mode(
+                "overwrite").save()
+            best = min(best or 1e9, time.perf_counter() - t0)
+        return round(n / best / 1e6, 3)
+
     repeats = max(1, int(os.environ.get("BENCH_REPEATS", "3")))
     run("tx_user_profile")  # JVM / codegen warm-up
     times = {n: round(min(run(n) for _ in range(repeats)), 3) for n in names}
+    rate = None if sys.argv[1:] else log_rate()
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "headline_total_wall", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "sf": sf, "repeats": repeats}))
+                      "queries": times, "sf": sf, "repeats": repeats,
+                      "log_agg_million_rows_per_sec": rate}))
 
 
 if __name__ == "__main__":

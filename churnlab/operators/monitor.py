@@ -104,22 +104,25 @@ def drift_score(drift: DataFrame, alert: float = DRIFT_ALERT) -> DataFrame:
 
 def alerts(drift_row: DataFrame, perf_row: DataFrame, drift_alert: float = DRIFT_ALERT,
            min_auc: float = MIN_AUC) -> DataFrame:
-    """D-3: one row per check with value, threshold and whether it fires."""
+    """D-3: one row per check with value, threshold, whether it fires, and "no data" where there is no value."""
     d = drift_row.select(F.lit("drift_score").alias("check"), F.col("drift_score").cast("double").alias("value"),
                          F.lit(drift_alert).alias("threshold"),
                          F.coalesce(F.col("drift_score") > drift_alert, F.lit(False)).alias("alert"))
     p = perf_row.select(F.lit("roc_auc").alias("check"), F.col("roc_auc").cast("double").alias("value"),
                         F.lit(min_auc).alias("threshold"),
                         F.coalesce(F.col("roc_auc") < min_auc, F.lit(False)).alias("alert"))
-    return d.unionByName(p)
+    return d.unionByName(p).withColumn("status", F.when(F.col("value").isNull(), "no data").when(
+        F.col("alert"), "alert").otherwise("ok"))
 
 
 def period_summary(period: str, drift_row: DataFrame, perf_row: DataFrame) -> DataFrame:
     """D-4: drift and performance of one period side by side with an overall status."""
     j = drift_row.select("drift_score", F.col("dataset_drift").alias("drift_alert")).crossJoin(
         perf_row.select("n", "roc_auc", "log_loss", F.col("alert").alias("auc_alert")))
+    no_data = F.col("drift_score").isNull() | F.col("roc_auc").isNull()
     return j.select(F.lit(period).alias("period"), "*",
-                    F.when(F.col("drift_alert") | F.col("auc_alert"), "ALERT").otherwise("OK").alias("status"))
+                    F.when(F.col("drift_alert") | F.col("auc_alert"), "ALERT").when(no_data, "NO DATA").otherwise("OK")
+                    .alias("status"))
 
 
 # ---------------------------------------------------------------- dashboard panels

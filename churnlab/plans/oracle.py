@@ -752,13 +752,16 @@ sql("drift_history", "SELECT '2000-12' AS period, drift_score, dataset_drift FRO
     + " SELECT * FROM dscore) h", DRIFT_CTE)
 _PERF_SUB = "(" + ORACLE["performance_report"] + ")"
 sql("alerts", f"""
-SELECT 'drift_score' AS "check", CAST(drift_score AS DOUBLE) AS value, 0.15 AS threshold,
-       coalesce(drift_score > 0.15, false) AS alert FROM dscore
-UNION ALL
-SELECT 'roc_auc', CAST(roc_auc AS DOUBLE), 0.85, coalesce(roc_auc < 0.85, false) FROM {_PERF_SUB} p""", EVAL_DRIFT_CTE)
+SELECT *, CASE WHEN value IS NULL THEN 'no data' WHEN alert THEN 'alert' ELSE 'ok' END AS status FROM (
+  SELECT 'drift_score' AS "check", CAST(drift_score AS DOUBLE) AS value, 0.15 AS threshold,
+         coalesce(drift_score > 0.15, false) AS alert FROM dscore
+  UNION ALL
+  SELECT 'roc_auc', CAST(roc_auc AS DOUBLE), 0.85, coalesce(roc_auc < 0.85, false) FROM {_PERF_SUB} p) c""",
+    EVAL_DRIFT_CTE)
 sql("period_summary", f"""
 SELECT '1998-06' AS period, d.drift_score, d.dataset_drift AS drift_alert, p.n, p.roc_auc, p.log_loss,
-       p.alert AS auc_alert, CASE WHEN d.dataset_drift OR p.alert THEN 'ALERT' ELSE 'OK' END AS status
+       p.alert AS auc_alert, CASE WHEN d.dataset_drift OR p.alert THEN 'ALERT'
+         WHEN d.drift_score IS NULL OR p.roc_auc IS NULL THEN 'NO DATA' ELSE 'OK' END AS status
 FROM dscore d CROSS JOIN {_PERF_SUB} p""", EVAL_DRIFT_CTE)
 
 _NOW = "TIMESTAMP '1998-06-20 12:00:00'"

@@ -28,7 +28,7 @@ LOG_ROWS = 10_000_000  # daily log rows of the rate measurement
 
 def main() -> None:
     from churnlab.plans.catalog import QUERIES
-    from churnlab.session import get_spark
+    from churnlab.session import get_spark, remove_scratch
 
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -41,7 +41,9 @@ def main() -> None:
         spark.sparkContext._jvm.System.gc()
         t0 = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        return time.perf_counter() - t0
+        took = time.perf_counter() - t0
+        remove_scratch(spark)
+        return took
 
     def log_rate() -> float:
         """Million daily log rows a second through the log aggregate, over the given days copied to more users."""

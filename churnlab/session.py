@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -84,8 +85,25 @@ def materialize(df):
     checkpoint it is computed once (no second pass to save it), stored
     columnar, and read back with column pruning and filter pushdown.
     """
-    import uuid
-    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
-    path = f"{base}/churnlab_materialized/{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, "churnlab_materialized")
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+_SCRATCH: list[str] = []
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared checkpoint folder, remembered for ``remove_scratch``."""
+    _SCRATCH.append(f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}/{uuid.uuid4().hex}")
+    return _SCRATCH[-1]
+
+
+def remove_scratch(spark: SparkSession) -> int:
+    """Delete the intermediate tables written by this process; for after the results that read them are used."""
+    hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
+    removed = 0
+    while _SCRATCH:
+        path = hadoop.Path(_SCRATCH.pop())
+        removed += bool(path.getFileSystem(conf).delete(path, True))
+    return removed

@@ -75,3 +75,12 @@ def test_versions_are_kept_and_promoted(spark, tmp_path):
         store.append_versions(ML.promote(store.read_versions(spark, path), "churn", v), path)
     got = {r.version: r.stage for r in store.read_versions(spark, path).collect()}
     assert got == {1: "Archived", 2: "Production"}
+
+
+def test_intermediate_tables_are_removed(spark):
+    from churnlab import session
+    session.remove_scratch(spark)
+    df = session.materialize(spark.range(3))
+    path = session._SCRATCH[-1]
+    assert df.count() == 3 and os.path.isdir(path)
+    assert session.remove_scratch(spark) == 1 and not os.path.exists(path) and session.remove_scratch(spark) == 0

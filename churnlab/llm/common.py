@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 
@@ -12,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlab.session import ensure_checkpoint_dir
+from churnlab import session
 
 #: An Arrow batch handed to a Python worker holds at most this many rows and about this many bytes, so the
 #: memory of a task does not depend on the length of the documents.
@@ -41,7 +40,7 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    ensure_checkpoint_dir(spark)
+    session.ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -51,7 +50,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder for a written table below the cluster's shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/churnlab_llm/{name}-{uuid.uuid4().hex}"
+    return session.scratch_path(spark, f"churnlab_llm/{name}")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -193,33 +193,37 @@ def connected(edges: DataFrame) -> DataFrame:
 
 def components(fp_table: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROWS,
                segments: int | None = None) -> DataFrame:
-    """(fp, component_id): fingerprints linked at ``radius`` or fewer differing bits, directly or by others."""
+    """(fp, root, component_id): fingerprints linked at ``radius`` or fewer differing bits, directly or by others.
+
+    ``root`` names the component itself; components that share their smallest id have the same ``component_id``.
+    """
     reps = written(fp_table.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "simhash-reps")
     roots = connected(_links(reps.select("fp"), radius, tile_rows, segments))
     whole = reps.join(roots, reps["fp"] == roots["node"], "left").select(
         "fp", "least_id", F.coalesce("root", "fp").alias("root"))
     whole = written(whole, "simhash-roots")
     ids = written(whole.groupBy("root").agg(F.min("least_id").alias("component_id")), "simhash-ids")
-    return whole.join(ids, "root").select("fp", "component_id")
+    return whole.join(ids, "root").select("fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, seed: int = SEED,
                     tile_rows: int = TILE_ROWS, segments: int | None = None) -> DataFrame:
-    """One row per document: doc_id, text_key, fp long, component_id."""
+    """One row per document: doc_id, text_key, fp long, root long (of its component), component_id."""
     fp_table = written(fingerprints(docs, shingle, seed), "simhash")
     return fp_table.join(components(fp_table, radius, tile_rows, segments), "fp").select(
-        "doc_id", "text_key", "fp", "component_id")
+        "doc_id", "text_key", "fp", "root", "component_id")
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """Documents with one of each component left: the one with the smallest id.
 
-    Rows that repeat an id and its fingerprint count once. Rows without an id cannot be named; they stay, unless
+    An id on unrelated texts stays once for each component it is the smallest of; within one, the text with the
+    smallest key stays, and rows that repeat an id and its text count once. Rows without an id cannot be named; they stay, unless
     their component has a document with an id.
     """
     found = near_duplicates(docs, **options)
     kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    named = kept.where("doc_id is not null").groupBy("doc_id").agg(F.min("text_key").alias("_row_key"))
+    named = kept.where("doc_id is not null").groupBy("root", "doc_id").agg(F.min("text_key").alias("_row_key"))
     nameless = kept.where("doc_id is null").select("doc_id", "text_key").distinct()
     # an equality join leaves rows dealt by (doc_id, key), so dropping repeated rows needs no shuffle of its own
     once = (docs.where("doc_id is not null").withColumn("_row_key", text_key(F.col("text")))

@@ -85,6 +85,17 @@ def test_keep_one(make_docs):
     assert kept.columns == make_docs(rows).columns
 
 
+def test_keep_one_of_each_group_when_an_id_has_two_texts(make_docs):
+    rnd = random.Random(9)
+    one, two = (" ".join(rnd.choice(WORDS) for _ in range(200)) for _ in range(2))
+    rows = [(1, one), (1, two), (1, two), (5, one + " tail"), (6, two + " tail"), (7, one), (8, two)]
+    roots = {c for _, _, c in brute_components([(i, t) for i, (_, t) in enumerate(rows)])}
+    assert len(roots) == 2  # two unrelated groups, both with 1 as their smallest id
+    assert sorted((r.doc_id, r.text) for r in S.keep_one(make_docs(rows)).collect()) == sorted([(1, one), (1, two)])
+    near = [(1, one), (1, one + " tail"), (2, one)]  # an id on two texts of one group still stays once
+    assert [r.doc_id for r in S.keep_one(make_docs(near)).collect()] == [1]
+
+
 def test_dense_group_gives_a_forest():
     rnd = np.random.default_rng(3)
     base = rnd.integers(0, 2**63, dtype=np.uint64)

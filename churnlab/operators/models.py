@@ -133,6 +133,16 @@ def evaluate(scored: DataFrame, label: str = "is_churn", prob: str = "prob") ->
         M.log_loss(scored, label, prob))
 
 
+def temporal_validate(fit, prev: DataFrame, cur: DataFrame, upcoming: DataFrame
+                      ) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``fit`` (table -> model) on ``prev``, evaluated on ``cur``; refitted on both, ``upcoming`` scored.
+
+    Returns the scores of ``cur``, their ROC-AUC, PR-AUC and log loss (one row), and the scores of ``upcoming``.
+    """
+    scored = materialize(score(fit(prev), cur))
+    return scored, evaluate(scored), score(fit(prev.unionByName(cur)), upcoming)
+
+
 def cross_validate(df: DataFrame, features: Sequence[str], models: Sequence[str] = ("lr",), k: int = 5,
                    seed: int = 42, label: str = "is_churn", params: dict | None = None) -> DataFrame:
     """K-fold metrics per model -> rows (model, fold, roc_auc, pr_auc, log_loss)."""

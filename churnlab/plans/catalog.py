@@ -501,12 +501,12 @@ def _split_scored(spark, d):
     return materialize(te.select("msno", "is_churn", "p_lr", "p_gbt", "p_rf"))
 
 
-def _score_checks(scored, prob):
+def _score_checks(scored, prob, ev=None):
     """What holds for any model: every row scored, scores in [0, 1], label = score >= 0.5, metrics in range."""
     p = _F.col(prob)
     one = scored.agg(_F.count(_F.lit(1)).alias("n"), _F.count_if(p.between(0, 1)).alias("n_in_range"),
                      _F.count_if(FC.label_at(prob, 0.5) == (p >= 0.5).cast("int")).alias("n_label_ok"))
-    ev = ML.evaluate(scored, prob=prob)
+    ev = ML.evaluate(scored, prob=prob) if ev is None else ev
     return one.crossJoin(ev).select("n", "n_in_range", "n_label_ok", _F.col("roc_auc").between(0, 1).alias("auc_ok"),
                                     (_F.col("log_loss") >= 0).alias("log_loss_ok"))
 
@@ -528,19 +528,23 @@ def q_blend_scores(spark, d):
 
 @register("temporal_validate")
 def q_temporal_validate(spark, d):
-    """Fit on the previous month and evaluate on the current one; refit on both and score the next."""
+    """Fit on the previous month and evaluate on the current one; refit on both and score the next.
+
+    The metrics themselves come from ``ML.temporal_validate``; rows of the phase ``evaluate`` count as in range only
+    if the scores' labels and metrics hold too.
+    """
     from churnlab.session import materialize
     fit = lambda df: ML.gbt_pipeline(_V5, max_iter=10, max_depth=4).fit(ML.with_class_weight(df))
     prev, cur = materialize(_matrix_for(spark, d, PREV_PERIOD_CFG)), materialize(feature_matrix(spark, d, "v5"))
-    phases = [("evaluate", prev, P.period, cur),
-              ("next", prev.unionByName(cur), NEXT_PERIOD_CFG.period, _matrix_for(spark, d, NEXT_PERIOD_CFG))]
-    out = []
-    for phase, train, period, at in phases:
-        scored = ML.score(fit(train), at)
-        out.append(scored.agg(_F.count(_F.lit(1)).alias("n"),
-                              _F.count_if(_F.col("prob").between(0, 1)).alias("n_in_range"))
-                   .select(_F.lit(phase).alias("phase"), _F.lit(period).alias("eval_period"), "*"))
-    return MON.union_all(out)
+    scored, metrics, upcoming = ML.temporal_validate(fit, prev, cur, _matrix_for(spark, d, NEXT_PERIOD_CFG))
+    holds = (_F.col("n_label_ok") == _F.col("n")) & _F.col("auc_ok") & _F.col("log_loss_ok")
+    evaluated = _score_checks(scored, "prob", metrics).select(
+        "n", _F.when(holds, _F.col("n_in_range")).otherwise(0).alias("n_in_range"))
+    after = upcoming.agg(_F.count(_F.lit(1)).alias("n"),
+                         _F.count_if(_F.col("prob").between(0, 1)).alias("n_in_range"))
+    return MON.union_all([part.select(_F.lit(phase).alias("phase"), _F.lit(period).alias("eval_period"), "*")
+                          for phase, period, part in (("evaluate", P.period, evaluated),
+                                                      ("next", NEXT_PERIOD_CFG.period, after))])
 
 
 @register("prediction_rate_stream")

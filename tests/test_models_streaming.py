@@ -1,6 +1,7 @@
 """MLlib and streaming: invariants and seeded repeatability (no SQL twin exists for these)."""
 
 import datetime as dt
+import os
 import random
 
 from pyspark.sql import functions as F
@@ -148,3 +149,15 @@ def test_tune_trials_and_subsample(spark):
     assert len(rows) == 2 and all(r.roc_auc > 0.7 for r in rows)
     a = {r.msno for r in ML.subsample(df, 0.25).collect()}
     assert a == {r.msno for r in ML.subsample(df.repartition(5), 0.25).collect()} and 30 < len(a) < 120
+
+
+def test_temporal_validate_gives_the_metrics_of_the_next_period(spark):
+    prev, cur, upcoming = (_planted(spark, seed=s) for s in (1, 2, 3))
+    features = [c for c in prev.columns if c not in ("msno", "is_churn")]
+    fit = lambda df: ML.lr_pipeline(features).fit(ML.with_class_weight(df))
+    scored, metrics, after = ML.temporal_validate(fit, prev, cur, upcoming)
+    got = metrics.first()
+    assert got.asDict() == ML.evaluate(scored).first().asDict() and got.roc_auc > 0.7 and got.log_loss > 0
+    flat = ML.evaluate(scored.withColumn("prob", F.lit(0.5))).first()
+    assert flat.roc_auc == 0.5 and got.roc_auc != flat.roc_auc and got.log_loss != flat.log_loss
+    assert scored.count() == cur.count() and after.count() == upcoming.count()

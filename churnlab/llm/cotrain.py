@@ -6,7 +6,7 @@ fitted on the labelled rows plus what the other view was confident about among u
 Afterwards both are calibrated on labelled rows kept out of the rounds, and a small logistic model over the two
 calibrated views scores every document: the score is the probability of good quality.
 
-Fitting uses bounded samples (``SAMPLE`` labelled rows, about ``POOL`` unlabelled ones); scoring covers the whole text
+Fitting uses bounded samples (``SAMPLE`` labelled rows, about ``POOL`` unlabelled ones, one row per id); scoring covers the whole text
 of every document. Nothing but the samples' features and the model passes the driver.
 
 Defined results: null and empty texts have zero content features and null metadata falls into a bucket of its own.
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnlab.llm.common import configure, filter_batches, fold, map_batches, text_key, written
-from churnlab.llm.linear import fit_logistic, labelled_sample, sigmoid
+from churnlab.llm.linear import fit_logistic, labelled_sample, one_row_per_id, sigmoid
 
 #: Labelled rows fitted on, unlabelled rows exchanged, rounds, rows a view may hand over a round and class.
 SAMPLE, POOL, ROUNDS, EXCHANGE = 8000, 8000, 3, 500
@@ -114,11 +114,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE, pool_rows
     configure(docs.sparkSession)
     ids = labelled_sample(labels, "quality", sample_rows)
     cols = ["doc_id", "text", "source", "lang", "n_chars"]
-    labelled = docs.select(*cols).join(F.broadcast(ids), "doc_id").withColumn(
-        "cal", fold(F.col("doc_id"), CALIBRATION) == 0)
-    share = min(1.0, pool_rows / max(1, docs.count()))
+    labelled = one_row_per_id(docs.select(*cols).join(F.broadcast(ids), "doc_id"), cols[1:], ["y", "weight"])
+    labelled = labelled.withColumn("cal", fold(F.col("doc_id"), CALIBRATION) == 0)
+    share = min(1.0, pool_rows / max(1, docs.select("doc_id").distinct().count()))
     taken = docs.select(*cols).where(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 30)) < int(share * (1 << 30)))
-    free = taken.join(labels.select("doc_id").distinct(), "doc_id", "left_anti").select(
+    free = taken.join(labels.select("doc_id").distinct(), "doc_id", "left_anti")
+    free = one_row_per_id(free, cols[1:]).select(
         *cols, F.lit(None).cast("int").alias("y"), F.lit(1.0).alias("weight"), F.lit(None).cast("boolean").alias("cal"))
     rows = _rows(written(labelled.select(*free.columns).union(free), "quality-sample"))
     raw = np.array([np.frombuffer(r["f"], np.float32) for r in rows], float).reshape(-1, CONTENT)

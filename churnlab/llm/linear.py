@@ -62,3 +62,9 @@ def labelled_sample(labels: DataFrame, label: str, rows: int) -> DataFrame:
         parts.append(one.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows // 2)
                      .withColumn("weight", F.lit(weight)))
     return parts[0].union(parts[1])
+
+
+def one_row_per_id(rows: DataFrame, values: list[str], same: list[str] = ()) -> DataFrame:
+    """One row of each doc_id, the one with the smallest hash of its ``values``; ``same`` are equal for an id."""
+    best = F.min_by(F.struct(*values), F.xxhash64(*values)).alias("_best")
+    return rows.groupBy("doc_id", *same).agg(best).select("doc_id", *same, "_best.*")

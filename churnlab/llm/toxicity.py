@@ -7,7 +7,7 @@ the presence of words and of word beginnings (so that other forms of a word coun
 between the classes, counted by Spark, plus the group terms.
 
 The classifier is fitted on a bounded sample of labelled documents (``SAMPLE`` rows at most, ``FEATURES`` words);
-every document is scored over its whole text. Nothing but the sample and the model passes the driver.
+of the rows that repeat a labelled id one is fitted on, and every document is scored over its whole text. Nothing but the sample and the model passes the driver.
 
 Defined results: null, empty and wordless texts get the score of no words at all (the intercept). Repeated rows get
 equal scores. Without labelled rows every score is 0.5. Labels, lang, source and doc_id are no inputs of a score.
@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnlab.llm.common import configure, filter_batches, map_batches, text_key, written
-from churnlab.llm.linear import fit_logistic, labelled_sample, sigmoid
+from churnlab.llm.linear import fit_logistic, labelled_sample, one_row_per_id, sigmoid
 
 #: Labelled documents fitted on, words kept, least documents of a word, least z of its difference between classes.
 SAMPLE, FEATURES, LEAST_DF, LEAST_Z = 8000, 800, 5, 5.5
@@ -98,7 +98,8 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, sampl
     configure(docs.sparkSession)
     labels = labels if allowed is None else labels.where(allowed)
     ids = labelled_sample(labels, "toxic", sample_rows)
-    sample = written(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id"), "toxic-sample")
+    sample = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    sample = written(one_row_per_id(sample, ["text"], ["y", "weight"]), "toxic-sample")
     n = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
     chosen = _choose_words(sample, n)
     vocabulary = list(dict.fromkeys([*chosen, *(t for row in terms for t in row)]))

@@ -72,3 +72,12 @@ def test_accuracy_on_given_tables(spark):
     out = op8_quality(spark, d).join(labels, "doc_id").collect()
     assert sum(r.keep == r.quality for r in out) / len(out) > 0.99
     assert sum(r.keep == 0 and r.quality == 1 for r in out) <= 4
+
+
+def test_repeated_ids_are_one_sample_row_each(spark, make_docs, monkeypatch):  # noqa: F811
+    rows, labels = corpus(60)
+    hot = [(i, f"{rows[i][1]} {k}") for i in (1, 2) for k in range(100)]  # one labelled id, one unlabelled
+    seen, write = [], C.written
+    monkeypatch.setattr(C, "written", lambda df, name: seen.append(out := write(df, name)) or out)
+    C.fit(make_docs(rows + hot), spark.createDataFrame(labels, LABELS))
+    assert seen[0].count() == len(rows)

@@ -97,3 +97,15 @@ def test_held_out_accuracy_on_given_tables(spark):
     right = sum(r.predicted == r.toxic for r in out)
     assert len(out) > 500 and right / len(out) > 0.97
     assert sum(r.predicted == 1 and r.toxic == 0 for r in out) <= 3
+
+
+def test_a_repeated_labelled_id_is_one_sample_row(spark, make_docs, monkeypatch):  # noqa: F811
+    rows, labels = corpus(80)
+    seen = []
+    keep = lambda df, name: seen.append(out := T_written(df, name)) or out
+    T_written = T.written
+    monkeypatch.setattr(T, "written", keep)
+    hot = [(4, f"{rows[4][1]} {i}") for i in range(200)]
+    model = T.fit(make_docs(rows + hot), spark.createDataFrame(labels, LABELS))
+    assert seen[0].count() == seen[0].select("doc_id").distinct().count() == len(rows)
+    assert model == T.fit(make_docs(hot[::-1] + rows), spark.createDataFrame(labels, LABELS))

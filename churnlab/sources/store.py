@@ -43,15 +43,16 @@ def materialize_log_agg(spark: SparkSession, logs: DataFrame, max_date: dt.date,
                         windows: dict, root: str, version: str | None = None) -> DataFrame:
     """Reuse a persisted log aggregate when one exists for exactly these cutoffs and this input.
 
-    ``version`` names the input (an extract's id); without one it is its row count and a hash over its rows, so
-    changed logs never meet an aggregate of older ones.
+    ``version`` names the input (an extract's id); without one it is its row count and the sum of its rows' hashes
+    (repeated rows add up, where an exclusive-or would cancel them), so changed logs never meet an aggregate of older ones.
     """
     from pyspark.errors import AnalysisException
 
     from churnlab.operators.features import log_user_agg
     if version is None:
-        n, h = logs.agg(F.count(F.lit(1)), F.coalesce(F.bit_xor(F.xxhash64(*sorted(logs.columns))), F.lit(0))).first()
-        version = f"{n}-{h & (2**64 - 1):016x}"
+        h = F.sum(F.xxhash64(*sorted(logs.columns)).cast("decimal(38,0)"))
+        n, h = logs.agg(F.count(F.lit(1)), F.coalesce(h, F.lit(0))).first()
+        version = f"{n}-{int(h) % 2**128:032x}"
     tag = "_".join([max_date.strftime("%Y%m%d"), recent.strftime("%Y%m%d")]
                    + [f"{k}-{v.strftime('%Y%m%d')}" for k, v in sorted(windows.items())] + [version])
     path = f"{root.rstrip('/')}/log_agg_{tag}"

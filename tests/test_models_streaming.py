@@ -151,6 +151,19 @@ def test_tune_trials_and_subsample(spark):
     assert a == {r.msno for r in ML.subsample(df.repartition(5), 0.25).collect()} and 30 < len(a) < 120
 
 
+def test_log_agg_cache_tells_repeated_pairs_apart(spark, tmp_path):
+    from churnlab.sources.store import materialize_log_agg
+    cols = "msno string, date int, num_25 int, num_50 int, num_75 int, num_985 int, num_100 int, num_unq int, " \
+           "total_secs double"
+    row = lambda u, n: (u, 20170227, n, n, n, n, n, n, 10.0 * n)
+    make = lambda *rows: spark.createDataFrame(list(rows), cols)
+    run = lambda df: sorted(map(str, materialize_log_agg(
+        spark, df, dt.date(2017, 2, 28), dt.date(2017, 1, 30), {"r7d": dt.date(2017, 2, 21)}, str(tmp_path)).collect()))
+    a, b, c = row("a", 1), row("a", 2), row("c", 3)
+    assert run(make(a, a, c)) != run(make(b, b, c))
+    assert len([p for p in os.listdir(tmp_path) if p.startswith("log_agg_")]) == 2
+
+
 def test_temporal_validate_gives_the_metrics_of_the_next_period(spark):
     prev, cur, upcoming = (_planted(spark, seed=s) for s in (1, 2, 3))
     features = [c for c in prev.columns if c not in ("msno", "is_churn")]

@@ -10,8 +10,9 @@ The trees of all languages are laid out together: one sorted table of byte strin
 lengths (all languages) and a row of escapes. Scoring looks up whole batches of texts, longest strings first, and
 only what is missing goes to the next shorter table.
 
-Trained on a bounded sample of the allowed rows: about ``TRAIN_BYTES`` bytes, shared evenly by the languages, whole
-texts taken by hash of the id. Scoring covers every byte of every text. The tables hold one number for each byte
+Trained on a bounded sample of the allowed rows: about ``TRAIN_BYTES`` bytes, shared evenly by the languages. Texts
+are cut into pieces of at most ``PIECE`` bytes, and each language takes its pieces in order of their hash until its
+share is reached, at least one; so a huge text neither fills the sample nor keeps other texts out of it. Scoring covers every byte of every text. The tables hold one number for each byte
 string of the sample and language, so many languages ask for a smaller ``train_bytes``.
 
 Defined results: ``und`` with score 0 if the text is null or has no letter, or nothing was learned; ties go to the
@@ -27,7 +28,9 @@ from pyspark.sql import functions as F
 
 from churnlab.llm.common import configure, map_batches, text_key, written
 
-ORDER, TRAIN_BYTES = 3, 12 << 20
+ORDER, TRAIN_BYTES, PIECE = 3, 12 << 20, 1 << 14
+#: Hashes are taken in steps that lengthen the sample by a factor of 2^(1 / STEPS).
+STEPS = 64
 UND = "und"
 #: Slots of a hash table for each string in it.
 _SPARE = 4
@@ -167,18 +170,40 @@ def _count(sample: DataFrame, order: int) -> DataFrame:
         F.sum("count").alias("count"))
 
 
+def _pieces(src: DataFrame) -> DataFrame:
+    """(lang, text binary, step int): pieces of the texts, each with the step its hash falls into."""
+    last = F.floor(F.greatest(F.octet_length("text") - 1, F.lit(0)) / PIECE).cast("int")
+    cut = src.select("doc_id", "lang", F.col("text").cast("binary").alias("t"),
+                     F.explode(F.sequence(F.lit(0), last)).alias("at"))
+    cut = cut.select("doc_id", "lang", "at", F.substring("t", F.col("at") * PIECE + 1, F.lit(PIECE)).alias("text"))
+    h = F.shiftrightunsigned(F.xxhash64("doc_id", "at", "text", F.lit(11)), 1).cast("double")
+    return cut.select("lang", "text", F.floor(F.log2(h + 1) * STEPS).cast("int").alias("step"))
+
+
+def _last_step(steps: list[tuple[int, int]], share: float) -> int:
+    """The first step, in order, by which ``share`` bytes are taken; the last one if they never are."""
+    total = 0
+    for step, n in sorted(steps):
+        total += n
+        if total >= share:
+            break
+    return step
+
+
 def fit(docs: DataFrame, allowed: Column | None = None, train_bytes: int = TRAIN_BYTES, order: int = ORDER) -> Model:
     """Model learned from text and non-null lang of the ``allowed`` rows of ``docs``."""
     configure(docs.sparkSession)
     src = docs.where("lang is not null and text is not null").select("doc_id", "lang", "text")
     src = src if allowed is None else src.where(allowed)
-    size = {r[0]: r[1] for r in src.groupBy("lang").agg(F.sum(F.octet_length("text"))).collect()}
+    parts = _pieces(src)
+    size: dict[str, list[tuple[int, int]]] = {}
+    for g, step, n in parts.groupBy("lang", "step").agg(F.sum(F.octet_length("text"))).collect():
+        size.setdefault(g, []).append((step, n))
     if not size:
         return Model([], [], order)
-    each = train_bytes / len(size)
-    share = F.coalesce(*(F.when(F.col("lang") == g, F.lit(min(1.0, each / max(1, n)))) for g, n in size.items()))
-    taken = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)) < share * (1 << 30)
-    counted = _count(written(src.where(taken), "ppm-sample"), order)
+    last = {g: _last_step(steps, train_bytes / len(size)) for g, steps in size.items()}
+    upto = F.coalesce(*(F.when(F.col("lang") == g, F.lit(k)) for g, k in last.items()))
+    counted = _count(written(parts.where(F.col("step") <= upto), "ppm-sample"), order)
     langs = sorted(size)
     at = {g: i for i, g in enumerate(langs)}
     table = counted.toPandas()

@@ -74,3 +74,16 @@ def test_held_out_accuracy_on_given_tables(spark):
     docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "lang")
     out = op10_ppm_language(spark, d).join(docs, "doc_id").where("held_out").collect()
     assert len(out) > 200 and sum(r.lang_pred == r.lang for r in out) / len(out) > 0.98
+
+
+def test_a_huge_text_fills_no_more_than_its_share(spark, monkeypatch):
+    rnd = random.Random(4)
+    rows = [(i, sentence(rnd, 40), "bb") for i in range(1000)] + [(1000 + i, sentence(rnd, 5), "aa") for i in range(20)]
+    rows.append((2000, sentence(rnd, 300_000), "aa"))
+    seen, write, share = [], P.written, 80_000
+    monkeypatch.setattr(P, "written", lambda df, name: seen.append(out := write(df, name)) or out)
+    model = P.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), train_bytes=2 * share)
+    size = {r.lang: r.n for r in seen[0].groupBy("lang").agg(P.F.sum(P.F.octet_length("text")).alias("n")).collect()}
+    assert size["aa"] >= share and size["aa"] <= share + 2 * P.PIECE and len(rows[-1][1]) > 10 * share
+    assert share <= size["bb"] <= share + 2 * P.PIECE
+    assert model.langs == ["aa", "bb"]

@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlab.llm import (cotrain, decontam, hilbert, ppm, preference, simhash, topk, toxicity, unigram, wordpiece)
+from churnlab.llm import (collocation, cotrain, decontam, hardneg, hilbert, packing, ppm, preference, simhash, topk, toxicity,
+                          unigram, wordpiece)
 from churnlab.llm.common import fold, table
 
 
@@ -87,9 +88,29 @@ def op10_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held.alias("held_out"), "lang_pred", "score", "bits_per_byte")
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 2048 tokens; every token of a document bears loss."""
+    return packing.pack_documents(table(spark, sf_dir, "documents")).select(
+        F.col("key").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"),
+        F.col("total").alias("doc_tokens"), "sequence_id", "offset")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hardneg.mine(vectors, vectors.where(F.col("vec_id") % 50 == 0)).select(
+        "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 collocations of each language."""
+    return collocation.best(collocation.collocations(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_decontamination, op2_exact_topk, op3_toxicity, op4_hilbert_shards, op5_preferences, op6_simhash,
-    op7_wordpiece_counts, op8_quality, op9_sentencepiece, op10_ppm_language)}
+    op7_wordpiece_counts, op8_quality, op9_sentencepiece, op10_ppm_language, op11_packing, op12_hard_negatives,
+    op13_collocations)}
 
 ORACLE: dict[str, str] = {
     "op2_exact_topk": """
@@ -147,4 +168,58 @@ g AS (
 SELECT pair_id, k::INT AS prefix_turns, prompt, chosen, rejected, coalesce(cs, '') AS chosen_spans,
   coalesce(rs, '') AS rejected_spans, cn::INT AS chosen_turns, rn::INT AS rejected_turns
 FROM g JOIN pre USING (pair_id)""",
+    "op12_hard_negatives": """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+a AS (
+  SELECT vec_id AS anchor_id, label AS own, v AS av FROM (
+    SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY label, v) AS n FROM v WHERE vec_id % 50 = 0) WHERE n = 1),
+s AS (
+  SELECT anchor_id, vec_id, label = own AS same, list_inner_product(av, v)::BIGINT AS score
+  FROM a JOIN v ON vec_id <> anchor_id AND len(av) = len(v)),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score, place FROM (
+    SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place FROM s WHERE same)
+  WHERE place <= 5)
+SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score FROM (
+  SELECT anchor_id, positive_id, positive_score, vec_id AS negative_id, score AS negative_score,
+    row_number() OVER (PARTITION BY anchor_id, place ORDER BY score DESC, vec_id) AS rank
+  FROM p JOIN s USING (anchor_id)
+  WHERE NOT same AND 50 * positive_score::HUGEINT <= 100 * score::HUGEINT
+    AND 100 * score::HUGEINT <= 95 * positive_score::HUGEINT)
+WHERE rank <= 3""",
+    "op13_collocations": r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                          '[.,;:!?\x0A-\x0D]') AS pieces
+  FROM documents WHERE text IS NOT NULL),
+p AS (SELECT lang, regexp_extract_all(unnest(pieces), '[^\x20\x09]+') AS w FROM d),
+t AS (
+  SELECT lang, unnest(list_concat(
+    list_transform(range(1, len(w) + 1), lambda i: [w[i]]),
+    list_transform(range(1, len(w)), lambda i: [w[i], w[i + 1]]),
+    list_transform(range(1, len(w) - 1), lambda i: [w[i], w[i + 1], w[i + 2]]))) AS g FROM p),
+f AS (SELECT lang, g, count(*) AS f FROM t GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE len(g) = 1 GROUP BY lang),
+cuts AS (
+  SELECT c.lang, c.g, c.f AS a, k, l.f AS l, r.f AS r,
+    (1000000 * c.f::HUGEINT * c.f) // (l.f::HUGEINT * r.f) AS score
+  FROM (SELECT *, unnest(range(1, len(g))) AS k FROM f WHERE len(g) > 1 AND f >= 10) c
+  JOIN f l ON l.lang = c.lang AND l.g = c.g[:k] JOIN f r ON r.lang = c.lang AND r.g = c.g[k + 1:]),
+weak AS (SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, k) AS o FROM cuts) WHERE o = 1),
+inside AS (
+  SELECT lang, unnest([g[:2], g[2:]]) AS g, f FROM f WHERE len(g) = 3 AND f >= 10),
+cover AS (SELECT lang, g, max(f) AS f FROM inside GROUP BY ALL)
+SELECT lang, rank::BIGINT AS rank, phrase, a, l, r, n, score::BIGINT AS score FROM (
+  SELECT w.lang, array_to_string(w.g, ' ') AS phrase, a, l, r, n, score,
+    row_number() OVER (PARTITION BY w.lang ORDER BY score DESC, a DESC, array_to_string(w.g, ' ')) AS rank
+  FROM weak w JOIN n ON n.lang = w.lang LEFT JOIN cover c ON c.lang = w.lang AND c.g = w.g
+  WHERE 100 * coalesce(c.f, 0) < 50 * a)
+WHERE rank <= 2000""",
 }

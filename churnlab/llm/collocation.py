@@ -65,7 +65,7 @@ def _word_counts(docs: DataFrame) -> DataFrame:
     def send(held: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
         for lang, words in held.items():
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(words)), pa.array(list(words), pa.binary()).cast(pa.string()),
+                [pa.array([lang] * len(words), pa.string()), pa.array(list(words), pa.binary()).cast(pa.string()),
                  pa.array(list(words.values()), pa.int64())], ["lang", "word", "c"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -52,6 +52,12 @@ def _most(x: np.ndarray) -> int:
     return max(abs(int(x.max())), abs(int(x.min()))) if x.size else 0
 
 
+def _padded(x: np.ndarray, rows: int, cols: int) -> np.ndarray:
+    out = np.zeros((rows, cols), x.dtype)  # plain zeros also among Python integers
+    out[:x.shape[0], :x.shape[1]] = x
+    return out
+
+
 def strassen(a: np.ndarray, b: np.ndarray, leaf: int = LEAF) -> np.ndarray:
     """The product of two integer matrices: int64 modulo 2^64, or exact Python integers for object arrays."""
     (m, k), n = a.shape, b.shape[1]
@@ -60,7 +66,7 @@ def strassen(a: np.ndarray, b: np.ndarray, leaf: int = LEAF) -> np.ndarray:
             return (a.astype(np.float64) @ b.astype(np.float64)).astype(np.int64)
         return a @ b
     if m % 2 or k % 2 or n % 2:
-        a, b = np.pad(a, ((0, m % 2), (0, k % 2))), np.pad(b, ((0, k % 2), (0, n % 2)))
+        a, b = _padded(a, m + m % 2, k + k % 2), _padded(b, k + k % 2, n + n % 2)
     i, j, h = a.shape[0] // 2, b.shape[1] // 2, a.shape[1] // 2
     a11, a12, a21, a22 = a[:i, :h], a[:i, h:], a[i:, :h], a[i:, h:]
     b11, b12, b21, b22 = b[:h, :j], b[:h, j:], b[h:, :j], b[h:, j:]

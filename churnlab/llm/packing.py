@@ -17,6 +17,7 @@ columns are ignored.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -187,42 +188,89 @@ class Packer:
             self.next += 1
 
 
+#: Letters that stay one letter in lower case (U+0130 does not), and the places between them and a sign that ends a
+#: sentence: no token crosses these places, nor white space.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-\u012f\u0131-ɏ"
+_CUT, _SIMPLE = re.compile(f"(?<=[{_LETTERS}])(?=[.,;:!?])"), re.compile(f"[{_LETTERS}]+")
+
+
 class Encoder:
-    """Ids of whole texts. Chunks between blanks are encoded once and remembered: no token crosses white space."""
+    """Ids of whole texts, equal to the library's. Chunks that no token crosses are encoded once and remembered.
+
+    When ``REMEMBERED`` is reached the chunks used most are kept. New chunks that are one word of plain letters go to
+    the library many at once, and the ids that end a word tell them apart.
+    """
 
     def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(vocabulary)
-        self._forget()
+        words = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(words.values()) + 1, bool)
+        self.ends[[i for w, i in words.items() if w.endswith("</w>")]] = True
+        self.number, self.bytes, self.uses = Numbers(), 0, np.empty(0, np.int64)
+        self.flat, self.begin, self.size = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
 
     def _forget(self) -> None:
-        self.number, self.bytes = Numbers(), 0
-        self.flat, self.begin, self.size = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
+        """Keep the chunks used most: a quarter of the number, and of the bytes, that may be remembered."""
+        known, bytes_ = list(self.number), 0
+        self.number = Numbers()
+        keep = []
+        for i in np.argsort(-self.uses, kind="stable")[:REMEMBERED // 4].tolist():
+            if (bytes_ := bytes_ + len(known[i])) > REMEMBERED_BYTES // 4:
+                break
+            keep.append(i)
+            self.number[known[i]]
+        self.number.fresh = []
+        self.bytes = sum(map(len, self.number))
+        ids, self.size = self._gather(np.array(keep, np.int64)), self.size[keep]
+        self.flat, self.begin, self.uses = ids, np.cumsum(self.size) - self.size, np.zeros(len(keep), np.int64)
+
+    def _gather(self, use: np.ndarray) -> np.ndarray:
+        sizes = self.size[use]
+        ends = np.cumsum(sizes)
+        return self.flat[np.repeat(self.begin[use] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+
+    def _fresh(self, chunks: list[str]) -> list[np.ndarray]:
+        """Ids of each of some new chunks."""
+        out: list = [None] * len(chunks)
+        simple = [i for i, c in enumerate(chunks) if _SIMPLE.fullmatch(c)]
+        groups = [simple[a:a + 1000] for a in range(0, len(simple), 1000)]
+        joined = self.tokenizer.encode_batch([" ".join([chunks[i] for i in g]) for g in groups], add_special_tokens=False)
+        for group, got in zip(groups, joined):
+            ids = np.array(got.ids, np.uint32)
+            cuts = np.nonzero(self.ends[ids])[0] + 1
+            if len(cuts) == len(group):
+                for i, a, z in zip(group, [0, *cuts[:-1].tolist()], cuts.tolist()):
+                    out[i] = ids[a:z]
+        others = [i for i, x in enumerate(out) if x is None]
+        for i, got in zip(others, self.tokenizer.encode_batch([chunks[i] for i in others], add_special_tokens=False)):
+            out[i] = np.array(got.ids, np.uint32)
+        return out
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         if len(self.number) > REMEMBERED or self.bytes > REMEMBERED_BYTES:
             self._forget()
         number, use, count = self.number, [], []
         for t in texts:
-            found = t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if t else []
+            if t and t.isascii() and "<" not in t:
+                t = t.lower()  # as the vocabulary does; a special token's text is left as it is
+            found = _CUT.sub(" ", t).replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if t else []
             count.append(len(found))
             use += [number[c] for c in found]
         if number.fresh:
-            got = [e.ids for e in self.tokenizer.encode_batch(number.fresh, add_special_tokens=False)]
+            got = self._fresh(number.fresh)
             self.bytes += sum(map(len, number.fresh))
             number.fresh = []
             sizes = np.array([len(x) for x in got], np.int64)
-            self.begin = np.r_[self.begin, len(self.flat) + np.cumsum(sizes) - sizes]
-            self.size = np.r_[self.size, sizes]
-            self.flat = np.r_[self.flat, np.array([i for x in got for i in x], np.uint32)]
+            self.begin = np.concatenate((self.begin, len(self.flat) + np.cumsum(sizes) - sizes))
+            self.size, self.flat = np.concatenate((self.size, sizes)), np.concatenate((self.flat, *got))
+            self.uses = np.concatenate((self.uses, np.zeros(len(got), np.int64)))
         use = np.array(use, np.int64)
-        sizes = self.size[use]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.repeat(self.begin[use] - (ends - sizes), sizes) + np.arange(total)]
-        cuts = np.r_[0, ends][np.cumsum(count)] if count else []
-        return np.split(ids, cuts[:-1]) if len(cuts) else []
+        self.uses += np.bincount(use, minlength=len(self.uses))
+        ids = self._gather(use)
+        ends = np.concatenate(([0], np.cumsum(self.size[use])))[np.cumsum(count, dtype=np.int64)]
+        return np.split(ids, ends[:-1]) if count else []
 
 
 def _batches(packer: Packer, kind: pa.DataType, last: bool) -> Iterator[pa.RecordBatch]:

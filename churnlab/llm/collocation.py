@@ -172,21 +172,18 @@ def _ids(blob: bytes, ids: dict[bytes, int], field: np.ndarray) -> tuple[list[by
     return tokens, out
 
 
-_PHRASE = "lang string, p int, x int, y int, z int, tx string, ty string, tz string, c long"
+#: A phrase is a code (two or three word ids, or from ``_PAIRED`` on a pair id and a word id), else a text.
+_PHRASE, _PAIRED, _LOW = "lang string, code long, text string, c long", 1 << 60, (1 << _BITS) - 1
 
 
-def _rows(lang: str, count, p=None, x=None, y=None, z=None, text=None) -> Iterator[pa.RecordBatch]:
-    """Batches of ``_PHRASE`` rows; missing columns are null."""
+def _rows(lang: str, count, codes=None, texts=None) -> Iterator[pa.RecordBatch]:
+    """Batches of ``_PHRASE`` rows."""
     for a in range(0, len(count), 100_000):
-        part = slice(a, a + 100_000)
-        n = len(count[part])
-        ints = [pa.nulls(n, pa.int32()) if c is None else pa.array(np.asarray(c[part], np.int32)) for c in (p, x, y, z)]
-        words = [pa.nulls(n, pa.string())] * 3
-        if text is not None:
-            cols = [*zip(*text[part])]
-            words[:len(cols)] = [pa.array(c, pa.binary()).cast(pa.string()) for c in cols]
-        yield pa.RecordBatch.from_arrays([pa.array([lang] * n), *ints, *words, pa.array(np.asarray(count[part], np.int64))],
-                                         ["lang", "p", "x", "y", "z", "tx", "ty", "tz", "c"])
+        z = min(a + 100_000, len(count))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([lang] * (z - a)), pa.nulls(z - a, pa.int64()) if codes is None else pa.array(codes[a:z]),
+             pa.nulls(z - a, pa.string()) if texts is None else pa.array(texts[a:z], pa.binary()).cast(pa.string()),
+             pa.array(np.asarray(count[a:z], np.int64))], ["lang", "code", "text", "c"])
 
 
 class PhraseCounter:
@@ -236,18 +233,16 @@ class PhraseCounter:
 
     def send(self) -> Iterator[pa.RecordBatch]:
         for x, y, c in self.tiles.cells():
-            yield from _rows(self.lang, c, **({"x": x, "y": y} if self.size == 2 else {"p": x, "z": y}))
+            yield from _rows(self.lang, c, (x << _BITS | y) + (_PAIRED if self.size == 3 else 0))
         if self.held:
             codes, inverse = np.unique(np.concatenate(self.coords), return_inverse=True)
-            counts = np.bincount(inverse, np.concatenate(self.counts))
-            low = (1 << _BITS) - 1
-            yield from _rows(self.lang, counts, x=codes >> 2 * _BITS, y=codes >> _BITS & low, z=codes & low)
-        yield from _rows(self.lang, list(self.texts.values()), text=list(self.texts))
+            yield from _rows(self.lang, np.bincount(inverse, np.concatenate(self.counts)), codes)
+        yield from _rows(self.lang, list(self.texts.values()), texts=[b" ".join(t) for t in self.texts])
         self._empty()
 
 
 def _phrases(docs: DataFrame, make: Callable[[str], PhraseCounter], least: int) -> DataFrame:
-    """``_PHRASE`` rows of the phrases that occur ``least`` times, ``c`` being the total."""
+    """(lang, code, text, a): the phrases that occur ``least`` times, and how often."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, PhraseCounter] = {}
         for b in batches:
@@ -262,16 +257,21 @@ def _phrases(docs: DataFrame, make: Callable[[str], PhraseCounter], least: int)
                     held = {}
         for counter in held.values():
             yield from counter.send()
-    keys = ["lang", "p", "x", "y", "z", "tx", "ty", "tz"]
-    return docs.mapInArrow(run, _PHRASE).groupBy(*keys).agg(F.sum("c").alias("a")).where(F.col("a") >= least)
+    return docs.mapInArrow(run, _PHRASE).groupBy("lang", "code", "text").agg(F.sum("c").alias("a")).where(
+        F.col("a") >= least)
 
 
-def _worded(rows: DataFrame, head: DataFrame, ids: list[str], texts: list[str]) -> DataFrame:
-    """Adds w1, w2, ...: the text, or the word of the id (the table of ids has a bounded size)."""
-    for n, (i, t) in enumerate(zip(ids, texts), 1):
+def _low(code: Column, place: int) -> Column:
+    """The word id at a place of a code, counted from its end."""
+    return F.shiftright(code, place * _BITS).bitwiseAND(F.lit(_LOW)).cast("int")
+
+
+def _worded(rows: DataFrame, head: DataFrame, ids: list[str]) -> DataFrame:
+    """Adds w1, w2, ...: from the text, or the word of the id (the table of ids has a bounded size)."""
+    for n, i in enumerate(ids, 1):
         h = F.broadcast(head.select(F.col("lang").alias("_l"), F.col("id").alias("_i"), F.col("word").alias("_w")))
         rows = rows.join(h, (F.col("lang") == F.col("_l")) & (F.col(i) == F.col("_i")), "left").withColumn(
-            f"w{n}", F.coalesce(F.col(t), F.col("_w"))).drop("_l", "_i", "_w")
+            f"w{n}", F.coalesce(F.split("text", " ")[n - 1], F.col("_w"))).drop("_l", "_i", "_w")
     return rows
 
 
@@ -304,15 +304,16 @@ def collocations(docs: DataFrame, least: int = LEAST, covered: int = COVERED, he
         ids.setdefault(r["lang"], {})[r["word"].encode()] = r["id"]
     field = _field(often, F.crc32(F.col("word").cast("binary")) % FIELD)
     shared = spark.sparkContext.broadcast((ids, field))
-    two = written(_worded(_phrases(docs, lambda lang: PhraseCounter(lang, 2, *shared.value, None, None), least),
-                          first, ["x", "y"], ["tx", "ty"]).select(
-        "lang", "x", "y", "w1", "w2", F.col("a").alias("f")), "collocation-pairs")
+    code = F.col("code")
+    two = _phrases(docs, lambda lang: PhraseCounter(lang, 2, *shared.value, None, None), least).withColumns(
+        {"x": _low(code, 1), "y": _low(code, 0)})
+    two = written(_worded(two, first, ["x", "y"]).select("lang", "code", "w1", "w2", F.col("a").alias("f")),
+                  "collocation-pairs")
 
-    known = two.where(F.col("x").isNotNull())
-    code = (F.col("x").cast("long") * F.lit(1 << _BITS) + F.col("y")).cast("long")
+    known = two.where(code.isNotNull())
     again = written(_ranked(known, ["lang", "w1", "w2"], pair_head), "collocation-pair-ids")
     pairs: dict[str, tuple] = {}
-    for r in again.select("lang", code.alias("code"), "id").collect():  # at most PAIR_HEAD pairs
+    for r in again.select("lang", "code", "id").collect():  # at most PAIR_HEAD pairs
         pairs.setdefault(r["lang"], ([], []))[0].append(r["code"])
         pairs[r["lang"]][1].append(r["id"])
     for lang, (c, i) in pairs.items():
@@ -320,12 +321,14 @@ def collocations(docs: DataFrame, least: int = LEAST, covered: int = COVERED, he
         pairs[lang] = (np.array(c, np.int64)[order], np.array(i, np.int64)[order])
     more = spark.sparkContext.broadcast((pairs, _field(known, code % FIELD)))
     three = _phrases(docs, lambda lang: PhraseCounter(lang, 3, *shared.value, *more.value), least)
-    ranks = F.broadcast(again.select(F.col("lang").alias("_l"), F.col("id").alias("_i"), F.col("x").alias("_x"),
-                                     F.col("y").alias("_y")))
-    three = three.join(ranks, (F.col("lang") == F.col("_l")) & (F.col("p") == F.col("_i")), "left").withColumns(
-        {"x": F.coalesce("x", "_x"), "y": F.coalesce("y", "_y")}).drop("_l", "_i", "_x", "_y")
-    three = written(_worded(three, first, ["x", "y", "z"], ["tx", "ty", "tz"]).select("lang", "w1", "w2", "w3", "a"),
-                    "collocation-triples")
+    ranks = F.broadcast(again.select(F.col("lang").alias("_l"), F.col("id").alias("_i"), F.col("code").alias("_c")))
+    paired = code >= _PAIRED
+    three = three.withColumn("p", F.when(paired, F.shiftright(code - _PAIRED, _BITS).cast("int"))).join(
+        ranks, (F.col("lang") == F.col("_l")) & (F.col("p") == F.col("_i")), "left")
+    three = three.withColumn("code", F.when(paired, F.shiftleft("_c", _BITS).bitwiseOR(code.bitwiseAND(F.lit(_LOW)))).otherwise(
+        code)).drop("_l", "_i", "_c")
+    three = three.withColumns({"x": _low(code, 2), "y": _low(code, 1), "z": _low(code, 0)})
+    three = written(_worded(three, first, ["x", "y", "z"]).select("lang", "w1", "w2", "w3", "a"), "collocation-triples")
 
     # Exact scores: counts below 10^14 keep every product within 38 digits.
     score = lambda l, r: F.expr(

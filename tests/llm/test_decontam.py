@@ -1,5 +1,7 @@
 import itertools
 import random
+import resource
+import time
 
 import pytest
 from llm_helpers import WORDS, make_docs, sentence  # noqa: F401
@@ -17,7 +19,7 @@ def brute(docs, items):
     for (i, a), (k, b) in itertools.product(enumerate(docs), items):
         x, y = tokens(a), tokens(b)
         run = min(D.WINDOW, len(y))
-        if run < D.SPAN:
+        if not y:
             continue
         best = 0
         for shift in range(-len(y), len(x) + 1):
@@ -39,7 +41,7 @@ def test_masks_hit_every_run_with_three_substitutions():
 
 def fixture(seed):
     rnd = random.Random(seed)
-    items = [(k, sentence(rnd, rnd.choice([3, 6, 7, 10, 14, 15, 16, 40]))) for k in range(20)]
+    items = [(k, sentence(rnd, rnd.choice([1, 2, 3, 6, 7, 10, 14, 15, 16, 40]))) for k in range(20)]
     docs = []
     for i in range(60):
         w = sentence(rnd, rnd.choice([0, 5, 30, 200])).split()
@@ -65,6 +67,37 @@ def test_pairs_by_brute_force(spark, make_docs, seed, block):
     assert kept.schema == df.schema
 
 
+@pytest.mark.parametrize("hits,cells", [(1, 50), (40, 1 << 20), (1 << 19, 64)])
+def test_slices_change_nothing(hits, cells, monkeypatch):
+    """Texts and items of repeated tokens, whole and nearly whole, at any slice size: what plain loops find."""
+    rnd = random.Random(8)
+    items = [(0, "a " * 40), (1, "a b " * 12), (2, "a a a a b " * 6), (3, "c " * 15 + sentence(rnd, 5)), (4, "a"),
+             (5, "b a b"), (6, "a " * 13 + "b"), (7, sentence(rnd, 30))]
+    docs = ["a " * 120, "x " + "a b " * 40 + "y", "a a a b a " * 20, sentence(rnd, 20) + " c" * 16, "b a", None, "c c " * 9,
+            items[7][1] + " a" * 50, ("a " * 9 + "z ") * 8]
+    whole = D.Index(items).overlaps(docs)
+    assert {(t, k, x) for t, k, *_, x in whole} == brute(docs, items)
+    monkeypatch.setattr(D, "HITS", hits)
+    monkeypatch.setattr(D, "CELLS", cells)
+    assert D.Index(items).overlaps(docs) == whole
+
+
+def test_a_megabyte_of_one_word_in_bounded_time_and_memory():
+    index = D.Index([(0, "a " * 200), (1, "a b " * 100), (2, "c c c c d " * 40)])
+    before, began = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss, time.time()
+    found = index.overlaps(["a " * 500_000, "a b " * 250_000, "c " * 60_000])  # the last is never found whole
+    assert [(t, i, x) for t, i, *_, x in found] == [(0, 0, 15), (1, 1, 15), (2, 2, 12)]
+    assert time.time() - began < 60 and resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 1 << 20
+
+
+def test_scripts_without_spaces(spark, make_docs):
+    item = "今天天气很好我们一起去公园散步吧朋友"
+    bench = spark.createDataFrame([(1, item), (2, "短句子")], "item_id long, text string")
+    docs = make_docs([(1, "前言" + item + "后记"), (2, "他说短句子。"), (3, "今天下雨"), (4, item[:5])])
+    got = D.overlaps(docs, bench).collect()
+    assert sorted((r.doc_id, r.item_id, r.equal) for r in got) == [(1, 1, 15), (2, 2, 3)]
+
+
 def test_positions_point_at_the_run(spark, make_docs):
     rnd = random.Random(5)
     item = sentence(rnd, 30)

@@ -3,15 +3,18 @@
 A text is encoded as sentencepiece does: spaces become the marker U+2581 and one marker goes in front; of all ways to
 cut the result into pieces the one with the greatest sum of piece scores is taken; a character that no piece covers
 costs the least score less 10 and is written as its UTF-8 bytes (byte fallback). Decoding joins pieces and bytes,
-turns markers into spaces and drops the one in front, which gives back every text exactly (a marker in the text
-itself comes back as a space).
+turns markers into spaces and drops the one in front, which gives back every text exactly; only a marker in the text
+itself comes back as a space, and ``decodes`` is false for such a text.
 
 No piece has a marker after another character, so texts split before each run of markers without changing the best
 cut. A batch of texts is split into such units, the distinct units are encoded together (Viterbi steps over all units
 at once, longest first), and the ids are put back in order. Long units take the same steps one by one.
 
-The vocabulary is a sentencepiece model file; its path is a parameter. Pieces and scores are read by the library, the
-scores being taken as log scores whatever kind of model it was. Only the vocabulary is sent to the executors.
+The vocabulary is a sentencepiece model file; its path is a parameter. The file at hand was made by merges, so its
+scores are merge ranks and no log scores. Nothing is trained: log scores follow from the order of the file's scores by
+Zipf's law, the piece of rank r (from 1) having the probability 1 / (r H) with H the harmonic sum, so that the
+probabilities add up to one. For the file of a unigram model take its own scores (``scores="file"``). Only the
+vocabulary is sent to the executors.
 
 Defined results: a null text has null ids, an empty one none. Ties go to the cut whose last piece starts earliest,
 then likewise before it. Repeated rows get equal results; other columns stay.
@@ -20,6 +23,7 @@ then likewise before it. Repeated rows get equal results; other columns stay.
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +39,8 @@ MARK = "▁"
 UNKNOWN_PENALTY, LONG_UNIT = 10.0, 200
 #: Cells (unit x byte) of the tables of one Viterbi run.
 CELLS = 1 << 20
-#: Units an encoder remembers before it starts anew.
-REMEMBERED = 300_000
+#: Units an encoder remembers, and their bytes, before it starts anew; places of a long unit looked up at once.
+REMEMBERED, REMEMBERED_BYTES, SLICE = 300_000, 32 << 20, 1 << 16
 _UNIT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
@@ -63,13 +67,27 @@ class Vocabulary:
                     p.replace(MARK, " ").encode() for p, k in zip(pieces, kinds)]
 
 
-def load(path: str = MODEL) -> Vocabulary:
+def zipf(scores: np.ndarray) -> np.ndarray:
+    """Log probabilities by Zipf's law over the order of ``scores``, greatest first (ties: as they come)."""
+    rank = np.empty(len(scores))
+    rank[np.argsort(-scores, kind="stable")] = np.arange(1, len(scores) + 1)
+    return -np.log(rank) - np.log((1 / np.arange(1, len(scores) + 1)).sum())
+
+
+def load(path: str = MODEL, scores: str = "zipf") -> Vocabulary:
+    """The vocabulary of a model file with log scores by ``zipf`` or those of the ``file``."""
     import sentencepiece
+    if scores not in ("zipf", "file"):
+        raise ValueError("scores are zipf or file")
     m = sentencepiece.SentencePieceProcessor(model_file=path)
     n = range(m.get_piece_size())
     kind = ["byte" if m.is_byte(i) else "other" if m.is_control(i) or m.is_unknown(i) or m.is_unused(i) else "piece"
             for i in n]
-    return Vocabulary([m.id_to_piece(i) for i in n], [m.get_score(i) for i in n], kind)
+    score = np.array([m.get_score(i) for i in n])
+    if scores == "zipf":
+        own = [i for i in n if kind[i] == "piece"]
+        score[own] = zipf(score[own])
+    return Vocabulary([m.id_to_piece(i) for i in n], score.tolist(), kind)
 
 
 def _char_length(first: np.ndarray) -> np.ndarray:
@@ -162,34 +180,53 @@ def _trace(voc, text, own, back, piece) -> tuple[np.ndarray, np.ndarray]:
     return ids[by].astype(np.int32), np.bincount(rows, minlength=n)
 
 
+def _pieces_at(voc: Vocabulary, data: np.ndarray, first: np.ndarray):
+    """All pieces that begin at the places ``first``: (how many each has, ends, piece numbers), by place and length."""
+    place, end, number = [], [], []
+    at, state, own = first, np.zeros(len(first), np.int64), np.arange(len(first))
+    while len(at):
+        state = voc.trie.step(state, data[at])
+        on = (state >= 0)
+        state, at, own = state[on], at[on] + 1, own[on]
+        got = voc.trie.value[state] >= 0
+        place.append(own[got])
+        end.append(at[got])
+        number.append(voc.trie.value[state[got]])
+        inside = at < len(data)
+        state, at, own = state[inside], at[inside], own[inside]
+    place, end, number = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (place, end, number))
+    order = np.lexsort((end, place))
+    return np.bincount(place, minlength=len(first)), end[order], number[order]
+
+
 def encode_long(voc: Vocabulary, unit: bytes) -> np.ndarray:
-    """The same cut for one unit, step by step."""
-    n, trie = len(unit), voc.trie
-    best, back, piece = [float("-inf")] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
-    best[0] = 0.0
-    base, check, value, ids, scores = (x.tolist() for x in (trie.base, trie.check, trie.value, voc.ids, voc.scores))
-    for s in range(n):
-        if unit[s] & 0xC0 == 0x80:
-            continue
-        to = min(n, s + 1 + (unit[s] >= 0xC0) + (unit[s] >= 0xE0) + (unit[s] >= 0xF0))
-        if best[s] + voc.unknown > best[to]:
-            best[to], back[to], piece[to] = best[s] + voc.unknown, s, -1
-        state = 0
-        for e in range(s, n):
-            nxt = base[state] + unit[e] + 1
-            if check[nxt] != state:
-                break
-            state = nxt
-            if (k := value[state]) >= 0:
-                cost = best[s] + scores[k]
-                if cost > best[e + 1] or cost == best[e + 1] and back[e + 1] == s and piece[e + 1] == -1:
-                    best[e + 1], back[e + 1], piece[e + 1] = cost, s, ids[k]
-    out, at = [], n
-    while at:
+    """The same cut for one unit of any length, place by place; the pieces come from the trie in slices."""
+    n, data = len(unit), np.frombuffer(unit, np.uint8)
+    best, back, piece = (array(t, [v]) * (n + 1) for t, v in (("d", float("-inf")), ("i", 0), ("i", -1)))
+    best[0], unknown = 0.0, voc.unknown
+    for a in range(0, n, SLICE):
+        first = a + np.nonzero((data[a:a + SLICE] & 0xC0) != 0x80)[0]
+        many, end, number = _pieces_at(voc, data, first)
+        end, cost_of, id_of = end.tolist(), voc.scores[number].tolist(), voc.ids[number].tolist()
+        k = 0
+        for s, to, more in zip(first.tolist(), np.minimum(n, first + _char_length(data[first])).tolist(), many.tolist()):
+            here = best[s]
+            if here + unknown > best[to]:
+                best[to], back[to], piece[to] = here + unknown, s, -1
+            for k in range(k, k + more):
+                e, cost = end[k], here + cost_of[k]
+                if cost > best[e] or cost == best[e] and back[e] == s and piece[e] == -1:
+                    best[e], back[e], piece[e] = cost, s, id_of[k]
+            k += more > 0
+    out, at = array("i"), n
+    while at:  # from the end; the ids are turned round once
         s = back[at]
-        out[:0] = [piece[at]] if piece[at] >= 0 else voc.byte_id[np.frombuffer(unit[s:at], np.uint8)].tolist()
+        if piece[at] >= 0:
+            out.append(piece[at])
+        else:
+            out.extend(voc.byte_id[data[s:at][::-1]].tolist())
         at = s
-    return np.array(out, np.int32)
+    return np.array(out, np.int32)[::-1]
 
 
 def units_of(text: str) -> list[str]:
@@ -208,11 +245,11 @@ class Encoder:
 
     def _forget(self) -> None:
         self.number, self.flat = Numbers(), np.empty(0, np.int32)
-        self.begin, self.sizes = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.begin, self.sizes, self.bytes = np.empty(0, np.int64), np.empty(0, np.int64), 0
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and how many each text has."""
-        if len(self.number) > REMEMBERED:
+        if len(self.number) > REMEMBERED or self.bytes > REMEMBERED_BYTES:
             self._forget()
         use, per_text, number = [], [], self.number
         for t in texts:
@@ -221,6 +258,7 @@ class Encoder:
             use += [number[u] for u in found]
         fresh = [(MARK + u).encode("utf-8", "surrogatepass") for u in number.fresh]
         number.fresh = []
+        self.bytes += sum(map(len, fresh))
         flat, begin, sizes = encode_units(self.voc, fresh)
         self.begin = np.concatenate((self.begin, begin + len(self.flat)))
         self.sizes, self.flat = np.concatenate((self.sizes, sizes)), np.concatenate((self.flat, flat))
@@ -259,7 +297,7 @@ def encode_documents(docs: DataFrame, path: str = MODEL) -> DataFrame:
             texts = b.column("text").to_pylist()
             ids, sizes = encoder.encode(texts)
             ends = np.concatenate(([0], np.cumsum(sizes)))
-            back = [None if t is None else decode(voc, ids[a:z].tolist()) == t.replace(MARK, " ")
+            back = [None if t is None else decode(voc, ids[a:z].tolist()) == t
                     for t, a, z in zip(texts, ends, ends[1:])]
             null = pa.array([t is None for t in texts])
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()), mask=null)

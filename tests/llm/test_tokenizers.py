@@ -1,4 +1,6 @@
 import random
+import resource
+import time
 
 import numpy as np
 import pytest
@@ -76,13 +78,32 @@ def test_viterbi_finds_the_best_cut(voc):
             assert abs(cut_sum(v, one.tolist()) - best_sum(v, t)) < 1e-3
 
 
-def test_long_units_take_the_same_cuts(voc):
+@pytest.mark.parametrize("cut", [7, 1 << 16])
+def test_long_units_take_the_same_cuts(voc, cut, monkeypatch):
+    monkeypatch.setattr(U, "SLICE", cut)
     rnd = random.Random(5)
     units = [(U.MARK + "".join(rnd.choices("abcdeé日🙂", k=rnd.randint(1, 40)))).encode() for _ in range(200)]
     flat, begin, sizes = U.encode_units(voc, units)
     assert all(flat[b:b + n].tolist() == U.encode_long(voc, u).tolist() for u, b, n in zip(units, begin, sizes))
 
 
+def test_log_scores_are_probabilities_in_the_order_of_the_file(voc):
+    assert abs(np.exp(voc.scores).sum() - 1) < 1e-9 and voc.unknown == voc.scores.min() - U.UNKNOWN_PENALTY
+    plain = U.load(scores="file")
+    order = np.argsort(-plain.scores, kind="stable")
+    assert (voc.ids == plain.ids).all() and (np.diff(voc.scores[order]) < 0).all()
+
+
+def test_ten_megabytes_without_a_space(voc):
+    """Linear in the unit's length; equal to the short path over slices of any size."""
+    before, began = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss, time.time()
+    unit = ("abcdefgh日本🙂" * 600_000).encode()[:10_000_000]
+    ids = U.encode_long(voc, unit)
+    assert b"".join(voc.raw[i] for i in ids[:2000]) == unit[:len(b"".join(voc.raw[i] for i in ids[:2000]))]
+    assert sum(len(voc.raw[i]) for i in ids.tolist()) == len(unit)
+    assert time.time() - began < 100 and resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 1 << 20
+
+
 def as_unigram(path):
     """The library's own unigram encoder over the same pieces: the kind in the model file's trainer part set to 1."""
     def number(b, i):
@@ -111,8 +132,8 @@ def as_unigram(path):
     return sentencepiece.SentencePieceProcessor(model_proto=out)
 
 
-def test_agrees_with_the_library(voc, spark):
-    lib = as_unigram(U.MODEL)
+def test_agrees_with_the_library(spark):
+    voc, lib = U.load(scores="file"), as_unigram(U.MODEL)
     docs = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
     # Single words: the library's lattice (asked for two cuts, as for one it takes a shortcut that is not the best)
     # sums in single precision, which the scores of unknown characters would swamp.
@@ -134,7 +155,8 @@ def test_round_trip_of_documents(spark, make_docs):  # noqa: F811
         if r.text is None:
             assert r.ids is None and r.decoded is None and r.decodes is None
         else:
-            assert r.decodes and r.decoded == r.text.replace(U.MARK, " ") and (r.text or r.ids == [])
+            assert r.decodes == (U.MARK not in r.text) == (r.decoded == r.text)
+            assert r.decoded == r.text.replace(U.MARK, " ") and (r.text or r.ids == [])
     assert U.encode_documents(make_docs([])).count() == 0
 
 

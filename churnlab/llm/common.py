@@ -78,6 +78,11 @@ def filter_batches(df: DataFrame, keep: Callable[[pa.RecordBatch], list]) -> Dat
     return df.mapInArrow(run, df.schema)
 
 
+def cells(tiles: int, per: int, least: int) -> int:
+    """Shards or blocks of a grid for so many tiles: ``per`` tiles each, but ``least`` of them where there are as many tiles."""
+    return max(1, -(-tiles // per), min(tiles, least))
+
+
 def text_key(text: Column) -> Column:
     """With ``doc_id`` the key of a document row: rows that repeat an id with another text stay apart."""
     return F.xxhash64(text)

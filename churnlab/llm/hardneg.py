@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlab.llm.common import configure, map_batches, written
+from churnlab.llm.common import cells, configure, map_batches, written
 from churnlab.llm.topk import usable
 
 SCALE, POSITIVES, NEGATIVES, LOW, HIGH = 256, 5, 3, 50, 95
@@ -227,11 +227,6 @@ def _tree(lists: DataFrame, keys: list[str], k: int, groups: int, fan: int) -> D
         lists = lists.withColumn("grp", F.pmod("grp", F.lit(groups)))
 
 
-def _cells(rows: int, per: int, least: int) -> int:
-    """Shards or blocks for so many tiles: ``per`` tiles each, but as many as ``least`` where there are enough tiles."""
-    return max(1, -(-rows // per), min(rows, least))
-
-
 def mine(vectors: DataFrame, anchors: DataFrame, positives: int = POSITIVES, negatives: int = NEGATIVES,
          low: int = LOW, high: int = HIGH, tile: int = TILE, anchor_tile: int = ANCHOR_TILE, fan: int = FAN) -> DataFrame:
     """(anchor_id, place, positive_id, positive_score, rank, negative_id, negative_score).
@@ -248,7 +243,7 @@ def mine(vectors: DataFrame, anchors: DataFrame, positives: int = POSITIVES, neg
         "vec_id", "r.label", "r.v"), "hardneg-anchors")
     data = written(_tiles(ready(vectors), tile), "hardneg-tiles")
     n = max(1, data.count())
-    blocks = _cells(max(1, -(-one.count() // anchor_tile)), BLOCK_TILES, 1)
+    blocks = cells(max(1, -(-one.count() // anchor_tile)), BLOCK_TILES, 1)
     deal = lambda c, count: F.pmod(F.xxhash64(c), count).cast("int")
     spread = lambda count, name: F.explode(F.sequence(F.lit(0), (count - 1).cast("int"))).alias(name)
     width = spark.sparkContext.defaultParallelism
@@ -271,7 +266,7 @@ def mine(vectors: DataFrame, anchors: DataFrame, positives: int = POSITIVES, neg
     # Second pass: all other labels, with each anchor's positives beside it.
     joined = one.join(found, F.col("anchor_id") == F.col("vec_id")).select("vec_id", "label", "v", "best")
     asked = written(_tiles(joined, anchor_tile, positives), "hardneg-windows")
-    shards = _cells(n, SHARD_TILES, width)
+    shards = cells(n, SHARD_TILES, width)
     left = data.select("dim", F.col("label").alias("c_label"), deal("tile", F.lit(shards)).alias("shard"),
                        spread(F.lit(blocks), "block"), "tile", *cand)
     right = asked.select("dim", "label", spread(F.lit(shards), "shard"), deal("tile", F.lit(blocks)).alias("block"),

@@ -1,12 +1,13 @@
 """Exact top-k search by tiled matrix products.
 
-Vectors are quantised to integers and packed into tiles of bounded size, the queries likewise. Shards are groups of a
-few tiles; every query tile is dealt to every shard, and a task multiplies one query tile with one tile of the shard,
-selects each query's best k there by partial selection, and passes on only those. The lists are merged in a tree:
-each step joins a bounded number of lists of one query, so no task ever holds all lists of a query.
+Vectors are packed into tiles of bounded size, the queries likewise, and quantised to integers when they meet. Shards
+are groups of a few tiles, blocks groups of a few query tiles; each (shard, block) cell of the grid is dealt by itself,
+so no task reads all vectors or all queries. A task multiplies one query tile with one tile of the cell, selects each
+query's best k there by partial selection, and passes on only those. The lists are merged in a tree: each step joins a
+bounded number of lists of one query, so no task ever holds all lists of a query.
 
 Scores are exact integers: products run in float64 only where every partial sum stays below 2^53, else in Python
-integers. Scores outside the range of a long are cut to its ends.
+integers, also where a component times ``SCALE`` exceeds every float. Scores beyond a long are cut to its ends.
 
 Defined results: vectors that are null or empty, hold a null, NaN or infinite component, or have no id take no part.
 A query meets vectors of its own length only. Ties go to the smaller vec_id. A row that repeats an id is a candidate
@@ -16,6 +17,7 @@ component by component) is the query. With fewer candidates than k all are retur
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,11 +26,11 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnlab.llm.common import configure, map_batches, written
+from churnlab.llm.common import cells, configure, map_batches, written
 
 SCALE, K = 1024, 10
-#: Rows of a tile of vectors and of queries, tiles of a shard, lists merged at once.
-TILE, QUERY_TILE, SHARD_TILES, FAN = 2048, 512, 4, 16
+#: Rows of a tile of vectors and of queries, tiles of a shard and of a block, lists merged at once.
+TILE, QUERY_TILE, SHARD_TILES, BLOCK_TILES, FAN = 2048, 512, 16, 16, 16
 _EXACT = float(2**53)
 
 
@@ -38,7 +40,7 @@ def usable(vec: Column) -> Column:
 
 
 def _tiles(vectors: DataFrame, rows: int) -> DataFrame:
-    """(dim, tile, n, ids, vecs): packed int64 ids and float64 components, ``rows`` vectors at most."""
+    """(dim, tile, n, ids, vecs): packed int64 ids and raw float64 components, ``rows`` vectors at most."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, made = TaskContext.get().partitionId(), 0
         held: dict[int, tuple[list, list]] = {}
@@ -53,7 +55,7 @@ def _tiles(vectors: DataFrame, rows: int) -> DataFrame:
                 ["dim", "tile", "n", "ids", "vecs"])
         for b in batches:
             for i, v in zip(b.column(0).to_pylist(), b.column(1)):
-                x = np.floor(v.values.to_numpy(zero_copy_only=False).astype(np.float64) * SCALE)
+                x = v.values.to_numpy(zero_copy_only=False).astype(np.float64)
                 ids, vecs = held.setdefault(len(x), ([], []))
                 ids.append(i)
                 vecs.append(x)
@@ -65,11 +67,12 @@ def _tiles(vectors: DataFrame, rows: int) -> DataFrame:
 
 
 def products(q: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """Exact integer inner products of the rows of two float64 matrices of integers, as int64."""
-    most = float(np.abs(q).max(initial=0)) * float(np.abs(v).max(initial=0)) * q.shape[1]
+    """Exact inner products, as int64, of the rows of two float64 matrices, each component x being floor(SCALE * x)."""
+    most = (float(np.abs(q).max(initial=0)) * SCALE + 1) * (float(np.abs(v).max(initial=0)) * SCALE + 1) * q.shape[1]
     if most < _EXACT:
-        return (q @ v.T).astype(np.int64)
-    ints = lambda m: np.array([[int(x) for x in r] for r in m], object)
+        return (np.floor(q * SCALE) @ np.floor(v * SCALE).T).astype(np.int64)
+    whole = lambda x: int(x) * SCALE if abs(x) >= _EXACT else math.floor(x * SCALE)
+    ints = lambda m: np.array([[whole(x) for x in r] for r in m.tolist()], object)
     exact = ints(q) @ ints(v).T
     return np.clip(exact, -(2**63) + 1, 2**63 - 1).astype(np.int64)
 
@@ -114,14 +117,15 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, tile: int = TILE,
         F.col("vec_id").isNotNull() & usable(F.col("v"))).withColumn("vec_id", F.col("vec_id").cast("long"))
     data = written(_tiles(ready(vectors), tile), "topk-tiles")
     n = max(1, data.count())
-    shards = -(-n // SHARD_TILES)
     one = ready(queries).groupBy("vec_id").agg(F.min("v").alias("v"))
-    asked = _tiles(one, query_tile).select(
-        "dim", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
-        F.col("ids").alias("qids"), F.col("vecs").alias("qvecs"))
-    held = data.select("dim", F.pmod(F.xxhash64("tile"), F.lit(shards)).cast("int").alias("shard"), "tile", "ids",
-                       "vecs")
-    pairs = held.join(asked, ["dim", "shard"]).select("dim", "tile", "qids", "qvecs", "ids", "vecs")
+    asked = written(_tiles(one, query_tile), "topk-queries")
+    shards, blocks = cells(n, SHARD_TILES, spark.sparkContext.defaultParallelism), cells(asked.count(), BLOCK_TILES, 1)
+    deal = lambda count: F.pmod(F.xxhash64("tile"), F.lit(count)).cast("int")
+    spread = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+    asked = asked.select("dim", deal(blocks).alias("block"), F.col("ids").alias("qids"), F.col("vecs").alias("qvecs"),
+                         spread(shards).alias("shard"))
+    held = data.select("dim", deal(shards).alias("shard"), "tile", "ids", "vecs", spread(blocks).alias("block"))
+    pairs = held.join(asked, ["dim", "shard", "block"]).select("dim", "tile", "qids", "qvecs", "ids", "vecs")
     lists = map_batches(pairs, lambda b: _pair_lists(b, k),
                         "query_id long, grp long, best array<struct<worse:long,vec_id:long>>")
     groups = -(-n // fan)

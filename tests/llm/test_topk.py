@@ -11,9 +11,10 @@ from churnlab.llm.catalog import ORACLE
 VEC = "vec_id long, embedding array<float>, score int"
 
 
-def brute(rows, queries, k=10):
+def brute(rows, queries, k=10, kind=np.float32):
     ok = lambda v: v and all(x is not None and math.isfinite(x) for x in v)
-    ints = lambda v: [math.floor(1024 * float(np.float32(x))) for x in v]
+    whole = lambda x: int(x) * 1024 if abs(x) > 2**60 else math.floor(1024 * x)
+    ints = lambda v: [whole(float(kind(x))) for x in v]
     data = [(i, ints(v)) for i, v in rows if i is not None and ok(v)]
     asked = {}
     for i, v in queries:
@@ -49,6 +50,21 @@ def test_scores_beyond_float_precision(spark):
     assert got == sorted(brute(rows, rows[:3], 4), key=str)
 
 
+def test_components_whose_multiple_exceeds_every_float(spark):
+    rows = [(i, [1.7e308 * (i % 3 - 1), 1e306, 0.5 * i]) for i in range(20)] + [(30, [0.0, 0.0, 3.0])]
+    make = lambda r: spark.createDataFrame(r, "vec_id long, embedding array<double>")
+    got = rows_of(T.search(make(rows), make(rows[:4] + rows[-1:]), k=5))
+    assert got == sorted(brute(rows, rows[:4] + rows[-1:], 5, float), key=str)
+
+
+def test_a_grid_of_many_cells(spark, monkeypatch):
+    rnd = random.Random(9)
+    rows = [(i, [rnd.random() for _ in range(4)]) for i in range(120)]
+    monkeypatch.setattr(T, "SHARD_TILES", 2)
+    monkeypatch.setattr(T, "BLOCK_TILES", 2)
+    assert run(spark, rows, rows[::3], tile=5, query_tile=3)[0] == sorted(brute(rows, rows[::3]), key=str)
+
+
 def test_fewer_than_k_and_empty(spark):
     rows = [(0, [1.0]), (1, [0.5])]
     assert run(spark, rows, rows)[0] == [(0, 1, 1, 524288), (1, 1, 0, 524288)]

@@ -231,9 +231,9 @@ def score_batch(model: PipelineModel, features: DataFrame, period: str, version:
     out = p.select("msno", F.round("p", 6).cast("float").alias("churn_prob"),
                    label_at(F.round("p", 6), thr).cast("short").alias("churn_label"))
     if path is not None:
-        from churnlab.sources.store import upsert_predictions
+        from churnlab.sources.store import read_predictions, upsert_predictions
         upsert_predictions(out, path, period, version, source)
-        written = features.sparkSession.read.parquet(path).where(
+        written = read_predictions(features.sparkSession, path).where(
             (F.col("period") == period) & (F.col("model_version") == version) & (F.col("source") == source))
         out = written.select(*out.columns)  # the written rows; nothing is scored twice
     return out, score_distribution(out.select(F.col("churn_prob").cast("double").alias("prob")), "prob", thr)

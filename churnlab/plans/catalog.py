@@ -393,10 +393,51 @@ def q_predictions_roundtrip(spark, d):
     store.upsert_predictions(preds, path, EVAL_PERIOD, "v2", "batch", t)
     store.upsert_predictions(preds.where(_F.col("churn_label") == 1), path, EVAL_PERIOD, "v2", "api", t)
     store.upsert_predictions(preds, path, EVAL_PERIOD, "v2", "batch", t)
-    return (spark.read.parquet(path).where(_F.col("period") == EVAL_PERIOD)
+    return (store.read_predictions(spark, path).where(_F.col("period") == EVAL_PERIOD)
             .groupBy("source").agg(_F.count(_F.lit(1)).alias("n"), _F.sum("churn_label").cast("long").alias("n_pos")))
 
 
+@register("ground_truth_batches")
+def q_ground_truth_batches(spark, d):
+    """Outcomes merged from two overlapping batches, the second one twice (a retry); no row lost or doubled."""
+    from churnlab.sources import store
+    gt, path = B.ground_truth(spark, d), store_root_for(spark, "ground_truth")
+    early, late = gt.where(_F.col("msno") % 3 != 0), gt.where(_F.col("msno") % 2 == 0)
+    rest = gt.where((_F.col("msno") % 3 == 0) & (_F.col("msno") % 2 != 0))
+    for batch in (early, late, late.unionByName(rest), late):
+        store.load_ground_truth(batch, path)
+    return store.read_ground_truth(spark, path).select("msno", "period", "actual_churn")
+
+
+@register("appended_predictions")
+def q_appended_predictions(spark, d):
+    """Predictions of two moments, the first one appended twice (a retry), counted by moment and label."""
+    from churnlab.sources import store
+    preds = B.predictions(spark, d).where(_F.col("period") == EVAL_PERIOD).groupBy("msno").agg(
+        _F.max("churn_prob").alias("churn_prob"), _F.max("churn_label").alias("churn_label"))
+    path = store_root_for(spark, "api_predictions")
+    one, two = _dt.datetime(1998, 6, 20, 10), _dt.datetime(1998, 6, 20, 11)
+    for at in (one, two, one):
+        store.append_predictions(preds, path, "api", "v2", at)
+    return store.read_predictions(spark, path).groupBy(_F.hour("predicted_at").alias("hour"), "churn_label").agg(
+        _F.count(_F.lit(1)).alias("n"))
+
+
+@register("period_as_of_commit")
+def q_period_as_of_commit(spark, d):
+    """A period replaced twice, read at each commit: older states stay whole."""
+    from churnlab.sources import snapshots, store
+    labels = B.labels_for(spark, d, P.period)
+    path = store_root_for(spark, "features_versions")
+    t = _dt.datetime(2000, 12, 1)
+    store.upsert_period(labels, path, P.period, t)
+    store.upsert_period(labels.where(_F.col("is_churn") == 0), path, P.prev_period, t)
+    store.upsert_period(labels.where(_F.col("is_churn") == 1), path, P.period, t)
+    commits = snapshots.SnapshotTable(spark, path).versions()
+    return MON.union_all([store.read_period(spark, path, P.period, version=n).groupBy("is_churn").agg(
+        _F.count(_F.lit(1)).alias("n")).select(_F.lit(n).alias("commit_no"), "is_churn", "n") for n in commits])
+
+
 def store_root_for(spark, name):
     from churnlab.sources.store import store_root
     return store_root(spark, name, unique=True)

@@ -697,6 +697,20 @@ FROM (SELECT churn_label, 'batch' AS source FROM predictions WHERE period = '199
       UNION ALL SELECT churn_label, 'api' FROM predictions WHERE period = '1998-06' AND churn_label = 1) t
 GROUP BY 1""", PRED_CTE)
 
+# ---------------------------------------------------------------- merges and commits
+_GT = """(SELECT o.o_custkey AS msno, strftime(o.o_orderdate, '%Y-%m') AS period,
+         CAST(max(CAST(l.l_returnflag = 'R' AS INTEGER)) AS SMALLINT) AS actual_churn
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 1, 2)"""
+sql("ground_truth_batches", f"SELECT msno, period, actual_churn FROM {_GT} g")
+sql("appended_predictions", """
+SELECT h.hour, churn_label, count(*) AS n
+FROM (SELECT msno, max(churn_label) AS churn_label FROM predictions WHERE period = '1998-06' GROUP BY 1) p
+CROSS JOIN (SELECT 10 AS hour UNION ALL SELECT 11) h GROUP BY 1, 2""", PRED_CTE)
+sql("period_as_of_commit", """
+SELECT c.commit_no, is_churn, count(*) AS n
+FROM cur_labels CROSS JOIN (SELECT unnest([1, 2, 3]) AS commit_no) c
+WHERE c.commit_no < 3 OR is_churn = 1 GROUP BY 1, 2""")
+
 # ---------------------------------------------------------------- monitoring twins
 _DRIFT_COLS = ["n_transactions", "avg_discount_pct", "avg_plan_days", "avg_price", "n_unique_plans", "last_plan_days",
                "last_payment_method"]

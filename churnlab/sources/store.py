@@ -1,9 +1,9 @@
 """Table sinks (S6-S15): partitioned parquet tables written idempotently.
 
-A "store" is a folder of partitioned parquet datasets. Re-running a job for
-one period replaces exactly that period (dynamic partition overwrite, one
-write, no delete-then-insert window). Paths must be on shared storage; the
-default root is under the cluster's ``spark.checkpoint.dir``.
+A "store" is a folder of partitioned parquet datasets. Re-running a job for one period replaces exactly that period,
+in one commit (``sources/snapshots.py``): readers see the old rows or the new ones, a failed job changes nothing, and
+older commits stay readable. Paths must be on shared storage; the default root is under the cluster's
+``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlab.session import ensure_checkpoint_dir
+from churnlab.sources.snapshots import SnapshotTable, newest
 
 
 def store_root(spark: SparkSession, name: str, unique: bool = False) -> str:
@@ -24,11 +25,6 @@ def store_root(spark: SparkSession, name: str, unique: bool = False) -> str:
     return f"{base}/churnlab_store/{name}" + (f"-{uuid.uuid4().hex[:12]}" if unique else "")
 
 
-def _dynamic(df: DataFrame, path: str, parts: Sequence[str]) -> None:
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*parts).parquet(path))
-
-
 # S6
 def write_features(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
@@ -65,34 +61,47 @@ def materialize_log_agg(spark: SparkSession, logs: DataFrame, max_date: dt.date,
 
 # S8 / S9
 def upsert_period(df: DataFrame, path: str, period: str, computed_at: dt.datetime | None = None) -> None:
-    """Replace one period of the feature store, stamping period and computed_at."""
+    """Replace one period of the feature store in one commit, stamping period and computed_at."""
     ts = F.lit(computed_at) if computed_at else F.current_timestamp()
-    _dynamic(df.withColumn("computed_at", ts).withColumn("period", F.lit(period)), path, ["period"])
+    SnapshotTable(df.sparkSession, path).replace(
+        df.withColumn("computed_at", ts).withColumn("period", F.lit(period)), ["period"], {"period": period})
 
 
 def read_period(spark: SparkSession, path: str, period: str, cols: Sequence[str] | None = None,
-                ordered: bool = False) -> DataFrame:
-    """Features of one period: partition pruning on ``period``, column pruning on ``cols``."""
-    df = spark.read.parquet(path).where(F.col("period") == period)
+                ordered: bool = False, version: int | None = None) -> DataFrame:
+    """Features of one period (of an older commit with ``version``): partition and column pruning."""
+    df = SnapshotTable(spark, path).read(version).where(F.col("period") == period)
     if cols:
         df = df.select(*cols)
     return df.orderBy("msno") if ordered else df
 
 
 # S10 / S11
+PREDICTION_PARTS = ["period", "model_version", "source"]
+
+
+def _prediction_rows(df: DataFrame, period: str, version: str, source: str, at: dt.datetime | None) -> DataFrame:
+    ts = F.lit(at) if at else F.current_timestamp()
+    return (df.withColumn("predicted_at", ts).withColumn("period", F.lit(period))
+            .withColumn("model_version", F.lit(version)).withColumn("source", F.lit(source)))
+
+
 def upsert_predictions(df: DataFrame, path: str, period: str, version: str, source: str = "batch",
                        predicted_at: dt.datetime | None = None) -> None:
-    """Replace (period, model_version, source): API rows of the same period survive."""
-    ts = F.lit(predicted_at) if predicted_at else F.current_timestamp()
-    out = (df.withColumn("predicted_at", ts).withColumn("period", F.lit(period))
-           .withColumn("model_version", F.lit(version)).withColumn("source", F.lit(source)))
-    _dynamic(out, path, ["period", "model_version", "source"])
+    """Replace (period, model_version, source) in one commit: API rows of the same period survive."""
+    SnapshotTable(df.sparkSession, path).replace(
+        _prediction_rows(df, period, version, source, predicted_at), PREDICTION_PARTS,
+        dict(zip(PREDICTION_PARTS, (period, version, source))))
+
+
+def read_predictions(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    return SnapshotTable(spark, path).read(version).drop("bucket")
 
 
 def append_predictions(df: DataFrame, path: str, source: str, version: str, now: dt.datetime) -> None:
-    out = (df.withColumn("predicted_at", F.lit(now)).withColumn("period", F.lit(now.strftime("%Y-%m")))
-           .withColumn("model_version", F.lit(version)).withColumn("source", F.lit(source)))
-    out.write.mode("append").partitionBy("period", "model_version", "source").parquet(path)
+    """Add the predictions of a moment; adding them again (a retried job) changes nothing."""
+    rows = _prediction_rows(df, now.strftime("%Y-%m"), version, source, now)
+    SnapshotTable(df.sparkSession, path).merge(rows, ["msno", "predicted_at"], PREDICTION_PARTS, newest("churn_prob"))
 
 
 # S12 / S13
@@ -133,9 +142,19 @@ def read_versions(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_ground_truth(df: DataFrame, path: str) -> None:
-    """Ground truth is unique on (msno, period): of repeated rows a churn wins; periods are replaced."""
-    one = df.groupBy("msno", "period").agg(F.max("actual_churn").alias("actual_churn"))
-    _dynamic(one.withColumn("loaded_at", F.current_timestamp()), path, ["period"])
+    """Merge a batch of outcomes, unique on (msno, period): of repeated rows a churn wins, other users stay.
+
+    Batches may come in any number and order and more than once; ``loaded_at`` is that of the first row of a user.
+    """
+    def one(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+        return rows.groupBy(*keys).agg(F.max("actual_churn").alias("actual_churn"), F.min("loaded_at").alias("loaded_at"))
+    SnapshotTable(df.sparkSession, path).merge(
+        df.select("msno", "period", "actual_churn").withColumn("loaded_at", F.current_timestamp()), ["msno", "period"],
+        ["period"], one)
+
+
+def read_ground_truth(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    return SnapshotTable(spark, path).read(version).select("msno", "period", "actual_churn", "loaded_at")
 
 
 # S15

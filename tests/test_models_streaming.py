@@ -129,7 +129,7 @@ def test_score_batch_calibrate_export(spark, tmp_path):
     m = ML.lr_pipeline(["signal", "noise"]).fit(df)
     path = str(tmp_path / "preds")
     out, dist = ML.score_batch(m, df, "2017-04", "7", path)
-    assert spark.read.parquet(path).count() == 400 and 0.0 <= dist.first().mean <= 1.0
+    assert store.read_predictions(spark, path).count() == 400 and 0.0 <= dist.first().mean <= 1.0
     scored = ML.score(m, df)
     iso = ML.calibrate(scored)
     cal = [r.calibrated_prob for r in iso.transform(scored).collect()]
@@ -139,7 +139,7 @@ def test_score_batch_calibrate_export(spark, tmp_path):
     assert sub.columns == ["msno", "is_churn"] and sub.count() == 400
     store.append_predictions(out, str(tmp_path / "api"), "api", "7", dt.datetime(2017, 4, 2))
     store.append_predictions(out, str(tmp_path / "api"), "api", "7", dt.datetime(2017, 4, 3))
-    assert spark.read.parquet(str(tmp_path / "api")).count() == 800
+    assert store.read_predictions(spark, str(tmp_path / "api")).count() == 800
 
 
 def test_tune_trials_and_subsample(spark):

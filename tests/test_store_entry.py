@@ -23,7 +23,7 @@ def test_upsert_predictions_keeps_api_rows(spark, tmp_path):
     store.upsert_predictions(df, path, "2017-04", "3", "api")
     store.upsert_predictions(df, path, "2017-04", "3", "batch")
     store.upsert_predictions(df, path, "2017-04", "3", "batch")
-    got = spark.read.parquet(path).groupBy("source").count().collect()
+    got = store.read_predictions(spark, path).groupBy("source").count().collect()
     assert {r.source: r["count"] for r in got} == {"api": 1, "batch": 1}
 
 
@@ -61,7 +61,7 @@ def test_plain_sinks_and_reports(spark, tmp_path):
                                   "msno string, period string, actual_churn int")
     store.load_ground_truth(truth, str(tmp_path / "g"))
     store.load_ground_truth(truth, str(tmp_path / "g"))
-    got = spark.read.parquet(str(tmp_path / "g")).select("msno", "actual_churn").collect()
+    got = store.read_ground_truth(spark, str(tmp_path / "g")).select("msno", "actual_churn").collect()
     assert sorted(map(tuple, got)) == [("a", 1), ("b", 0)]
 
 

@@ -36,7 +36,7 @@ END_ID = 1
 #: Pieces and bytes of the waiting pool of a task; above either, sequences are made until a quarter is left.
 POOL, POOL_BYTES = 8192, 64 << 20
 #: Chunks of text remembered with their ids, and their bytes, before a task starts anew.
-REMEMBERED, REMEMBERED_BYTES = 300_000, 32 << 20
+REMEMBERED, REMEMBERED_BYTES = 600_000, 48 << 20
 #: Pieces, and bytes of their ids, in an outgoing batch.
 OUT, OUT_BYTES = 2000, 8 << 20
 
@@ -192,6 +192,21 @@ class Packer:
 #: sentence: no token crosses these places, nor white space.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-\u012f\u0131-ɏ"
 _CUT, _SIMPLE = re.compile(f"(?<=[{_LETTERS}])(?=[.,;:!?])"), re.compile(f"[{_LETTERS}]+")
+#: A sentence sign after something else than these letters, digits and blanks.
+_ODD = re.compile(f"[^{_LETTERS}0-9 ][.,;:!?]")
+
+
+def chunks_of(text: str) -> list[str]:
+    """Parts of a text that no token crosses; empty ones have no ids."""
+    if text.isascii() and "<" not in text:
+        text = text.lower()  # as the vocabulary does; a special token's text is left as it is
+    text = text.replace("\n", " ").replace("\t", " ").replace("\r", " ")
+    if _ODD.search(text):
+        text = _CUT.sub(" ", text)
+    else:
+        for sign in ".,;:!?":
+            text = text.replace(sign + " ", f" {sign} ")
+    return text.split(" ")
 
 
 class Encoder:
@@ -212,12 +227,12 @@ class Encoder:
         self.flat, self.begin, self.size = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
 
     def _forget(self) -> None:
-        """Keep the chunks used most: a quarter of the number, and of the bytes, that may be remembered."""
+        """Keep the chunks used most: half of the number, and of the bytes, that may be remembered."""
         known, bytes_ = list(self.number), 0
         self.number = Numbers()
         keep = []
-        for i in np.argsort(-self.uses, kind="stable")[:REMEMBERED // 4].tolist():
-            if (bytes_ := bytes_ + len(known[i])) > REMEMBERED_BYTES // 4:
+        for i in np.argsort(-self.uses, kind="stable")[:REMEMBERED // 2].tolist():
+            if (bytes_ := bytes_ + len(known[i])) > REMEMBERED_BYTES // 2:
                 break
             keep.append(i)
             self.number[known[i]]
@@ -231,41 +246,41 @@ class Encoder:
         ends = np.cumsum(sizes)
         return self.flat[np.repeat(self.begin[use] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
 
-    def _fresh(self, chunks: list[str]) -> list[np.ndarray]:
-        """Ids of each of some new chunks."""
-        out: list = [None] * len(chunks)
+    def _fresh(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, where each chunk's begin, how many) of some new chunks."""
+        begin, size = np.zeros(len(chunks), np.int64), np.full(len(chunks), -1, np.int64)
         simple = [i for i, c in enumerate(chunks) if _SIMPLE.fullmatch(c)]
         groups = [simple[a:a + 1000] for a in range(0, len(simple), 1000)]
         joined = self.tokenizer.encode_batch([" ".join([chunks[i] for i in g]) for g in groups], add_special_tokens=False)
+        parts, made = [], 0
         for group, got in zip(groups, joined):
             ids = np.array(got.ids, np.uint32)
-            cuts = np.nonzero(self.ends[ids])[0] + 1
-            if len(cuts) == len(group):
-                for i, a, z in zip(group, [0, *cuts[:-1].tolist()], cuts.tolist()):
-                    out[i] = ids[a:z]
-        others = [i for i, x in enumerate(out) if x is None]
-        for i, got in zip(others, self.tokenizer.encode_batch([chunks[i] for i in others], add_special_tokens=False)):
-            out[i] = np.array(got.ids, np.uint32)
-        return out
+            cuts = np.concatenate(([0], np.nonzero(self.ends[ids])[0] + 1))
+            if len(cuts) == len(group) + 1:
+                begin[group], size[group] = made + cuts[:-1], np.diff(cuts)
+                parts.append(ids)
+                made += len(ids)
+        others = np.nonzero(size < 0)[0].tolist()
+        rest = [e.ids for e in self.tokenizer.encode_batch([chunks[i] for i in others], add_special_tokens=False)]
+        size[others] = own = np.array([len(x) for x in rest], np.int64)
+        begin[others] = made + np.cumsum(own) - own
+        return np.concatenate([*parts, np.array([i for x in rest for i in x], np.uint32)]), begin, size
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         if len(self.number) > REMEMBERED or self.bytes > REMEMBERED_BYTES:
             self._forget()
         number, use, count = self.number, [], []
         for t in texts:
-            if t and t.isascii() and "<" not in t:
-                t = t.lower()  # as the vocabulary does; a special token's text is left as it is
-            found = _CUT.sub(" ", t).replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if t else []
+            found = chunks_of(t) if t else []
             count.append(len(found))
-            use += [number[c] for c in found]
+            use.extend(map(number.__getitem__, found))
         if number.fresh:
-            got = self._fresh(number.fresh)
+            ids, begin, size = self._fresh(number.fresh)
             self.bytes += sum(map(len, number.fresh))
             number.fresh = []
-            sizes = np.array([len(x) for x in got], np.int64)
-            self.begin = np.concatenate((self.begin, len(self.flat) + np.cumsum(sizes) - sizes))
-            self.size, self.flat = np.concatenate((self.size, sizes)), np.concatenate((self.flat, *got))
-            self.uses = np.concatenate((self.uses, np.zeros(len(got), np.int64)))
+            self.begin = np.concatenate((self.begin, len(self.flat) + begin))
+            self.size, self.flat = np.concatenate((self.size, size)), np.concatenate((self.flat, ids))
+            self.uses = np.concatenate((self.uses, np.zeros(len(size), np.int64)))
         use = np.array(use, np.int64)
         self.uses += np.bincount(use, minlength=len(self.uses))
         ids = self._gather(use)

@@ -405,7 +405,7 @@ def q_ground_truth_batches(spark, d):
     early, late = gt.where(_F.col("msno") % 3 != 0), gt.where(_F.col("msno") % 2 == 0)
     rest = gt.where((_F.col("msno") % 3 == 0) & (_F.col("msno") % 2 != 0))
     for batch in (early, late, late.unionByName(rest), late):
-        store.load_ground_truth(batch, path)
+        store.load_ground_truth(batch, path, buckets=1)
     return store.read_ground_truth(spark, path).select("msno", "period", "actual_churn")
 
 
@@ -418,7 +418,7 @@ def q_appended_predictions(spark, d):
     path = store_root_for(spark, "api_predictions")
     one, two = _dt.datetime(1998, 6, 20, 10), _dt.datetime(1998, 6, 20, 11)
     for at in (one, two, one):
-        store.append_predictions(preds, path, "api", "v2", at)
+        store.append_predictions(preds, path, "api", "v2", at, buckets=4)
     return store.read_predictions(spark, path).groupBy(_F.hour("predicted_at").alias("hour"), "churn_label").agg(
         _F.count(_F.lit(1)).alias("n"))
 

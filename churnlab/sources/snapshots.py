@@ -133,7 +133,8 @@ class SnapshotTable:
         are read and written.
         """
         parts = [*parts, "bucket"]
-        new = self._ordered(df.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")), parts)
+        new = self._ordered(df.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")), parts).hint(
+            "rebalance", *parts)  # few files a partition; AQE splits a large one
         staged, touched = self._write(new, parts)  # computed once, whatever number of tries
         try:
             if not touched:
@@ -143,7 +144,8 @@ class SnapshotTable:
                 base = self._latest()
                 own = {p: f for p, f in base["live"].items() if p in set(touched)}
                 both = rows if not own else rows.unionByName(self._rows(base, own), allowMissingColumns=True)
-                one = self._ordered(pick(both, [*keys, *(p for p in parts if p not in keys)]), parts)
+                one = self._ordered(pick(both, [*keys, *(p for p in parts if p not in keys)]), parts).hint(
+                    "rebalance", *parts)
                 folder, made = self._write(one, parts)
                 while True:
                     now = self._latest()

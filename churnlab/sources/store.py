@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlab.session import ensure_checkpoint_dir
-from churnlab.sources.snapshots import SnapshotTable, newest
+from churnlab.sources.snapshots import BUCKETS, SnapshotTable, newest
 
 
 def store_root(spark: SparkSession, name: str, unique: bool = False) -> str:
@@ -98,10 +98,12 @@ def read_predictions(spark: SparkSession, path: str, version: int | None = None)
     return SnapshotTable(spark, path).read(version).drop("bucket")
 
 
-def append_predictions(df: DataFrame, path: str, source: str, version: str, now: dt.datetime) -> None:
+def append_predictions(df: DataFrame, path: str, source: str, version: str, now: dt.datetime,
+                       buckets: int = BUCKETS) -> None:
     """Add the predictions of a moment; adding them again (a retried job) changes nothing."""
     rows = _prediction_rows(df, now.strftime("%Y-%m"), version, source, now)
-    SnapshotTable(df.sparkSession, path).merge(rows, ["msno", "predicted_at"], PREDICTION_PARTS, newest("churn_prob"))
+    SnapshotTable(df.sparkSession, path).merge(rows, ["msno", "predicted_at"], PREDICTION_PARTS, newest("churn_prob"),
+                                                buckets)
 
 
 # S12 / S13
@@ -141,7 +143,7 @@ def read_versions(spark: SparkSession, path: str) -> DataFrame:
         "name", "version", "r.*")
 
 
-def load_ground_truth(df: DataFrame, path: str) -> None:
+def load_ground_truth(df: DataFrame, path: str, buckets: int = BUCKETS) -> None:
     """Merge a batch of outcomes, unique on (msno, period): of repeated rows a churn wins, other users stay.
 
     Batches may come in any number and order and more than once; ``loaded_at`` is that of the first row of a user.
@@ -150,7 +152,7 @@ def load_ground_truth(df: DataFrame, path: str) -> None:
         return rows.groupBy(*keys).agg(F.max("actual_churn").alias("actual_churn"), F.min("loaded_at").alias("loaded_at"))
     SnapshotTable(df.sparkSession, path).merge(
         df.select("msno", "period", "actual_churn").withColumn("loaded_at", F.current_timestamp()), ["msno", "period"],
-        ["period"], one)
+        ["period"], one, buckets)
 
 
 def read_ground_truth(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:

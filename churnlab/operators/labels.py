@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from churnlab.functions.columns import desc_text_key, parse_yyyymmdd
 from churnlab.plans.periods import LabelWindow, ymd
+from churnlab.session import materialize
 
 SALTS = 16  # tasks a user's groups are dealt to in the labeller's join
 NO_RENEWAL_GAP = 9999  # fixed value: gap reported when no renewal follows
@@ -46,7 +47,7 @@ def last_expire(tx: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
     return h.groupBy("msno").agg(F.max_by(F.col("membership_expire_date"), order_key()).alias("last_expire"))
 
 
-def renewal_gap(candidates: DataFrame, future: DataFrame) -> DataFrame:
+def renewal_gap(candidates: DataFrame, future: DataFrame, salts: int = SALTS) -> DataFrame:
     """Days from the (possibly cancel-shortened) expiry to the first renewal.
 
     Walking a user's future transactions in order, cancellations can only move
@@ -58,18 +59,19 @@ def renewal_gap(candidates: DataFrame, future: DataFrame) -> DataFrame:
     Within one (date, plan text) subscriptions come before cancellations, so the rows of a user are first reduced to
     one per (user, date, plan text): whether it has a renewal, and its least cancel expiry. That aggregate is spread
     by all three, so a user with a third of the rows fills many tasks. The walk then needs the first group with a
-    renewal (a partial aggregate) and the cancels of earlier groups; that join is dealt by (user, salt), and the
-    aggregate after it combines map-side.
+    renewal (a partial aggregate) and the cancels of earlier groups; that join is dealt by (user, salt, ``salts`` of
+    them), and the aggregate after it combines map-side. The groups are read twice, so they are written once.
     """
     keys = order_key()
-    g = (future.select("msno", "is_cancel", "membership_expire_date", keys["d"].alias("d"), keys["s"].alias("s"))
-         .groupBy("msno", "d", "s").agg(
-             F.max(F.coalesce(F.col("is_cancel") == 0, F.lit(False))).alias("renews"),
-             F.min(F.when(F.col("is_cancel") == 1, F.col("membership_expire_date"))).alias("cancel_min")))
+    g = materialize(
+        future.select("msno", "is_cancel", "membership_expire_date", keys["d"].alias("d"), keys["s"].alias("s"))
+        .groupBy("msno", "d", "s").agg(
+            F.max(F.coalesce(F.col("is_cancel") == 0, F.lit(False))).alias("renews"),
+            F.min(F.when(F.col("is_cancel") == 1, F.col("membership_expire_date"))).alias("cancel_min")))
     first = g.groupBy("msno").agg(F.min(F.when(F.col("renews"), F.struct("d", "s"))).alias("k0"))
     users = candidates.select("msno", "last_expire").join(first, "msno").withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    j = g.withColumn("salt", F.pmod(F.xxhash64("d", "s"), F.lit(SALTS)).cast("int")).join(users, ["msno", "salt"])
+        "salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    j = g.withColumn("salt", F.pmod(F.xxhash64("d", "s"), F.lit(salts)).cast("int")).join(users, ["msno", "salt"])
     earlier = F.col("k0").isNull() | (F.struct("d", "s") < F.col("k0"))
     out = j.groupBy("msno", "last_expire", "k0").agg(F.min(F.when(earlier, F.col("cancel_min"))).alias("cancel_min"))
     shortened = F.least(F.col("last_expire"), F.coalesce(F.col("cancel_min"), F.col("last_expire")))
@@ -80,9 +82,9 @@ def renewal_gap(candidates: DataFrame, future: DataFrame) -> DataFrame:
 
 def churn_labels(tx: DataFrame, w: LabelWindow) -> DataFrame:
     """Candidates whose last expiry falls in the target month; churn when no
-    activity follows or the renewal gap is at least ``grace`` days."""
-    cands = last_expire(tx, w.hist_start, w.hist_end).where(
-        F.col("last_expire").between(ymd(w.target_start), ymd(w.target_end)))
+    activity follows or the renewal gap is at least ``grace`` days. The payments are read once for either side."""
+    cands = materialize(last_expire(tx, w.hist_start, w.hist_end).where(
+        F.col("last_expire").between(ymd(w.target_start), ymd(w.target_end))))
     future = tx.where(F.col("transaction_date") > ymd(w.hist_end))
     gaps = renewal_gap(cands, future)
     j = cands.join(gaps.select("msno", "gap"), "msno", "left")

@@ -397,6 +397,21 @@ def q_predictions_roundtrip(spark, d):
             .groupBy("source").agg(_F.count(_F.lit(1)).alias("n"), _F.sum("churn_label").cast("long").alias("n_pos")))
 
 
+@register("incremental_log_agg")
+def q_incremental_log_agg(spark, d):
+    """The log aggregate kept in a store over three runs: first files, later files added, nothing new."""
+    from churnlab.sources.log_partials import incremental_log_agg
+    root = store_root_for(spark, "incremental_logs")
+    logs, cut = B.user_logs(spark, d), (P.log_recent.year * 100 + P.log_recent.month) * 100 + P.log_recent.day
+    run = lambda: incremental_log_agg(
+        spark, f"{root}/logs", f"{root}/store", P.log_max_date, P.log_recent, P.log_windows)
+    logs.where(_F.col("date") < cut).write.parquet(f"{root}/logs/early")
+    run()
+    logs.where(_F.col("date") >= cut).write.parquet(f"{root}/logs/late")
+    run()
+    return run()
+
+
 @register("ground_truth_batches")
 def q_ground_truth_batches(spark, d):
     """Outcomes merged from two overlapping batches, the second one twice (a retry); no row lost or doubled."""

@@ -698,6 +698,7 @@ FROM (SELECT churn_label, 'batch' AS source FROM predictions WHERE period = '199
 GROUP BY 1""", PRED_CTE)
 
 # ---------------------------------------------------------------- merges and commits
+sql("incremental_log_agg", "SELECT * FROM log_agg", LOG_AGG_CTE)
 _GT = """(SELECT o.o_custkey AS msno, strftime(o.o_orderdate, '%Y-%m') AS period,
          CAST(max(CAST(l.l_returnflag = 'R' AS INTEGER)) AS SMALLINT) AS actual_churn
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 1, 2)"""

@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation, Summarizer
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 
 def _stack(df: DataFrame, names: Sequence[str], value_cols: Sequence[Sequence[str]], out_cols: Sequence[str],
@@ -212,13 +213,37 @@ def target_correlation(df: DataFrame, cols: Sequence[str], target: str = "is_chu
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
-    """Pairwise Pearson correlations (upper triangle incl. diagonal) in one pass."""
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    _corr = _safe_corr
-    one = df.agg(*[_corr(a, b).alias(f"{a}__{b}") for a, b in pairs])
-    long = one.select(F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
-                                                   F.col(f"{a}__{b}").alias("corr")) for a, b in pairs])).alias("r"))
-    return long.select("r.a", "r.b", F.round("r.corr", digits).alias("corr"))
+    """Pairwise Pearson correlations (upper triangle incl. diagonal) of any number of columns.
+
+    Two passes whatever the number of columns: means, then the sum of the rows' outer products of centred values, added
+    up block by block in the JVM (MLlib's ``Correlation``). Pairs count over the rows where no column is NULL, leaving out
+    columns without any value; pairs with such a column or a constant one are NULL.
+    """
+    spark = df.sparkSession
+    seen = df.agg(*[F.count(c).alias(c) for c in cols]).first()
+    used = [c for c in cols if seen[c]]
+    whole = df.select(*[F.col(c).cast("double").alias(c) for c in used]).dropna()
+    place = {c: i for i, c in enumerate(used)}
+    matrix = variance = None
+    if used:
+        one = VectorAssembler(inputCols=used, outputCol="_v").transform(whole).select("_v")
+        if one.limit(2).count() == 2:
+            variance = one.select(Summarizer.metrics("variance").summary(F.col("_v")).alias("s")).first()["s"]["variance"]
+            matrix = Correlation.corr(one, "_v").first()[0].toArray()  # as many rows as columns
+
+    def corr(a: str, b: str) -> float | None:
+        if matrix is None or not {a, b} <= place.keys() or not variance[place[a]] > 0 or not variance[place[b]] > 0:
+            return None
+        return float(matrix[place[a], place[b]])
+    pairs = [(a, b, corr(a, b)) for i, a in enumerate(cols) for b in cols[i:]]
+    return spark.createDataFrame(pairs, "a string, b string, corr double").withColumn("corr", F.round("corr", digits))
+
+
+def top_correlated(df: DataFrame, cols: Sequence[str], target: str = "is_churn", n: int = 15) -> list[str]:
+    """The ``n`` columns with the greatest absolute correlation with the target (ties by name, constants last)."""
+    r = F.abs(F.round("corr", 9))
+    found = target_correlation(df, cols, target, 12).orderBy(r.desc_nulls_last(), "feature").limit(n)
+    return [x["feature"] for x in found.select("feature").collect()]
 
 
 # ---------------------------------------------------------------- A21

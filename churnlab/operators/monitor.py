@@ -13,13 +13,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlab.functions.columns import count_less_sorted, risk_band
-from churnlab.operators.quantiles import VALUES_PER_RANGE, before, exact_quantiles_long, in_ranges
-from churnlab.session import materialize
+from churnlab.operators.quantiles import VALUES_PER_RANGE, before, in_ranges, quantiles_in_ranges
+from churnlab.session import materialize, scratch_path
 
 
-def _long_quantiles(long_df: DataFrame, probs) -> DataFrame:
-    return exact_quantiles_long(long_df.select(F.col("feature").alias("k"), "v"), probs)
-
 # fixed values: thresholds of the monitoring configuration
 DRIFT_ALERT = 0.15        # share of drifted columns that raises an alert
 DRIFT_WARN = 0.10         # dashboard warning band for the drift score
@@ -31,55 +28,79 @@ MAX_CATEGORIES = 20       # at most this many distinct baseline values -> catego
 RECENT_CAP = 500
 
 
-def _long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return (df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v"))
-                                          for c in cols])).alias("r"))
-            .select("r.feature", "r.v").where(F.col("v").isNotNull()))
+def _weights(df: DataFrame, cols: Sequence[str], name: str) -> DataFrame:
+    """(feature, v, ``name``): each column's distinct values (NULLs left out) with their rows; all columns in one pass."""
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v")) for c in cols])).alias("r")).select("r.*")
+    return long.where(F.col("v").isNotNull()).groupBy("feature", "v").agg(F.count(F.lit(1)).alias(name))
 
 
-def drift_by_column(base: DataFrame, cur: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:
-    """D-1: PSI of every column between a baseline and a current table.
+def _bins(weights: DataFrame, info: DataFrame, name: str, bins: int) -> DataFrame:
+    """(feature, bin, ``name``): rows a bin; ``info`` has one row a feature."""
+    b = F.when(F.col("n_distinct") <= MAX_CATEGORIES, F.col("v")).otherwise(
+        count_less_sorted("edges", "v", bins - 1).cast("double"))
+    return weights.join(F.broadcast(info), "feature").select("feature", b.alias("bin"), name).groupBy(
+        "feature", "bin").agg(F.sum(name).alias(name))
+
 
-    Bins are the baseline's exact deciles (right-closed), or the values
-    themselves when the baseline has at most 20 distinct values. Empty bin
-    shares are floored at 1e-6. One unpivot and one ``groupBy(feature, bin)``
-    per side; the per-column bin definitions are a tiny broadcast table.
+def write_baseline(df: DataFrame, cols: Sequence[str], path: str, bins: int = 10) -> None:
+    """Profile of a baseline table, written once below ``path``: all that later comparisons need of it.
+
+    ``values``: distinct values with weights; ``info``: per column the number of rows and distinct values and the exact
+    inner quantiles; ``shares``: rows per bin. Bins are the quantiles (right-closed), or the values themselves where a
+    column has at most 20 of them.
     """
-    # Each side feeds four passes (cardinality, deciles, bins, KS): write its
-    # long form once to the shared checkpoint folder instead of recomputing it.
-    lb, lc = materialize(_long(base, cols)), materialize(_long(cur, cols))
-    card = lb.groupBy("feature").agg(F.count_distinct("v").alias("n_distinct"))
-    q = _long_quantiles(lb, [i / bins for i in range(1, bins)])
+    values = in_ranges(_weights(df, cols, "wb"), ["feature", "v"])
+    values.drop("part").write.mode("overwrite").parquet(f"{path}/values")
+    q = quantiles_in_ranges(values.select(F.col("feature").alias("k"), "v", F.col("wb").alias("w"), "part"),
+                            [i / bins for i in range(1, bins)])
     edges = q.groupBy(F.col("k").alias("feature")).agg(F.array_sort(F.collect_list("q")).alias("edges"))
-    info = card.join(edges, "feature", "left")
+    size = values.groupBy("feature").agg(F.sum("wb").alias("n"), F.count(F.lit(1)).alias("n_distinct"))
+    size.join(edges, "feature", "left").withColumn("bins", F.lit(bins)).write.mode("overwrite").parquet(f"{path}/info")
+    info = values.sparkSession.read.parquet(f"{path}/info")
+    _bins(values.withColumnRenamed("wb", "nb"), info, "nb", bins).write.mode("overwrite").parquet(f"{path}/shares")
+
 
-    def binned(x: DataFrame) -> DataFrame:
-        b = F.when(F.col("n_distinct") <= MAX_CATEGORIES, F.col("v")).otherwise(
-            count_less_sorted("edges", "v", bins - 1).cast("double"))
-        return x.join(F.broadcast(info), "feature").select("feature", b.alias("bin"))
+def drift_from_baseline(cur: DataFrame, cols: Sequence[str], path: str) -> DataFrame:
+    """D-1: PSI and KS of every column of ``cols`` between a stored baseline and a current table.
 
-    nb = binned(lb).groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("nb"))
-    nc = binned(lc).groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("nc"))
-    j = nb.join(nc, ["feature", "bin"], "full_outer").fillna(0, ["nb", "nc"])
+    Reads the current table once and of the baseline its profile only. Empty bin shares are floored at 1e-6. A column
+    without values on either side has NULL for all three and does not count in the score.
+    """
+    spark = cur.sparkSession
+    info, shares, base = (spark.read.parquet(f"{path}/{t}") for t in ("info", "shares", "values"))
+    bins = (info.agg(F.max("bins")).first()[0] or 1)
+    lc = materialize(_weights(cur, cols, "wc"))  # read by the bins and by KS
+    nc = _bins(lc.withColumnRenamed("wc", "nc"), info, "nc", bins)
+    j = shares.where(F.col("feature").isin(*cols)).join(nc, ["feature", "bin"], "full_outer").fillna(0, ["nb", "nc"])
     w = Window.partitionBy("feature")
-    sb = F.greatest(F.col("nb") / F.sum("nb").over(w), F.lit(PSI_EPS))
-    sc = F.greatest(F.col("nc") / F.sum("nc").over(w), F.lit(PSI_EPS))
-    per_bin = j.select("feature", ((sc - sb) * F.log(sc / sb)).alias("t"))
-    out = per_bin.groupBy("feature").agg(F.sum("t").alias("psi"))
-    out = out.join(ks_by_column(lb, lc), "feature", "left")
+    share = lambda c: F.when(F.sum(c).over(w) > 0, F.greatest(
+        F.col(c) / F.when(F.sum(c).over(w) > 0, F.sum(c).over(w)), F.lit(PSI_EPS)))
+    per_bin = j.select("feature", share("nb").alias("sb"), share("nc").alias("sc"))
+    psi = per_bin.groupBy("feature").agg(F.sum((F.col("sc") - F.col("sb")) * F.log(F.col("sc") / F.col("sb"))).alias("psi"))
+    names = spark.range(1).select(F.explode(F.array(*[F.lit(c) for c in cols])).alias("feature"))
+    out = names.join(F.broadcast(psi), "feature", "left").join(
+        F.broadcast(ks_by_column(base.where(F.col("feature").isin(*cols)), lc)), "feature", "left")
     return out.select("feature", F.round("psi", 9).alias("psi"), F.round("ks", 9).alias("ks"),
                       (F.col("psi") > PSI_COLUMN_DRIFT).alias("drifted"))
 
 
+def drift_by_column(base: DataFrame, cur: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:
+    """D-1 for a baseline that is not stored yet: its profile is written to a scratch folder first."""
+    path = scratch_path(base.sparkSession, "churnlab_baseline")
+    write_baseline(base, cols, path, bins)
+    return drift_from_baseline(cur, cols, path)
+
+
 def ks_by_column(lb: DataFrame, lc: DataFrame, per_range: int = VALUES_PER_RANGE) -> DataFrame:
-    """Exact two-sample KS statistic per feature: max |F_base(x) - F_cur(x)|.
+    """Exact two-sample KS statistic per feature: max |F_base(x) - F_cur(x)|, from (feature, v, wb) and (feature, v, wc).
 
-    Both samples are reduced to (feature, value, base weight, current weight) and written in ranges of a bounded
+    Both samples are brought together by value and written in ranges of a bounded
     number of values; the empirical CDFs are running sums inside the ranges plus the totals of the ranges before.
     """
+    zero = lambda c: F.lit(0).cast("long").alias(c)
     vc = in_ranges(
-        lb.select("feature", "v", F.lit(1).alias("wb"), F.lit(0).alias("wc"))
-        .unionByName(lc.select("feature", "v", F.lit(0).alias("wb"), F.lit(1).alias("wc")))
+        lb.select("feature", "v", "wb", zero("wc")).unionByName(lc.select("feature", "v", zero("wb"), "wc"))
         .groupBy("feature", "v").agg(F.sum("wb").alias("wb"), F.sum("wc").alias("wc")), ["feature", "v"], per_range)
     off = before(["b", "c"], vc.groupBy("feature", "part").agg(F.sum("wb").alias("b"), F.sum("wc").alias("c")),
                  ["feature"]).drop("b", "c")
@@ -93,8 +114,8 @@ def ks_by_column(lb: DataFrame, lc: DataFrame, per_range: int = VALUES_PER_RANGE
 
 
 def drift_score(drift: DataFrame, alert: float = DRIFT_ALERT) -> DataFrame:
-    """D-2: share of drifted columns; ``status`` is 'no data' when there is nothing to compare."""
-    one = drift.agg(F.count(F.lit(1)).alias("n_cols"), F.count_if("drifted").alias("n_drifted"))
+    """D-2: share of drifted columns among those with values on both sides; 'no data' when there is nothing to compare."""
+    one = drift.agg(F.count("drifted").alias("n_cols"), F.count_if("drifted").alias("n_drifted"))
     score = F.when(F.col("n_cols") > 0, F.col("n_drifted") / F.col("n_cols"))
     return one.select("n_cols", "n_drifted", F.round(score, 6).alias("drift_score"),
                       F.coalesce(score > alert, F.lit(False)).alias("dataset_drift"),

@@ -52,7 +52,11 @@ def exact_quantiles_long(long: DataFrame, probs: Sequence[float] = (0.5,), per_r
                          ) -> DataFrame:
     """Same as ``exact_quantiles`` for data already in long form (k, v)."""
     counted = long.where(F.col("v").isNotNull()).groupBy("k", "v").agg(F.count(F.lit(1)).alias("w"))
-    values = in_ranges(counted, ["k", "v"], per_range)
+    return quantiles_in_ranges(in_ranges(counted, ["k", "v"], per_range), probs)
+
+
+def quantiles_in_ranges(values: DataFrame, probs: Sequence[float] = (0.5,)) -> DataFrame:
+    """Exact quantiles of distinct values with weights (k, v, w, part) that ``in_ranges`` has written by (k, v)."""
     offs = before(["w"], values.groupBy("k", "part").agg(F.sum("w").alias("w")), ["k"])
     pos = F.col("p") * (F.col("w_all") - 1)
     targets = offs.select("k", "part", "w", "w_before", "w_all",

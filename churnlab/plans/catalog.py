@@ -216,6 +216,7 @@ def q_constraint_violations(spark, d):
 from pyspark.sql import functions as _F  # noqa: E402
 
 from churnlab.functions.columns import clip as _clip  # noqa: E402
+from churnlab.schemas import FEATURE_COLS_V5 as _V5  # noqa: E402
 
 # fixed values: bucket edges and labels of the reports
 AGE_EDGES, AGE_LABELS = [0, 18, 25, 35, 45, 55, 100], ["<18", "18-25", "25-35", "35-45", "45-55", "55+"]
@@ -223,8 +224,6 @@ TENURE_EDGES, TENURE_LABELS = [0, 90, 365, 730, 1095, 1825, 99999], ["<3m", "3-1
 RECENCY_EDGES, RECENCY_LABELS = [0, 7, 30, 60, 90, 180, 365], ["<1w", "1w-1m", "1-2m", "2-3m", "3-6m", "6m+"]
 TX_COUNT_EDGES, TX_COUNT_LABELS = [0, 5, 10, 20, 50, 1_000_000], ["1-5", "6-10", "11-20", "21-50", "50+"]
 MIN_GROUP = 20
-CORR_COLS = ["n_transactions", "avg_price", "last_is_cancel", "days_until_expire", "is_expired", "n_renewals",
-             "days_since_last_tx", "prev_churn"]
 SUMMARY_COLS = ["n_transactions", "avg_price", "tenure_days", "days_until_expire", "days_since_last_tx", "n_days"]
 OUTCOME_COLS = ["n_transactions", "avg_price", "days_until_expire", "n_renewals"]
 
@@ -270,9 +269,18 @@ register("crosstab_cancel")(lambda spark, d: eda.crosstab_pct(_raw_matrix(spark,
 register("price_histogram")(lambda spark, d: eda.histogram(_raw_matrix(spark, d), "avg_price", 20, by="is_churn",
                                                            density=True))
 register("score_distribution")(lambda spark, d: eda.score_distribution(B.scores(spark, d, "smooth"), "prob"))
-register("target_correlation")(lambda spark, d: eda.target_correlation(
-    feature_matrix(spark, d, "v5"), [c for c in __import__("churnlab.schemas", fromlist=["x"]).FEATURE_COLS_V5]))
-register("correlation_matrix")(lambda spark, d: eda.correlation_matrix(feature_matrix(spark, d, "v5"), CORR_COLS))
+register("target_correlation")(lambda spark, d: eda.target_correlation(feature_matrix(spark, d, "v5"), _V5))
+register("correlations_all")(lambda spark, d: eda.correlation_matrix(feature_matrix(spark, d, "v5"), sorted(_V5)))
+
+
+@register("correlation_matrix")
+def q_correlation_matrix(spark, d):
+    """Correlations among the 15 features that correlate best with the target, chosen from the data."""
+    from churnlab.session import materialize
+    fm = materialize(feature_matrix(spark, d, "v5"))
+    return eda.correlation_matrix(fm, sorted(eda.top_correlated(fm, _V5, n=15)))
+
+
 register("class_balance")(lambda spark, d: eda.class_balance(B.period_labels(spark, d), by="period"))
 register("outcome_profile")(lambda spark, d: eda.outcome_profile(_scored_matrix(spark, d), OUTCOME_COLS))
 register("missed_by_tx_bucket")(lambda spark, d: eda.missed_by_bucket(
@@ -463,19 +471,21 @@ import datetime as _dt  # noqa: E402
 
 from churnlab.operators import monitor as MON  # noqa: E402
 
-DRIFT_COLS = ["n_transactions", "avg_discount_pct", "avg_plan_days", "avg_price", "n_unique_plans", "last_plan_days",
-              "last_payment_method"]
-# months reported, each with the cutoff of its current profile and of the baseline half a year before
-DRIFT_ASOF = {"1998-06": (_dt.date(1997, 11, 30), _dt.date(1998, 5, 31)),
-              "2000-11": (_dt.date(2000, 4, 30), _dt.date(2000, 10, 31)),
-              "2000-12": (_dt.date(2000, 5, 31), _dt.date(2000, 11, 30))}
-DRIFT_HISTORY = ("2000-11", "2000-12")
+# The month the models are trained on is the baseline of every drift report.
+DRIFT_BASELINE, DRIFT_PERIOD, DRIFT_HISTORY = P.period, "2001-01", ("2000-11", "2001-01")
 NOW = _dt.datetime(1998, 6, 20, 12, 0, 0)
 
 
-def _drift(spark, d, period=P.period):
-    base, cur = (features.tx_user_profile(_tx(spark, d), as_of=at, tie_cols=B.TX_TIE_COLS) for at in DRIFT_ASOF[period])
-    return MON.drift_by_column(base, cur, DRIFT_COLS)
+def _baseline(spark, d):
+    """Profile of the baseline month's feature matrix, written once; returns its place."""
+    path = store_root_for(spark, "drift_baseline")
+    MON.write_baseline(_matrix_for(spark, d, period_config(DRIFT_BASELINE)), _V5, path)
+    return path
+
+
+def _drift(spark, d, period=DRIFT_PERIOD, baseline=None):
+    """All 47 features of a month against the stored baseline profile."""
+    return MON.drift_from_baseline(_matrix_for(spark, d, period_config(period)), _V5, baseline or _baseline(spark, d))
 
 
 def _perf(spark, d):
@@ -485,9 +495,9 @@ def _perf(spark, d):
 def _stored_drift(spark, d):
     """Drift reports of the months, appended one after the other to a report table and read from it."""
     from churnlab.sources import store
-    path = store_root_for(spark, "drift_reports")
+    path, baseline = store_root_for(spark, "drift_reports"), _baseline(spark, d)
     for p in DRIFT_HISTORY:
-        report = MON.drift_score(_drift(spark, d, p)).select(_F.lit(p).alias("period"), "drift_score", "dataset_drift")
+        report = MON.drift_score(_drift(spark, d, p, baseline)).select(_F.lit(p).alias("period"), "drift_score", "dataset_drift")
         store.append_drift_report(report, path)
     return store.read_drift_reports(spark, path)
 
@@ -517,7 +527,7 @@ register("quality_gate")(lambda spark, d: MON.quality_gate(
 
 # ---------------------------------------------------------------- MLlib (rows-only checks), sampling, streaming
 from churnlab.operators import models as ML  # noqa: E402
-from churnlab.schemas import FEATURE_COLS_V5 as _V5  # noqa: E402
+from churnlab.sources.readers import keyed_sample  # noqa: E402
 
 PREV_PERIOD_CFG, NEXT_PERIOD_CFG = period_config(P.prev_period), period_config("2001-01")
 
@@ -535,7 +545,7 @@ def q_split(spark, d):
         .agg(_F.count(_F.lit(1)).alias("n")))
 register("stratified_folds")(lambda spark, d: ML.stratified_folds(B.labels_for(spark, d, P.period), 5)
                              .groupBy("fold", "is_churn").agg(_F.count(_F.lit(1)).alias("n")))
-register("log_sample")(lambda spark, d: __import__("churnlab.sources.readers", fromlist=["x"]).keyed_sample(
+register("log_sample")(lambda spark, d: keyed_sample(
     B.user_logs(spark, d), "msno", 0.5).groupBy("msno").agg(_F.count(_F.lit(1)).alias("n_days")))
 
 

@@ -8,9 +8,10 @@ text starts with them. Constants come from the same period configuration.
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from churnlab.plans.bindings import LOG_SHIFT_DAYS
-from churnlab.plans.periods import DEMO_LABEL_PERIODS, DEMO_LABEL_WINDOW as LW, DEMO_PERIOD as P, ymd
+from churnlab.plans.periods import DEMO_LABEL_PERIODS, DEMO_LABEL_WINDOW as LW, DEMO_PERIOD as P, period_config, ymd
 
 ORACLE: dict[str, str] = {}
 
@@ -311,7 +312,7 @@ def _matrix_sql(fs: str) -> str:
         elif c == "n_days":
             sel.append("coalesce(CAST(n_days AS DOUBLE), 0.0) AS n_days")
         elif c in med:
-            sel.append(f"coalesce(CAST({c} AS DOUBLE), m_{c}) AS {c}")
+            sel.append(f"coalesce(CAST({c} AS DOUBLE), m_{c}, 0.0) AS {c}")
         elif c in _V5_CONST:
             sel.append(f"coalesce(CAST({c} AS DOUBLE), {float(_V5_CONST[c])}) AS {c}")
         else:
@@ -506,11 +507,22 @@ def _corr_sql(a: str, b: str) -> str:
 sql("target_correlation", " UNION ALL ".join(
     f"SELECT '{c}' AS feature, round({_corr_sql(c, 'is_churn')}, 6) AS corr, "
     f"round(abs({_corr_sql(c, 'is_churn')}), 6) AS abs_corr FROM fm" for c in FEATURE_SETS["v5"]), FM_CTE)
-_CC = ["n_transactions", "avg_price", "last_is_cancel", "days_until_expire", "is_expired", "n_renewals",
-       "days_since_last_tx", "prev_churn"]
-sql("correlation_matrix", " UNION ALL ".join(
-    f"SELECT '{a}' AS a, '{b}' AS b, round({_corr_sql(a, b)}, 6) AS corr FROM fm"
-    for i, a in enumerate(_CC) for b in _CC[i:]), FM_CTE)
+_CORR_CTE = FM_CTE + f""",
+cl AS (SELECT * FROM (UNPIVOT (SELECT msno, CAST(is_churn AS DOUBLE) AS y, {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in FEATURE_SETS['v5'])}
+       FROM fm) ON COLUMNS(* EXCLUDE (msno, y)) INTO NAME feature VALUE v)),
+best AS (SELECT feature, CASE WHEN stddev_pop(v) > 0 AND stddev_pop(y) > 0 THEN round(abs(corr(v, y)), 9) END AS r FROM cl GROUP BY 1),
+top15 AS (SELECT feature FROM best ORDER BY r DESC NULLS LAST, feature LIMIT 15)"""
+
+
+def _corr_pairs(src: str) -> str:
+    return f"""
+SELECT a.feature AS a, b.feature AS b,
+       CASE WHEN stddev_pop(a.v) > 0 AND stddev_pop(b.v) > 0 THEN round(corr(a.v, b.v), 6) END AS corr
+FROM {src} a JOIN {src} b ON a.msno = b.msno AND a.feature <= b.feature GROUP BY 1, 2"""
+
+
+sql("correlations_all", _corr_pairs("cl"), _CORR_CTE)
+sql("correlation_matrix", _corr_pairs("(SELECT * FROM cl SEMI JOIN top15 USING (feature))"), _CORR_CTE)
 sql("class_balance", """
 SELECT period, is_churn, count(*) AS n, round(count(*) / sum(count(*)) OVER (PARTITION BY period), 6) AS share
 FROM period_labels GROUP BY 1, 2""")
@@ -713,21 +725,37 @@ FROM cur_labels CROSS JOIN (SELECT unnest([1, 2, 3]) AS commit_no) c
 WHERE c.commit_no < 3 OR is_churn = 1 GROUP BY 1, 2""")
 
 # ---------------------------------------------------------------- monitoring twins
-_DRIFT_COLS = ["n_transactions", "avg_discount_pct", "avg_plan_days", "avg_price", "n_unique_plans", "last_plan_days",
-               "last_payment_method"]
-
-
-def _profile_cte(suffix: str, as_of: int) -> str:
-    return (PROFILE_CTE.replace("tx_asof", f"tx_asof_{suffix}").replace("ranked", f"ranked_{suffix}")
-            .replace("profile AS", f"profile_{suffix} AS").replace(str(AS_OF), str(as_of)))
+_DRIFT_COLS = FEATURE_SETS["v5"]
+
+
+def _fm_for(period: str) -> str:
+    """The v5 matrix of another label month: the same text with that month's cutoffs, as a subquery."""
+    cfg, names = period_config(period), {}
+    for a, b in [(P.tx_as_of, cfg.tx_as_of), (P.log_recent, cfg.log_recent), (P.label_start, cfg.label_start),
+                 *((P.log_windows[k], cfg.log_windows[k]) for k in P.log_windows),
+                 *((P.tx_ref - dt.timedelta(days=n), cfg.tx_ref - dt.timedelta(days=n)) for n in (7, 30))]:
+        names |= {str(ymd(a)): str(ymd(b)), a.isoformat(): b.isoformat()}
+    names |= {f"'{P.period}'": f"'{cfg.period}'", f"'{P.prev_period}'": f"'{cfg.prev_period}'"}
+    text = re.sub("|".join(map(re.escape, names)), lambda m: names[m.group()], FM_CTE)
+    starts = " UNION ALL ".join(f"SELECT '{p}' AS period, {p.replace('-', '')}01 AS start" for p in (cfg.period, cfg.prev_period))
+    return f"""(WITH labels_of AS (
+  SELECT u.msno, p.period, CAST(u.last_tx < p.start AS INTEGER) AS is_churn
+  FROM (SELECT msno, min(transaction_date) AS first_tx, max(transaction_date) AS last_tx FROM transactions GROUP BY msno) u
+  CROSS JOIN ({starts}) p WHERE u.first_tx < p.start),
+cur_labels AS (SELECT msno, is_churn FROM labels_of WHERE period = '{cfg.period}'),
+{text.replace('period_labels', 'labels_of')} SELECT * FROM fm)"""
 
 
-def _drift_cte(base_asof: int, cur_asof: int) -> str:
+def _drift_cte(period: str) -> str:
     def long(src):
-        return " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS v FROM {src}" for c in _DRIFT_COLS)
-    return (_profile_cte("b", base_asof) + "," + _profile_cte("c", cur_asof) + f""",
-base_long AS (SELECT * FROM ({long('profile_b')}) t WHERE v IS NOT NULL),
-cur_long AS (SELECT * FROM ({long('profile_c')}) t WHERE v IS NOT NULL),
+        return (f"SELECT feature, v FROM (UNPIVOT (SELECT msno, {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in _DRIFT_COLS)} "
+                f"FROM {src}) ON COLUMNS(* EXCLUDE (msno)) INTO NAME feature VALUE v)")
+    names = ", ".join(f"'{c}'" for c in _DRIFT_COLS)
+    return (f"""base_fm AS MATERIALIZED {_fm_for(P.period)},
+cur_fm AS MATERIALIZED {_fm_for(period)},
+names AS (SELECT unnest([{names}]) AS feature),
+base_long AS (SELECT * FROM ({long('base_fm')}) t WHERE v IS NOT NULL),
+cur_long AS (SELECT * FROM ({long('cur_fm')}) t WHERE v IS NOT NULL),
 info AS (SELECT feature, count(DISTINCT v) AS n_distinct,
                 quantile_cont(v, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS edges
          FROM base_long GROUP BY 1),
@@ -741,8 +769,10 @@ nb AS (SELECT feature, bin, count(*) AS nb FROM bb GROUP BY 1, 2),
 nc AS (SELECT feature, bin, count(*) AS nc FROM cb GROUP BY 1, 2),
 jn AS (SELECT coalesce(nb.feature, nc.feature) AS feature, coalesce(nb.nb, 0) AS nb, coalesce(nc.nc, 0) AS nc
        FROM nb FULL OUTER JOIN nc ON nb.feature = nc.feature AND nb.bin = nc.bin),
-sh AS (SELECT feature, greatest(nb / sum(nb) OVER (PARTITION BY feature), 1e-6) AS sb,
-              greatest(nc / sum(nc) OVER (PARTITION BY feature), 1e-6) AS sc FROM jn),
+sh AS (SELECT feature, CASE WHEN sum(nb) OVER (PARTITION BY feature) > 0
+                THEN greatest(nb / sum(nb) OVER (PARTITION BY feature), 1e-6) END AS sb,
+              CASE WHEN sum(nc) OVER (PARTITION BY feature) > 0
+                THEN greatest(nc / sum(nc) OVER (PARTITION BY feature), 1e-6) END AS sc FROM jn),
 kv AS (SELECT feature, v, sum(wb) AS wb, sum(wc) AS wc
        FROM (SELECT feature, v, 1 AS wb, 0 AS wc FROM base_long UNION ALL SELECT feature, v, 0, 1 FROM cur_long) u
        GROUP BY 1, 2),
@@ -750,20 +780,20 @@ kc AS (SELECT feature, sum(wb) OVER (PARTITION BY feature ORDER BY v ROWS UNBOUN
               sum(wc) OVER (PARTITION BY feature ORDER BY v ROWS UNBOUNDED PRECEDING) AS cc,
               sum(wb) OVER (PARTITION BY feature) AS nb, sum(wc) OVER (PARTITION BY feature) AS nc FROM kv),
 ks AS (SELECT feature, max(CASE WHEN nb > 0 AND nc > 0 THEN abs(cb / nb - cc / nc) END) AS ks FROM kc GROUP BY 1),
-drift AS (SELECT p.feature, round(p.psi_raw, 9) AS psi, round(k.ks, 9) AS ks, p.psi_raw > 0.2 AS drifted
-          FROM (SELECT feature, sum((sc - sb) * ln(sc / sb)) AS psi_raw FROM sh GROUP BY 1) p
+drift AS (SELECT n.feature, round(p.psi_raw, 9) AS psi, round(k.ks, 9) AS ks, p.psi_raw > 0.2 AS drifted
+          FROM names n LEFT JOIN (SELECT feature, sum((sc - sb) * ln(sc / sb)) AS psi_raw FROM sh GROUP BY 1) p USING (feature)
           LEFT JOIN ks k USING (feature)),
 dscore AS (SELECT n_cols, n_drifted, round(CASE WHEN n_cols > 0 THEN n_drifted / n_cols END, 6) AS drift_score,
                   coalesce(CASE WHEN n_cols > 0 THEN n_drifted / n_cols END > 0.15, false) AS dataset_drift,
                   CASE WHEN n_cols = 0 THEN 'no data' WHEN n_drifted / n_cols > 0.15 THEN 'drift' ELSE 'ok' END AS status
-           FROM (SELECT count(*) AS n_cols, count(*) FILTER (WHERE drifted) AS n_drifted FROM drift) t)""")
+           FROM (SELECT count(drifted) AS n_cols, count(*) FILTER (WHERE drifted) AS n_drifted FROM drift) t)""")
 
 
-DRIFT_CTE, EVAL_DRIFT_CTE = _drift_cte(20000531, 20001130), _drift_cte(19971130, 19980531)
+DRIFT_CTE, EVAL_DRIFT_CTE = _drift_cte("2001-01"), _drift_cte("1998-06")
 sql("drift_by_column", "SELECT * FROM drift", DRIFT_CTE)
 sql("drift_score", "SELECT * FROM dscore", DRIFT_CTE)
-sql("drift_history", "SELECT '2000-12' AS period, drift_score, dataset_drift FROM dscore UNION ALL "
-    "SELECT '2000-11', drift_score, dataset_drift FROM (" + "WITH " + BINDINGS + "," + _drift_cte(20000430, 20001031)
+sql("drift_history", "SELECT '2001-01' AS period, drift_score, dataset_drift FROM dscore UNION ALL "
+    "SELECT '2000-11', drift_score, dataset_drift FROM (" + "WITH " + BINDINGS + "," + _drift_cte("2000-11")
     + " SELECT * FROM dscore) h", DRIFT_CTE)
 _PERF_SUB = "(" + ORACLE["performance_report"] + ")"
 sql("alerts", f"""

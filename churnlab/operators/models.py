@@ -7,23 +7,29 @@ DataFrame jobs; fold metrics reuse ``operators.metrics`` (exact, bucketed).
 
 from __future__ import annotations
 
+import functools
 import itertools
 import random
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from multiprocessing.pool import ThreadPool
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler, VectorIndexer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from churnlab.functions.columns import key_hash
 from churnlab.operators import metrics as M
 from churnlab.operators.monitor import class_weights
 from churnlab.operators.quantiles import before, in_ranges
-from churnlab.session import materialize
+from churnlab.operators.validate import missing_columns
+from churnlab.session import materialize, scratch_path
 
+T = TypeVar("T")
 HASH_BUCKETS = 10000
 MAX_CATEGORIES = 32  # feature values up to which a column is treated as categorical by the forest
 
@@ -143,38 +149,78 @@ def temporal_validate(fit, prev: DataFrame, cur: DataFrame, upcoming: DataFrame
     return scored, evaluate(scored), score(fit(prev.unionByName(cur)), upcoming)
 
 
+def _at_once(spark, jobs: Sequence[Callable[[], T]], parallelism: int) -> list[T]:
+    """Results of some jobs, at most ``parallelism`` of them at a time; each thread has the caller's job properties."""
+    if parallelism <= 1:
+        return [job() for job in jobs]
+    with ThreadPool(min(parallelism, max(1, len(jobs)))) as pool:
+        return pool.map(lambda job: job(), [inheritable_thread_target(spark)(job) for job in jobs], chunksize=1)
+
+
 def cross_validate(df: DataFrame, features: Sequence[str], models: Sequence[str] = ("lr",), k: int = 5,
-                   seed: int = 42, label: str = "is_churn", params: dict | None = None) -> DataFrame:
-    """K-fold metrics per model -> rows (model, fold, roc_auc, pr_auc, log_loss)."""
-    from functools import reduce
+                   seed: int = 42, label: str = "is_churn", params: dict | None = None, parallelism: int = 1) -> DataFrame:
+    """K-fold metrics per model -> rows (model, fold, roc_auc, pr_auc, log_loss); folds are fitted at once."""
     folds = df if "fold" in df.columns else materialize(stratified_folds(df, k, seed, label=label))
-    rows = []
-    for name in models:
-        for i in range(k):
-            tr = with_class_weight(folds.where(F.col("fold") != i), label)  # weights of the training part only
-            te = folds.where(F.col("fold") == i)
-            m = BUILDERS[name](features, label, **(params or {}).get(name, {})).fit(tr)
-            ev = evaluate(score(m, te), label)
-            rows.append(ev.select(F.lit(name).alias("model"), F.lit(i).alias("fold"), "*"))
-    return reduce(lambda a, b: a.unionByName(b), rows)
 
+    def job(name: str, i: int):
+        tr = with_class_weight(folds.where(F.col("fold") != i), label)  # weights of the training part only
+        m = BUILDERS[name](features, label, **(params or {}).get(name, {})).fit(tr)
+        ev = evaluate(score(m, folds.where(F.col("fold") == i)), label).first()
+        return name, i, ev["roc_auc"], ev["pr_auc"], ev["log_loss"]
+    jobs = [functools.partial(job, name, i) for name in models for i in range(k)]
+    return df.sparkSession.createDataFrame(
+        _at_once(df.sparkSession, jobs, parallelism),
+        "model string, fold int, roc_auc double, pr_auc double, log_loss double")
 
-def tune(df: DataFrame, features: Sequence[str], grid: dict[str, Sequence], model: str = "gbt", k: int = 3,
-         n_draws: int | None = None, seed: int = 42, label: str = "is_churn") -> DataFrame:
-    """Grid (or seeded random draws from it) x k-fold CV -> trials table with mean metrics."""
-    from functools import reduce
+
+def _combos(grid: dict[str, Sequence], n_draws: int | None, seed: int) -> list[dict]:
     keys = sorted(grid)
-    combos = list(itertools.product(*[grid[k2] for k2 in keys]))
+    combos = list(itertools.product(*[grid[k] for k in keys]))
     if n_draws is not None and n_draws < len(combos):
         combos = random.Random(seed).sample(combos, n_draws)
-    trials = []
-    folds = materialize(stratified_folds(df, k, seed, label=label))  # read again by every trial and fold
-    for t, combo in enumerate(combos):
-        params = dict(zip(keys, combo))
-        cv = cross_validate(folds, features, (model,), k, seed, label, {model: params})
-        s = cv.agg(F.avg("roc_auc").alias("roc_auc"), F.avg("log_loss").alias("log_loss"))
-        trials.append(s.select(F.lit(t).alias("trial"), F.lit(str(params)).alias("params"), "*"))
-    return reduce(lambda a, b: a.unionByName(b), trials)
+    return [dict(zip(keys, c)) for c in combos]
+
+
+def _trials(folds: DataFrame, features, trials: Sequence[tuple[int, dict]], model, k, seed, label, parallelism) -> list[tuple]:
+    """(trial, params, mean ROC-AUC, mean log loss) of each, fitted over the written folds."""
+    def job(t: int, params: dict):
+        rows = cross_validate(folds, features, (model,), k, seed, label, {model: params}).collect()
+        mean = lambda c: sum(r[c] for r in rows) / len(rows) if all(r[c] is not None for r in rows) else None
+        return t, str(params), mean("roc_auc"), mean("log_loss")
+    return _at_once(folds.sparkSession, [functools.partial(job, t, p) for t, p in trials], parallelism)
+
+
+def tune(df: DataFrame, features: Sequence[str], grid: dict[str, Sequence], model: str = "gbt", k: int = 3,
+         n_draws: int | None = None, seed: int = 42, label: str = "is_churn", parallelism: int = 4) -> DataFrame:
+    """Grid (or seeded random draws from it) x k-fold CV -> trials table with mean metrics, some trials at once."""
+    folds = materialize(stratified_folds(df, k, seed, label=label))  # read by every trial and fold
+    rows = _trials(folds, features, list(enumerate(_combos(grid, n_draws, seed))), model, k, seed, label, parallelism)
+    return df.sparkSession.createDataFrame(rows, "trial int, params string, roc_auc double, log_loss double")
+
+
+def tune_halving(df: DataFrame, features: Sequence[str], grid: dict[str, Sequence], model: str = "gbt", k: int = 3,
+                 rungs: int = 3, eta: int = 2, n_draws: int | None = None, seed: int = 42, label: str = "is_churn",
+                 key: str = "msno", parallelism: int = 4) -> DataFrame:
+    """T8 by successive halving: all trials on a small keyed sample, the best 1/``eta`` of them on one ``eta`` times
+    larger, the last ones on all rows.
+
+    Samples are nested (by hash of the key), so results depend on the seed alone. Rows: rung, fraction, trial, params,
+    roc_auc, log_loss, kept (goes on to the next rung; in the last one the winner). Ties go to the earlier trial.
+    """
+    if rungs < 1 or eta < 2:
+        raise ValueError("at least one rung, and eta of two at least")
+    folds = materialize(stratified_folds(df, k, seed, label=label).withColumn("_rung_hash", _h(key, seed + 1)))
+    left, out = list(enumerate(_combos(grid, n_draws, seed))), []
+    for rung in range(rungs):
+        fraction = eta ** -(rungs - 1 - rung)
+        part = folds.where(F.col("_rung_hash") < fraction * HASH_BUCKETS).drop("_rung_hash")
+        rows = _trials(part, features, left, model, k, seed, label, parallelism)
+        rank = sorted(rows, key=lambda r: (r[2] is None, -(r[2] or 0.0), r[0]))
+        keep = {r[0] for r in rank[:max(1, -(-len(rank) // eta)) if rung < rungs - 1 else 1]}
+        out += [(rung, float(fraction), *r, r[0] in keep) for r in rows]
+        left = [(t, p) for t, p in left if t in keep]
+    return df.sparkSession.createDataFrame(
+        out, "rung int, fraction double, trial int, params string, roc_auc double, log_loss double, kept boolean")
 
 
 def calibrate(holdout_scored: DataFrame, label: str = "is_churn", prob: str = "prob"):
@@ -195,10 +241,48 @@ def blend(df: DataFrame, cols: Sequence[str], weights: Sequence[float] | None =
     return df.withColumn(out, expr)
 
 
+def tree_nodes(model: PipelineModel) -> DataFrame:
+    """The nodes of the fitted trees: tree, node, feature (index, -1 at leaves), gain, weight (of the rows it split).
+
+    Read from the model as MLlib stores it, in a scratch folder.
+    """
+    spark, stage = SparkSession.getActiveSession(), model.stages[-1]
+    path = scratch_path(spark, "churnlab_trees")
+    stage.write().save(path)
+    n = F.col("nodeData")
+    stats = n["impurityStats"]
+    gini = stage.getImpurity() in ("gini", "entropy") and not isinstance(stage, GBTClassificationModel)
+    weight = F.aggregate(stats, F.lit(0.0), lambda a, x: a + x) if gini else stats[0]  # of variance the first is the count
+    return spark.read.parquet(f"{path}/data").select(
+        F.col("treeID").alias("tree"), n["id"].alias("node"), n["split"]["featureIndex"].alias("feature"),
+        F.when(n["leftChild"] >= 0, n["gain"]).alias("gain"), weight.alias("weight"))
+
+
+def tree_importance(model: PipelineModel, features: Sequence[str]) -> DataFrame:
+    """(feature, gain_importance, n_splits) of every feature, from the trees' nodes.
+
+    Gain importance is the summed gain times rows of a feature's splits, as a share (a forest's trees count alike, the
+    trees of boosting by their gains), as MLlib's ``featureImportances``; n_splits counts the splits.
+    """
+    spark, nodes = SparkSession.getActiveSession(), tree_nodes(model).where("feature >= 0 AND gain IS NOT NULL")
+    per = nodes.groupBy("tree", "feature").agg(F.sum(F.col("gain") * F.col("weight")).alias("g"), F.count(F.lit(1)).alias("n"))
+    if not isinstance(model.stages[-1], GBTClassificationModel):
+        total = F.sum("g").over(Window.partitionBy("tree"))
+        per = per.withColumn("g", F.when(total > 0, F.col("g") / F.when(total > 0, total)).otherwise(0.0))
+    sums = per.groupBy("feature").agg(F.sum("g").alias("g"), F.sum("n").alias("n"))
+    all_gain = F.sum("g").over(Window.partitionBy())  # a row a feature
+    share = sums.select(F.col("feature").alias("i"), "n", F.when(all_gain > 0, F.col("g") / F.when(all_gain > 0, all_gain))
+                        .otherwise(0.0).alias("gain_importance"))
+    names = spark.range(1).select(F.posexplode(F.array(*[F.lit(c) for c in features])).alias("i", "feature"))
+    return names.join(F.broadcast(share), "i", "left").select(
+        "feature", F.coalesce("gain_importance", F.lit(0.0)).alias("gain_importance"),
+        F.coalesce("n", F.lit(0)).alias("n_splits"))
+
+
 def feature_importance(model: PipelineModel, features: Sequence[str], top: int = 10):
-    """(feature, importance) pairs of the tree stage, largest first (a small driver-side list)."""
-    imp = model.stages[-1].featureImportances.toArray()
-    return sorted(zip(features, imp.tolist()), key=lambda x: -x[1])[:top]
+    """The ``top`` (feature, importance) pairs of the tree stage, largest first."""
+    rows = tree_importance(model, features).orderBy(F.desc("gain_importance"), "feature").limit(top).collect()
+    return [(r["feature"], r["gain_importance"]) for r in rows]
 
 
 def register_version(versions: DataFrame | None, spark, name: str, version: int, metrics: dict,
@@ -227,6 +311,7 @@ def score_batch(model: PipelineModel, features: DataFrame, period: str, version:
     prediction table (replacing this period and version only); returns (scores, distribution)."""
     from churnlab.functions.columns import label_at
     from churnlab.operators.eda import score_distribution
+    missing_columns(features, ["msno", *model.stages[0].getInputCols()])  # V3: before any job
     p = score(model, features, "p", keep=("msno",))
     out = p.select("msno", F.round("p", 6).cast("float").alias("churn_prob"),
                    label_at(F.round("p", 6), thr).cast("short").alias("churn_label"))

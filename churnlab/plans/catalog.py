@@ -592,6 +592,14 @@ def q_blend_scores(spark, d):
     return _score_checks(b, "prob").crossJoin(same).select(_F.lit("blend3").alias("model"), "*")
 
 
+@register("tree_importance")
+def q_tree_importance(spark, d):
+    """Gain importance and splits of all 47 features in boosted trees fitted on the month."""
+    from churnlab.session import materialize
+    fm = materialize(ML.with_class_weight(feature_matrix(spark, d, "v5")))
+    return ML.tree_importance(ML.gbt_pipeline(_V5, max_iter=10, max_depth=4).fit(fm), _V5)
+
+
 @register("temporal_validate")
 def q_temporal_validate(spark, d):
     """Fit on the previous month and evaluate on the current one; refit on both and score the next.

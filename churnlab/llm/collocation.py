@@ -35,11 +35,11 @@ LEAST, COVERED, SCALE, TOP = 10, 50, 1_000_000, 2000
 #: Words with an id, their longest in bytes, and pairs with an id.
 HEAD, HEAD_BYTES, PAIR_HEAD = 1 << 17, 64, 1 << 18
 #: Side of a tile, pairs of a batch in a tile that make it dense, dense tiles and coordinates a task holds.
-TILE, DENSE, TILES, HELD = 512, 4096, 32, 2_000_000
+TILE, DENSE, TILES, HELD = 512, 4096, 24, 1_000_000
 #: Words a task counts, and languages it keeps counters of, before it sends them.
 REMEMBERED, LANGUAGES = 300_000, 16
 #: Bytes of counts a task holds, over all its languages, before it sends them.
-HELD_BYTES = 128 << 20
+HELD_BYTES = 72 << 20
 #: Words or pairs in a range that is numbered at once.
 PER_RANGE = 20_000
 #: Bits of the fields of frequent words and pairs (a prime).

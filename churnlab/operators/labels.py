@@ -47,6 +47,15 @@ def last_expire(tx: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
     return h.groupBy("msno").agg(F.max_by(F.col("membership_expire_date"), order_key()).alias("last_expire"))
 
 
+def renewal_groups(future: DataFrame) -> DataFrame:
+    """One row per (user, date, plan text): whether it has a renewal, and its least cancel expiry."""
+    keys = order_key()
+    return (future.select("msno", "is_cancel", "membership_expire_date", keys["d"].alias("d"), keys["s"].alias("s"))
+            .groupBy("msno", "d", "s").agg(
+                F.max(F.coalesce(F.col("is_cancel") == 0, F.lit(False))).alias("renews"),
+                F.min(F.when(F.col("is_cancel") == 1, F.col("membership_expire_date"))).alias("cancel_min")))
+
+
 def renewal_gap(candidates: DataFrame, future: DataFrame, salts: int = SALTS) -> DataFrame:
     """Days from the (possibly cancel-shortened) expiry to the first renewal.
 
@@ -62,12 +71,7 @@ def renewal_gap(candidates: DataFrame, future: DataFrame, salts: int = SALTS) ->
     renewal (a partial aggregate) and the cancels of earlier groups; that join is dealt by (user, salt, ``salts`` of
     them), and the aggregate after it combines map-side. The groups are read twice, so they are written once.
     """
-    keys = order_key()
-    g = materialize(
-        future.select("msno", "is_cancel", "membership_expire_date", keys["d"].alias("d"), keys["s"].alias("s"))
-        .groupBy("msno", "d", "s").agg(
-            F.max(F.coalesce(F.col("is_cancel") == 0, F.lit(False))).alias("renews"),
-            F.min(F.when(F.col("is_cancel") == 1, F.col("membership_expire_date"))).alias("cancel_min")))
+    g = materialize(renewal_groups(future))
     first = g.groupBy("msno").agg(F.min(F.when(F.col("renews"), F.struct("d", "s"))).alias("k0"))
     users = candidates.select("msno", "last_expire").join(first, "msno").withColumn(
         "salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

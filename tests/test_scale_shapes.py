@@ -8,7 +8,7 @@ import numpy as np
 
 from churnlab.operators import features as FT
 from churnlab.operators import metrics as M
-from churnlab.operators.labels import churn_labels
+from churnlab.operators.labels import churn_labels, renewal_groups
 from churnlab.operators.quantiles import exact_quantiles
 from churnlab.plans.periods import LabelWindow
 
@@ -54,8 +54,10 @@ def test_labeller_hot_key_no_window(spark):
     assert out.count() >= 1
     plan = _plan(out)
     assert "Window" not in plan and "collect_list" not in plan
-    # raw rows are dealt by (user, date, plan text), the reduced ones by (user, salt)
-    assert "salt#" in plan and any("hashpartitioning(msno" in ln and "s#" in ln for ln in plan.splitlines())
+    # raw rows are dealt by (user, date, plan text) and written once, the reduced ones by (user, salt)
+    groups = _plan(renewal_groups(df))
+    assert "Window" not in groups and any("hashpartitioning(msno" in ln and "s#" in ln for ln in groups.splitlines())
+    assert "salt#" in plan and "Scan parquet" in plan and "ExistingRDD" not in plan  # no payment is read a second time
 
 
 def test_matrix_reads_the_fact_table_once(spark):

@@ -212,17 +212,17 @@ def chunks_of(text: str) -> list[str]:
 class Encoder:
     """Ids of whole texts, equal to the library's. Chunks that no token crosses are encoded once and remembered.
 
-    When ``REMEMBERED`` is reached the chunks used most are kept. New chunks that are one word of plain letters go to
-    the library many at once, and the ids that end a word tell them apart.
+    When ``REMEMBERED`` is reached the chunks used most are kept. New chunks that are one word of plain letters need no
+    more than lower case and the bytes' spelling before the library's merges; all others go through it whole.
     """
 
     def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(vocabulary)
-        words = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(words.values()) + 1, bool)
-        self.ends[[i for w, i in words.items() if w.endswith("</w>")]] = True
+        # How the vocabulary spells bytes: visible ones as themselves, the others in turn from 256 on.
+        seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        self.spelled = dict(zip((b for b in range(256) if b not in set(seen)), range(256, 512)))
         self.number, self.bytes, self.uses = Numbers(), 0, np.empty(0, np.int64)
         self.flat, self.begin, self.size = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
 
@@ -248,23 +248,21 @@ class Encoder:
 
     def _fresh(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, where each chunk's begin, how many) of some new chunks."""
-        begin, size = np.zeros(len(chunks), np.int64), np.full(len(chunks), -1, np.int64)
-        simple = [i for i, c in enumerate(chunks) if _SIMPLE.fullmatch(c)]
-        groups = [simple[a:a + 1000] for a in range(0, len(simple), 1000)]
-        joined = self.tokenizer.encode_batch([" ".join([chunks[i] for i in g]) for g in groups], add_special_tokens=False)
-        parts, made = [], 0
-        for group, got in zip(groups, joined):
-            ids = np.array(got.ids, np.uint32)
-            cuts = np.concatenate(([0], np.nonzero(self.ends[ids])[0] + 1))
-            if len(cuts) == len(group) + 1:
-                begin[group], size[group] = made + cuts[:-1], np.diff(cuts)
-                parts.append(ids)
-                made += len(ids)
-        others = np.nonzero(size < 0)[0].tolist()
-        rest = [e.ids for e in self.tokenizer.encode_batch([chunks[i] for i in others], add_special_tokens=False)]
-        size[others] = own = np.array([len(x) for x in rest], np.int64)
-        begin[others] = made + np.cumsum(own) - own
-        return np.concatenate([*parts, np.array([i for x in rest for i in x], np.uint32)]), begin, size
+        begin, size = np.zeros(len(chunks), np.int64), np.zeros(len(chunks), np.int64)
+        plain = _SIMPLE.fullmatch
+        simple = [i for i, c in enumerate(chunks) if plain(c)]
+        cut, spelled = self.tokenizer.model.tokenize, self.spelled
+        got = [cut(w if w.isascii() else w.encode().decode("latin-1").translate(spelled))
+               for w in [chunks[i].lower() for i in simple]]
+        ids = [t.id for x in got for t in x]
+        size[simple] = [len(x) for x in got]
+        rest = np.nonzero(size == 0)[0].tolist()
+        more = [e.ids for e in self.tokenizer.encode_batch([chunks[i] for i in rest], add_special_tokens=False)]
+        ids += [i for x in more for i in x]
+        size[rest] = [len(x) for x in more]
+        order = np.array(simple + rest, np.int64)
+        begin[order] = np.cumsum(size[order]) - size[order]
+        return np.array(ids, np.uint32), begin, size
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         if len(self.number) > REMEMBERED or self.bytes > REMEMBERED_BYTES:

@@ -128,6 +128,9 @@ def test_chunks_give_the_ids_of_the_library():
            " ", "ﬁ", "12", "!!", "\U0001f600", "x" * 50, "İ", "ẞ"]
     encoder = P.Encoder(open(P.VOCABULARY, encoding="utf-8").read())
     texts = ["".join(rnd.choice(odd + [" ", "\n", "\t", "\r\n", "word", "The"]) for _ in range(30)) for _ in range(400)]
+    letters = [chr(c) for c in range(0x250) if P._SIMPLE.fullmatch(chr(c))]
+    assert len(letters) > 400
+    texts += [x for c in letters for x in (c, f"a{c}b", f"{c}{c.upper()}.")]
     for text, ids in zip(texts, encoder.encode(texts)):
         assert ids.tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids, repr(text)
     assert [len(x) for x in encoder.encode([None, "", " "])] == [0, 0, 0]

@@ -85,6 +85,64 @@ def test_features_ignore_rows_after_the_cutoff(spark):
     assert {r.msno: r.asDict() for r in late.collect()} == {u: drop(r) for u, r in a.items()}
 
 
+def test_months_together_by_plain_loops_with_nulls(spark):
+    """Several months from one scan: every attribute of a user by a loop over the rows up to the month's cutoff."""
+    from churnlab.plans.periods import period_config
+    rnd = random.Random(5)
+    hole = lambda v: None if rnd.random() < 0.3 else v
+    rows = [(r[0], *map(hole, r[1:6]), r[6], hole(r[7]), hole(r[8]), r[9]) for r in _hot_tx(n=600)]
+    rows += [("odd", None, 30, 99, 50, 1, 20170131, 20170231, 0, 9000), ("odd", 36, None, 0, 7, 0, 20170101, 20170230, None, 9001)]
+    cfgs = [period_config(p) for p in ("2017-03", "2017-02")]
+    tx = spark.createDataFrame(rows, TX)
+    got = FT.monthly_transaction_features(tx, cfgs, [dt.date(2017, 2, 1), dt.date(2017, 1, 1)], ("seq",))
+    assert _plan(got).count("Scan ExistingRDD") == 1
+    got = {(r.period, r.msno): r for r in got.collect()}
+    names = TX.replace(",", "").split()[::2]
+    for cfg, start in zip(cfgs, (20170301, 20170201)):
+        users = {r[0] for r in rows if r[6] < start}
+        assert {u for p, u in got if p == cfg.period} == users
+        for u in users:
+            mine = [dict(zip(names, r)) for r in rows if r[0] == u]
+            g, seen = got[cfg.period, u], sorted((r for r in mine if r["transaction_date"] < start), key=lambda r: (r["transaction_date"], r["seq"]))
+            having = lambda c: [r for r in seen if r[c] is not None]
+            last = lambda c: having(c)[-1][c] if having(c) else None
+            assert g.is_churn == int(max(r["transaction_date"] for r in mine) < start) and g.n_transactions == len(seen)
+            assert (g.last_is_cancel, g.last_plan_days, g.last_price, g.last_list_price, g.last_payment_method, g.last_is_auto_renew) == tuple(
+                last(c) for c in ("is_cancel", "payment_plan_days", "actual_amount_paid", "plan_list_price", "payment_method_id", "is_auto_renew"))
+            paid = [r["actual_amount_paid"] for r in having("actual_amount_paid")]
+            assert g.price_trend == (paid[-1] - paid[0] if paid else None)
+            assert g.avg_price == (sum(paid) / len(paid) if paid else None)
+            assert g.n_unique_plans == len({r["payment_plan_days"] for r in having("payment_plan_days")})
+            ends = [r for r in having("membership_expire_date") if r["membership_expire_date"] % 10000 not in (230, 231)]
+            if not ends:
+                assert g.days_until_expire is g.n_renewals is None
+            else:
+                e = max(ends, key=lambda r: (r["membership_expire_date"], -r["transaction_date"], -r["seq"]))
+                day = dt.datetime.strptime(str(e["membership_expire_date"]), "%Y%m%d").date()
+                assert g.days_until_expire == (day - cfg.prediction_date).days and g.cancel_at_expire == e["is_cancel"]
+                assert g.n_renewals == sum(r["is_cancel"] == 0 for r in seen)
+            assert g.n_tx_last_30d == sum(r["transaction_date"] >= _ymd(cfg.tx_ref - dt.timedelta(days=30)) for r in seen)
+
+
+def test_state_of_a_user_holds_three_orders(spark):
+    """One greatest and one least row hold the attributes; no order is kept for every column (states are shuffled)."""
+    plan = _plan(FT.tx_user_profile(spark.createDataFrame(_hot_tx(n=10), TX), tie_cols=("seq",)))
+    assert "max_by" not in plan and "min_by" not in plan
+
+
+def test_queries_make_the_matrix_once(spark, monkeypatch):
+    """Months of a drift report and parts of a query share one pass over the payments."""
+    from churnlab.plans import bindings as B
+    from churnlab.plans import catalog
+    real, calls = B.transactions, []
+    monkeypatch.setattr(B, "transactions", lambda *a: (calls.append(a), real(*a))[1])
+    d = "/root/testdata/sf0.001"
+    catalog.QUERIES["drift_by_column"](spark, d)
+    assert len(calls) == 1
+    filled = catalog.QUERIES["imputed_features"](spark, d)
+    assert len(calls) == 2 and "lineitem.parquet" not in _plan(filled)
+
+
 def test_quantiles_hot_value_exact(spark):
     rnd = random.Random(2)
     vals = [7.0] * 2000 + [rnd.random() * 50 for _ in range(4000)]     # one value holds a third of the rows
